@@ -53,3 +53,26 @@ def align(obs: DataFrame, grid: DataFrame | None, step_minutes: int, max_grid_id
         g = grid.filter(F.col("grid_id").between(0, max_grid_id))
         out = center_coords(dimension_join(out, g, "grid_id", "left"))
     return out
+
+
+def id_range(bounds: DataFrame, lo: str, hi: str, chunk: int = 4096) -> DataFrame:
+    """All integers ``lo..hi`` (inclusive) of each bounds row, generated in chunks.
+
+    The bounds table is tiny; it expands first into chunk numbers, which are
+    hash-partitioned before each chunk expands into its values, so a long range is
+    generated by many tasks instead of one.
+    """
+    chunks = bounds.select(F.col(lo).cast("bigint").alias("__lo"), F.col(hi).cast("bigint").alias("__hi")) \
+        .filter(F.col("__lo") <= F.col("__hi")) \
+        .select("__lo", "__hi", F.explode(F.sequence(F.floor(F.col("__lo") / chunk).cast("bigint"),
+                                                      F.floor(F.col("__hi") / chunk).cast("bigint"))).alias("__c"))
+    chunks = chunks.repartition("__c")
+    start = F.greatest(F.col("__lo"), F.col("__c") * chunk)
+    end = F.least(F.col("__hi"), F.col("__c") * chunk + (chunk - 1))
+    return chunks.select(F.explode(F.sequence(start, end)).alias("value"))
+
+
+def date_range_days(bounds: DataFrame, start: str, end: str) -> DataFrame:
+    """DT-3 at scale: every date from ``start`` to ``end`` (inclusive), generated in chunks."""
+    b = bounds.select(F.unix_date(F.to_date(start)).alias("__s"), F.unix_date(F.to_date(end)).alias("__e"))
+    return id_range(b, "__s", "__e").select(F.date_from_unix_date(F.col("value").cast("int")).alias("date"))

@@ -137,6 +137,125 @@ ratio AS (
 SELECT {obs_select('d')} FROM dedup d JOIN ratio r ON CAST(d.ts AS DATE) = r.date WHERE r.r >= 0.95"""
 
 
+def q07() -> str:
+    return """WITH have AS (SELECT page_id AS page FROM pages WHERE starts_with(url, 'https')),
+mx AS (SELECT max(page) AS m FROM have)
+SELECT CAST(r AS BIGINT) AS page FROM mx, range(1, mx.m + 1) t(r)
+WHERE r NOT IN (SELECT page FROM have)"""
+
+
+MISSING_ORDER_DATES = """o AS (SELECT DISTINCT CAST(o_orderdate AS DATE) AS date FROM orders),
+b AS (SELECT min(date) AS s, max(date) AS e FROM o),
+missing AS (
+  SELECT CAST(g.d AS DATE) AS date FROM b, generate_series(CAST(b.s AS TIMESTAMP), CAST(b.e AS TIMESTAMP), INTERVAL 1 DAY) g(d)
+  WHERE CAST(g.d AS DATE) NOT IN (SELECT date FROM o))"""
+
+
+def q08() -> str:
+    return f"WITH {MISSING_ORDER_DATES} SELECT {day_text('date')} AS date FROM missing"
+
+
+def q09() -> str:
+    return f"""WITH {MISSING_ORDER_DATES},
+c AS (SELECT m.date, CAST(floor((m.date - b.s) / 15) AS BIGINT) AS chunk, b.s, b.e FROM missing m, b)
+SELECT chunk, {day_text('s + CAST(chunk * 15 AS INTEGER)')} AS chunk_start,
+       {day_text('least(s + CAST(chunk * 15 + 14 AS INTEGER), e, current_date)')} AS chunk_end,
+       CAST(year(date) AS BIGINT) AS year, CAST(month(date) AS BIGINT) AS month,
+       string_agg(strftime(date, '%d'), ',' ORDER BY date) AS days, CAST(count(*) AS BIGINT) AS n_days
+FROM c GROUP BY chunk, s, e, year(date), month(date)"""
+
+
+def q10() -> str:
+    return f"""WITH spans AS (
+  SELECT l_orderkey AS page, min(l_shipdate) AS span_start, max(l_shipdate) AS span_end FROM lineitem GROUP BY 1),
+named AS (
+  SELECT *, 'page' || CAST(page AS VARCHAR) || '_rows10000_' || strftime(span_start, '%Y%m%d_%H%M%S') || 'to'
+            || strftime(span_end, '%Y%m%d_%H%M%S') || '.csv' AS file_name FROM spans),
+per_day AS (
+  SELECT n.*, CAST(g.d AS DATE) AS date FROM named n,
+  generate_series(CAST(CAST(n.span_start AS DATE) AS TIMESTAMP), CAST(CAST(n.span_end AS DATE) AS TIMESTAMP), INTERVAL 1 DAY) g(d))
+SELECT {day_text('date')} AS date, CAST(count(*) AS BIGINT) AS n_files,
+       first(file_name ORDER BY span_start, page) AS first_file
+FROM per_day GROUP BY date"""
+
+
+def q11() -> str:
+    return f"""WITH {dedup_cte(4)}
+SELECT {day_text('CAST(ts AS DATE)')} AS date,
+       CAST(count(*) FILTER (WHERE slp = 0) AS BIGINT) AS slp_abnormal,
+       CAST(count(*) FILTER (WHERE rh = 0) AS BIGINT) AS rh_abnormal,
+       CAST(count(nullif(slp, 0)) AS BIGINT) AS slp_valid, CAST(count(nullif(rh, 0)) AS BIGINT) AS rh_valid,
+       round(sum(nullif(slp, 0)), 6) AS slp_sum, round(sum(nullif(rh, 0)), 6) AS rh_sum
+FROM dedup GROUP BY CAST(ts AS DATE)"""
+
+
+FILL = ["t", "rh", "slp", "speed", "dir", "rain"]
+
+
+def scaffold_filled_cte(n: int) -> str:
+    return f"""{dedup_cte(n)},
+nulled AS (SELECT ts, grid_id, t, nullif(rh, 0) AS rh, nullif(slp, 0) AS slp, speed, dir, rain FROM dedup),
+days AS (SELECT DISTINCT CAST(ts AS DATE) AS date FROM nulled),
+sc AS (SELECT d.date, CAST(d.date AS TIMESTAMP) + h * INTERVAL 1 HOUR AS ts, CAST(g AS BIGINT) AS grid_id
+       FROM days d, range(24) r(h), range({n}) gg(g)),
+a AS (
+  SELECT sc.date, sc.ts, sc.grid_id, n.t, n.rh, n.slp, n.speed, n.dir, n.rain, n.ts IS NOT NULL AS observed,
+         CAST(row_number() OVER (PARTITION BY sc.date, sc.grid_id ORDER BY sc.ts) AS DOUBLE) AS pos
+  FROM sc LEFT JOIN nulled n ON n.ts = sc.ts AND n.grid_id = sc.grid_id)"""
+
+
+def fill_expr(c: str, threshold: float = 0.2, clip0: bool = False) -> str:
+    w = "PARTITION BY date, grid_id ORDER BY ts"
+    up = f"OVER ({w} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    on = f"OVER ({w} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)"
+    kp = f"CASE WHEN {c} IS NOT NULL THEN pos END"
+    pv, pp = f"last_value({c} IGNORE NULLS) {up}", f"last_value({kp} IGNORE NULLS) {up}"
+    nv, np_ = f"first_value({c} IGNORE NULLS) {on}", f"first_value({kp} IGNORE NULLS) {on}"
+    filled = (f"CASE WHEN {c} IS NOT NULL THEN {c} WHEN ({pv}) IS NOT NULL AND ({nv}) IS NOT NULL "
+              f"THEN ({pv}) + (({nv}) - ({pv})) * ((pos - ({pp})) / (({np_}) - ({pp}))) ELSE coalesce({pv}, {nv}) END")
+    if clip0:
+        filled = f"CASE WHEN ({filled}) < 0 THEN 0.0::DOUBLE ELSE ({filled}) END"
+    share = f"avg(CASE WHEN {c} IS NULL THEN 1.0 ELSE 0.0 END) OVER (PARTITION BY date, grid_id)"
+    return f"round(CASE WHEN ({share}) > 0 AND ({share}) <= {threshold} THEN {filled} ELSE {c} END, 6) AS {c}"
+
+
+def fill_query(n: int) -> str:
+    cols = ",\n       ".join(fill_expr(c, 0.2, c == "rain") for c in FILL)
+    return f"""WITH {scaffold_filled_cte(n)}
+SELECT {ts_text('ts')} AS ts, grid_id, {day_text('date')} AS date, observed,
+       {cols}
+FROM a"""
+
+
+def density_expr(t: str = "t", slp: str = "slp", rh: str = "rh") -> str:
+    return (f"(({slp} * 100.0) / (287.05 * ({t} + 273.15))) * (1.0 - ((({rh} / 100.0) * "
+            f"(6.112 * exp((17.62 * {t}) / ({t} + 243.12))) * 100.0) / ({slp} * 100.0)) * (1.0 - 287.05 / 461.495))")
+
+
+def q13() -> str:
+    cols = ", ".join(f"round(avg({c}), 6) AS {c}" for c in FILL + ["air_density"])
+    cols2 = ", ".join(f"round({c}, 6) AS {c}" for c in FILL + ["air_density"])
+    return f"""WITH {dedup_cte(4)},
+d AS (SELECT ts, grid_id, t, nullif(rh, 0) AS rh, nullif(slp, 0) AS slp, speed, dir, rain FROM dedup),
+d2 AS (SELECT *, {density_expr()} AS air_density FROM d)
+SELECT {ts_text('ts')} AS ts, CAST(NULL AS BIGINT) AS grid_id, {cols}, true AS is_mean_field FROM d2 GROUP BY ts
+UNION ALL
+SELECT {ts_text('ts')} AS ts, grid_id, {cols2}, false AS is_mean_field FROM d2"""
+
+
+def q14() -> str:
+    sx, sy = "sin(radians(dir)) * speed", "cos(radians(dir)) * speed"
+    return f"""WITH {dedup_cte(4)}
+SELECT {ts_text('ts')} AS ts, grid_id, round({sx}, 6) AS speed_x, round({sy}, 6) AS speed_y,
+       round(sqrt(({sx}) * ({sx}) + ({sy}) * ({sy})), 6) AS ws FROM dedup"""
+
+
+def q15() -> str:
+    return f"""WITH {dedup_cte(4)},
+d AS (SELECT ts, grid_id, t, nullif(rh, 0) AS rh, nullif(slp, 0) AS slp FROM dedup)
+SELECT {ts_text('ts')} AS ts, grid_id, round({density_expr()}, 6) AS air_density FROM d"""
+
+
 ORACLE = {
     "q01_completeness_daily": completeness_sql(4),
     "q02_dedup_keep_first": f"WITH {dedup_cte(4)} SELECT {obs_select()} FROM dedup",
@@ -144,4 +263,14 @@ ORACLE = {
     "q04_gap_runs": q04(),
     "q05_scaffold_join": q05(),
     "q06_completeness_filter": q06(),
+    "q07_missing_pages": q07(),
+    "q08_missing_dates": q08(),
+    "q09_chunk_plan": q09(),
+    "q10_span_overlap": q10(),
+    "q11_sentinel_null": q11(),
+    "q12_linear_fill": fill_query(4),
+    "q65_temporal_fill_linear": fill_query(8),
+    "q13_mean_field": q13(),
+    "q14_wind_components": q14(),
+    "q15_air_density": q15(),
 }

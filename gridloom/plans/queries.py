@@ -11,8 +11,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridloom.operators import dedup, quality, scaffold
+from gridloom.functions import physics as phy
+from gridloom.functions import timeaxis as tx
+from gridloom.operators import dedup, features, fill, quality, scaffold
 from gridloom.plans import views
+from gridloom.sources.tables import read_table
 from gridloom.plans.present import present
 
 HOURLY = 60
@@ -67,6 +70,119 @@ def q06_completeness_filter(spark: SparkSession, base: str) -> DataFrame:
     return present(kept)
 
 
+def q07_missing_pages(spark: SparkSession, base: str) -> DataFrame:
+    """JN-8 + STR-1: page numbers 1..max absent from the downloaded set (secure-URL pages here)."""
+    pages = read_table(spark, base, "pages", ["page_id", "url"]).filter(F.col("url").startswith("https"))
+    names = pages.select(F.format_string("page%d_rows10000_x.csv", F.col("page_id")).alias("file_name"))
+    have = names.select(tx.page_number("file_name").alias("page")).filter(F.col("page").isNotNull())
+    bounds = have.agg(F.lit(1).alias("lo"), F.max("page").alias("hi"))
+    want = scaffold.id_range(bounds, "lo", "hi").withColumnRenamed("value", "page")
+    return present(want.join(have, "page", "left_anti"))
+
+
+def q08_missing_dates(spark: SparkSession, base: str) -> DataFrame:
+    """JN-7 + DT-3: calendar dates between the first and last order date with no orders."""
+    o = read_table(spark, base, "orders", ["o_orderdate"]).select(F.to_date("o_orderdate").alias("date"))
+    bounds = o.agg(F.min("date").alias("s"), F.max("date").alias("e"))
+    cal = scaffold.date_range_days(bounds, "s", "e")
+    return present(cal.join(o, "date", "left_anti"))
+
+
+def _missing_order_dates(spark: SparkSession, base: str) -> tuple[DataFrame, DataFrame]:
+    o = read_table(spark, base, "orders", ["o_orderdate"]).select(F.to_date("o_orderdate").alias("date"))
+    bounds = o.agg(F.min("date").alias("s"), F.max("date").alias("e"))
+    return scaffold.date_range_days(bounds, "s", "e").join(o, "date", "left_anti"), bounds
+
+
+def q09_chunk_plan(spark: SparkSession, base: str) -> DataFrame:
+    """DT-4 + AGG-11: 15-day chunks from the first date; per chunk the missing days grouped by month."""
+    k = 15
+    missing, bounds = _missing_order_dates(spark, base)
+    first = bounds.select("s").scalar()
+    last = bounds.select("e").scalar()
+    c = missing.withColumn("chunk", tx.chunk_index("date", first, k))
+    chunk_start = F.date_add(first, (F.col("chunk") * k).cast("int"))
+    chunk_end = F.least(F.date_add(chunk_start, k - 1), last, F.current_date())
+    plan = c.groupBy("chunk", F.year("date").alias("year"), F.month("date").alias("month")).agg(
+        F.array_join(F.array_sort(F.collect_list(F.date_format("date", "dd"))), ",").alias("days"),
+        F.count(F.lit(1)).alias("n_days"))
+    return present(plan.select("chunk", chunk_start.alias("chunk_start"), chunk_end.alias("chunk_end"),
+                               "year", "month", "days", "n_days"))
+
+
+def q10_span_overlap(spark: SparkSession, base: str) -> DataFrame:
+    """FLT-2 + JN-5 + SNK-9: per calendar day, the page files (orders) whose span overlaps it.
+
+    The overlap join is turned into an equi-join by expanding every span into
+    its days; per day the first file by (span start, page) is kept, as the
+    daily split reads files in start order.
+    """
+    li = read_table(spark, base, "lineitem", ["l_orderkey", "l_shipdate"])
+    spans = li.groupBy(F.col("l_orderkey").alias("page")).agg(
+        F.min("l_shipdate").alias("span_start"), F.max("l_shipdate").alias("span_end"))
+    named = spans.withColumn("file_name", F.concat(
+        F.lit("page"), F.col("page").cast("string"), F.lit("_rows10000_"),
+        tx.compact_time("span_start"), F.lit("to"), tx.compact_time("span_end"), F.lit(".csv")))
+    per_day = named.select("page", "span_start", "file_name",
+                           F.explode(tx.calendar("span_start", "span_end")).alias("date"))
+    out = per_day.groupBy("date").agg(
+        F.count(F.lit(1)).alias("n_files"),
+        F.min_by("file_name", F.struct("span_start", "page")).alias("first_file"))
+    return present(out)
+
+
+def q11_sentinel_null(spark: SparkSession, base: str) -> DataFrame:
+    """FLT-7 + AGG-12: zero pressure / humidity counted per day, then turned into NULL."""
+    d = _obs_dedup(spark, base, 4)
+    counts = quality.sentinel_counts(d, "ts", ["slp", "rh"])
+    nulled = quality.sentinel_to_null(d, ["slp", "rh"])
+    after = nulled.groupBy(F.to_date("ts").alias("date")).agg(
+        F.count("slp").alias("slp_valid"), F.count("rh").alias("rh_valid"),
+        F.sum("slp").alias("slp_sum"), F.sum("rh").alias("rh_sum"))
+    return present(counts.join(after, "date"))
+
+
+def _filled_input(spark: SparkSession, base: str, n_grids: int) -> DataFrame:
+    d = _obs_dedup(spark, base, n_grids).drop("page", "row_ord")
+    d = quality.sentinel_to_null(d, ["slp", "rh"])
+    return scaffold.align(d, None, HOURLY, max_grid_id=n_grids - 1)
+
+
+FILL_COLS = ["t", "rh", "slp", "speed", "dir", "rain"]
+
+
+def q12_linear_fill(spark: SparkSession, base: str) -> DataFrame:
+    """AGG-10 + WIN-3 + WIN-6 + PHY-6 on 4 grids: linear gaps, edge carry, rain clipped at 0."""
+    a = _filled_input(spark, base, 4)
+    return present(fill.temporal_fill_linear(a, FILL_COLS, ["date", "grid_id"], "ts", 0.2, "rain"))
+
+
+def q65_temporal_fill_linear(spark: SparkSession, base: str) -> DataFrame:
+    """INT-1 (linear method) on 8 grids, where some series exceed the 20 % gate and stay unfilled."""
+    a = _filled_input(spark, base, 8)
+    return present(fill.temporal_fill_linear(a, FILL_COLS, ["date", "grid_id"], "ts", 0.2, "rain"))
+
+
+def q13_mean_field(spark: SparkSession, base: str) -> DataFrame:
+    """AGG-4 + SET-2 + PHY-1: air density, then per-time means prepended as grid-less rows."""
+    d = quality.sentinel_to_null(_obs_dedup(spark, base, 4).drop("page", "row_ord"), ["slp", "rh"])
+    d = d.withColumn("air_density", phy.air_density("t", "slp", "rh"))
+    return present(features.with_mean_field(d, "ts", FILL_COLS + ["air_density"]))
+
+
+def q14_wind_components(spark: SparkSession, base: str) -> DataFrame:
+    """PHY-3 + PHY-4: speed/direction → x/y components (originals dropped), then the speed back."""
+    d = _obs_dedup(spark, base, 4).select("ts", "grid_id", "speed", "dir")
+    w = phy.wind_components(d, [("speed", "dir")])
+    return present(w.withColumn("ws", phy.magnitude("speed_x", "speed_y")))
+
+
+def q15_air_density(spark: SparkSession, base: str) -> DataFrame:
+    """PHY-1 on the station view (sentinels already NULL)."""
+    d = quality.sentinel_to_null(_obs_dedup(spark, base, 4), ["slp", "rh"])
+    return present(d.select("ts", "grid_id", phy.air_density("t", "slp", "rh").alias("air_density")))
+
+
 QUERIES = {
     "q01_completeness_daily": q01_completeness_daily,
     "q02_dedup_keep_first": q02_dedup_keep_first,
@@ -74,4 +190,14 @@ QUERIES = {
     "q04_gap_runs": q04_gap_runs,
     "q05_scaffold_join": q05_scaffold_join,
     "q06_completeness_filter": q06_completeness_filter,
+    "q07_missing_pages": q07_missing_pages,
+    "q08_missing_dates": q08_missing_dates,
+    "q09_chunk_plan": q09_chunk_plan,
+    "q10_span_overlap": q10_span_overlap,
+    "q11_sentinel_null": q11_sentinel_null,
+    "q12_linear_fill": q12_linear_fill,
+    "q13_mean_field": q13_mean_field,
+    "q14_wind_components": q14_wind_components,
+    "q15_air_density": q15_air_density,
+    "q65_temporal_fill_linear": q65_temporal_fill_linear,
 }
