@@ -80,6 +80,16 @@ def grid_points(north: float, west: float, south: float, east: float, lat_step:
     return n_lat, n_lon
 
 
+def grid_shape(north: Column, west: Column, south: Column, east: Column,
+               lat_step: float, lon_step: float) -> tuple[Column, Column]:
+    """GEO-4 as Column expressions (half-even rounding, as the integer rounding of the rule)."""
+    n_lat = (F.bround((north - south) / lat_step, 0) + 1).cast("int")
+    span = F.when(east < west, east + 360.0 - west).otherwise(east - west)
+    lon_pts = F.bround(span / lon_step, 0)
+    n_lon = F.when(F.abs(span - 360.0) < 1e-6, lon_pts).otherwise(lon_pts + 1).cast("int")
+    return n_lat, n_lon
+
+
 def global_grid_points(lat_step: float, lon_step: float) -> tuple[int, int]:
     """GEO-4 without an area: both poles, and longitudes without the closing 360° point."""
     return int(round(180.0 / lat_step)) + 1, int(round(360.0 / lon_step))

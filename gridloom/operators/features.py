@@ -85,21 +85,24 @@ def feature_stats(df: DataFrame, vec: str, fit: Column | None = None) -> Column:
 
 
 def normalise(df: DataFrame, vec: str, stats: Column, out: str | None = None) -> DataFrame:
-    """NRM-1 apply: ``(x - mean) / std`` per position; std 0 → 1."""
+    """NRM-1 apply: ``(x - mean) / std`` per position; std 0 → 1.
+
+    The statistics are first bound to a column (subqueries may not sit inside a lambda).
+    """
     def z(x, i):
-        s = stats[i]
+        s = F.col("__stats")[i]
         std = F.when(s["std"] == 0, F.lit(1.0)).otherwise(s["std"])
         return (x - s["mean"]) / std
-    return df.withColumn(out or vec, F.transform(F.col(vec), z))
+    return df.withColumn("__stats", stats).withColumn(out or vec, F.transform(F.col(vec), z)).drop("__stats")
 
 
 def denormalise(df: DataFrame, vec: str, stats: Column, out: str | None = None) -> DataFrame:
     """NRM-1 inverse: ``z * std + mean``."""
     def back(x, i):
-        s = stats[i]
+        s = F.col("__stats")[i]
         std = F.when(s["std"] == 0, F.lit(1.0)).otherwise(s["std"])
         return x * std + s["mean"]
-    return df.withColumn(out or vec, F.transform(F.col(vec), back))
+    return df.withColumn("__stats", stats).withColumn(out or vec, F.transform(F.col(vec), back)).drop("__stats")
 
 
 def group_zscore(df: DataFrame, group: list[str], columns: list[str], suffix: str = "_z") -> DataFrame:

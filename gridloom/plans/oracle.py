@@ -256,6 +256,163 @@ d AS (SELECT ts, grid_id, t, nullif(rh, 0) AS rh, nullif(slp, 0) AS slp FROM ded
 SELECT {ts_text('ts')} AS ts, grid_id, round({density_expr()}, 6) AS air_density FROM d"""
 
 
+LI_ORDER = ("l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount, "
+            "l_tax, l_returnflag, l_linestatus, l_shipdate")
+
+REAN = f"""rean AS (
+  SELECT l_shipdate AS ts, CAST((l_suppkey % 8) * 5 AS DOUBLE) AS lon, CAST(l_linenumber * 5 AS DOUBLE) AS lat,
+         CASE WHEN l_linestatus <> 'F' THEN 273.15::DOUBLE + l_quantity END AS t2m,
+         (273.15::DOUBLE + l_quantity) - l_discount * 200.0::DOUBLE AS d2m,
+         CAST((l_partkey % 21) - 10 AS DOUBLE) AS u10,
+         CAST((l_orderkey % 17) - 8 AS DOUBLE) AS v10,
+         CASE WHEN l_returnflag <> 'R' THEN l_extendedprice END AS sp,
+         l_tax / 100.0::DOUBLE AS tp,
+         {LI_ORDER}
+  FROM lineitem)"""
+
+
+def clip_sql(x: str, lo: str | None, hi: str | None) -> str:
+    out = x
+    if lo is not None:
+        out = f"CASE WHEN ({x}) < {lo} THEN {lo} ELSE {out} END"
+    if hi is not None:
+        out = f"CASE WHEN ({x}) > {hi} THEN {hi} ELSE {out} END"
+    return out
+
+
+def rh_sql(t: str = "t2m", d: str = "d2m") -> str:
+    es = f"(6.112 * exp((17.67 * ({t} - 273.15)) / (({t} - 273.15) + 243.5)))"
+    e = f"(6.112 * exp((17.67 * ({d} - 273.15)) / (({d} - 273.15) + 243.5)))"
+    return f"({clip_sql(f'{e} / {es}', '0.0', '1.0')}) * 100.0"
+
+
+def q16() -> str:
+    return f"""WITH {REAN}
+SELECT {ts_text('ts')} AS ts, round(lon, 6) AS lon, round(lat, 6) AS lat, round({rh_sql()}, 6) AS rh FROM rean"""
+
+
+def q17() -> str:
+    tp = clip_sql("tp * 1000.0", "0.0", None)
+    return f"""WITH {REAN}
+SELECT {ts_text('ts')} AS ts, round(lon, 6) AS lon, round(lat, 6) AS lat,
+       round(t2m - 273.15, 6) AS t2m, round(d2m - 273.15, 6) AS d2m, round(u10, 6) AS u10, round(v10, 6) AS v10,
+       round(sp / 1000.0, 6) AS sp, round(ln(1 + ({tp})), 6) AS tp,
+       round({rh_sql()}, 6) AS rh, round(sqrt(u10 * u10 + v10 * v10), 6) AS ws
+FROM rean"""
+
+
+def merged_cte() -> str:
+    cols = ",\n         ".join(
+        f"first({c} ORDER BY {LI_ORDER}) FILTER (WHERE {c} IS NOT NULL) AS {c}"
+        for c in ["t2m", "d2m", "u10", "v10", "sp", "tp"])
+    return f"""{REAN},
+merged AS (
+  SELECT ts, lon, lat,
+         {cols}
+  FROM rean GROUP BY ts, lon, lat)"""
+
+
+def q18() -> str:
+    cols = ", ".join(f"round({c}, 6) AS {c}" for c in ["lon", "lat", "t2m", "d2m", "u10", "v10", "sp", "tp"])
+    return f"WITH {merged_cte()} SELECT {ts_text('ts')} AS ts, {cols} FROM merged"
+
+
+def coords_cte(table: str = "customer", name: str = "c") -> str:
+    k = {"customer": "c_custkey", "supplier": "s_suppkey"}[table]
+    return (f"{name} AS (SELECT CAST({k} AS BIGINT) AS id, CAST(({k} * 7) % 360 AS DOUBLE) AS lon, "
+            f"CAST(({k} * 11) % 181 - 90 AS DOUBLE) AS lat FROM {table})")
+
+
+def q19() -> str:
+    return f"""WITH {coords_cte()},
+g AS (SELECT lon, lat, row_number() OVER (ORDER BY lat, lon) - 1 AS grid_id FROM (SELECT DISTINCT lon, lat FROM c))
+SELECT c.id, round(c.lon, 6) AS lon, round(c.lat, 6) AS lat, CAST(g.grid_id AS BIGINT) AS grid_id
+FROM c LEFT JOIN g ON c.lon = g.lon AND c.lat = g.lat"""
+
+
+def q20() -> str:
+    return f"""WITH {merged_cte()},
+r AS (SELECT *, row_number() OVER (PARTITION BY CAST(ts AS DATE) ORDER BY ts DESC, lon DESC, lat DESC) AS rn FROM merged)
+SELECT {ts_text('ts')} AS ts, round(lon, 6) AS lon, round(lat, 6) AS lat, round(t2m, 6) AS t2m FROM r WHERE rn <= 16"""
+
+
+def wrapped_cte() -> str:
+    lon = clip_sql("CASE WHEN lon > 180.0 THEN lon - 360.0 ELSE lon END", "-180.0", "180.0")
+    lat = clip_sql("lat", "-89.9999", "89.9999")
+    return f"""{coords_cte()},
+cw AS (SELECT id, {lon} AS lon, {lat} AS lat FROM c)"""
+
+
+def q21() -> str:
+    return f"WITH {wrapped_cte()} SELECT id, round(lon, 6) AS lon, round(lat, 6) AS lat FROM cw"
+
+
+def q22() -> str:
+    return f"""WITH {coords_cte()},
+ab AS (SELECT id, lat AS a, lon AS b FROM c),
+s AS (SELECT max(abs(a)) AS ma, max(abs(b)) AS mb FROM ab)
+SELECT id, round(CASE WHEN s.ma <= 90 AND s.mb > 90 THEN b ELSE a END, 6) AS lon,
+           round(CASE WHEN s.ma <= 90 AND s.mb > 90 THEN a ELSE b END, 6) AS lat
+FROM ab, s"""
+
+
+def q23() -> str:
+    return f"""WITH {wrapped_cte()},
+p AS (SELECT *, row_number() OVER (ORDER BY id) - 1 AS pos FROM cw)
+SELECT CAST(pos // 80 AS BIGINT) AS batch, CAST(count(*) AS BIGINT) AS n_points,
+       string_agg(printf('%.4f,%.4f', lat, lon), '|' ORDER BY pos) AS locations
+FROM p GROUP BY 1"""
+
+
+def q24() -> str:
+    return f"""WITH {coords_cte('supplier')},
+s AS (SELECT min(lon) AS a, max(lon) AS b, min(lat) AS c2, max(lat) AS d FROM c)
+SELECT id, round(lon, 6) AS lon, round(lat, 6) AS lat,
+       round(CASE WHEN b - a = 0 THEN 0.0 ELSE (lon - a) / (b - a) END, 6) AS lon_norm,
+       round(CASE WHEN d - c2 = 0 THEN 0.0 ELSE (lat - c2) / (d - c2) END, 6) AS lat_norm
+FROM c, s"""
+
+
+def q25() -> str:
+    return f"""WITH {coords_cte('supplier')}
+SELECT id, round(cos(radians(lat)) * cos(radians(lon)), 6) AS sx, round(cos(radians(lat)) * sin(radians(lon)), 6) AS sy,
+       round(sin(radians(lat)), 6) AS sz FROM c"""
+
+
+def q26() -> str:
+    return f"""WITH {coords_cte('supplier')},
+j AS (SELECT c.*, e.s_acctbal AS elevation FROM c LEFT JOIN supplier e ON CAST(e.s_suppkey AS BIGINT) = c.id),
+s AS (SELECT min(elevation) AS a, max(elevation) AS b FROM j)
+SELECT id, round(lon, 6) AS lon, round(lat, 6) AS lat, round(elevation, 6) AS elevation,
+       round(CASE WHEN b - a = 0 THEN 0.0 ELSE (elevation - a) / (b - a) END, 6) AS elevation_norm
+FROM j, s"""
+
+
+def q27() -> str:
+    wrap = clip_sql("CASE WHEN x > 180.0 THEN x - 360.0 ELSE x END", "-180.0", "180.0")
+    return f"""WITH {wrapped_cte()},
+area AS (SELECT max(lat) AS north, min(lon) AS west, min(lat) AS south, max(lon) AS east FROM cw),
+sh AS (SELECT *, CAST(round_even((north - south) / 5.0, 0) + 1 AS INTEGER) AS n_lat,
+              CASE WHEN east < west THEN east + 360.0 - west ELSE east - west END AS span FROM area),
+sh2 AS (SELECT *, CAST(CASE WHEN abs(span - 360.0) < 1e-6 THEN round_even(span / 5.0, 0)
+                            ELSE round_even(span / 5.0, 0) + 1 END AS INTEGER) AS n_lon FROM sh),
+cells AS (SELECT sh2.*, i, j, west + j * 5.0 AS x FROM sh2, range(n_lat) a(i), range(n_lon) b(j))
+SELECT CAST(i * n_lon + j AS BIGINT) AS grid_id, round(south + i * 5.0, 6) AS lat, round({wrap}, 6) AS lon,
+       CAST(n_lat AS BIGINT) AS n_lat, CAST(n_lon AS BIGINT) AS n_lon
+FROM cells"""
+
+
+def q28() -> str:
+    return """WITH ex AS (
+  SELECT vec_id, label, CAST(i AS BIGINT) AS pos, embedding[i + 1] AS x
+  FROM embeddings, range(len(embedding)) r(i)),
+st AS (SELECT pos, avg(x) AS m, stddev_pop(x) AS s FROM ex GROUP BY pos),
+gs AS (SELECT label, pos, avg(x) AS gm, stddev_pop(x) AS gsd FROM ex GROUP BY label, pos)
+SELECT ex.vec_id, ex.pos, round((ex.x - st.m) / CASE WHEN st.s = 0 THEN 1.0 ELSE st.s END, 6) AS z,
+       round((ex.x - gs.gm) / CASE WHEN gs.gsd = 0 THEN 1.0 ELSE gs.gsd END, 6) AS x_z
+FROM ex JOIN st ON ex.pos = st.pos LEFT JOIN gs ON ex.label = gs.label AND ex.pos = gs.pos"""
+
+
 ORACLE = {
     "q01_completeness_daily": completeness_sql(4),
     "q02_dedup_keep_first": f"WITH {dedup_cte(4)} SELECT {obs_select()} FROM dedup",
@@ -273,4 +430,17 @@ ORACLE = {
     "q13_mean_field": q13(),
     "q14_wind_components": q14(),
     "q15_air_density": q15(),
+    "q16_relative_humidity": q16(),
+    "q17_units_log": q17(),
+    "q18_first_non_null": q18(),
+    "q19_grid_ids": q19(),
+    "q20_tail_truncate": q20(),
+    "q21_wrap_lonlat": q21(),
+    "q22_axis_order": q22(),
+    "q23_location_batches": q23(),
+    "q24_coords_min_max": q24(),
+    "q25_coords_sphere": q25(),
+    "q26_elevation_join": q26(),
+    "q27_grid_generate": q27(),
+    "q28_normalise": q28(),
 }

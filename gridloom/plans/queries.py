@@ -11,9 +11,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gridloom.functions import geo
 from gridloom.functions import physics as phy
 from gridloom.functions import timeaxis as tx
-from gridloom.operators import dedup, features, fill, quality, scaffold
+from gridloom.operators import dedup, features, fill, grid, quality, scaffold
 from gridloom.plans import views
 from gridloom.sources.tables import read_table
 from gridloom.plans.present import present
@@ -183,6 +184,123 @@ def q15_air_density(spark: SparkSession, base: str) -> DataFrame:
     return present(d.select("ts", "grid_id", phy.air_density("t", "slp", "rh").alias("air_density")))
 
 
+REAN_COLS = ["t2m", "d2m", "u10", "v10", "sp", "tp"]
+
+
+def _reanalysis_merged(spark: SparkSession, base: str) -> DataFrame:
+    r = views.reanalysis(spark, base)
+    return grid.first_non_null(r, ["ts", "lon", "lat"], "ord", REAN_COLS)
+
+
+def q16_relative_humidity(spark: SparkSession, base: str) -> DataFrame:
+    """PHY-2 on the reanalysis view (Kelvin inputs)."""
+    r = views.reanalysis(spark, base)
+    return present(r.select("ts", "lon", "lat", phy.relative_humidity("t2m", "d2m").alias("rh")))
+
+
+def q17_units_log(spark: SparkSession, base: str) -> DataFrame:
+    """PHY-2/4 derived first, then PHY-5 unit rules with PHY-6 bounds and PHY-7 log1p (no clip)."""
+    r = views.reanalysis(spark, base).drop("ord")
+    r = r.withColumns({"rh": phy.relative_humidity("t2m", "d2m"), "ws": phy.magnitude("u10", "v10")})
+    r = phy.convert_units(r, phy.REANALYSIS_UNITS)
+    r = phy.log1p_columns(r, phy.REANALYSIS_LOG, clip_at_zero=False)
+    return present(r)
+
+
+def q18_first_non_null(spark: SparkSession, base: str) -> DataFrame:
+    """AGG-5: one row per (ts, lon, lat), each column's first non-NULL value in source order."""
+    return present(_reanalysis_merged(spark, base))
+
+
+def q19_grid_ids(spark: SparkSession, base: str) -> DataFrame:
+    """AGG-6 + WIN-4 + JN-4: ids ranked by (lat, lon) over distinct coordinates, joined back."""
+    c = views.coords(spark, base, "customer")
+    return present(grid.attach_grid_ids(c, "lon", "lat"))
+
+
+def q20_tail_truncate(spark: SparkSession, base: str) -> DataFrame:
+    """FLT-5: per day keep the last T×G = 1×16 merged rows in (ts, lon, lat) order."""
+    m = _reanalysis_merged(spark, base).select("ts", "lon", "lat", "t2m")
+    return present(grid.tail_truncate(m, "ts", ["lon", "lat"], steps=1, grids=16))
+
+
+def _wrapped_customers(spark: SparkSession, base: str) -> DataFrame:
+    c = views.coords(spark, base, "customer")
+    return c.select("id", geo.wrap_lon("lon").alias("lon"), geo.bound_lat("lat").alias("lat"))
+
+
+def q21_wrap_lonlat(spark: SparkSession, base: str) -> DataFrame:
+    """GEO-1: longitudes to -180..180, latitudes bounded to ±89.9999."""
+    return present(_wrapped_customers(spark, base))
+
+
+def q22_axis_order(spark: SparkSession, base: str) -> DataFrame:
+    """GEO-2: coordinates delivered as (lat, lon) are detected and flipped."""
+    c = views.coords(spark, base, "customer").select("id", F.col("lat").alias("a"), F.col("lon").alias("b"))
+    return present(geo.axis_order(c, "a", "b").select("id", "lon", "lat"))
+
+
+def q23_location_batches(spark: SparkSession, base: str) -> DataFrame:
+    """GEO-3: consecutive batches of 80 points in id order, ``lat,lon`` joined with ``|``."""
+    c = _wrapped_customers(spark, base)
+    pos = grid.global_position(c, F.floor(F.col("id") / 4096), ["id"], "pos")
+    b = pos.withColumn("batch", F.floor(F.col("pos") / geo.LOCATION_BATCH).cast("bigint"))
+    out = b.groupBy("batch").agg(
+        F.count(F.lit(1)).alias("n_points"),
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", geo.location_text("lon", "lat").alias("s")))),
+                                 lambda e: e["s"]), "|").alias("locations"))
+    return present(out)
+
+
+def q24_coords_min_max(spark: SparkSession, base: str) -> DataFrame:
+    """GEO-5 (+ AGG-8): per-axis min-max scaling of supplier coordinates."""
+    c = views.coords(spark, base, "supplier")
+    return present(geo.min_max_scaled(c, ["lon", "lat"]))
+
+
+def q25_coords_sphere(spark: SparkSession, base: str) -> DataFrame:
+    """GEO-6: unit-sphere embedding of supplier coordinates."""
+    c = views.coords(spark, base, "supplier").withColumn("xyz", geo.sphere_xyz("lon", "lat"))
+    return present(c.select("id", F.col("xyz")[0].alias("sx"), F.col("xyz")[1].alias("sy"),
+                            F.col("xyz")[2].alias("sz")))
+
+
+def q26_elevation_join(spark: SparkSession, base: str) -> DataFrame:
+    """GEO-7 + AGG-8: elevation per point joined by id and min-max scaled."""
+    c = views.coords(spark, base, "supplier")
+    elev = read_table(spark, base, "supplier", ["s_suppkey", "s_acctbal"]).select(
+        F.col("s_suppkey").cast("bigint").alias("id"), F.col("s_acctbal").alias("elevation"))
+    j = c.join(elev, "id", "left")
+    return present(geo.min_max_scaled(j, ["elevation"]))
+
+
+def q27_grid_generate(spark: SparkSession, base: str) -> DataFrame:
+    """GEO-4: a 5-degree grid over the area the customer points span, generated with sequences."""
+    c = _wrapped_customers(spark, base)
+    step = 5.0
+    area = c.agg(F.max("lat").alias("north"), F.min("lon").alias("west"),
+                 F.min("lat").alias("south"), F.max("lon").alias("east"))
+    n_lat, n_lon = geo.grid_shape(F.col("north"), F.col("west"), F.col("south"), F.col("east"), step, step)
+    a = area.select("*", n_lat.alias("n_lat"), n_lon.alias("n_lon"))
+    rows = a.select("*", F.explode(F.sequence(F.lit(0), F.col("n_lat") - 1)).alias("i")).repartition("i")
+    cells = rows.select("*", F.explode(F.sequence(F.lit(0), F.col("n_lon") - 1)).alias("j"))
+    return present(cells.select(
+        (F.col("i") * F.col("n_lon") + F.col("j")).cast("bigint").alias("grid_id"),
+        (F.col("south") + F.col("i") * step).alias("lat"),
+        geo.wrap_lon(F.col("west") + F.col("j") * step).alias("lon"), "n_lat", "n_lon"))
+
+
+def q28_normalise(spark: SparkSession, base: str) -> DataFrame:
+    """NRM-1 + AGG-9: per-position z-score of embeddings (fitted on all rows) and within-label z-score."""
+    e = read_table(spark, base, "embeddings", ["vec_id", "embedding", "label"])
+    stats = features.feature_stats(e, "embedding")
+    z = features.normalise(e, "embedding", stats, "z")
+    ex = z.select("vec_id", "label", F.posexplode(F.arrays_zip("embedding", "z")).alias("pos", "p")) \
+          .select("vec_id", "label", "pos", F.col("p.embedding").alias("x"), F.col("p.z").alias("z"))
+    g = features.group_zscore(ex, ["label", "pos"], ["x"])
+    return present(g.select("vec_id", "pos", "z", "x_z"))
+
+
 QUERIES = {
     "q01_completeness_daily": q01_completeness_daily,
     "q02_dedup_keep_first": q02_dedup_keep_first,
@@ -200,4 +318,17 @@ QUERIES = {
     "q14_wind_components": q14_wind_components,
     "q15_air_density": q15_air_density,
     "q65_temporal_fill_linear": q65_temporal_fill_linear,
+    "q16_relative_humidity": q16_relative_humidity,
+    "q17_units_log": q17_units_log,
+    "q18_first_non_null": q18_first_non_null,
+    "q19_grid_ids": q19_grid_ids,
+    "q20_tail_truncate": q20_tail_truncate,
+    "q21_wrap_lonlat": q21_wrap_lonlat,
+    "q22_axis_order": q22_axis_order,
+    "q23_location_batches": q23_location_batches,
+    "q24_coords_min_max": q24_coords_min_max,
+    "q25_coords_sphere": q25_coords_sphere,
+    "q26_elevation_join": q26_elevation_join,
+    "q27_grid_generate": q27_grid_generate,
+    "q28_normalise": q28_normalise,
 }
