@@ -204,7 +204,7 @@ a AS (
   FROM sc LEFT JOIN nulled n ON n.ts = sc.ts AND n.grid_id = sc.grid_id)"""
 
 
-def fill_expr(c: str, threshold: float = 0.2, clip0: bool = False) -> str:
+def fill_expr(c: str, threshold: float = 0.2, clip0: bool = False, rounded: bool = True) -> str:
     w = "PARTITION BY date, grid_id ORDER BY ts"
     up = f"OVER ({w} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
     on = f"OVER ({w} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)"
@@ -216,7 +216,8 @@ def fill_expr(c: str, threshold: float = 0.2, clip0: bool = False) -> str:
     if clip0:
         filled = f"CASE WHEN ({filled}) < 0 THEN 0.0::DOUBLE ELSE ({filled}) END"
     share = f"avg(CASE WHEN {c} IS NULL THEN 1.0 ELSE 0.0 END) OVER (PARTITION BY date, grid_id)"
-    return f"round(CASE WHEN ({share}) > 0 AND ({share}) <= {threshold} THEN {filled} ELSE {c} END, 6) AS {c}"
+    body = f"CASE WHEN ({share}) > 0 AND ({share}) <= {threshold} THEN {filled} ELSE {c} END"
+    return f"round({body}, 6) AS {c}" if rounded else f"{body} AS {c}"
 
 
 def fill_query(n: int) -> str:
@@ -413,6 +414,87 @@ SELECT ex.vec_id, ex.pos, round((ex.x - st.m) / CASE WHEN st.s = 0 THEN 1.0 ELSE
 FROM ex JOIN st ON ex.pos = st.pos LEFT JOIN gs ON ex.label = gs.label AND ex.pos = gs.pos"""
 
 
+def filled_cte(n: int = 4) -> str:
+    cols = ",\n         ".join(fill_expr(c, 0.2, c == "rain", rounded=False) for c in FILL)
+    return f"""{scaffold_filled_cte(n)},
+f AS (
+  SELECT date, ts, grid_id, CAST(hour(ts) AS BIGINT) AS step,
+         {cols}
+  FROM a)"""
+
+
+SAMPLE_F = ["t", "rh", "speed"]
+
+
+def q35() -> str:
+    parts = ", ".join(f"CAST({fn}(ts) AS BIGINT) AS {n}" for fn, n in
+                      [("year", "year"), ("month", "month"), ("day", "day"), ("hour", "hour"), ("minute", "minute")])
+    sel = "\nUNION ALL\n".join(
+        f"SELECT {day_text('date')} AS date, step, grid_id AS node_pos, CAST({i} AS BIGINT) AS feature, "
+        f"round(CAST(CAST({c} AS FLOAT) AS DOUBLE), 6) AS value, {parts} FROM f"
+        for i, c in enumerate(SAMPLE_F))
+    return f"WITH {filled_cte(4)}\n{sel}"
+
+
+def q29() -> str:
+    sid = "(CAST(date - (SELECT min(date) FROM f) AS BIGINT) * 24 + step)"
+    mask = f"((({sid}) * 1103515245 + grid_id * 12345 + 7) % 10007) < 2501"
+    sel = "\nUNION ALL\n".join(
+        f"SELECT {sid} AS sample_id, grid_id, {mask} AS masked, CAST({i} AS BIGINT) AS feature, "
+        f"round(CAST(CASE WHEN {mask} THEN CAST(0.0 AS FLOAT) ELSE CAST({c} AS FLOAT) END AS DOUBLE), 6) AS data, "
+        f"round(CAST(CAST({c} AS FLOAT) AS DOUBLE), 6) AS target FROM f"
+        for i, c in enumerate(SAMPLE_F))
+    return f"WITH {filled_cte(4)}\n{sel}"
+
+
+def q30() -> str:
+    return f"""WITH {filled_cte(4)}
+SELECT {day_text('date')} AS date, CAST(w.s AS BIGINT) AS window_start, CAST(f.step - w.s AS BIGINT) AS k,
+       CASE WHEN f.step - w.s < 4 THEN 'input' ELSE 'target' END AS part, f.grid_id, round(f.t, 6) AS t
+FROM f JOIN range(0, 19, 2) w(s) ON f.step BETWEEN w.s AND w.s + 5"""
+
+
+def q31() -> str:
+    return f"""WITH {filled_cte(4)}
+SELECT {day_text('date')} AS date, CAST(step // 6 AS BIGINT) AS window_id, CAST(step % 6 AS BIGINT) AS k,
+       CASE WHEN step % 6 < 4 THEN 'input' ELSE 'target' END AS part, grid_id, round(t, 6) AS t
+FROM f"""
+
+
+SERIES = """agg AS (
+  SELECT CAST(l_shipdate AS DATE) AS day, CAST(l_suppkey % 8 AS BIGINT) AS node,
+         sum(l_quantity) AS qty, sum(l_extendedprice) AS price
+  FROM lineitem GROUP BY 1, 2),
+series AS (
+  SELECT CAST(day - (SELECT min(day) FROM agg) AS BIGINT) AS step, day, node, CAST(0 AS BIGINT) AS channel, qty AS value FROM agg
+  UNION ALL
+  SELECT CAST(day - (SELECT min(day) FROM agg) AS BIGINT) AS step, day, node, CAST(1 AS BIGINT) AS channel, price AS value FROM agg),
+m AS (SELECT max(step) + 1 AS n FROM series)"""
+
+
+def q32() -> str:
+    return f"""WITH {SERIES}
+SELECT CAST(w.ws AS BIGINT) AS window_start, CAST(s.step - w.ws AS BIGINT) AS k, s.node, s.channel, round(s.value, 6) AS value
+FROM series s, m, range(greatest(0, s.step - 3), least(s.step, m.n - 4) + 1) w(ws)"""
+
+
+def q33() -> str:
+    return f"""WITH {SERIES}
+SELECT CAST(s.step // 7 AS BIGINT) AS window_id, CAST(s.step % 7 AS BIGINT) AS k, s.node, s.channel, round(s.value, 6) AS value
+FROM series s, m WHERE s.step // 7 < m.n // 7"""
+
+
+def q34() -> str:
+    sel = "\nUNION ALL\n".join(
+        f"SELECT {day_text('date')} AS date, CAST({i} AS BIGINT) AS channel, round({c}, 6) AS value FROM w"
+        for i, c in enumerate(["qty", "price", "discount", "tax"]))
+    return f"""WITH w AS (
+  SELECT CAST(l_shipdate AS DATE) AS date, sum(l_quantity) AS qty, sum(l_extendedprice) AS price,
+         sum(l_discount) AS discount, sum(l_tax) AS tax
+  FROM lineitem GROUP BY 1)
+{sel}"""
+
+
 ORACLE = {
     "q01_completeness_daily": completeness_sql(4),
     "q02_dedup_keep_first": f"WITH {dedup_cte(4)} SELECT {obs_select()} FROM dedup",
@@ -443,4 +525,11 @@ ORACLE = {
     "q26_elevation_join": q26(),
     "q27_grid_generate": q27(),
     "q28_normalise": q28(),
+    "q29_step_samples_masked": q29(),
+    "q30_sliding_in_day": q30(),
+    "q31_tumbling_in_day": q31(),
+    "q32_sliding_series": q32(),
+    "q33_tumbling_series": q33(),
+    "q34_wide_to_long": q34(),
+    "q35_pack_day": q35(),
 }

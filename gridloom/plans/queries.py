@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from gridloom.functions import geo
 from gridloom.functions import physics as phy
 from gridloom.functions import timeaxis as tx
-from gridloom.operators import dedup, features, fill, grid, quality, scaffold
+from gridloom.operators import dedup, features, fill, grid, quality, scaffold, tensors
 from gridloom.plans import views
 from gridloom.sources.tables import read_table
 from gridloom.plans.present import present
@@ -301,6 +301,82 @@ def q28_normalise(spark: SparkSession, base: str) -> DataFrame:
     return present(g.select("vec_id", "pos", "z", "x_z"))
 
 
+SAMPLE_FEATURES = ["t", "rh", "speed"]
+
+
+def _filled_steps(spark: SparkSession, base: str) -> DataFrame:
+    a = _filled_input(spark, base, 4)
+    f = fill.temporal_fill_linear(a, FILL_COLS, ["date", "grid_id"], "ts", 0.2, "rain")
+    return f.withColumn("step", tx.step_of_day("ts", HOURLY).cast("bigint"))
+
+
+def _packed_days(spark: SparkSession, base: str) -> DataFrame:
+    return tensors.pack_steps(_filled_steps(spark, base), ["date", "step", "ts"], "grid_id", SAMPLE_FEATURES)
+
+
+def q35_pack_day(spark: SparkSession, base: str) -> DataFrame:
+    """TNS-2 + DT-8: (time, grid) rows → [G, F] float32 per step, shown unpacked with date parts."""
+    p = _packed_days(spark, base).withColumn("parts", tx.datetime_parts("ts"))
+    keys = ["date", "step", "parts"]
+    flat = tensors.unpack_steps(p, keys, "features", "node_pos", "feature", "value")
+    return present(flat.select("date", "step", "node_pos", "feature", "value",
+                               *[F.col("parts")[i].alias(n) for i, n in
+                                 enumerate(["year", "month", "day", "hour", "minute"])]))
+
+
+def q29_step_samples_masked(spark: SparkSession, base: str) -> DataFrame:
+    """SMP-1 + MSK-1/2: one sample per (day, step), 25 % of nodes masked to 0 in data, target kept."""
+    p = _packed_days(spark, base)
+    first = p.agg(F.min("date")).scalar()
+    p = p.withColumn("sample_id", (F.datediff("date", first) * 24 + F.col("step")).cast("bigint"))
+    smp = tensors.step_samples(p, "sample_id", mask_rate=0.25, seed=7)
+    a = smp.select("sample_id", F.posexplode(F.arrays_zip("data", "target", "mask", "nodes")).alias("node_pos", "e"))
+    b = a.select("sample_id", F.col("e.nodes").alias("grid_id"), F.col("e.mask").alias("masked"),
+                 F.posexplode(F.arrays_zip(F.col("e.data").alias("d"), F.col("e.target").alias("t"))).alias("feature", "v"))
+    return present(b.select("sample_id", "grid_id", "masked", "feature", F.col("v.d").alias("data"),
+                            F.col("v.t").alias("target")))
+
+
+def q30_sliding_in_day(spark: SparkSession, base: str) -> DataFrame:
+    """SMP-2 + SMP-6: windows of 4 input + 2 target steps, stride 2, inside each day."""
+    f = _filled_steps(spark, base).select("date", "step", "grid_id", "t")
+    w = tensors.sliding_window_rows(f, ["date"], "step", 24, 4, 2, 2)
+    return present(w.select("date", "window_start", "k", "part", "grid_id", "t"))
+
+
+def q31_tumbling_in_day(spark: SparkSession, base: str) -> DataFrame:
+    """SMP-3 + SMP-6: non-overlapping 6-step windows inside each day (24 mod 6 = 0)."""
+    f = _filled_steps(spark, base).select("date", "step", "grid_id", "t")
+    w = tensors.tumbling_window_rows(f, "step", 6, steps_per_group=24)
+    w = w.withColumn("part", F.when(F.col("k") < 4, F.lit("input")).otherwise(F.lit("target")))
+    return present(w.select("date", "window_id", "k", "part", "grid_id", "t"))
+
+
+def q32_sliding_series(spark: SparkSession, base: str) -> DataFrame:
+    """SMP-4: S - W + 1 stride-1 windows (W = 4) over the whole daily lineitem series."""
+    s = views.daily_series(spark, base)
+    n = s.agg((F.max("step") + 1).alias("n")).scalar()
+    w = tensors.series_sliding_rows(s, "step", 4, n)
+    return present(w.select("window_start", "k", "node", "channel", "value"))
+
+
+def q33_tumbling_series(spark: SparkSession, base: str) -> DataFrame:
+    """SMP-5: S div W windows (W = 7), remainder dropped."""
+    s = views.daily_series(spark, base)
+    n = s.agg((F.max("step") + 1).alias("n")).scalar()
+    w = tensors.tumbling_window_rows(s, "step", 7, drop_remainder_of=n)
+    return present(w.select("window_id", "k", "node", "channel", "value"))
+
+
+def q34_wide_to_long(spark: SparkSession, base: str) -> DataFrame:
+    """TNS-1 + SRC-9: a wide daily table (one column per measure) to (day, channel, value)."""
+    li = read_table(spark, base, "lineitem", ["l_shipdate", "l_quantity", "l_extendedprice", "l_discount", "l_tax"])
+    wide = li.groupBy(F.to_date("l_shipdate").alias("date")).agg(
+        F.sum("l_quantity").alias("qty"), F.sum("l_extendedprice").alias("price"),
+        F.sum("l_discount").alias("discount"), F.sum("l_tax").alias("tax"))
+    return present(tensors.wide_to_long(wide, ["date"], ["qty", "price", "discount", "tax"], "channel"))
+
+
 QUERIES = {
     "q01_completeness_daily": q01_completeness_daily,
     "q02_dedup_keep_first": q02_dedup_keep_first,
@@ -331,4 +407,11 @@ QUERIES = {
     "q26_elevation_join": q26_elevation_join,
     "q27_grid_generate": q27_grid_generate,
     "q28_normalise": q28_normalise,
+    "q29_step_samples_masked": q29_step_samples_masked,
+    "q30_sliding_in_day": q30_sliding_in_day,
+    "q31_tumbling_in_day": q31_tumbling_in_day,
+    "q32_sliding_series": q32_sliding_series,
+    "q33_tumbling_series": q33_tumbling_series,
+    "q34_wide_to_long": q34_wide_to_long,
+    "q35_pack_day": q35_pack_day,
 }
