@@ -40,18 +40,27 @@ def day_labels(step_minutes: int) -> Column:
                        lambda t: F.date_format(t, "HH:mm"))
 
 
+def seconds_of_day(ts: str | Column) -> Column:
+    """Wall-clock seconds since midnight (independent of the session time zone)."""
+    t = _c(ts)
+    return F.hour(t) * 3600 + F.minute(t) * 60 + F.second(t)
+
+
+def epoch_seconds(ts: str | Column) -> Column:
+    """Wall-clock seconds since 1970-01-01 for a timestamp_ntz (no time-zone shifts, no DST)."""
+    t = _c(ts)
+    return F.unix_date(F.to_date(t)).cast("bigint") * 86400 + seconds_of_day(t)
+
+
 def on_schedule(ts: str | Column, step_minutes: int) -> Column:
     """True when the timestamp sits exactly on the step grid of its day."""
     t = _c(ts)
-    secs = F.unix_timestamp(t.cast("timestamp")) - F.unix_timestamp(day_start(t).cast("timestamp"))
-    return (secs % (step_minutes * 60)) == 0
+    return (seconds_of_day(t) % (step_minutes * 60) == 0) & (F.date_trunc("second", t) == t)
 
 
 def step_of_day(ts: str | Column, step_minutes: int) -> Column:
     """Position of a scheduled timestamp within its day (0-based)."""
-    t = _c(ts)
-    secs = F.unix_timestamp(t.cast("timestamp")) - F.unix_timestamp(day_start(t).cast("timestamp"))
-    return F.floor(secs / (step_minutes * 60)).cast("int")
+    return F.floor(seconds_of_day(ts) / (step_minutes * 60)).cast("int")
 
 
 def compact_time(ts: str | Column) -> Column:
@@ -80,9 +89,10 @@ def chunk_index(day: str | Column, first_day: str | Column, days_per_chunk: int)
 
 
 def regular_timestamp(start: str | Column, index: str | Column, step_minutes: int) -> Column:
-    """DT-5: ``start + index * step`` with true calendar arithmetic."""
+    """DT-5: ``start + index * step`` with true calendar arithmetic (quirk Q13 not reproduced)."""
+    total = _c(index).cast("bigint") * step_minutes
     return _c(start).cast("timestamp_ntz") + F.make_dt_interval(
-        F.lit(0), F.lit(0), (_c(index) * step_minutes).cast("int"))
+        F.floor(total / 1440).cast("int"), F.lit(0), F.pmod(total, F.lit(1440)).cast("int"))
 
 
 def slot_timestamp(s: str | Column) -> Column:

@@ -114,7 +114,7 @@ def gap_runs(missing: DataFrame, step_minutes: int, ts: str = "ts", by: list[str
     by = by or []
     w = Window.partitionBy(*by, "date").orderBy(ts)
     step_s = step_minutes * 60
-    secs = F.unix_timestamp(F.col(ts).cast("timestamp"))
+    secs = tx.epoch_seconds(ts)
     brk = F.when(secs - F.lag(secs).over(w) == step_s, 0).otherwise(1)
     marked = (missing.withColumn("date", F.to_date(ts)).withColumn("__brk", brk)
               .withColumn("run", F.sum("__brk").over(w.rowsBetween(Window.unboundedPreceding, 0))))
@@ -124,6 +124,19 @@ def gap_runs(missing: DataFrame, step_minutes: int, ts: str = "ts", by: list[str
             .withColumn("adjacent", F.col("run_length") > 1))
 
 
+def step_index(df: DataFrame, ts: str) -> DataFrame:
+    """WIN-5 + AGG-7: per distinct time its 0-based step within the day and the day's time count.
+
+    The window spans the distinct times of one day only (≤ one per second), so a
+    day that holds many rows is still numbered in a bounded partition.
+    """
+    times = df.select(F.col(ts).alias("ts")).distinct().withColumn("date", F.to_date("ts"))
+    w = Window.partitionBy("date").orderBy("ts")
+    return times.select("ts", (F.dense_rank().over(w) - 1).cast("bigint").alias("step"),
+                        F.count(F.lit(1)).over(Window.partitionBy("date")).alias("n_times")) \
+                .withColumnRenamed("ts", ts)
+
+
 def sentinel_to_null(df: DataFrame, columns: list[str], sentinel: float = 0.0) -> DataFrame:
     """FLT-7: a sentinel value (0 pressure, 0 humidity) becomes NULL."""
     return df.withColumns({c: F.nullif(F.col(c), F.lit(sentinel)) for c in columns})

@@ -8,6 +8,8 @@ cast to BIGINT, every time formatted as text, as ``present`` does on the Spark s
 
 from __future__ import annotations
 
+from gridloom.sources.schemas import FLOW_CELLS
+
 
 def ts_text(e: str) -> str:
     return f"strftime({e}, '%Y-%m-%d %H:%M:%S')"
@@ -495,6 +497,188 @@ def q34() -> str:
 {sel}"""
 
 
+def q36() -> str:
+    return f"""WITH s AS (SELECT min(date_trunc('minute', ts)) AS st FROM events)
+SELECT event_id, {ts_text('st + to_minutes(CAST(event_id * 5 AS BIGINT))')} AS regular_ts FROM events, s"""
+
+
+def q37() -> str:
+    return f"""SELECT o_orderkey,
+       strftime(o_orderdate, '%Y%m%d') || lpad(CAST(o_orderkey % 48 + 1 AS VARCHAR), 2, '0') AS slot_code,
+       {ts_text("make_timestamp(year(o_orderdate), month(o_orderdate), day(o_orderdate), CAST((o_orderkey % 48) // 2 AS BIGINT), CAST(((o_orderkey % 48) % 2) * 30 AS BIGINT), 0.0)")} AS ts
+FROM orders"""
+
+
+MIXED_STRPTIME = ["%Y-%m-%d %H:%M:%S", "%Y-%m-%d %H:%M", "%Y-%m-%dT%H:%M:%S", "%Y/%m/%d %H:%M:%S",
+                  "%Y/%m/%d %H:%M", "%Y-%m-%d", "%Y/%m/%d", "%Y%m%d"]
+
+
+def q38() -> str:
+    parsed = "coalesce(" + ", ".join(f"try_strptime(trim(text), '{f}')" for f in MIXED_STRPTIME) + ")"
+    return f"""WITH t AS (SELECT o_orderkey, o_orderdate + to_hours(CAST(o_orderkey % 24 AS INTEGER))
+                               + to_minutes(CAST(o_orderkey % 60 AS INTEGER)) AS t FROM orders),
+x AS (SELECT o_orderkey, CASE o_orderkey % 5 WHEN 0 THEN strftime(t, '%Y-%m-%d %H:%M:%S')
+                                           WHEN 1 THEN strftime(t, '%Y/%m/%d %H:%M')
+                                           WHEN 2 THEN strftime(t, '%Y-%m-%d')
+                                           WHEN 3 THEN strftime(t, '%Y%m%d') ELSE 'n/a' END AS text FROM t)
+SELECT o_orderkey, text, {ts_text(parsed)} AS parsed FROM x"""
+
+
+def q39() -> str:
+    return f"""WITH {SERIES},
+act AS (SELECT 'lineitem_daily' AS dataset, count(DISTINCT step) AS actual_length, count(DISTINCT node) AS actual_nodes,
+               count(DISTINCT channel) AS actual_channels, (max(day) - min(day)) + 1 AS regular_length FROM series),
+cat AS (SELECT 'lineitem_daily' AS dataset, 1440 AS step_minutes, 8 AS nodes, 2 AS channels)
+SELECT cat.dataset, CAST(step_minutes AS BIGINT) AS step_minutes, CAST(nodes AS BIGINT) AS nodes,
+       CAST(channels AS BIGINT) AS channels, CAST(actual_length AS BIGINT) AS actual_length,
+       CAST(actual_nodes AS BIGINT) AS actual_nodes, CAST(actual_channels AS BIGINT) AS actual_channels,
+       CAST(regular_length AS BIGINT) AS regular_length,
+       CASE WHEN actual_nodes = nodes AND actual_channels = channels AND actual_length = regular_length
+            THEN 'ok' ELSE 'mismatch' END AS status
+FROM cat LEFT JOIN act ON cat.dataset = act.dataset"""
+
+
+def grid_centers(src: str = "dedup") -> str:
+    lon_min = "(113.75::DOUBLE + 0.05::DOUBLE * (grid_id % 4))"
+    lat_min = "(22.45::DOUBLE + 0.05::DOUBLE * floor(grid_id / 4))"
+    return (f"SELECT grid_id, ({lon_min} + ({lon_min} + 0.05::DOUBLE)) / 2.0 AS lon_center, "
+            f"({lat_min} + ({lat_min} + 0.05::DOUBLE)) / 2.0 AS lat_center FROM (SELECT DISTINCT grid_id FROM {src})")
+
+
+def q40() -> str:
+    w = "1.0 / pow(greatest(p.dist, 1e-12), 2.0)"
+    return f"""WITH {dedup_cte(8)},
+d AS (SELECT ts, grid_id, t, speed FROM dedup),
+days AS (SELECT DISTINCT CAST(ts AS DATE) AS date FROM d),
+sc AS (SELECT CAST(dd.date AS TIMESTAMP) + h * INTERVAL 1 HOUR AS ts, CAST(g AS BIGINT) AS grid_id
+       FROM days dd, range(24) r(h), range(8) gg(g)),
+a AS (SELECT sc.ts, sc.grid_id, d.t, d.speed FROM sc LEFT JOIN d ON d.ts = sc.ts AND d.grid_id = sc.grid_id),
+gc AS ({grid_centers('d')}),
+pairs AS (
+  SELECT x.grid_id, y.grid_id AS nb,
+         sqrt(pow(x.lon_center - y.lon_center, 2) + pow(x.lat_center - y.lat_center, 2)) AS dist
+  FROM gc x, gc y WHERE x.grid_id <> y.grid_id
+    AND sqrt(pow(x.lon_center - y.lon_center, 2) + pow(x.lat_center - y.lat_center, 2)) <= 0.08),
+share AS (SELECT ts, avg(CASE WHEN t IS NULL THEN 1.0 ELSE 0.0 END) AS sh_t,
+                 avg(CASE WHEN speed IS NULL THEN 1.0 ELSE 0.0 END) AS sh_s FROM a GROUP BY ts),
+est AS (
+  SELECT h.ts, h.grid_id,
+         sum(CASE WHEN k.t IS NOT NULL THEN {w} * k.t END) / sum(CASE WHEN k.t IS NOT NULL THEN {w} END) AS e_t,
+         sum(CASE WHEN k.speed IS NOT NULL THEN {w} * k.speed END)
+           / sum(CASE WHEN k.speed IS NOT NULL THEN {w} END) AS e_s
+  FROM (SELECT ts, grid_id FROM a WHERE t IS NULL OR speed IS NULL) h
+  JOIN pairs p ON p.grid_id = h.grid_id JOIN a k ON k.ts = h.ts AND k.grid_id = p.nb
+  GROUP BY h.ts, h.grid_id)
+SELECT {ts_text('a.ts')} AS ts, a.grid_id,
+       round(CASE WHEN a.t IS NULL AND s.sh_t <= 0.2 THEN e.e_t ELSE a.t END, 6) AS t,
+       round(CASE WHEN a.speed IS NULL AND s.sh_s <= 0.2 THEN e.e_s ELSE a.speed END, 6) AS speed
+FROM a LEFT JOIN est e ON e.ts = a.ts AND e.grid_id = a.grid_id LEFT JOIN share s ON s.ts = a.ts"""
+
+
+def q49() -> str:
+    numeric = [c for c in FLOW_CELLS.columns if c not in ("cell_id", "cell_type", "cell_type_name", "nverts")]
+    pos = {c: i for i, c in enumerate(numeric)}
+    cols = ", ".join(f"round(CAST(embedding[{pos[c] + 1}] AS DOUBLE), 6) AS {c}" for c in FLOW_CELLS.features)
+    return f"SELECT CAST(vec_id AS BIGINT) AS cell_id, {cols} FROM embeddings"
+
+
+def q50() -> str:
+    return f"""WITH {obs_cte(4)},
+spans AS (SELECT page, min(ts) AS s, max(ts) AS e FROM obs GROUP BY page),
+r AS (SELECT min(s) AS mn, max(e) AS mx FROM spans)
+SELECT {ts_text('ts')} AS ts, grid_id, row_ord, {ts_text('mn')} AS min_time, {ts_text('mx')} AS max_time
+FROM obs, r
+WHERE ts >= CAST(CAST(mn AS DATE) + 1 AS TIMESTAMP) AND ts < CAST(CAST(mn AS DATE) + 2 AS TIMESTAMP)"""
+
+
+def q51() -> str:
+    cols2 = ", ".join(f"round({c}, 6) AS {c}" for c in FILL + ["air_density"])
+    return f"""WITH {dedup_cte(4)},
+d AS (SELECT ts, grid_id, t, nullif(rh, 0) AS rh, nullif(slp, 0) AS slp, speed, dir, rain FROM dedup),
+d2 AS (SELECT *, {density_expr()} AS air_density FROM d)
+SELECT {ts_text('ts')} AS ts, grid_id, {cols2} FROM d2"""
+
+
+def q52() -> str:
+    anyn = " OR ".join(f"{c} IS NULL" for c in FILL)
+    shares = ", ".join(f"round(avg(CASE WHEN {c} IS NULL THEN 1.0 ELSE 0.0 END), 6) AS {c}_null_share" for c in FILL)
+    return f"""WITH {scaffold_filled_cte(8)}
+SELECT {day_text('date')} AS date, bool_or({anyn}) AS any_null, {shares} FROM a GROUP BY date"""
+
+
+def q53() -> str:
+    return f"""WITH {dedup_cte(8)},
+pd AS (SELECT CAST(ts AS DATE) AS date, count(*) AS rows, count(DISTINCT ts) AS steps FROM dedup GROUP BY 1)
+SELECT {day_text('date')} AS date, CAST(rows AS BIGINT) AS rows, CAST(steps AS BIGINT) AS steps,
+       CASE WHEN rows <> 192 OR steps <> 24 THEN 'error' ELSE 'success' END AS status,
+       CASE WHEN rows <> 192 THEN 'expected 192 rows, got ' || CAST(rows AS VARCHAR)
+            WHEN steps <> 24 THEN 'expected 24 time steps, got ' || CAST(steps AS VARCHAR) END AS reason
+FROM pd"""
+
+
+def q54() -> str:
+    return f"""WITH {dedup_cte(4)},
+times AS (SELECT DISTINCT ts FROM dedup),
+st AS (SELECT ts, dense_rank() OVER (PARTITION BY CAST(ts AS DATE) ORDER BY ts) - 1 AS step,
+              count(*) OVER (PARTITION BY CAST(ts AS DATE)) AS n_times FROM times)
+SELECT {ts_text('d.ts')} AS ts, d.grid_id, CAST(st.step AS BIGINT) AS step, CAST(st.n_times AS BIGINT) AS n_times
+FROM dedup d JOIN st ON d.ts = st.ts"""
+
+
+def q55() -> str:
+    return f"""WITH {REAN}
+SELECT {ts_text('ts')} AS ts, round(lon, 6) AS lon, round(lat, 6) AS lat, round(t2m, 6) AS t2m, round(d2m, 6) AS d2m,
+       round(u10, 6) AS u10, round(v10, 6) AS v10, round(sp, 6) AS sp, 0.0::DOUBLE AS msl, round(tp, 6) AS tp
+FROM rean"""
+
+
+def q56() -> str:
+    return f"""WITH {filled_cte(4)},
+f0 AS (SELECT min(date) AS d0 FROM f),
+gc AS ({grid_centers('dedup')})
+SELECT CAST((f.date - f0.d0) * 24 + f.step AS BIGINT) AS sample_id, f.step, {ts_text('f.ts')} AS ts, f.grid_id,
+       round(gc.lon_center, 6) AS lon_center, round(gc.lat_center, 6) AS lat_center
+FROM f, f0, gc WHERE gc.grid_id = f.grid_id"""
+
+
+def q57() -> str:
+    return f"""WITH {dedup_cte(4)},
+rep AS (SELECT CAST(ts AS DATE) AS date, count(*) / 96.0 AS ratio FROM dedup WHERE grid_id BETWEEN 0 AND 3 GROUP BY 1),
+b AS (SELECT min(date) AS s, max(date) + 1 AS e FROM rep)
+SELECT {day_text('CAST(g.d AS DATE)')} AS date, round(rep.ratio, 6) AS completeness_ratio
+FROM b, generate_series(CAST(b.s AS TIMESTAMP), CAST(b.e AS TIMESTAMP), INTERVAL 1 DAY) g(d)
+LEFT JOIN rep ON rep.date = CAST(g.d AS DATE)"""
+
+
+def q58() -> str:
+    return f"""WITH {dedup_cte(8)},
+days AS (SELECT DISTINCT CAST(ts AS DATE) AS date FROM dedup),
+sc AS (SELECT CAST(d.date AS TIMESTAMP) + h * INTERVAL 1 HOUR AS ts, CAST(g AS BIGINT) AS grid_id
+       FROM days d, range(24) r(h), range(8) gg(g)),
+gc AS ({grid_centers('dedup')}),
+fs AS (SELECT sc.grid_id, gc.lon_center, gc.lat_center FROM sc LEFT JOIN gc ON gc.grid_id = sc.grid_id
+       WHERE hour(sc.ts) = 0)
+SELECT grid_id, round(min(lon_center), 6) AS lon, round(min(lat_center), 6) AS lat,
+       CAST(count(DISTINCT (lon_center, lat_center)) AS BIGINT) AS n_variants, CAST(count(*) AS BIGINT) AS n_days
+FROM fs GROUP BY grid_id"""
+
+
+def q60() -> str:
+    return f"""WITH {dedup_cte(8)},
+days AS (SELECT DISTINCT CAST(ts AS DATE) AS date FROM dedup),
+sc AS (SELECT CAST(d.date AS TIMESTAMP) + h * INTERVAL 1 HOUR AS ts, CAST(g AS BIGINT) AS grid_id
+       FROM days d, range(24) r(h), range(8) gg(g))
+SELECT {ts_text('ts')} AS ts, grid_id FROM (SELECT ts, grid_id FROM sc EXCEPT ALL SELECT ts, grid_id FROM dedup)"""
+
+
+def q64() -> str:
+    return f"""WITH {obs_cte(4)},
+days AS (SELECT DISTINCT CAST(ts AS DATE) AS date FROM obs),
+t AS (SELECT date, CAST(date AS TIMESTAMP) + h * INTERVAL 1 HOUR AS ts FROM days, range(24) r(h))
+SELECT {day_text('date')} AS date, {ts_text('ts')} AS ts, strftime(ts, '%H:%M') AS label,
+       strftime(ts, '%Y%m%d_%H%M%S') AS compact FROM t"""
+
+
 ORACLE = {
     "q01_completeness_daily": completeness_sql(4),
     "q02_dedup_keep_first": f"WITH {dedup_cte(4)} SELECT {obs_select()} FROM dedup",
@@ -532,4 +716,22 @@ ORACLE = {
     "q33_tumbling_series": q33(),
     "q34_wide_to_long": q34(),
     "q35_pack_day": q35(),
+    "q36_regular_timestamps": q36(),
+    "q37_slot_timestamp": q37(),
+    "q38_parse_mixed": q38(),
+    "q39_series_shape": q39(),
+    "q40_spatial_fill_local": q40(),
+    "q49_feature_groups": q49(),
+    "q50_date_range_day_filter": q50(),
+    "q51_drop_mean_field": q51(),
+    "q52_null_report": q52(),
+    "q53_file_status": q53(),
+    "q54_step_index": q54(),
+    "q55_conform_schema": q55(),
+    "q56_sample_context": q56(),
+    "q57_key_lookup": q57(),
+    "q58_first_step_coords": q58(),
+    "q59_union_dedup": f"WITH {dedup_cte(4)} SELECT {obs_select()} FROM dedup",
+    "q60_set_difference": q60(),
+    "q64_time_labels": q64(),
 }

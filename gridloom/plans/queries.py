@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 from gridloom.functions import geo
 from gridloom.functions import physics as phy
 from gridloom.functions import timeaxis as tx
-from gridloom.operators import dedup, features, fill, grid, quality, scaffold, tensors
+from gridloom.operators import dedup, features, fill, grid, joins, quality, scaffold, spatial, tensors
+from gridloom.sources.schemas import FLOW_CELLS
 from gridloom.plans import views
 from gridloom.sources.tables import read_table
 from gridloom.plans.present import present
@@ -377,6 +378,190 @@ def q34_wide_to_long(spark: SparkSession, base: str) -> DataFrame:
     return present(tensors.wide_to_long(wide, ["date"], ["qty", "price", "discount", "tax"], "channel"))
 
 
+def q36_regular_timestamps(spark: SparkSession, base: str) -> DataFrame:
+    """DT-5: event i at ``first minute + 5·i minutes`` (true calendar arithmetic)."""
+    e = read_table(spark, base, "events", ["event_id", "ts"])
+    start = e.agg(F.min(F.date_trunc("minute", "ts")).cast("timestamp_ntz")).scalar()
+    return present(e.select("event_id", tx.regular_timestamp(start, "event_id", 5).alias("regular_ts")))
+
+
+def q37_slot_timestamp(spark: SparkSession, base: str) -> DataFrame:
+    """DT-6: ``yyyyMMddSS`` half-hour slot codes (slot from the order key) to timestamps."""
+    o = read_table(spark, base, "orders", ["o_orderkey", "o_orderdate"])
+    code = F.format_string("%s%02d", F.date_format("o_orderdate", "yyyyMMdd"), F.pmod("o_orderkey", F.lit(48)) + 1)
+    c = o.select("o_orderkey", code.alias("slot_code"))
+    return present(c.withColumn("ts", tx.slot_timestamp("slot_code")))
+
+
+def q38_parse_mixed(spark: SparkSession, base: str) -> DataFrame:
+    """DT-7: order times written in five styles (one unparsable) parsed back; bad text → NULL."""
+    o = read_table(spark, base, "orders", ["o_orderkey", "o_orderdate"])
+    t = (F.col("o_orderdate") + F.make_dt_interval(F.lit(0), F.pmod("o_orderkey", F.lit(24)).cast("int"),
+                                                    F.pmod("o_orderkey", F.lit(60)).cast("int")))
+    style = F.pmod("o_orderkey", F.lit(5))
+    text = (F.when(style == 0, F.date_format(t, "yyyy-MM-dd HH:mm:ss"))
+            .when(style == 1, F.date_format(t, "yyyy/MM/dd HH:mm"))
+            .when(style == 2, F.date_format(t, "yyyy-MM-dd"))
+            .when(style == 3, F.date_format(t, "yyyyMMdd"))
+            .otherwise(F.lit("n/a")))
+    c = o.select("o_orderkey", text.alias("text"))
+    return present(c.withColumn("parsed", tx.parse_mixed("text")))
+
+
+def q39_series_shape(spark: SparkSession, base: str) -> DataFrame:
+    """VAL-3 (+ Q21 regularity): the daily series against its catalog descriptor."""
+    s = views.daily_series(spark, base)
+    actual = s.agg(F.count_distinct("step").alias("actual_length"), F.count_distinct("node").alias("actual_nodes"),
+                   F.count_distinct("channel").alias("actual_channels"),
+                   (F.datediff(F.max("ts"), F.min("ts")) + 1).alias("regular_length")) \
+              .withColumn("dataset", F.lit("lineitem_daily"))
+    catalog = spark.createDataFrame([("lineitem_daily", 1440, 8, 2)],
+                                    "dataset string, step_minutes int, nodes int, channels int")
+    j = catalog.join(actual, "dataset", "left")
+    ok = ((F.col("actual_nodes") == F.col("nodes")) & (F.col("actual_channels") == F.col("channels"))
+          & (F.col("actual_length") == F.col("regular_length")))
+    return present(j.withColumn("status", F.when(ok, F.lit("ok")).otherwise(F.lit("mismatch"))))
+
+
+def q40_spatial_fill_local(spark: SparkSession, base: str) -> DataFrame:
+    """INT-6: missing cells of each hour from known cells within 0.08 degrees (weights 1/d²)."""
+    d = _obs_dedup(spark, base, 8).select("ts", "grid_id", "t", "speed")
+    g = scaffold.center_coords(views.grid_dim(d))
+    a = scaffold.align(d, None, HOURLY, max_grid_id=7).select("ts", "grid_id", "t", "speed")
+    pairs = spatial.neighbour_pairs(g, 0.08, "grid_id", "lon_center", "lat_center")
+    return present(spatial.idw_fill(a, pairs, ["t", "speed"], "ts", "grid_id", 2.0, 0.2))
+
+
+def _cells(spark: SparkSession, base: str) -> DataFrame:
+    """Flow-field cell table (A8) with the declared schema, built from embeddings."""
+    e = read_table(spark, base, "embeddings", ["vec_id", "embedding", "label"])
+    sch = FLOW_CELLS.struct_type()
+    numeric = [f.name for f in sch.fields if f.name not in ("cell_id", "cell_type", "cell_type_name", "nverts")]
+    cols = {"cell_id": F.col("vec_id").cast("bigint"), "cell_type": F.col("label").cast("bigint"),
+            "cell_type_name": F.concat(F.lit("type"), F.col("label").cast("string")),
+            "nverts": F.lit(3).cast("bigint")}
+    cols.update({c: F.col("embedding")[i].cast("double") for i, c in enumerate(numeric)})
+    return e.select(*[cols[f.name].cast(f.dataType).alias(f.name) for f in sch.fields])
+
+
+def q49_feature_groups(spark: SparkSession, base: str) -> DataFrame:
+    """SRC-16 + PRJ-7: validate the declared groups (2 + 6 + 8), select coordinate/physical/gradient."""
+    FLOW_CELLS.validate()
+    c = _cells(spark, base)
+    return present(c.select("cell_id", *FLOW_CELLS.features))
+
+
+def q50_date_range_day_filter(spark: SparkSession, base: str) -> DataFrame:
+    """AGG-1 + FLT-1: overall page time range, and the rows of the second day of data."""
+    o = views.obs(spark, base, 4)
+    spans = o.groupBy("page").agg(F.min("ts").alias("span_start"), F.max("ts").alias("span_end"))
+    rng = quality.date_range(spans, "span_start", "span_end")
+    day = F.date_add(F.to_date(rng.select("min_time").scalar()), 1)
+    rows = quality.day_filter(o, "ts", day).select("ts", "grid_id", "row_ord")
+    return present(rows.withColumns({"min_time": rng.select("min_time").scalar(),
+                                     "max_time": rng.select("max_time").scalar()}))
+
+
+def _density_rows(spark: SparkSession, base: str) -> DataFrame:
+    d = quality.sentinel_to_null(_obs_dedup(spark, base, 4).drop("page", "row_ord"), ["slp", "rh"])
+    return d.withColumn("air_density", phy.air_density("t", "slp", "rh"))
+
+
+def q51_drop_mean_field(spark: SparkSession, base: str) -> DataFrame:
+    """FLT-4 after AGG-4 + SET-2: removing the mean-field rows gives the grid rows back."""
+    m = features.with_mean_field(_density_rows(spark, base), "ts", FILL_COLS + ["air_density"])
+    return present(features.drop_mean_field(m))
+
+
+def q52_null_report(spark: SparkSession, base: str) -> DataFrame:
+    """FLT-6 + AGG-10: per day, any NULL on the scaffold and each column's NULL share."""
+    return present(quality.null_report(_filled_input(spark, base, 8), "ts", FILL_COLS))
+
+
+def q53_file_status(spark: SparkSession, base: str) -> DataFrame:
+    """AGG-13 + VAL-1 + VAL-2: per day rows vs T×G and distinct times vs T, with a reason."""
+    return present(quality.day_status(_obs_dedup(spark, base, 8), "ts", 24, 8))
+
+
+def q54_step_index(spark: SparkSession, base: str) -> DataFrame:
+    """WIN-5 + AGG-7: step = rank of the time among the day's distinct times (window over times only)."""
+    d = _obs_dedup(spark, base, 4).select("ts", "grid_id")
+    steps = quality.step_index(d, "ts")
+    return present(d.join(steps, "ts").select("ts", "grid_id", "step", "n_times"))
+
+
+def q55_conform_schema(spark: SparkSession, base: str) -> DataFrame:
+    """PRJ-1/2/3/5/6: raw-like reanalysis names → unified names, bookkeeping dropped, absent feature 0."""
+    r = views.reanalysis(spark, base).drop("ord")
+    raw = r.select(F.col("ts").alias("valid_time"), F.col("lon").alias("longitude"), F.col("lat").alias("latitude"),
+                   *REAN_COLS, F.lit(0).alias("number"), F.lit("0001").alias("expver"))
+    c = features.unify_names(features.drop_columns(raw))
+    feats = ["t2m", "d2m", "u10", "v10", "sp", "msl", "tp"]
+    c = features.add_missing_zero(c, feats)
+    return present(features.keep_columns(features.order_columns(c, ["ts", "lon", "lat", *feats]),
+                                         ["ts", "lon", "lat", *feats]))
+
+
+def q56_sample_context(spark: SparkSession, base: str) -> DataFrame:
+    """JN-10 + JN-11 + SRC-15: each step sample with its timestamp and the coordinates of its nodes."""
+    p = _packed_days(spark, base).select("date", "step", "nodes")
+    first = p.agg(F.min("date")).scalar()
+    p = p.withColumn("sample_id", (F.datediff("date", first) * 24 + F.col("step")).cast("bigint"))
+    time_index = _filled_steps(spark, base).select("date", "step", "ts").distinct()
+    coords_tbl = scaffold.center_coords(views.grid_dim(_obs_dedup(spark, base, 4))) \
+        .select("grid_id", "lon_center", "lat_center")
+    s = p.join(time_index, ["date", "step"], "left")
+    nodes = s.select("sample_id", "step", "ts", F.explode("nodes").alias("grid_id"))
+    return present(joins.dimension_join(nodes, coords_tbl, "grid_id", "left"))
+
+
+def q57_key_lookup(spark: SparkSession, base: str) -> DataFrame:
+    """JN-9: completeness ratio looked up for every date of the station calendar (end + 1 day included)."""
+    d = _obs_dedup(spark, base, 4)
+    rep = quality.completeness(d, "ts", "grid_id", max_grid_id=3, step_minutes=HOURLY)
+    bounds = rep.agg(F.min("date").alias("s"), F.date_add(F.max("date"), 1).alias("e"))
+    lookups = scaffold.date_range_days(bounds, "s", "e")
+    return present(joins.key_lookup(rep, lookups, "date", "completeness_ratio", out="completeness_ratio"))
+
+
+def q58_first_step_coords(spark: SparkSession, base: str) -> DataFrame:
+    """LIM-1 + SNK-7: grid coordinates taken at the first step of each day, checked to be one per id."""
+    d = _obs_dedup(spark, base, 8).drop("page", "row_ord")
+    a = scaffold.align(d, views.grid_dim(d), HOURLY, max_grid_id=7)
+    first = a.filter(tx.step_of_day("ts", HOURLY) == 0)
+    return present(first.groupBy("grid_id").agg(
+        F.min("lon_center").alias("lon"), F.min("lat_center").alias("lat"),
+        F.count_distinct("lon_center", "lat_center").alias("n_variants"),
+        F.count(F.lit(1)).alias("n_days")))
+
+
+def q59_union_dedup(spark: SparkSession, base: str) -> DataFrame:
+    """SET-1 + WIN-1: two overlapping time slices of the pages, unioned and deduplicated."""
+    o = views.with_page_span(views.obs(spark, base, 4))
+    secs = tx.epoch_seconds("ts")
+    b = o.agg(F.min(secs).alias("lo"), F.max(secs).alias("hi"))
+    lo, hi = b.select("lo").scalar(), b.select("hi").scalar()
+    a = o.filter(secs < lo + (hi - lo) * 0.6)
+    c = o.filter(secs >= lo + (hi - lo) * 0.4)
+    u = dedup.union_slices([a, c])
+    d = dedup.dedup_keep_first(u, ["ts", "grid_id"], ["span_start", "page", "row_ord"]).drop("span_start")
+    return present(d)
+
+
+def q60_set_difference(spark: SparkSession, base: str) -> DataFrame:
+    """SET-3: scaffold cells minus present cells (``exceptAll``)."""
+    d = _obs_dedup(spark, base, 8).select("ts", "grid_id")
+    sc = scaffold.scaffold(scaffold.data_days(d), HOURLY, 7).select("ts", "grid_id")
+    return present(sc.exceptAll(d))
+
+
+def q64_time_labels(spark: SparkSession, base: str) -> DataFrame:
+    """DT-2 + DT-9 + STR-2: the day's scheduled times with ``HH:mm`` labels and compact names."""
+    days = scaffold.data_days(views.obs(spark, base, 4))
+    t = days.select("date", F.explode(tx.day_points("date", HOURLY)).alias("ts"))
+    return present(t.withColumns({"label": tx.time_label("ts"), "compact": tx.compact_time("ts")}))
+
+
 QUERIES = {
     "q01_completeness_daily": q01_completeness_daily,
     "q02_dedup_keep_first": q02_dedup_keep_first,
@@ -414,4 +599,22 @@ QUERIES = {
     "q33_tumbling_series": q33_tumbling_series,
     "q34_wide_to_long": q34_wide_to_long,
     "q35_pack_day": q35_pack_day,
+    "q36_regular_timestamps": q36_regular_timestamps,
+    "q37_slot_timestamp": q37_slot_timestamp,
+    "q38_parse_mixed": q38_parse_mixed,
+    "q39_series_shape": q39_series_shape,
+    "q40_spatial_fill_local": q40_spatial_fill_local,
+    "q49_feature_groups": q49_feature_groups,
+    "q50_date_range_day_filter": q50_date_range_day_filter,
+    "q51_drop_mean_field": q51_drop_mean_field,
+    "q52_null_report": q52_null_report,
+    "q53_file_status": q53_file_status,
+    "q54_step_index": q54_step_index,
+    "q55_conform_schema": q55_conform_schema,
+    "q56_sample_context": q56_sample_context,
+    "q57_key_lookup": q57_key_lookup,
+    "q58_first_step_coords": q58_first_step_coords,
+    "q59_union_dedup": q59_union_dedup,
+    "q60_set_difference": q60_set_difference,
+    "q64_time_labels": q64_time_labels,
 }
