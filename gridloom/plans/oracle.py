@@ -679,6 +679,71 @@ SELECT {day_text('date')} AS date, {ts_text('ts')} AS ts, strftime(ts, '%H:%M')
        strftime(ts, '%Y%m%d_%H%M%S') AS compact FROM t"""
 
 
+def q46() -> str:
+    return f"""SELECT DISTINCT {ts_text("date_trunc('hour', ts)")} AS ts, CAST(user_id % 4 AS BIGINT) AS grid_id FROM events"""
+
+
+def q47() -> str:
+    return f"""WITH d AS (SELECT CAST(ts AS DATE) AS day, count(*) AS rows FROM events GROUP BY 1),
+m AS (SELECT max(ts) AS mx FROM events)
+SELECT {ts_text('CAST(day AS TIMESTAMP)')} AS window_start, {ts_text('CAST(day AS TIMESTAMP) + INTERVAL 1 DAY')} AS window_end,
+       CAST(rows AS BIGINT) AS rows
+FROM d, m WHERE CAST(day AS TIMESTAMP) + INTERVAL 1 DAY <= m.mx - INTERVAL 1 HOUR"""
+
+
+def q48() -> str:
+    sel = "\nUNION ALL\n".join(
+        f"SELECT {day_text('date')} AS date, step, grid_id AS node_pos, CAST({i} AS BIGINT) AS feature, "
+        f"round(CAST(CAST({c} AS FLOAT) AS DOUBLE), 6) AS value, {ts_text('ts')} AS ts FROM f"
+        for i, c in enumerate(SAMPLE_F))
+    return f"WITH {filled_cte(4)}\n{sel}"
+
+
+def q61() -> str:
+    return f"""WITH {dedup_cte(4)},
+pc AS (
+  SELECT CAST(ts AS DATE) AS date, strftime(ts, '%H:%M') AS time_point, count(*) AS rows,
+         count(DISTINCT grid_id) AS grids_present
+  FROM dedup WHERE grid_id BETWEEN 0 AND 3 GROUP BY 1, 2)
+SELECT strftime(date, '%Y%m%d') AS date,
+       CAST(24 AS BIGINT) AS total_time_points,
+       CAST(count(*) - count(*) FILTER (WHERE grids_present < 4) AS BIGINT) AS complete_time_points,
+       CAST(count(*) FILTER (WHERE grids_present < 4) AS BIGINT) AS incomplete_time_points_count,
+       CAST(24 - count(*) AS BIGINT) AS missing_time_points_count,
+       CAST(96 AS BIGINT) AS expected_points,
+       CAST(sum(rows) AS BIGINT) AS actual_points,
+       round(sum(rows) / 96.0, 6) AS completeness_ratio,
+       CAST((SELECT count(DISTINCT user_id % 4) FROM events) AS BIGINT) AS n_grids,
+       CAST((SELECT count(DISTINCT event_id // 1000) FROM events) AS BIGINT) AS n_files
+FROM pc GROUP BY date"""
+
+
+def q62() -> str:
+    return f"""WITH {SERIES},
+days AS (SELECT DISTINCT CAST(l_shipdate AS DATE) AS day FROM lineitem),
+dstep AS (SELECT day, dense_rank() OVER (ORDER BY day) - 1 AS step FROM days),
+qn AS (SELECT CAST(l_shipdate AS DATE) AS day, CAST(l_suppkey % 8 AS BIGINT) AS node, sum(l_quantity) AS v
+       FROM lineitem GROUP BY 1, 2),
+ch AS (SELECT CAST(l_shipdate AS DATE) AS day, sum(l_quantity) AS c0, sum(l_extendedprice) AS c1,
+              sum(l_discount) AS c2, sum(l_tax) AS c3 FROM lineitem GROUP BY 1),
+first_day AS (SELECT min(day) AS d0 FROM agg)
+SELECT 'lineitem_nodes' AS dataset, CAST(d.step AS BIGINT) AS step, {ts_text('CAST(d.day AS TIMESTAMP)')} AS ts,
+       CAST(n.n AS BIGINT) AS node, CAST(0 AS BIGINT) AS channel, round(q.v, 6) AS value
+FROM dstep d CROSS JOIN range(8) n(n) LEFT JOIN qn q ON q.day = d.day AND q.node = n.n
+UNION ALL
+SELECT 'lineitem_channels', CAST(d.step AS BIGINT), {ts_text('CAST(d.day AS TIMESTAMP)')}, CAST(0 AS BIGINT),
+       CAST(k.k AS BIGINT), round(CASE k.k WHEN 0 THEN c.c0 WHEN 1 THEN c.c1 WHEN 2 THEN c.c2 ELSE c.c3 END, 6)
+FROM dstep d JOIN ch c ON c.day = d.day CROSS JOIN range(4) k(k)
+UNION ALL
+SELECT 'embedding_frames', CAST(vec_id AS BIGINT), CAST(NULL AS VARCHAR), CAST(i % 32 AS BIGINT),
+       CAST(i // 32 AS BIGINT), round(CAST(embedding[i + 1] AS DOUBLE), 6)
+FROM embeddings, range(64) r(i)
+UNION ALL
+SELECT 'lineitem_array', s.step, {ts_text('CAST(f.d0 AS TIMESTAMP) + to_days(CAST(s.step AS INTEGER))')}, s.node, s.channel,
+       round(CAST(CAST(s.value AS FLOAT) AS DOUBLE), 6)
+FROM series s, first_day f"""
+
+
 ORACLE = {
     "q01_completeness_daily": completeness_sql(4),
     "q02_dedup_keep_first": f"WITH {dedup_cte(4)} SELECT {obs_select()} FROM dedup",
@@ -734,4 +799,13 @@ ORACLE = {
     "q59_union_dedup": f"WITH {dedup_cte(4)} SELECT {obs_select()} FROM dedup",
     "q60_set_difference": q60(),
     "q64_time_labels": q64(),
+    "q45_json_pages": f"WITH {obs_cte(4)} SELECT {obs_select()} FROM obs",
+    "q46_stream_dedup": q46(),
+    "q47_stream_completeness": q47(),
+    "q48_tensor_roundtrip": q48(),
+    "q61_page_file_roundtrip": q61(),
+    "q62_catalog_dispatch": q62(),
+    "q63_merge_cubes": f"WITH {merged_cte()} SELECT {ts_text('ts')} AS ts, "
+                       + ", ".join(f"round({c}, 6) AS {c}" for c in ["lon", "lat", "t2m", "d2m", "u10", "v10", "sp", "tp"])
+                       + " FROM merged",
 }

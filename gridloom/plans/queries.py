@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 from gridloom.functions import geo
 from gridloom.functions import physics as phy
 from gridloom.functions import timeaxis as tx
-from gridloom.operators import dedup, features, fill, grid, joins, quality, scaffold, spatial, tensors
+from gridloom.operators import dedup, features, fill, grid, interp, joins, quality, scaffold, spatial, tensors
+from gridloom.operators.interp import Method
 from gridloom.sources.schemas import FLOW_CELLS
 from gridloom.plans import views
 from gridloom.sources.tables import read_table
@@ -562,6 +563,47 @@ def q64_time_labels(spark: SparkSession, base: str) -> DataFrame:
     return present(t.withColumns({"label": tx.time_label("ts"), "compact": tx.compact_time("ts")}))
 
 
+def _located_input(spark: SparkSession, base: str, n_grids: int = 8) -> DataFrame:
+    d = _obs_dedup(spark, base, n_grids).drop("page", "row_ord")
+    d = quality.sentinel_to_null(d, ["slp", "rh"])
+    return scaffold.align(d, views.grid_dim(d), HOURLY, max_grid_id=n_grids - 1)
+
+
+def q41_cubic_fill(spark: SparkSession, base: str) -> DataFrame:
+    """INT-2: not-a-knot cubic through the known steps of each (day, grid) series; edges carried."""
+    a = _filled_input(spark, base, 8)
+    methods = {"t": Method("cubic"), "slp": Method("cubic"), "speed": Method("cubic")}
+    return present(interp.temporal_pass(a, methods, ["date", "grid_id"], "ts", 0.2))
+
+
+def q42_spline_fill(spark: SparkSession, base: str) -> DataFrame:
+    """INT-3: interpolating splines of order 2 (humidity) and 3 (temperature) per (day, grid) series."""
+    a = _filled_input(spark, base, 8)
+    methods = {"rh": Method("spline", 2), "t": Method("spline", 3)}
+    return present(interp.temporal_pass(a, methods, ["date", "grid_id"], "ts", 0.2))
+
+
+def q43_spatial_fill(spark: SparkSession, base: str) -> DataFrame:
+    """INT-4: per hour, multiquadric radial basis over z-scored grid centres fills missing cells."""
+    a = _located_input(spark, base, 8)
+    return present(interp.spatial_pass(a, ["t", "rh", "slp", "speed"], "ts", "lon_center", "lat_center", 0.2))
+
+
+# Per-column methods of the station fill (wind components are filled linearly).
+STATION_METHODS = {"t": Method("cubic"), "slp": Method("cubic"), "rh": Method("spline", 2),
+                   "rain": Method("linear"), "speed_x": Method("linear"), "speed_y": Method("linear")}
+
+
+def q44_st_fill(spark: SparkSession, base: str) -> DataFrame:
+    """INT-5 (+ PHY-3, PHY-1, AGG-4): wind to components, space then time passes twice, days that
+    remain incomplete dropped, air density and the mean field added."""
+    a = phy.wind_components(_located_input(spark, base, 4), [("speed", "dir")])
+    filled, _status = interp.st_fill(a, STATION_METHODS, "date", "grid_id", "ts", "lon_center", "lat_center")
+    filled = filled.withColumn("air_density", phy.air_density("t", "slp", "rh"))
+    out = features.with_mean_field(filled.drop("observed"), "ts", list(STATION_METHODS) + ["air_density"])
+    return present(out)
+
+
 QUERIES = {
     "q01_completeness_daily": q01_completeness_daily,
     "q02_dedup_keep_first": q02_dedup_keep_first,
@@ -604,6 +646,10 @@ QUERIES = {
     "q38_parse_mixed": q38_parse_mixed,
     "q39_series_shape": q39_series_shape,
     "q40_spatial_fill_local": q40_spatial_fill_local,
+    "q41_cubic_fill": q41_cubic_fill,
+    "q42_spline_fill": q42_spline_fill,
+    "q43_spatial_fill": q43_spatial_fill,
+    "q44_st_fill": q44_st_fill,
     "q49_feature_groups": q49_feature_groups,
     "q50_date_range_day_filter": q50_date_range_day_filter,
     "q51_drop_mean_field": q51_drop_mean_field,
@@ -618,3 +664,11 @@ QUERIES = {
     "q60_set_difference": q60_set_difference,
     "q64_time_labels": q64_time_labels,
 }
+
+
+def _io_queries() -> dict:
+    from gridloom.plans.io_queries import IO_QUERIES
+    return IO_QUERIES
+
+
+QUERIES.update(_io_queries())

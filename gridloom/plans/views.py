@@ -18,9 +18,16 @@ GRID_LAT0 = 22.45
 GRID_WIDTH = 0.05
 
 
+EVENT_COLS = ["event_id", "ts", "user_id", "event_type", "value", "props"]
+
+
 def obs(spark: SparkSession, base: str, n_grids: int = 4) -> DataFrame:
     """Station-like observations: hourly time, grid id, measures and page bookkeeping."""
-    e = read_table(spark, base, "events", ["event_id", "ts", "user_id", "event_type", "value", "props"])
+    return obs_from_events(read_table(spark, base, "events", EVENT_COLS), n_grids)
+
+
+def obs_from_events(e: DataFrame, n_grids: int = 4) -> DataFrame:
+    """The ``obs`` projection of an events DataFrame (batch or stream)."""
     k = F.get_json_object("props", "$.k").cast("int")
     return e.select(
         F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("ts"),
