@@ -15,7 +15,8 @@ def with_mean_field(df: DataFrame, ts: str, columns: list[str]) -> DataFrame:
     are a partial hash aggregate by timestamp.
     """
     means = df.groupBy(ts).agg(*[F.avg(c).alias(c) for c in columns]).withColumn("is_mean_field", F.lit(True))
-    return union_slices([means, df.withColumn("is_mean_field", F.lit(False))])
+    both = union_slices([means, df.withColumn("is_mean_field", F.lit(False))])
+    return both.select(*df.columns, "is_mean_field")
 
 
 def drop_mean_field(df: DataFrame) -> DataFrame:

@@ -140,7 +140,7 @@ def write_series(long: DataFrame, path: str) -> DataFrame:
 
     def digest(df: DataFrame) -> DataFrame:
         return df.groupBy("dataset").agg(F.count(F.lit(1)).alias("n"),
-                                         F.sum(F.xxhash64("step", "node", "channel", "value")).alias("h"))
+                                         F.sum(F.xxhash64("step", "node", "channel", "value").cast("decimal(38,0)")).alias("h"))
     a, b = digest(long), digest(back)
     return a.join(b.withColumnsRenamed({"n": "n_back", "h": "h_back"}), "dataset", "full") \
             .withColumn("equal", (F.col("n") == F.col("n_back")) & (F.col("h") == F.col("h_back")))

@@ -105,7 +105,7 @@ def round_trip_equal(written: DataFrame, read_back: DataFrame, keys: list[str],
     """VAL-5: count and order-free hash of (keys, value) on both sides; one row with ``equal``."""
     def digest(df: DataFrame) -> DataFrame:
         return df.agg(F.count(F.lit(1)).alias("n"),
-                      F.sum(F.xxhash64(*keys, F.col(value).cast("float"))).alias("h"))
+                      F.sum(F.xxhash64(*keys, F.col(value).cast("float")).cast("decimal(38,0)")).alias("h"))
     a, b = digest(written), digest(read_back)
     return a.select(F.col("n").alias("rows_written"), F.col("h").alias("hash_written")) \
             .join(b.select(F.col("n").alias("rows_read"), F.col("h").alias("hash_read"))) \
