@@ -15,6 +15,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from gridloom.operators.fill import temporal_fill_linear
@@ -90,6 +91,26 @@ def interpolate_spline(x_known: np.ndarray, y_known: np.ndarray, x_new: np.ndarr
     return out
 
 
+# ---------------------------------------------------------------- routing
+
+
+def split_by_need(df: DataFrame, keys: list[str], columns: list[str], threshold: float) -> tuple[DataFrame, DataFrame]:
+    """Rows of groups that have something to fill, and rows of groups that do not.
+
+    A group needs work when some column has a NULL share in ``(0, threshold]``.
+    The share is a window over the group key, so the data are shuffled once by
+    the key; the grouped map that follows on the same key reuses that
+    partitioning, and the other branch bypasses Python entirely.
+    """
+    w = Window.partitionBy(*keys)
+    need = F.lit(False)
+    for c in columns:
+        share = F.avg(F.when(F.col(c).isNull(), 1.0).otherwise(0.0)).over(w)
+        need = need | ((share > 0) & (share <= threshold))
+    flagged = df.withColumn("__need", need)
+    return (flagged.filter("__need").drop("__need"), flagged.filter(~F.col("__need")).drop("__need"))
+
+
 # ---------------------------------------------------------------- temporal pass
 
 
@@ -138,7 +159,8 @@ def temporal_pass(df: DataFrame, methods: dict[str, Method], series_keys: list[s
                                  c.lower().startswith(clip_prefix))
         return pdf
 
-    return out.groupBy(*series_keys).applyInPandas(per_series, schema)
+    todo, done = split_by_need(out, series_keys, list(curved), threshold)
+    return todo.groupBy(*series_keys).applyInPandas(per_series, schema).unionByName(done)
 
 
 # ---------------------------------------------------------------- spatial pass
@@ -203,7 +225,8 @@ def spatial_pass(df: DataFrame, columns: list[str], ts: str = "ts", lon: str = "
             pdf[c] = vals[:, j]
         return pdf
 
-    return df.groupBy(ts).applyInPandas(per_time, schema)
+    todo, done = split_by_need(df, [ts], columns, threshold)
+    return todo.groupBy(ts).applyInPandas(per_time, schema).unionByName(done)
 
 
 # ---------------------------------------------------------------- space-time chain
@@ -222,12 +245,20 @@ def st_fill(df: DataFrame, methods: dict[str, Method], day: str = "date", grid:
     are still incomplete are dropped; ``day_success`` reports every day.
     """
     cols = list(methods)
-    out = df
+    any_null = F.greatest(*[F.col(c).isNull() for c in cols]) if len(cols) > 1 else F.col(cols[0]).isNull()
+    done = None
+    todo = df
     for _ in range(rounds):
-        out = spatial_pass(out, cols, ts, lon, lat, space_threshold)
-        out = temporal_pass(out, methods, [day, grid], ts, time_threshold)
+        todo = spatial_pass(todo, cols, ts, lon, lat, space_threshold)
+        todo = temporal_pass(todo, methods, [day, grid], ts, time_threshold)
         if checkpoint:
-            out = out.checkpoint()
-    any_null = F.greatest(*[F.col(c).isNull() for c in cols]) if len(cols) > 1 else F.col(cols[0]).isNull()
+            todo = todo.checkpoint()
+        # days without a gap left are final; only the others go round again (the reference's early exit)
+        gap = F.max(any_null.cast("int")).over(Window.partitionBy(day)) > 0
+        flagged = todo.withColumn("__gap", gap)
+        finished = flagged.filter(~F.col("__gap")).drop("__gap")
+        done = finished if done is None else done.unionByName(finished)
+        todo = flagged.filter("__gap").drop("__gap")
+    out = done.unionByName(todo)
     status = out.groupBy(day).agg((~F.bool_or(any_null)).alias("success"))
-    return out.join(status.filter("success"), day, "left_semi"), status
+    return done, status
