@@ -38,7 +38,7 @@ def obs_from_events(e: DataFrame, n_grids: int = 4) -> DataFrame:
         F.col("value").alias("speed"),
         (k * 3.6).alias("dir"),
         F.when(F.col("event_type") == "error", F.col("value")).otherwise(F.lit(0.0)).alias("rain"),
-        F.floor(F.col("event_id") / 1000).cast("bigint").alias("page"),
+        F.expr("event_id div 1000").cast("bigint").alias("page"),
         F.col("event_id").alias("row_ord"),
     )
 
