@@ -58,7 +58,7 @@ def step_samples(packed: DataFrame, sample_id: str, mask_rate: float, seed: int
     s = packed.withColumn("mask", F.transform(F.col("nodes"),
                                               lambda n: geo.sensor_mask(F.col(sample_id), n, mask_rate, seed)))
     data = F.transform(F.col(features), lambda v, i: F.transform(
-        v, lambda x: F.when(F.col("mask")[i], F.lit(0.0).cast("float")).otherwise(x)))
+        v, lambda x: geo.apply_mask(x, F.col("mask")[i]).cast("float")))
     return s.withColumns({"target": F.col(features), "data": data}).drop(features)
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gridloom.functions import timeaxis as tx
-from gridloom.operators import dedup, grid, quality, scaffold
+from gridloom.operators import dedup, grid, joins, quality, scaffold
 from gridloom.plans import views
 from gridloom.plans.present import present
 from gridloom.session import scratch_path
@@ -84,8 +84,10 @@ def q48_tensor_roundtrip(spark: SparkSession, base: str) -> DataFrame:
     tensorfiles.write_sidecars(spark, folder, f.select("date", "ts"), coords, meta)
     long, _report = tensorfiles.read_tensor_days(spark, folder, 24, 4, 3)
     times = tensorfiles.read_time_index(spark, f"{folder}/time_index")
-    out = long.join(times, ["date", "step"], "left")
-    return present(out.select("date", "step", F.col("node").alias("node_pos"), "feature", "value", "ts"))
+    side = spark.read.parquet(f"{folder}/coords").withColumnRenamed("grid_id", "node")
+    out = joins.dimension_join(long.join(times, ["date", "step"], "left"), side, "node", "left")
+    return present(out.select("date", "step", F.col("node").alias("node_pos"), "feature", "value", "ts",
+                              "lon", "lat"))
 
 
 PAGE_COLS = ["DDATETIME", "GRIDID", "T", "MAXTOFDAY", "SLP", "RHSFC", "V", "WSPD", "WDIR", "WD3SMAXDF",
@@ -169,7 +171,9 @@ def q62_catalog_dispatch(spark: SparkSession, base: str) -> DataFrame:
              catalog.Descriptor("embedding_frames", "grid_frames", 30, 32, 2),
              catalog.Descriptor("lineitem_array", "node_array", 1440, 8, 2)]
     longs = [catalog.load(spark, d, readers) for d in descs]
-    return present(dedup.union_slices(longs))
+    check = catalog.write_series(dedup.union_slices(longs), f"{folder}/series")  # SNK-8 + VAL-5
+    check.write.mode("overwrite").parquet(f"{folder}/_series_check")
+    return present(spark.read.parquet(f"{folder}/series").select(*catalog.LONG_COLS))
 
 
 def q63_merge_cubes(spark: SparkSession, base: str) -> DataFrame:

@@ -527,15 +527,15 @@ SELECT o_orderkey, text, {ts_text(parsed)} AS parsed FROM x"""
 def q39() -> str:
     return f"""WITH {SERIES},
 act AS (SELECT 'lineitem_daily' AS dataset, count(DISTINCT step) AS actual_length, count(DISTINCT node) AS actual_nodes,
-               count(DISTINCT channel) AS actual_channels, (max(day) - min(day)) + 1 AS regular_length FROM series),
-cat AS (SELECT 'lineitem_daily' AS dataset, 1440 AS step_minutes, 8 AS nodes, 2 AS channels)
-SELECT cat.dataset, CAST(step_minutes AS BIGINT) AS step_minutes, CAST(nodes AS BIGINT) AS nodes,
+               count(DISTINCT channel) AS actual_channels, max(step) + 1 AS span_steps FROM series),
+cat AS (SELECT 'lineitem_daily' AS name, 'node_frame' AS reader, 1440 AS step_minutes, 8 AS nodes, 2 AS channels)
+SELECT name, reader, CAST(step_minutes AS BIGINT) AS step_minutes, CAST(nodes AS BIGINT) AS nodes,
        CAST(channels AS BIGINT) AS channels, CAST(actual_length AS BIGINT) AS actual_length,
        CAST(actual_nodes AS BIGINT) AS actual_nodes, CAST(actual_channels AS BIGINT) AS actual_channels,
-       CAST(regular_length AS BIGINT) AS regular_length,
-       CASE WHEN actual_nodes = nodes AND actual_channels = channels AND actual_length = regular_length
+       CAST(span_steps AS BIGINT) AS span_steps,
+       CASE WHEN actual_nodes = nodes AND actual_channels = channels AND actual_length = span_steps
             THEN 'ok' ELSE 'mismatch' END AS status
-FROM cat LEFT JOIN act ON cat.dataset = act.dataset"""
+FROM cat LEFT JOIN act ON cat.name = act.dataset"""
 
 
 def grid_centers(src: str = "dedup") -> str:
@@ -693,10 +693,12 @@ FROM d, m WHERE CAST(day AS TIMESTAMP) + INTERVAL 1 DAY <= m.mx - INTERVAL 1 HOU
 
 def q48() -> str:
     sel = "\nUNION ALL\n".join(
-        f"SELECT {day_text('date')} AS date, step, grid_id AS node_pos, CAST({i} AS BIGINT) AS feature, "
-        f"round(CAST(CAST({c} AS FLOAT) AS DOUBLE), 6) AS value, {ts_text('ts')} AS ts FROM f"
+        f"SELECT {day_text('date')} AS date, step, f.grid_id AS node_pos, CAST({i} AS BIGINT) AS feature, "
+        f"round(CAST(CAST({c} AS FLOAT) AS DOUBLE), 6) AS value, {ts_text('ts')} AS ts, "
+        f"round(CAST(CAST(gc.lon_center AS FLOAT) AS DOUBLE), 6) AS lon, "
+        f"round(CAST(CAST(gc.lat_center AS FLOAT) AS DOUBLE), 6) AS lat FROM f JOIN gc ON gc.grid_id = f.grid_id"
         for i, c in enumerate(SAMPLE_F))
-    return f"WITH {filled_cte(4)}\n{sel}"
+    return f"WITH {filled_cte(4)},\ngc AS ({grid_centers('dedup')})\n{sel}"
 
 
 def q61() -> str:

@@ -409,18 +409,13 @@ def q38_parse_mixed(spark: SparkSession, base: str) -> DataFrame:
 
 
 def q39_series_shape(spark: SparkSession, base: str) -> DataFrame:
-    """VAL-3 (+ Q21 regularity): the daily series against its catalog descriptor."""
-    s = views.daily_series(spark, base)
-    actual = s.agg(F.count_distinct("step").alias("actual_length"), F.count_distinct("node").alias("actual_nodes"),
-                   F.count_distinct("channel").alias("actual_channels"),
-                   (F.datediff(F.max("ts"), F.min("ts")) + 1).alias("regular_length")) \
-              .withColumn("dataset", F.lit("lineitem_daily"))
-    catalog = spark.createDataFrame([("lineitem_daily", 1440, 8, 2)],
-                                    "dataset string, step_minutes int, nodes int, channels int")
-    j = catalog.join(actual, "dataset", "left")
-    ok = ((F.col("actual_nodes") == F.col("nodes")) & (F.col("actual_channels") == F.col("channels"))
-          & (F.col("actual_length") == F.col("regular_length")))
-    return present(j.withColumn("status", F.when(ok, F.lit("ok")).otherwise(F.lit("mismatch"))))
+    """VAL-2/VAL-3 (+ Q21 regularity): the daily series against its catalog descriptor."""
+    from gridloom.sources import catalog as cat
+
+    s = views.daily_series(spark, base).withColumn("dataset", F.lit("lineitem_daily"))
+    desc = spark.createDataFrame([("lineitem_daily", "node_frame", 1440, 8, 2)],
+                                 "name string, reader string, step_minutes int, nodes int, channels int")
+    return present(cat.validate(s, desc))
 
 
 def q40_spatial_fill_local(spark: SparkSession, base: str) -> DataFrame:
