@@ -29,15 +29,40 @@ def day_points(day: str | Column, step_minutes: int) -> Column:
     return F.sequence(start, last, minutes(step_minutes))
 
 
+# Wall-clock helpers for timestamp_ntz.  ``date_format`` / ``date_trunc`` /
+# ``try_to_timestamp`` pass through the session time zone, which moves wall
+# clocks that do not exist there (daylight-saving gaps); these work on fields.
+
+
+def ntz_text(ts: str | Column) -> Column:
+    """``yyyy-MM-dd HH:mm:ss`` of a timestamp_ntz (fraction dropped), independent of the session zone."""
+    return F.substring(_c(ts).cast("string"), 1, 19)
+
+
+def trunc_hour(ts: str | Column) -> Column:
+    t = _c(ts)
+    return F.make_timestamp_ntz(F.year(t), F.month(t), F.dayofmonth(t), F.hour(t), F.lit(0), F.lit(0))
+
+
+def trunc_minute(ts: str | Column) -> Column:
+    t = _c(ts)
+    return F.make_timestamp_ntz(F.year(t), F.month(t), F.dayofmonth(t), F.hour(t), F.minute(t), F.lit(0))
+
+
+def trunc_second(ts: str | Column) -> Column:
+    t = _c(ts)
+    return F.make_timestamp_ntz(F.year(t), F.month(t), F.dayofmonth(t), F.hour(t), F.minute(t), F.second(t))
+
+
 def time_label(ts: str | Column) -> Column:
     """DT-9: ``HH:mm`` label of a timestamp."""
-    return F.date_format(_c(ts), "HH:mm")
+    t = _c(ts)
+    return F.format_string("%02d:%02d", F.hour(t), F.minute(t))
 
 
 def day_labels(step_minutes: int) -> Column:
     """DT-1: the ``HH:mm`` labels of all scheduled points of a day, in order."""
-    return F.transform(day_points(F.lit("2000-01-01").cast("date"), step_minutes),
-                       lambda t: F.date_format(t, "HH:mm"))
+    return F.transform(day_points(F.lit("2000-01-01").cast("date"), step_minutes), time_label)
 
 
 def seconds_of_day(ts: str | Column) -> Column:
@@ -55,7 +80,7 @@ def epoch_seconds(ts: str | Column) -> Column:
 def on_schedule(ts: str | Column, step_minutes: int) -> Column:
     """True when the timestamp sits exactly on the step grid of its day."""
     t = _c(ts)
-    return (seconds_of_day(t) % (step_minutes * 60) == 0) & (F.date_trunc("second", t) == t)
+    return (seconds_of_day(t) % (step_minutes * 60) == 0) & (trunc_second(t) == t)
 
 
 def step_of_day(ts: str | Column, step_minutes: int) -> Column:
@@ -65,12 +90,35 @@ def step_of_day(ts: str | Column, step_minutes: int) -> Column:
 
 def compact_time(ts: str | Column) -> Column:
     """STR-2: ``yyyyMMdd_HHmmss``."""
-    return F.date_format(_c(ts), "yyyyMMdd_HHmmss")
+    t = _c(ts)
+    return F.format_string("%04d%02d%02d_%02d%02d%02d", F.year(t), F.month(t), F.dayofmonth(t),
+                           F.hour(t), F.minute(t), F.second(t))
+
+
+def parse_fields(s: str | Column, pattern: str) -> Column:
+    """timestamp_ntz from text whose regex groups are year, month, day[, hour, minute, second].
+
+    Text that does not match, or names an impossible date or time, gives NULL.
+    """
+    t = _c(s)
+    parts = [F.regexp_extract(t, pattern, i) for i in range(1, 7)]
+    n = pattern.count("(")
+    vals = [parts[i].cast("int") if i < n else F.lit(0) for i in range(6)]
+    return F.when(t.rlike(pattern), F.try_make_timestamp_ntz(*vals[:5], vals[5].cast("decimal(8,6)")))
+
+
+COMPACT_PATTERN = r"^(\d{4})(\d{2})(\d{2})_(\d{2})(\d{2})(\d{2})$"
+EXACT_PATTERN = r"^(\d{4})-(\d{2})-(\d{2}) (\d{2}):(\d{2}):(\d{2})$"
 
 
 def parse_compact_time(s: str | Column) -> Column:
     """Inverse of STR-2; unparsable text gives NULL."""
-    return F.try_to_timestamp(_c(s), F.lit("yyyyMMdd_HHmmss")).cast("timestamp_ntz")
+    return parse_fields(s, COMPACT_PATTERN)
+
+
+def try_parse_exact(s: str | Column) -> Column:
+    """DT-10 that gives NULL instead of failing (for reading files that may hold bad rows)."""
+    return parse_fields(s, EXACT_PATTERN)
 
 
 def parse_exact(s: str | Column) -> Column:
@@ -105,24 +153,24 @@ def slot_timestamp(s: str | Column) -> Column:
         ((slot - 1) % 2) * 30, F.lit(0))
 
 
-# The formats tried, in order, by the mixed-format parser (DT-7).
+# The layouts tried, in order, by the mixed-format parser (DT-7), as regexes whose
+# groups are year, month, day, hour, minute, second (absent trailing groups are 0).
 MIXED_FORMATS = (
-    "yyyy-MM-dd HH:mm:ss",
-    "yyyy-MM-dd HH:mm",
-    "yyyy-MM-dd'T'HH:mm:ss",
-    "yyyy/MM/dd HH:mm:ss",
-    "yyyy/MM/dd HH:mm",
-    "yyyy-MM-dd",
-    "yyyy/MM/dd",
-    "yyyyMMdd",
+    r"^(\d{4})-(\d{2})-(\d{2}) (\d{2}):(\d{2}):(\d{2})$",    # yyyy-MM-dd HH:mm:ss
+    r"^(\d{4})-(\d{2})-(\d{2}) (\d{2}):(\d{2})$",            # yyyy-MM-dd HH:mm
+    r"^(\d{4})-(\d{2})-(\d{2})T(\d{2}):(\d{2}):(\d{2})$",    # yyyy-MM-ddTHH:mm:ss
+    r"^(\d{4})/(\d{2})/(\d{2}) (\d{2}):(\d{2}):(\d{2})$",    # yyyy/MM/dd HH:mm:ss
+    r"^(\d{4})/(\d{2})/(\d{2}) (\d{2}):(\d{2})$",            # yyyy/MM/dd HH:mm
+    r"^(\d{4})-(\d{2})-(\d{2})$",                             # yyyy-MM-dd
+    r"^(\d{4})/(\d{2})/(\d{2})$",                             # yyyy/MM/dd
+    r"^(\d{4})(\d{2})(\d{2})$",                               # yyyyMMdd
 )
 
 
 def parse_mixed(s: str | Column, formats: tuple[str, ...] = MIXED_FORMATS) -> Column:
-    """DT-7: first format that parses wins; unparsable text gives NULL; seconds precision."""
+    """DT-7: the first layout that matches wins; unparsable text gives NULL; seconds precision."""
     t = F.trim(_c(s))
-    parsed = F.coalesce(*[F.try_to_timestamp(t, F.lit(f)) for f in formats])
-    return F.date_trunc("second", parsed).cast("timestamp_ntz")
+    return F.coalesce(*[parse_fields(t, f) for f in formats])
 
 
 def datetime_parts(ts: str | Column) -> Column:

@@ -33,7 +33,7 @@ OBS_ROW = T.StructType([
 def q45_json_pages(spark: SparkSession, base: str) -> DataFrame:
     """SRC-3: pages rebuilt as ``{"data": [rows]}`` documents (one per page) and parsed back to rows."""
     o = views.obs(spark, base, 4)
-    row = F.struct(F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("ts"),
+    row = F.struct(tx.ntz_text("ts").alias("ts"),
                    *[F.col(f.name) for f in OBS_ROW.fields if f.name != "ts"])
     docs = o.groupBy("page").agg(F.to_json(F.struct(F.transform(
         F.array_sort(F.collect_list(F.struct(F.col("row_ord").alias("o"), row.alias("r")))),
@@ -99,7 +99,7 @@ def q61_page_file_roundtrip(spark: SparkSession, base: str) -> DataFrame:
     deduplicated, written per day, and the completeness report written and read back."""
     root = scratch_path(spark, "pages")
     o = views.obs(spark, base, 4)
-    rows = o.select(F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("DDATETIME"), F.col("grid_id").alias("GRIDID"),
+    rows = o.select(tx.ntz_text("ts").alias("DDATETIME"), F.col("grid_id").alias("GRIDID"),
                     F.col("t").alias("T"), F.lit(None).cast("double").alias("MAXTOFDAY"), F.col("slp").alias("SLP"),
                     F.col("rh").alias("RHSFC"), F.lit(None).cast("double").alias("V"), F.col("speed").alias("WSPD"),
                     F.col("dir").alias("WDIR"), F.lit(None).cast("double").alias("WD3SMAXDF"),
@@ -188,7 +188,7 @@ def q63_merge_cubes(spark: SparkSession, base: str) -> DataFrame:
     a = flat.select(*keys, "t2m", "d2m", *lcols)
     b = flat.select(*keys, "u10", "v10", "sp", "tp", *lcols)
     for name, part in (("a", a), ("b", b)):
-        part.withColumn("ts", F.date_format("ts", "yyyy-MM-dd HH:mm:ss")) \
+        part.withColumn("ts", tx.ntz_text("ts")).withColumn("l_shipdate", tx.ntz_text("l_shipdate")) \
             .write.mode("overwrite").option("header", True).csv(f"{root}/{name}")
     keep = keys + ["t2m", "d2m", "u10", "v10", "sp", "tp", "msl"] + lcols
     parts = [pages.read_reanalysis(spark, f"{root}/{n}", keep) for n in ("a", "b")]

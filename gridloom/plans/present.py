@@ -23,8 +23,10 @@ def present(df: DataFrame, digits: int = DIGITS) -> DataFrame:
         elif isinstance(t, (T.FloatType, T.DoubleType, T.DecimalType)):
             c = F.round(c.cast("double"), digits)
         elif isinstance(t, T.DateType):
-            c = F.date_format(c, "yyyy-MM-dd")
-        elif isinstance(t, (T.TimestampType, T.TimestampNTZType)):
+            c = c.cast("string")
+        elif isinstance(t, T.TimestampNTZType):
+            c = F.substring(c.cast("string"), 1, 19)  # wall clock, no session time zone involved
+        elif isinstance(t, T.TimestampType):
             c = F.date_format(c, "yyyy-MM-dd HH:mm:ss")
         out.append(c.alias(f.name))
     return df.select(*out)

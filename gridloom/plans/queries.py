@@ -381,14 +381,16 @@ def q34_wide_to_long(spark: SparkSession, base: str) -> DataFrame:
 def q36_regular_timestamps(spark: SparkSession, base: str) -> DataFrame:
     """DT-5: event i at ``first minute + 5·i minutes`` (true calendar arithmetic)."""
     e = read_table(spark, base, "events", ["event_id", "ts"])
-    start = e.agg(F.min(F.date_trunc("minute", "ts")).cast("timestamp_ntz")).scalar()
+    start = e.agg(F.min(tx.trunc_minute("ts"))).scalar()
     return present(e.select("event_id", tx.regular_timestamp(start, "event_id", 5).alias("regular_ts")))
 
 
 def q37_slot_timestamp(spark: SparkSession, base: str) -> DataFrame:
     """DT-6: ``yyyyMMddSS`` half-hour slot codes (slot from the order key) to timestamps."""
     o = read_table(spark, base, "orders", ["o_orderkey", "o_orderdate"])
-    code = F.format_string("%s%02d", F.date_format("o_orderdate", "yyyyMMdd"), F.pmod("o_orderkey", F.lit(48)) + 1)
+    d = F.col("o_orderdate")
+    code = F.format_string("%04d%02d%02d%02d", F.year(d), F.month(d), F.dayofmonth(d),
+                           F.pmod("o_orderkey", F.lit(48)) + 1)
     c = o.select("o_orderkey", code.alias("slot_code"))
     return present(c.withColumn("ts", tx.slot_timestamp("slot_code")))
 
@@ -399,10 +401,11 @@ def q38_parse_mixed(spark: SparkSession, base: str) -> DataFrame:
     t = (F.col("o_orderdate") + F.make_dt_interval(F.lit(0), F.pmod("o_orderkey", F.lit(24)).cast("int"),
                                                     F.pmod("o_orderkey", F.lit(60)).cast("int")))
     style = F.pmod("o_orderkey", F.lit(5))
-    text = (F.when(style == 0, F.date_format(t, "yyyy-MM-dd HH:mm:ss"))
-            .when(style == 1, F.date_format(t, "yyyy/MM/dd HH:mm"))
-            .when(style == 2, F.date_format(t, "yyyy-MM-dd"))
-            .when(style == 3, F.date_format(t, "yyyyMMdd"))
+    y, mo, dd, h, mi, se = F.year(t), F.month(t), F.dayofmonth(t), F.hour(t), F.minute(t), F.second(t)
+    text = (F.when(style == 0, F.format_string("%04d-%02d-%02d %02d:%02d:%02d", y, mo, dd, h, mi, se))
+            .when(style == 1, F.format_string("%04d/%02d/%02d %02d:%02d", y, mo, dd, h, mi))
+            .when(style == 2, F.format_string("%04d-%02d-%02d", y, mo, dd))
+            .when(style == 3, F.format_string("%04d%02d%02d", y, mo, dd))
             .otherwise(F.lit("n/a")))
     c = o.select("o_orderkey", text.alias("text"))
     return present(c.withColumn("parsed", tx.parse_mixed("text")))

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gridloom.functions import timeaxis as tx
 from gridloom.sources.tables import read_table
 
 # Fixed values of the `grid` view: origin and cell width of the synthetic grid (degrees).
@@ -30,7 +31,7 @@ def obs_from_events(e: DataFrame, n_grids: int = 4) -> DataFrame:
     """The ``obs`` projection of an events DataFrame (batch or stream)."""
     k = F.get_json_object("props", "$.k").cast("int")
     return e.select(
-        F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("ts"),
+        tx.trunc_hour("ts").alias("ts"),
         (F.col("user_id") % n_grids).cast("bigint").alias("grid_id"),
         (F.col("value") / 10.0).alias("t"),
         k.cast("double").alias("rh"),

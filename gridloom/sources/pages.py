@@ -66,8 +66,7 @@ def read_pages(spark: SparkSession, folder: str, schema: T.StructType = STATION_
                       F.monotonically_increasing_id().alias("__mono"))
     out = meta.select(*[c for c in raw.columns], "file_name", *parse_page_name(F.col("file_name")),
                       F.struct("__block", "__mono").alias("row_ord"))
-    return out.withColumn("ts", F.try_to_timestamp(F.col(time_col), F.lit("yyyy-MM-dd HH:mm:ss"))
-                          .cast("timestamp_ntz"))
+    return out.withColumn("ts", tx.try_parse_exact(F.col(time_col)))
 
 
 def file_report(pages: DataFrame) -> DataFrame:

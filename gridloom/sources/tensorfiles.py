@@ -16,6 +16,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gridloom.functions import timeaxis as tx
 from gridloom.sources.pages import _local_or_uri
 
 LONG_SCHEMA = "date date, step bigint, node bigint, feature bigint, value float"
@@ -25,16 +26,18 @@ def write_tensor_days(df: DataFrame, folder: str, steps: int, grids: int, featur
                       day: str = "date", step: str = "step", node: str = "grid_id") -> DataFrame:
     """SNK-4 (TNS-2 per day): long rows → one ``<yyyyMMdd>.bin`` per day; returns a per-day status.
 
-    A day whose rows do not fill T×G exactly is not written and gets status ``error``.
+    Rows per day are counted first with a partial aggregate.  Only days with
+    exactly T×G rows are shipped to a writer task (so a task never receives more
+    than one tensor); any other day gets status ``error`` from the counts alone.
     """
     n_f = len(features)
+    expected = steps * grids
+    counts = df.groupBy(day).agg(F.count(F.lit(1)).alias("__n"))
+    good = df.join(counts.filter(F.col("__n") == expected).select(day), day, "left_semi")
 
     def write(pdf: pd.DataFrame) -> pd.DataFrame:
         d = pdf[day].iloc[0]
         name = f"{pd.Timestamp(d).strftime('%Y%m%d')}.bin"
-        if len(pdf) != steps * grids:
-            return pd.DataFrame({"date": [d], "file_name": [name], "status": ["error"],
-                                 "reason": [f"expected {steps * grids} rows, got {len(pdf)}"]})
         pdf = pdf.sort_values([step, node], kind="stable")
         arr = pdf[features].to_numpy(dtype=np.float32, na_value=np.nan).reshape(steps, grids, n_f)
         fs, root = _local_or_uri(folder)
@@ -43,7 +46,13 @@ def write_tensor_days(df: DataFrame, folder: str, steps: int, grids: int, featur
             f.write(arr.tobytes(order="C"))
         return pd.DataFrame({"date": [d], "file_name": [name], "status": ["success"], "reason": [None]})
 
-    return df.groupBy(day).applyInPandas(write, "date date, file_name string, status string, reason string")
+    schema = "date date, file_name string, status string, reason string"
+    written = good.select(day, step, node, *features).groupBy(day).applyInPandas(write, schema)
+    bad = counts.filter(F.col("__n") != expected).select(
+        F.col(day).alias("date"), F.concat(F.date_format(day, "yyyyMMdd"), F.lit(".bin")).alias("file_name"),
+        F.lit("error").alias("status"),
+        F.format_string(f"expected {expected} rows, got %d", F.col("__n")).alias("reason"))
+    return written.unionByName(bad)
 
 
 def read_tensor_days(spark: SparkSession, folder: str, steps: int, grids: int, n_features: int) -> tuple[DataFrame, DataFrame]:
@@ -80,7 +89,7 @@ def write_sidecars(spark: SparkSession, folder: str, long_times: DataFrame, coor
     """
     spark.createDataFrame([(json.dumps(metadata),)], "value string").coalesce(1) \
         .write.mode("overwrite").text(f"{folder}/metadata")
-    per_day = long_times.groupBy(day).agg(F.array_sort(F.collect_set(F.date_format(ts, "yyyy-MM-dd HH:mm:ss"))).alias("t"))
+    per_day = long_times.groupBy(day).agg(F.array_sort(F.collect_set(tx.ntz_text(ts))).alias("t"))
     per_day.select(F.to_json(F.create_map(F.date_format(day, "yyyyMMdd"), F.col("t"))).alias("value")) \
         .write.mode("overwrite").text(f"{folder}/time_index")
     coords.write.mode("overwrite").parquet(f"{folder}/coords")

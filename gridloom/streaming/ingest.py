@@ -17,6 +17,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from gridloom.functions import timeaxis as tx
+
 
 def file_stream(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet",
                 max_files_per_trigger: int | None = None) -> DataFrame:
@@ -31,8 +33,20 @@ def file_stream(spark: SparkSession, path: str, schema: T.StructType, fmt: str =
 
 
 def event_time(df: DataFrame, ts: str, out: str = "event_time") -> DataFrame:
-    """Watermarks need ``timestamp``; batch data are ``timestamp_ntz`` (wall clock kept)."""
-    return df.withColumn(out, F.col(ts).cast("timestamp"))
+    """Watermarks need ``timestamp``; batch data are ``timestamp_ntz``.
+
+    The wall clock is mapped to the same instant in UTC whatever the session time
+    zone, so event-time windows start at wall-clock midnight.
+    """
+    return df.withColumn(out, F.timestamp_seconds(tx.epoch_seconds(ts)))
+
+
+def wall_clock(instant: F.Column) -> F.Column:
+    """Inverse of ``event_time``: a UTC instant back to a ``timestamp_ntz`` wall clock."""
+    secs = F.unix_seconds(instant)
+    return (F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+            + F.make_dt_interval(F.floor(secs / 86400).cast("int"), F.lit(0), F.lit(0),
+                                 F.pmod(secs, F.lit(86400)).cast("decimal(18,6)")))
 
 
 def run_available(df: DataFrame, sink: str, checkpoint: str, mode: str = "append", fmt: str = "parquet") -> None:
@@ -58,5 +72,5 @@ def completeness_stream(stream: DataFrame, ts: str, watermark: str, window: str
     """STM-2: rows per event-time window, emitted once the watermark closes the window."""
     s = event_time(stream, ts).withWatermark("event_time", watermark)
     return s.groupBy(F.window("event_time", window).alias("w")).agg(F.count(F.lit(1)).alias("rows")) \
-            .select(F.col("w.start").cast("timestamp_ntz").alias("window_start"),
-                    F.col("w.end").cast("timestamp_ntz").alias("window_end"), "rows")
+            .select(wall_clock(F.col("w.start")).alias("window_start"),
+                    wall_clock(F.col("w.end")).alias("window_end"), "rows")

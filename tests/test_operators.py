@@ -260,3 +260,21 @@ def test_relative_humidity_saturated(spark):
     df = spark.createDataFrame([(293.15, 293.15), (293.15, 300.0)], "t double, d double")
     out = [r[0] for r in df.select(phy.relative_humidity("t", "d")).collect()]
     assert math.isclose(out[0], 100.0) and out[1] == 100.0
+
+
+def test_wall_clock_functions_ignore_session_zone(spark):
+    """02:30 on 2001-04-01 does not exist in New York; NTZ wall clocks must not move."""
+    from gridloom.plans.present import present
+
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        df = spark.createDataFrame([("2001-04-01 02:30:00", "20010401_023000")], "a string, b string")
+        r = df.select(tx.parse_mixed("a").alias("p"), tx.parse_compact_time("b").alias("c")).select(
+            "p", "c", tx.time_label("p").alias("lbl"), tx.compact_time("p").alias("cmp"),
+            tx.trunc_hour("p").alias("h"))
+        row = present(r).first()
+        assert row["p"] == "2001-04-01 02:30:00" and row["c"] == "2001-04-01 02:30:00"
+        assert row["lbl"] == "02:30" and row["cmp"] == "20010401_023000" and row["h"] == "2001-04-01 02:00:00"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
