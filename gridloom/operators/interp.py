@@ -19,6 +19,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from gridloom.operators.fill import temporal_fill_linear
+from gridloom.session import cut_lineage
 
 # ---------------------------------------------------------------- 1-D splines
 
@@ -252,7 +253,7 @@ def st_fill(df: DataFrame, methods: dict[str, Method], day: str = "date", grid:
         todo = spatial_pass(todo, cols, ts, lon, lat, space_threshold)
         todo = temporal_pass(todo, methods, [day, grid], ts, time_threshold)
         if checkpoint:
-            todo = todo.checkpoint()
+            todo = cut_lineage(todo)
         # days without a gap left are final; only the others go round again (the reference's early exit)
         gap = F.max(any_null.cast("int")).over(Window.partitionBy(day)) > 0
         flagged = todo.withColumn("__gap", gap)

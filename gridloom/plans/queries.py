@@ -21,6 +21,7 @@ from gridloom.sources.schemas import FLOW_CELLS
 from gridloom.plans import views
 from gridloom.sources.tables import read_table
 from gridloom.plans.present import present
+from gridloom.session import cut_lineage
 
 HOURLY = 60
 
@@ -128,7 +129,7 @@ def q10_span_overlap(spark: SparkSession, base: str) -> DataFrame:
         F.lit("page"), F.col("page").cast("string"), F.lit("_rows10000_"),
         tx.compact_time("span_start"), F.lit("to"), tx.compact_time("span_end"), F.lit(".csv")))
     # one row per file: materialised once in the shared checkpoint folder, read by both sweeps
-    named = named.checkpoint()
+    named = cut_lineage(named)
     out = intervals.day_overlap(named, "span_start", "span_end", "page", ["file_name"])
     return present(out.select("date", F.col("n_spans").alias("n_files"), F.col("file_name").alias("first_file")))
 

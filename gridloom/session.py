@@ -52,3 +52,9 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique location under the shared checkpoint folder."""
     return f"{checkpoint_root(spark)}/gridloom/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def cut_lineage(df):
+    """Reliable checkpoint of ``df`` in the shared checkpoint folder (never a local checkpoint)."""
+    checkpoint_root(df.sparkSession)
+    return df.checkpoint(eager=True)
