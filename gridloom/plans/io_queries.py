@@ -115,7 +115,7 @@ def q61_page_file_roundtrip(spark: SparkSession, base: str) -> DataFrame:
               F.col("lon_max").alias(heads[3]), F.col("lat_max").alias(heads[4]),
               F.col("grid_id").cast("string").alias(heads[5]), (F.col("grid_id") % 4).alias(heads[6]),
               F.floor(F.col("grid_id") / 4).alias(heads[7])) \
-        .coalesce(1).write.mode("overwrite").option("header", True).csv(f"{root}/grid_info")
+        .write.mode("overwrite").option("header", True).csv(f"{root}/grid_info")
     grid_info = pages.read_grid_info(spark, f"{root}/grid_info")
 
     listed = pages.list_pages(spark, f"{root}/raw")
