@@ -67,11 +67,12 @@ def magnitude(x: str | Column, y: str | Column) -> Column:
     return F.sqrt(_c(x) * _c(x) + _c(y) * _c(y))
 
 
-def wind_components(df: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
+def wind_components(df: DataFrame, pairs: list[tuple[str, str]], suffixes: tuple[str, str] = ("_x", "_y")) -> DataFrame:
     """PHY-3: for each (speed, direction) pair add ``<speed>_x`` / ``<speed>_y`` and drop the pair."""
+    sx, sy = suffixes
     for speed, direction in pairs:
-        df = df.withColumns({f"{speed}_x": wind_x(speed, direction),
-                             f"{speed}_y": wind_y(speed, direction)}).drop(speed, direction)
+        df = df.withColumns({f"{speed}{sx}": wind_x(speed, direction),
+                             f"{speed}{sy}": wind_y(speed, direction)}).drop(speed, direction)
     return df
 
 
