@@ -140,7 +140,7 @@ SELECT {obs_select('d')} FROM dedup d JOIN ratio r ON CAST(d.ts AS DATE) = r.dat
 
 
 def q07() -> str:
-    return """WITH have AS (SELECT page_id AS page FROM pages WHERE starts_with(url, 'https')),
+    return """WITH have AS (SELECT DISTINCT l_orderkey AS page FROM lineitem),
 mx AS (SELECT max(page) AS m FROM have)
 SELECT CAST(r AS BIGINT) AS page FROM mx, range(1, mx.m + 1) t(r)
 WHERE r NOT IN (SELECT page FROM have)"""
