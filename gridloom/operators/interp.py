@@ -185,8 +185,9 @@ def multiquadric_fill(coords: np.ndarray, values: np.ndarray, epsilon: float = 2
     known, unknown = coords[~nan], coords[nan]
 
     def phi(a, b):
-        r = np.sqrt(((a[:, None, :] - b[None, :, :]) ** 2).sum(-1))
-        return np.sqrt((r / epsilon) ** 2 + 1.0)
+        # squared distances without an (n, m, 2) intermediate: |a|^2 + |b|^2 - 2 a.b
+        r2 = (a * a).sum(1)[:, None] + (b * b).sum(1)[None, :] - 2.0 * (a @ b.T)
+        return np.sqrt(np.maximum(r2, 0.0) / (epsilon * epsilon) + 1.0)
 
     a = phi(known, known) - np.eye(len(known)) * smooth
     w = np.linalg.solve(a, values[~nan])
