@@ -421,9 +421,8 @@ def q39_series_shape(spark: SparkSession, base: str) -> DataFrame:
     from gridloom.sources import catalog as cat
 
     s = views.daily_series(spark, base).withColumn("dataset", F.lit("lineitem_daily"))
-    desc = spark.createDataFrame([("lineitem_daily", "node_frame", 1440, 8, 2)],
-                                 "name string, reader string, step_minutes int, nodes int, channels int")
-    return present(cat.validate(s, desc))
+    desc = cat.Descriptor("lineitem_daily", "node_frame", 1440, 8, 2)
+    return present(cat.validate(s, [desc]))
 
 
 def q40_spatial_fill_local(spark: SparkSession, base: str) -> DataFrame:

@@ -122,12 +122,21 @@ def load(spark: SparkSession, desc: Descriptor, readers: dict[str, Callable[[Spa
     return readers[desc.reader](spark, desc)
 
 
-def validate(long: DataFrame, catalog: DataFrame) -> DataFrame:
-    """VAL-3 per dataset: length, nodes, channels against the descriptor, and regular steps (Q21)."""
+def validate(long: DataFrame, descriptors: list[Descriptor]) -> DataFrame:
+    """VAL-3 per dataset: length, nodes, channels against the descriptor, and regular steps (Q21).
+
+    The descriptors are configuration; they are looked up through a literal map
+    on the per-dataset aggregate, so no join is needed.
+    """
     act = long.groupBy("dataset").agg(
         F.count_distinct("step").alias("actual_length"), F.count_distinct("node").alias("actual_nodes"),
         F.count_distinct("channel").alias("actual_channels"), (F.max("step") + 1).alias("span_steps"))
-    j = catalog.join(act, catalog["name"] == act["dataset"], "left").drop("dataset")
+    table = F.create_map(*[x for d in descriptors for x in (
+        F.lit(d.name), F.struct(F.lit(d.reader).alias("reader"), F.lit(d.step_minutes).alias("step_minutes"),
+                                F.lit(d.nodes).alias("nodes"), F.lit(d.channels).alias("channels")))])
+    j = act.withColumn("__d", table[F.col("dataset")]).filter(F.col("__d").isNotNull())
+    j = j.select(F.col("dataset").alias("name"), "__d.*", "actual_length", "actual_nodes", "actual_channels",
+                 "span_steps")
     ok = ((F.col("actual_nodes") == F.col("nodes")) & (F.col("actual_channels") == F.col("channels"))
           & (F.col("actual_length") == F.col("span_steps")))
     return j.withColumn("status", F.when(ok, F.lit("ok")).otherwise(F.lit("mismatch")))
