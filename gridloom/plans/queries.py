@@ -38,6 +38,8 @@ def _map_text(m) -> F.Column:
 
 
 def q01_completeness_daily(spark: SparkSession, base: str) -> DataFrame:
+    """WIN-1 + AGG-2 + AGG-3: keep-first dedup of hourly cells, then the per-day completeness report
+    (points, missing and incomplete points with their lists, expected and actual cells, ratio)."""
     d = _obs_dedup(spark, base, 4)
     rep = quality.completeness(d, "ts", "grid_id", max_grid_id=3, step_minutes=HOURLY)
     rep = rep.withColumns({
@@ -48,27 +50,33 @@ def q01_completeness_daily(spark: SparkSession, base: str) -> DataFrame:
 
 
 def q02_dedup_keep_first(spark: SparkSession, base: str) -> DataFrame:
+    """WIN-1: one row per (hour, grid), the first by (page span start, page, row)."""
     return present(_obs_dedup(spark, base, 4))
 
 
 def q03_missing_times(spark: SparkSession, base: str) -> DataFrame:
+    """DT-1 + JN-6: scheduled hours of each grid's days that have no observation."""
     d = _obs_dedup(spark, base, 8)
     return present(quality.missing_times(d, "ts", HOURLY, by=["grid_id"]))
 
 
 def q04_gap_runs(spark: SparkSession, base: str) -> DataFrame:
+    """WIN-2: runs of consecutive missing hours per grid and day, flagged when adjacent."""
     d = _obs_dedup(spark, base, 8)
     miss = quality.missing_times(d, "ts", HOURLY, by=["grid_id"])
     return present(quality.gap_runs(miss, HOURLY, by=["grid_id"]))
 
 
 def q05_scaffold_join(spark: SparkSession, base: str) -> DataFrame:
+    """JN-1 + JN-2 + JN-3 + PRJ-4: observations on the generated (hour × grid) scaffold with grid
+    bounds and centres."""
     d = _obs_dedup(spark, base, 8).drop("page", "row_ord")
     grid = views.grid_dim(d)
     return present(scaffold.align(d, grid, HOURLY, max_grid_id=7))
 
 
 def q06_completeness_filter(spark: SparkSession, base: str) -> DataFrame:
+    """FLT-3: rows of the days whose completeness ratio reaches 0.95."""
     d = _obs_dedup(spark, base, 4)
     rep = quality.completeness(d, "ts", "grid_id", max_grid_id=3, step_minutes=HOURLY)
     kept, _ = quality.completeness_filter(d, rep, "ts", 0.95)
