@@ -19,6 +19,7 @@ from gridloom.operators import (dedup, features, fill, grid, interp, intervals,
 from gridloom.operators.interp import Method
 from gridloom.sources.schemas import FLOW_CELLS
 from gridloom.plans import views
+from gridloom.sources import pages
 from gridloom.sources.tables import read_table
 from gridloom.plans.present import present
 from gridloom.session import cut_lineage
@@ -97,20 +98,17 @@ def q07_missing_pages(spark: SparkSession, base: str) -> DataFrame:
     return present(want.join(have, "page", "left_anti"))
 
 
-def q08_missing_dates(spark: SparkSession, base: str) -> DataFrame:
-    """JN-7 + DT-3: calendar dates between the first and last order date with no orders."""
-    o = read_table(spark, base, "orders", ["o_orderdate"]).select(F.to_date("o_orderdate").alias("date"))
-    bounds = o.agg(F.min("date").alias("s"), F.max("date").alias("e"))
-    cal = scaffold.date_range_days(bounds, "s", "e")
-    return present(cal.join(o, "date", "left_anti"))
-
-
 def _missing_order_dates(spark: SparkSession, base: str) -> tuple[DataFrame, DataFrame]:
     o = read_table(spark, base, "orders", ["o_orderdate"]).select(F.to_date("o_orderdate").alias("date"))
     bounds = o.agg(F.min("date").alias("s"), F.max("date").alias("e"))
     return scaffold.date_range_days(bounds, "s", "e").join(o, "date", "left_anti"), bounds
 
 
+def q08_missing_dates(spark: SparkSession, base: str) -> DataFrame:
+    """JN-7 + DT-3: calendar dates between the first and last order date with no orders."""
+    return present(_missing_order_dates(spark, base)[0])
+
+
 def q09_chunk_plan(spark: SparkSession, base: str) -> DataFrame:
     """DT-4 + AGG-11: 15-day chunks from the first date; per chunk the missing days grouped by month."""
     k = 15
@@ -137,9 +135,7 @@ def q10_span_overlap(spark: SparkSession, base: str) -> DataFrame:
     li = read_table(spark, base, "lineitem", ["l_orderkey", "l_shipdate"])
     spans = li.groupBy(F.col("l_orderkey").alias("page")).agg(
         F.min("l_shipdate").alias("span_start"), F.max("l_shipdate").alias("span_end"))
-    named = spans.withColumn("file_name", F.concat(
-        F.lit("page"), F.col("page").cast("string"), F.lit("_rows10000_"),
-        tx.compact_time("span_start"), F.lit("to"), tx.compact_time("span_end"), F.lit(".csv")))
+    named = spans.withColumn("file_name", pages.page_name(F.col("page"), F.col("span_start"), F.col("span_end")))
     # one row per file: materialised once in the shared checkpoint folder, read by both sweeps
     named = cut_lineage(named)
     out = intervals.day_overlap(named, "span_start", "span_end", "page", ["file_name"])
