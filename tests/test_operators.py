@@ -278,3 +278,21 @@ def test_wall_clock_functions_ignore_session_zone(spark):
         assert row["lbl"] == "02:30" and row["cmp"] == "20010401_023000" and row["h"] == "2001-04-01 02:00:00"
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+@settings(max_examples=12, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 40), st.integers(0, 12), st.integers(0, 3)), min_size=1, max_size=25))
+def test_day_overlap_sweep_equals_direct_form(spark, spans):
+    """The sweep (counts + record spans) gives what expanding every span into its days gives."""
+    from gridloom.operators import intervals
+
+    base = dt.datetime(2024, 1, 1)
+    rows = [(i, base + dt.timedelta(days=s, hours=h), base + dt.timedelta(days=s + n, hours=h))
+            for i, (s, n, h) in enumerate(spans)]
+    df = spark.createDataFrame(rows, "page bigint, s timestamp_ntz, e timestamp_ntz")
+    got = {r["date"]: (r["n_spans"], r["page_out"]) for r in
+           intervals.day_overlap(df.withColumn("page_out", F.col("page")), "s", "e", "page", ["page_out"]).collect()}
+    direct = intervals.span_days(df, "s", "e").groupBy("date").agg(
+        F.count(F.lit(1)).alias("n"), F.min_by("page", F.struct("s", "page")).alias("first"))
+    want = {r["date"]: (r["n"], r["first"]) for r in direct.collect()}
+    assert got == want
