@@ -152,7 +152,7 @@ def training_samples(spark: SparkSession, tensor_folder: str, steps: int, grids:
     sliding windows inside a day (``sliding``) or tumbling windows (``tumbling``), with their
     timestamps and node coordinates attached.
     """
-    long, _report = tensorfiles.read_tensor_days(spark, tensor_folder, steps, grids, n_features)
+    long, _report = tensorfiles.read_tensor_days(spark, tensor_folder, steps, grids, n_features, require_any=True)
     times = tensorfiles.read_time_index(spark, f"{tensor_folder}/time_index")
     # NRM-1: per-feature mean / population std over all values (a partial aggregate per feature)
     st = long.groupBy("feature").agg(F.avg("value").alias("mu"), F.stddev_pop("value").alias("sd"))

@@ -55,10 +55,12 @@ def write_tensor_days(df: DataFrame, folder: str, steps: int, grids: int, featur
     return written.unionByName(bad)
 
 
-def read_tensor_days(spark: SparkSession, folder: str, steps: int, grids: int, n_features: int) -> tuple[DataFrame, DataFrame]:
+def read_tensor_days(spark: SparkSession, folder: str, steps: int, grids: int, n_features: int,
+                     require_any: bool = False) -> tuple[DataFrame, DataFrame]:
     """SRC-13: decode ``*.bin`` day tensors to long rows; files of the wrong size are reported, not read.
 
-    Returns (long rows, file report).  Raises when no valid file exists.
+    Returns (long rows, file report).  With ``require_any`` a folder without a single valid file
+    is an error (checked on the file listing only, no content read).
     """
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.bin").load(folder)
     expected = steps * grids * n_features * 4
@@ -75,6 +77,8 @@ def read_tensor_days(spark: SparkSession, folder: str, steps: int, grids: int, n
                                     "step": s.ravel().astype("int64"), "node": g.ravel().astype("int64"),
                                     "feature": f.ravel().astype("int64"), "value": a.ravel()})
 
+    if require_any and report.filter(F.col("status") == "success").isEmpty():
+        raise ValueError(f"no valid tensor file of {expected} bytes in {folder}")
     good = files.filter(F.col("length") == expected).select(name.alias("stem"), "content")
     long = good.mapInPandas(decode, LONG_SCHEMA)
     # NaN marks a missing value inside a float tensor; NULL is the missing value of a table

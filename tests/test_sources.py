@@ -105,3 +105,12 @@ def test_feature_schema_validation():
     from dataclasses import replace
     with pytest.raises(ValueError):
         replace(FLOW_CELLS, grad_dim=7).validate()
+
+
+def test_tensor_reader_requires_a_valid_file(spark):
+    root = scratch_path(spark, "t-tensor-bad")
+    spark.createDataFrame([(b"\x00" * 12,)], "b binary").write.parquet(root + "/x")  # a folder with no .bin file
+    with open(_local(root) + "/20240101.bin", "wb") as f:
+        f.write(b"\x00" * 8)
+    with pytest.raises(ValueError):
+        tensorfiles.read_tensor_days(spark, root, 3, 2, 2, require_any=True)
