@@ -161,7 +161,8 @@ def q62_catalog_dispatch(spark: SparkSession, base: str) -> DataFrame:
         status = catalog.write_npy_chunks(s.withColumn("chunk", F.floor(F.col("step") / 32)), folder, "chunk",
                                           "step", "node", "channel", "value", desc.nodes, desc.channels)
         status.write.mode("overwrite").parquet(f"{folder}/_status")
-        start = s.agg(F.min("ts")).scalar()
+        start = read_table(sp, base, "lineitem", ["l_shipdate"]).agg(
+            F.min(F.to_date("l_shipdate")).cast("timestamp_ntz")).scalar()
         return catalog.read_npy_chunks(sp, folder, desc.name, start, desc.step_minutes)
 
     readers = {"node_frame": node_frame, "wide_channels": wide_channels, "grid_frames": grid_frames,

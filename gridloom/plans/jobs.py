@@ -164,7 +164,7 @@ def training_samples(spark: SparkSession, tensor_folder: str, steps: int, grids:
         packed = wide.groupBy("date", "step").agg(
             F.transform(F.array_sort(F.collect_list(F.struct("node", "f"))), lambda e: e["f"]).alias("features"),
             F.array_sort(F.collect_list("node")).alias("nodes"))
-        first = packed.agg(F.min("date")).scalar()
+        first = times.agg(F.min("date")).scalar()  # the small time index, not the tensors
         packed = packed.withColumn("sample_id", (F.datediff("date", first) * steps + F.col("step")).cast("bigint"))
         return tensors.step_samples(packed, "sample_id", mask_rate, seed).join(times, ["date", "step"], "left")
     if mode == "sliding":

@@ -320,6 +320,18 @@ def _filled_steps(spark: SparkSession, base: str) -> DataFrame:
     return f.withColumn("step", tx.step_of_day("ts", HOURLY).cast("bigint"))
 
 
+def _first_obs_day(spark: SparkSession, base: str):
+    """First day with data, as a scalar subquery read straight off the events scan."""
+    return read_table(spark, base, "events", ["ts"]).agg(F.min(F.to_date("ts"))).scalar()
+
+
+def _series_length(spark: SparkSession, base: str):
+    """S = days from the first to the last ship date, as a scalar subquery off the line-item scan."""
+    li = read_table(spark, base, "lineitem", ["l_shipdate"])
+    return li.agg((F.datediff(F.max(F.to_date("l_shipdate")), F.min(F.to_date("l_shipdate"))) + 1)
+                  .cast("bigint")).scalar()
+
+
 def _packed_days(spark: SparkSession, base: str) -> DataFrame:
     return tensors.pack_steps(_filled_steps(spark, base), ["date", "step", "ts"], "grid_id", SAMPLE_FEATURES)
 
@@ -337,7 +349,7 @@ def q35_pack_day(spark: SparkSession, base: str) -> DataFrame:
 def q29_step_samples_masked(spark: SparkSession, base: str) -> DataFrame:
     """SMP-1 + MSK-1/2: one sample per (day, step), 25 % of nodes masked to 0 in data, target kept."""
     p = _packed_days(spark, base)
-    first = p.agg(F.min("date")).scalar()
+    first = _first_obs_day(spark, base)
     p = p.withColumn("sample_id", (F.datediff("date", first) * 24 + F.col("step")).cast("bigint"))
     smp = tensors.step_samples(p, "sample_id", mask_rate=0.25, seed=7)
     a = smp.select("sample_id", F.posexplode(F.arrays_zip("data", "target", "mask", "nodes")).alias("node_pos", "e"))
@@ -365,16 +377,14 @@ def q31_tumbling_in_day(spark: SparkSession, base: str) -> DataFrame:
 def q32_sliding_series(spark: SparkSession, base: str) -> DataFrame:
     """SMP-4: S - W + 1 stride-1 windows (W = 4) over the whole daily lineitem series."""
     s = views.daily_series(spark, base)
-    n = s.agg((F.max("step") + 1).alias("n")).scalar()
-    w = tensors.series_sliding_rows(s, "step", 4, n)
+    w = tensors.series_sliding_rows(s, "step", 4, _series_length(spark, base))
     return present(w.select("window_start", "k", "node", "channel", "value"))
 
 
 def q33_tumbling_series(spark: SparkSession, base: str) -> DataFrame:
     """SMP-5: S div W windows (W = 7), remainder dropped."""
     s = views.daily_series(spark, base)
-    n = s.agg((F.max("step") + 1).alias("n")).scalar()
-    w = tensors.tumbling_window_rows(s, "step", 7, drop_remainder_of=n)
+    w = tensors.tumbling_window_rows(s, "step", 7, drop_remainder_of=_series_length(spark, base))
     return present(w.select("window_id", "k", "node", "channel", "value"))
 
 
@@ -511,7 +521,7 @@ def q55_conform_schema(spark: SparkSession, base: str) -> DataFrame:
 def q56_sample_context(spark: SparkSession, base: str) -> DataFrame:
     """JN-10 + JN-11 + SRC-15: each step sample with its timestamp and the coordinates of its nodes."""
     p = _packed_days(spark, base).select("date", "step", "nodes")
-    first = p.agg(F.min("date")).scalar()
+    first = _first_obs_day(spark, base)
     p = p.withColumn("sample_id", (F.datediff("date", first) * 24 + F.col("step")).cast("bigint"))
     time_index = _filled_steps(spark, base).select("date", "step", "ts").distinct()
     coords_tbl = scaffold.center_coords(views.grid_dim(_obs_dedup(spark, base, 4))) \
