@@ -40,15 +40,32 @@ def align(obs: DataFrame, grid: DataFrame | None, step_minutes: int, max_grid_id
           ts: str = "ts", grid_col: str = "grid_id") -> DataFrame:
     """JN-1 + JN-2 + JN-3: observations (unique per (ts, grid)) on the full scaffold of their days.
 
-    Missing cells are NULL in every measure and get ``observed = false``.  Grid bounds
-    are joined by id (the grid table holds at most ``max_grid_id + 1`` rows once
-    filtered to the id range, and the broadcast is size-checked) and centres derived.
+    Missing cells are NULL in every measure and get ``observed = false``; observations off the
+    step schedule or outside the grid-id range find no cell and are left out, as in a left join
+    of the scaffold with the observations.
+
+    The T×G cells of a day are never shuffled.  Observations are collected per (day, grid) —
+    at most T of them — into a step-keyed map; the small (day × grid) table is left-joined with
+    those maps; each row then expands into its T cells in the task that holds it.  The output
+    is already partitioned by (day, grid), so per-series windows run without another exchange.
+    Grid bounds are joined by id (the grid table, filtered to the id range, has at most
+    ``max_grid_id + 1`` rows; the broadcast is size-checked) and centres derived.
     """
-    o = obs.withColumnRenamed(ts, "ts").withColumnRenamed(grid_col, "grid_id") \
-           .withColumn("__present", F.lit(True))
-    sc = scaffold(data_days(o), step_minutes, max_grid_id)
-    out = sc.join(o, ["ts", "grid_id"], "left")
-    out = out.withColumn("observed", F.coalesce(F.col("__present"), F.lit(False))).drop("__present")
+    steps = 1440 // step_minutes
+    o = obs.withColumnRenamed(ts, "ts").withColumnRenamed(grid_col, "grid_id")
+    values = [c for c in o.columns if c not in ("ts", "grid_id")]
+    o = o.filter(tx.on_schedule("ts", step_minutes) & F.col("grid_id").between(0, max_grid_id))
+    cells = o.groupBy(F.to_date("ts").alias("date"), "grid_id").agg(F.map_from_entries(F.collect_list(F.struct(
+        tx.step_of_day("ts", step_minutes).alias("k"),
+        F.struct(*[F.col(c) for c in values]).alias("v")))).alias("__m"))
+    series = data_days(o).select("date", F.explode(F.sequence(F.lit(0).cast("bigint"),
+                                                               F.lit(max_grid_id).cast("bigint"))).alias("grid_id"))
+    j = series.join(cells, ["date", "grid_id"], "left")
+    e = j.select("date", "grid_id", "__m", F.explode(F.sequence(F.lit(0), F.lit(steps - 1))).alias("__k"))
+    hit = F.col("__m")[F.col("__k")]
+    out = e.select((F.col("date").cast("timestamp_ntz") + tx.minutes(F.col("__k") * step_minutes)).alias("ts"),
+                   "grid_id", "date", *[hit[c].alias(c) for c in values],
+                   hit.isNotNull().alias("observed"))
     if grid is not None:
         g = grid.filter(F.col("grid_id").between(0, max_grid_id))
         out = center_coords(dimension_join(out, g, "grid_id", "left"))
