@@ -45,27 +45,33 @@ def align(obs: DataFrame, grid: DataFrame | None, step_minutes: int, max_grid_id
     of the scaffold with the observations.
 
     The T×G cells of a day are never shuffled.  Observations are collected per (day, grid) —
-    at most T of them — into a step-keyed map; the small (day × grid) table is left-joined with
-    those maps; each row then expands into its T cells in the task that holds it.  The output
+    at most T of them; the small (day × grid) table is left-joined with those lists; each row
+    then expands into its observed steps plus the missing ones (``array_except`` against
+    ``0..T-1``) in the task that holds it.  The output
     is already partitioned by (day, grid), so per-series windows run without another exchange.
     Grid bounds are joined by id (the grid table, filtered to the id range, has at most
     ``max_grid_id + 1`` rows; the broadcast is size-checked) and centres derived.
     """
     steps = 1440 // step_minutes
     o = obs.withColumnRenamed(ts, "ts").withColumnRenamed(grid_col, "grid_id")
-    values = [c for c in o.columns if c not in ("ts", "grid_id")]
+    values = [f for f in o.schema.fields if f.name not in ("ts", "grid_id")]
     o = o.filter(tx.on_schedule("ts", step_minutes) & F.col("grid_id").between(0, max_grid_id))
-    cells = o.groupBy(F.to_date("ts").alias("date"), "grid_id").agg(F.map_from_entries(F.collect_list(F.struct(
-        tx.step_of_day("ts", step_minutes).alias("k"),
-        F.struct(*[F.col(c) for c in values]).alias("v")))).alias("__m"))
+    cells = o.groupBy(F.to_date("ts").alias("date"), "grid_id").agg(F.collect_list(F.struct(
+        tx.step_of_day("ts", step_minutes).alias("k"), *[F.col(f.name) for f in values])).alias("__obs"))
+    obs_type = cells.schema["__obs"].dataType.simpleString()
     series = data_days(o).select("date", F.explode(F.sequence(F.lit(0).cast("bigint"),
                                                                F.lit(max_grid_id).cast("bigint"))).alias("grid_id"))
     j = series.join(cells, ["date", "grid_id"], "left")
-    e = j.select("date", "grid_id", "__m", F.explode(F.sequence(F.lit(0), F.lit(steps - 1))).alias("__k"))
-    hit = F.col("__m")[F.col("__k")]
-    out = e.select((F.col("date").cast("timestamp_ntz") + tx.minutes(F.col("__k") * step_minutes)).alias("ts"),
-                   "grid_id", "date", *[hit[c].alias(c) for c in values],
-                   hit.isNotNull().alias("observed"))
+    seen = F.coalesce(F.col("__obs"), F.array().cast(obs_type))
+    # observed steps as they are, the other steps as NULL cells: O(T) per series, no lookups
+    have = F.transform(seen, lambda x: F.struct(x["k"].alias("k"), *[x[f.name].alias(f.name) for f in values],
+                                                F.lit(True).alias("observed")))
+    gaps = F.transform(F.array_except(F.sequence(F.lit(0), F.lit(steps - 1)), F.transform(seen, lambda x: x["k"])),
+                       lambda k: F.struct(k.alias("k"), *[F.lit(None).cast(f.dataType).alias(f.name) for f in values],
+                                          F.lit(False).alias("observed")))
+    e = j.select("date", "grid_id", F.inline(F.concat(have, gaps)))
+    out = e.select((F.col("date").cast("timestamp_ntz") + tx.minutes(F.col("k") * step_minutes)).alias("ts"),
+                   "grid_id", "date", *[f.name for f in values], "observed")
     if grid is not None:
         g = grid.filter(F.col("grid_id").between(0, max_grid_id))
         out = center_coords(dimension_join(out, g, "grid_id", "left"))
