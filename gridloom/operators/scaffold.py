@@ -57,16 +57,15 @@ def align(obs: DataFrame, grid: DataFrame | None, step_minutes: int, max_grid_id
     values = [f for f in o.schema.fields if f.name not in ("ts", "grid_id")]
     o = o.filter(tx.on_schedule("ts", step_minutes) & F.col("grid_id").between(0, max_grid_id))
     cells = o.groupBy(F.to_date("ts").alias("date"), "grid_id").agg(F.collect_list(F.struct(
-        tx.step_of_day("ts", step_minutes).alias("k"), *[F.col(f.name) for f in values])).alias("__obs"))
+        tx.step_of_day("ts", step_minutes).alias("k"), *[F.col(f.name) for f in values],
+        F.lit(True).alias("observed"))).alias("__obs"))
     obs_type = cells.schema["__obs"].dataType.simpleString()
     series = data_days(o).select("date", F.explode(F.sequence(F.lit(0).cast("bigint"),
                                                                F.lit(max_grid_id).cast("bigint"))).alias("grid_id"))
     j = series.join(cells, ["date", "grid_id"], "left")
-    seen = F.coalesce(F.col("__obs"), F.array().cast(obs_type))
-    # observed steps as they are, the other steps as NULL cells: O(T) per series, no lookups
-    have = F.transform(seen, lambda x: F.struct(x["k"].alias("k"), *[x[f.name].alias(f.name) for f in values],
-                                                F.lit(True).alias("observed")))
-    gaps = F.transform(F.array_except(F.sequence(F.lit(0), F.lit(steps - 1)), F.transform(seen, lambda x: x["k"])),
+    have = F.coalesce(F.col("__obs"), F.array().cast(obs_type))
+    # observed steps as collected, the other steps as NULL cells: O(T) per series, no lookups
+    gaps = F.transform(F.array_except(F.sequence(F.lit(0), F.lit(steps - 1)), have["k"]),
                        lambda k: F.struct(k.alias("k"), *[F.lit(None).cast(f.dataType).alias(f.name) for f in values],
                                           F.lit(False).alias("observed")))
     e = j.select("date", "grid_id", F.inline(F.concat(have, gaps)))
