@@ -17,7 +17,7 @@ DEFAULT_MAX_BROADCAST = 64 * 1024 * 1024
 def estimated_bytes(df: DataFrame) -> int | None:
     """Catalyst's size estimate of a plan, or None when it cannot be read (e.g. Spark Connect)."""
     try:
-        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     except Exception:  # noqa: BLE001 - estimate is advisory only
         return None
 
