@@ -48,3 +48,16 @@ def test_hot_key_is_combined_map_side(spark):
     # hours present: 0 and the 16 hours h in 1..23 with h mod 3 != 0, one cell each
     assert rep["actual_points"] == 17 and rep["missing_time_points_count"] == 7
     assert rep["incomplete_time_points_count"] == 17
+
+
+def test_dimension_join_broadcasts_only_under_the_estimate(spark):
+    from gridloom.operators.joins import dimension_join, estimated_bytes
+
+    fact = spark.range(0, 100000).withColumn("k", F.col("id") % 10)
+    dim = spark.range(0, 10).withColumnRenamed("id", "k").withColumn("name", F.col("k").cast("string"))
+    assert estimated_bytes(dim) is not None
+    small = _plan(dimension_join(fact, dim, "k", "left"))
+    assert "BroadcastHashJoin" in small
+    capped = dimension_join(fact, dim, "k", "left", max_bytes=0)
+    hinted = capped._jdf.queryExecution().analyzed().toString()
+    assert "broadcast" not in hinted.lower()
