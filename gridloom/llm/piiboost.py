@@ -53,6 +53,7 @@ _LOOSE_AT = re.compile(r"[\w.%+-]{1,64}(?:\s?[(\[{]\s?at\s?[)\]}]\s?|\s?@\s?)[\w
                        r"(?:(?:\s?[(\[{]\s?dot\s?[)\]}]\s?|\.)[\w-]{1,63}){1,5}", re.I)
 _LOOSE_DOTS = re.compile(r"(?<![0-9.])[0-9]{1,4}(?:[.,][0-9]{1,4}){3}(?![0-9])")
 _LOOSE_DIGITS = re.compile(r"(?<![\w+])[+(]{0,2}[0-9](?:[\x20().,/_-]{0,2}[0-9]){6,24}(?!\w)")
+_LOOSE_SOLID = re.compile(r"(?<![\w.,/-])[0-9](?:[._-]?[0-9]){12,18}(?![\w])")  # one group between blanks, whatever stands beside it
 _CUES = {"email": re.compile(r"mail|e-mail|contact|write", re.I), "ip": re.compile(r"\bip\b|host|addr|server", re.I),
          "card": re.compile(r"card|visa|credit|pay|carte|karte|tarjeta", re.I),
          "phone": re.compile(r"phone|\btel|call|mobile|fax|t[eé]l", re.I)}
@@ -118,6 +119,7 @@ def candidates(text: str | None) -> list[tuple[int, int, str]]:
                         break
     if any(d in text for d in "0123456789"):
         out.update((m.start(), m.end(), "ip") for m in _LOOSE_DOTS.finditer(text))
+        out.update((m.start(), m.end(), "card") for m in _LOOSE_SOLID.finditer(text))
         for m in _LOOSE_DIGITS.finditer(text):
             n = len(_digits(m.group()))
             if 13 <= n <= 19:

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gridloom.llm import divergence, embeddup, langid, mixing, packing, piiboost, preference, simhash
+from gridloom.llm import divergence, embeddup, katz, langid, mixing, packing, piiboost, preference, simhash, tokenfile
 from gridloom.sources.tables import read_table
 
 
@@ -27,6 +27,11 @@ def op2_langid(spark: SparkSession, d: str) -> DataFrame:
     return langid.identify(read_table(spark, d, "documents"))
 
 
+def op3_tokenfile(spark: SparkSession, d: str) -> DataFrame:
+    """Operator 3: every document's place, length and checksum, read back from the written files."""
+    return tokenfile.digest(tokenfile.write_tokens(read_table(spark, d, "documents"), vocabulary(tokenfile.VOCABULARY)))
+
+
 def op4_mixing(spark: SparkSession, d: str) -> DataFrame:
     """Operator 4: words the mix takes of every document."""
     return mixing.taken(read_table(spark, d, "documents"))
@@ -52,13 +57,19 @@ def op8_divergence(spark: SparkSession, d: str) -> DataFrame:
     return divergence.rate(read_table(spark, d, "documents"))
 
 
+def op9_katz(spark: SparkSession, d: str) -> DataFrame:
+    """Operator 9: unigram and Katz scores of every document."""
+    return katz.score(read_table(spark, d, "documents"))
+
+
 def op10_pii(spark: SparkSession, d: str) -> DataFrame:
     """Operator 10: personal data of every document."""
     return piiboost.search(read_table(spark, d, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_simhash, op2_langid, op4_mixing, op5_embedding_dedup, op6_preference, op7_packing, op8_divergence, op10_pii)}
+    f.__name__: f for f in (
+        op1_simhash, op2_langid, op3_tokenfile, op4_mixing, op5_embedding_dedup, op6_preference, op7_packing, op8_divergence, op9_katz, op10_pii)}
 
 #: Spark and DuckDB share md5, so systematic sampling is the same arithmetic in both.
 MIXING_SQL = """
