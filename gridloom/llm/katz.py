@@ -43,6 +43,7 @@ from pyspark.sql import functions as F
 from gridloom.llm.common import documents, held_out, raw, stored, text_slices
 
 K, CHUNK_TOKENS, MODULUS = 5, 2_000_000, 5
+BUCKETS_PER_PARTITION = 4  # groups smaller than a shuffle partition, as a group is unpacked in memory
 _END = b"</s> "  # holds a blank, so no word equals it
 _START = np.uint64((1 << 64) - 1)  # id of the empty history; word ids stay below bucket << 32
 _ROW = "kind string, chunk long, bucket int, n long, blob binary"
@@ -373,7 +374,7 @@ class Model:
 
     def __init__(self, docs: DataFrame, modulus: int = MODULUS):
         spark = docs.sparkSession
-        self.buckets = buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        self.buckets = buckets = BUCKETS_PER_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions"))
         first = stored(documents(docs).mapInArrow(_chunks(buckets, modulus), _ROW), "katz-chunks", "kind")
         streams = first.where("kind = 'stream'")
         self.total = total = streams.agg(F.sum("n")).first()[0] or 0
