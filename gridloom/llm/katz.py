@@ -16,7 +16,8 @@ Tokens travel as packed integer arrays, not as rows:
    8 per bucket, are spread over all buckets by the following word.
 4. A history bucket adds the pair counts up, writes its part of the bigram table, and returns per
    document the sums that need no discount, how many tokens had count 1..K, and the backoff events with the
-   statistics of their history (mass freed per count, unigram mass covered).
+   statistics of their history (mass freed per count, unigram mass covered).  A task works its
+   buckets off one by one and sends each chunk's sums once.
 5. With the bigram discounts known, alpha is computed per history and the sums of each document are added.
 
 The driver sees counts of counts and the bounded list of heavy histories.  Words are told apart by
@@ -219,7 +220,7 @@ def _pairs(buckets: int, total: int, distinct: int, heavy: np.ndarray):
         c = counts[stream]
         base = np.add.reduceat(np.log10((c + 0.5) / (total + 0.5 * (distinct + 1))), first)
         known = np.add.reduceat((c > 0).astype(np.int64), first)
-        out = [("doc", chunk, 0, 0, pack(docs.astype(np.uint64), null, held, lengths, known, base))]
+        out = [("doc", chunk, chunk % buckets, 0, pack(docs.astype(np.uint64), null, held, lengths, known, base))]
         # history of each token: the token before it, the start symbol at a document's head
         wide = len(ids)
         history = np.r_[0, stream[:-1]]
@@ -257,12 +258,9 @@ def _pairs(buckets: int, total: int, distinct: int, heavy: np.ndarray):
 def _count_pairs(total: int, word_counts: list[int], heavy: np.ndarray, heavy_counts: np.ndarray):
     p_of = unigram(total, word_counts)
 
-    def run(rows: pa.Table) -> pa.Table:
-        bucket = rows.column("bucket")[0].as_py()
-        out = [(r["kind"], r["chunk"], 0, 0, r["blob"]) for r in _of(rows, "doc")]
-        mine = _of(rows, "pairs")
-        if not mine:
-            return pa.Table.from_batches([_rows(out)])
+    def one(bucket: int, mine: list[dict], totals: dict[int, list[np.ndarray]]) -> list[tuple]:
+        """One bucket's rows; its documents' sums are added to ``totals`` by chunk."""
+        out: list[tuple] = []
         hs, ws, cs, entry_pair, entry_chunk, entry_doc, entry_n, trains, at = [], [], [], [], [], [], [], [], 0
         for k, r in enumerate(mine):
             gaps, w, c, entries, doc, times, bits = unpack(r["blob"])
@@ -311,7 +309,8 @@ def _count_pairs(total: int, word_counts: list[int], heavy: np.ndarray, heavy_co
             doc, n, cc = e_doc[of_chunk], e_n[of_chunk], e_count[of_chunk]
             plain = np.bincount(doc, weights=value[of_chunk], minlength=r["n"])
             small = [np.bincount(doc, weights=n * (cc == x), minlength=r["n"]).astype(np.int64) for x in range(1, K + 1)]
-            out.append(("sum", r["chunk"], bucket, 0, pack(plain, *small)))
+            for x, y in zip(totals.setdefault(r["chunk"], [np.zeros(r["n"])] + [np.zeros(r["n"], np.int64) for _ in small]), (plain, *small)):
+                x += y
         chunks = np.array([r["chunk"] for r in mine], np.int64)
         for kind, events in (("event", ~e_seen & (c_h[e_hist] > 0)), ("full", e_seen & (is_heavy & full)[e_hist])):
             on = np.flatnonzero(events)
@@ -320,7 +319,27 @@ def _count_pairs(total: int, word_counts: list[int], heavy: np.ndarray, heavy_co
                 out.append((kind, 0, bucket, 0, pack(
                     c_h[used], np.where(is_heavy[used], place[used] + 1, 0), *by_r[used].astype(np.int64).T, covered[used],
                     back, chunks.astype(np.uint64), e_chunk[on], e_doc[on], e_n[on])))
-        return pa.Table.from_batches([_rows(out)])
+        return out
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Buckets one after the other (rows come sorted); the partition's sums leave once, at its end."""
+        totals: dict[int, list[np.ndarray]] = {}
+        part, bucket, mine = TaskContext.get().partitionId(), None, []
+        for batch in batches:
+            for i in range(batch.num_rows):
+                r = batch.slice(i, 1).to_pylist()[0]
+                if r["kind"] == "doc":
+                    yield _rows([("doc", r["chunk"], part, 0, r["blob"])])
+                    continue
+                if r["bucket"] != bucket and mine:
+                    yield _rows(one(bucket, mine, totals))
+                    mine = []
+                bucket = r["bucket"]
+                mine.append(r)
+        if mine:
+            yield _rows(one(bucket, mine, totals))
+        for chunk, sums in totals.items():
+            yield _rows([("sum", chunk, part, 0, pack(*sums))])
     return run
 
 
@@ -391,7 +410,9 @@ class Model:
         heavy, counts = heavy[order], counts[order]
         asked = streams.unionByName(words.where("kind = 'reply'"))
         pairs = asked.groupBy("chunk").applyInArrow(_pairs(buckets, total, self.distinct, heavy), _ROW)
-        counted = stored(pairs.groupBy("bucket").applyInArrow(_count_pairs(total, self.word_counts, heavy, counts), _ROW), "katz-pairs", "kind")
+        parts = max(1, buckets // BUCKETS_PER_PARTITION)
+        counted = stored(pairs.repartition(parts, "bucket").sortWithinPartitions("bucket", "chunk")
+                         .mapInArrow(_count_pairs(total, self.word_counts, heavy, counts), _ROW), "katz-pairs", "kind")
         self.pairs = counted.where("kind = 'model'")
         self.pair_counts = np.sum([np.zeros(K + 1, np.int64)] + [unpack(r["blob"])[0].astype(np.int64) for r in
                                   counted.where("kind = 'stat'").select("blob").collect()], axis=0).tolist()
