@@ -17,7 +17,7 @@ import numpy as np
 _PIECE = re.compile(r"(?:\A\s*|[ \n])\S+(?:(?:\s{2,}|[^\S \n])\S+)*(?:\s+\Z)?|\s+")
 _ODD = re.compile(r"\s{2,}|[^\S \n]|\A\s|\s\Z")
 #: pieces a worker keeps; once full, further pieces are encoded per call (memory bound, no effect on results)
-CACHE_PIECES = 1_000_000
+CACHE_PIECES = 600_000
 _LONGEST_CACHED = 64
 
 
