@@ -95,17 +95,14 @@ def global_grid_points(lat_step: float, lon_step: float) -> tuple[int, int]:
     return int(round(180.0 / lat_step)) + 1, int(round(360.0 / lon_step))
 
 
-# Fixed values of our seeded mask (MSK-1): multiplier, increment and modulus of the mixing hash.
-MASK_MULT = 1103515245
-MASK_INC = 12345
-MASK_MOD = 10007
-
-
 def sensor_mask(sample_id: str | Column, node: str | Column, rate: float, seed: int = 0) -> Column:
-    """MSK-1 (our definition): repeatable per-(sample, node) failure mask without RNG state."""
-    h = F.pmod(_c(sample_id).cast("bigint") * MASK_MULT + _c(node).cast("bigint") * MASK_INC + F.lit(seed),
-               F.lit(MASK_MOD))
-    return h < F.lit(int(rate * MASK_MOD))
+    """MSK-1 (our definition): repeatable per-(sample, node) failure mask without RNG state.
+
+    The first 32 bits of md5("seed|sample|node") are compared with the rate, so nodes, samples
+    and seeds are independent of each other.
+    """
+    key = F.concat_ws("|", F.lit(str(seed)), _c(sample_id).cast("bigint").cast("string"), _c(node).cast("bigint").cast("string"))
+    return F.conv(F.substring(F.md5(key), 1, 8), 16, 10).cast("bigint") < F.lit(int(rate * 2 ** 32))
 
 
 def apply_mask(value: str | Column, mask: str | Column) -> Column:

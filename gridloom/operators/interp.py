@@ -28,8 +28,9 @@ def spline_knots(x: np.ndarray, k: int) -> np.ndarray:
     """Knot vector of an interpolating spline of degree k through sites x.
 
     Odd k: not-a-knot (interior knots at the sites, the k-1 sites nearest each end
-    left out).  k = 2: interior knots at the midpoints between sites, the first
-    and last midpoint left out.  k = 1: knots at the sites (broken line).
+    left out).  Even k: interior knots at the midpoints between sites, the k/2
+    midpoints nearest each end left out.  k = 1: knots at the sites (broken line).
+    With fewer than k + 1 sites the caller uses degree (sites - 1).
     """
     x = np.asarray(x, dtype=float)
     if k == 1:
@@ -37,8 +38,8 @@ def spline_knots(x: np.ndarray, k: int) -> np.ndarray:
     elif k % 2 == 1:
         m = (k + 1) // 2
         inner = x[m:-m]
-    elif k == 2:
-        inner = ((x[1:] + x[:-1]) / 2.0)[1:-1]
+    elif 1 < k <= 5:
+        inner = ((x[1:] + x[:-1]) / 2.0)[k // 2:len(x) - 1 - k // 2]
     else:
         raise ValueError(f"unsupported spline degree {k}")
     return np.r_[(x[0],) * (k + 1), inner, (x[-1],) * (k + 1)]

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridloom.functions import timeaxis as tx
-from gridloom.operators.joins import DEFAULT_MAX_BROADCAST, dimension_join, estimated_bytes
+from gridloom.operators.joins import dimension_join
 
 
 def scaffold(days: DataFrame, step_minutes: int, max_grid_id: int, day: str = "date") -> DataFrame:
@@ -37,53 +37,40 @@ def center_coords(df: DataFrame) -> DataFrame:
 
 
 def align(obs: DataFrame, grid: DataFrame | None, step_minutes: int, max_grid_id: int,
-          ts: str = "ts", grid_col: str = "grid_id", max_broadcast: int = DEFAULT_MAX_BROADCAST) -> DataFrame:
+          ts: str = "ts", grid_col: str = "grid_id") -> DataFrame:
     """JN-1 + JN-2 + JN-3: observations (unique per (ts, grid)) on the full scaffold of their days.
 
-    Missing cells are NULL in every measure and get ``observed = false``; observations off the
-    step schedule or outside the grid-id range find no cell and are left out, as in a left join
-    of the scaffold with the observations.
-
-    The T×G cells are never shuffled.  Two plans, chosen by Catalyst's size estimate of the
-    observations (the same check as every broadcast here):
-
-    * small observations: the scaffold is generated per day in the tasks that own the days and
-      left-joined with the broadcast observations on (day, time, grid);
-    * otherwise: observations are collected per (day, grid) — at most T of them — the small
-      (day × grid) table is left-joined with those lists, and each row expands into its observed
-      steps plus the missing ones (``array_except`` against ``0..T-1``) in place.
-
-    Either way the output is partitioned by day (or by (day, grid)), so per-series windows run
-    without another exchange.  Grid bounds are joined by id (the grid table, filtered to the id
-    range, has at most ``max_grid_id + 1`` rows; the broadcast is size-checked) and centres derived.
+    The days are those of *all* observations.  Missing cells are NULL in every measure and get
+    ``observed = false``; observations off the step schedule or outside the grid-id range find no
+    cell and are left out, as in a left join of the scaffold with the observations (a day that has
+    only such rows is a day of NULL cells).
+
+    The T×G cells are never shuffled: observations are collected per (day, grid), at most T of
+    them, the small (day × grid) table is left-joined with those lists, and each row expands in
+    place into its observed steps plus the missing ones (``array_except`` against ``0..T-1``).
+    The output is partitioned by (day, grid), so per-series windows run without another exchange.
+    Grid bounds are joined by id (the grid table, filtered to the id range, has at most
+    ``max_grid_id + 1`` rows; the broadcast is size-checked) and centres derived.
     """
     steps = 1440 // step_minutes
     o = obs.withColumnRenamed(ts, "ts").withColumnRenamed(grid_col, "grid_id")
     values = [f for f in o.schema.fields if f.name not in ("ts", "grid_id")]
-    size = estimated_bytes(o)
-    if size is not None and size <= max_broadcast:
-        # off-schedule or out-of-range observations match no scaffold cell
-        keyed = o.withColumns({"date": F.to_date("ts"), "observed": F.lit(True)})
-        sc = scaffold(data_days(o), step_minutes, max_grid_id)
-        out = sc.join(F.broadcast(keyed), ["date", "ts", "grid_id"], "left") \
-                .select("ts", "grid_id", "date", *[f.name for f in values],
-                        F.coalesce(F.col("observed"), F.lit(False)).alias("observed"))
-    else:
-        o = o.filter(tx.on_schedule("ts", step_minutes) & F.col("grid_id").between(0, max_grid_id))
-        out = _expand_series(o, values, steps, step_minutes, max_grid_id)
+    days = data_days(o.filter(F.col("ts").isNotNull()))
+    on_grid = o.filter(tx.on_schedule("ts", step_minutes) & F.col("grid_id").between(0, max_grid_id))
+    out = _expand_series(days, on_grid, values, steps, step_minutes, max_grid_id)
     if grid is not None:
         g = grid.filter(F.col("grid_id").between(0, max_grid_id))
         out = center_coords(dimension_join(out, g, "grid_id", "left"))
     return out
 
 
-def _expand_series(o: DataFrame, values: list, steps: int, step_minutes: int, max_grid_id: int) -> DataFrame:
+def _expand_series(days: DataFrame, o: DataFrame, values: list, steps: int, step_minutes: int, max_grid_id: int) -> DataFrame:
     cells = o.groupBy(F.to_date("ts").alias("date"), "grid_id").agg(F.collect_list(F.struct(
         tx.step_of_day("ts", step_minutes).alias("k"), *[F.col(f.name) for f in values],
         F.lit(True).alias("observed"))).alias("__obs"))
     obs_type = cells.schema["__obs"].dataType.simpleString()
-    series = data_days(o).select("date", F.explode(F.sequence(F.lit(0).cast("bigint"),
-                                                               F.lit(max_grid_id).cast("bigint"))).alias("grid_id"))
+    series = days.select("date", F.explode(F.sequence(F.lit(0).cast("bigint"),
+                                                      F.lit(max_grid_id).cast("bigint"))).alias("grid_id"))
     j = series.join(cells, ["date", "grid_id"], "left")
     have = F.coalesce(F.col("__obs"), F.array().cast(obs_type))
     # observed steps as collected, the other steps as NULL cells: O(T) per series, no lookups

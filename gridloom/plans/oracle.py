@@ -440,7 +440,7 @@ def q35() -> str:
 
 def q29() -> str:
     sid = "(CAST(date - (SELECT min(date) FROM f) AS BIGINT) * 24 + step)"
-    mask = f"((({sid}) * 1103515245 + grid_id * 12345 + 7) % 10007) < 2501"
+    mask = f"CAST('0x' || substr(md5('7|' || {sid} || '|' || grid_id), 1, 8) AS BIGINT) < 1073741824"
     sel = "\nUNION ALL\n".join(
         f"SELECT {sid} AS sample_id, grid_id, {mask} AS masked, CAST({i} AS BIGINT) AS feature, "
         f"round(CAST(CASE WHEN {mask} THEN CAST(0.0 AS FLOAT) ELSE CAST({c} AS FLOAT) END AS DOUBLE), 6) AS data, "
@@ -526,16 +526,21 @@ SELECT o_orderkey, text, {ts_text(parsed)} AS parsed FROM x"""
 
 def q39() -> str:
     return f"""WITH {SERIES},
-act AS (SELECT 'lineitem_daily' AS dataset, count(DISTINCT step) AS actual_length, count(DISTINCT node) AS actual_nodes,
-               count(DISTINCT channel) AS actual_channels, max(step) + 1 AS span_steps FROM series),
-cat AS (SELECT 'lineitem_daily' AS name, 'node_frame' AS reader, 1440 AS step_minutes, 8 AS nodes, 2 AS channels)
+act AS (SELECT count(DISTINCT step) AS n, count(DISTINCT node) AS nn, count(DISTINCT channel) AS nc,
+               date_diff('minute', CAST(min(day) AS TIMESTAMP), CAST(max(day) AS TIMESTAMP)) AS mins FROM series),
+cat(name, reader, step_minutes, nodes, channels, length, present) AS (VALUES
+  ('lineitem_daily', 'node_frame', 1440, 8, 2, NULL, true), ('lineitem_half_daily', 'node_frame', 720, 8, 2, NULL, true),
+  ('lineitem_short', 'node_frame', 1440, 8, 2, 5, true), ('lineitem_absent', 'wide_channels', 60, 3, 1, 24, false)),
+j AS (SELECT cat.*, n AS actual_length, nn AS actual_nodes, nc AS actual_channels, mins // step_minutes + 1 AS span_steps
+      FROM cat LEFT JOIN act ON cat.present)
 SELECT name, reader, CAST(step_minutes AS BIGINT) AS step_minutes, CAST(nodes AS BIGINT) AS nodes,
-       CAST(channels AS BIGINT) AS channels, CAST(actual_length AS BIGINT) AS actual_length,
+       CAST(channels AS BIGINT) AS channels, CAST(length AS BIGINT) AS length, CAST(actual_length AS BIGINT) AS actual_length,
        CAST(actual_nodes AS BIGINT) AS actual_nodes, CAST(actual_channels AS BIGINT) AS actual_channels,
        CAST(span_steps AS BIGINT) AS span_steps,
-       CASE WHEN actual_nodes = nodes AND actual_channels = channels AND actual_length = span_steps
-            THEN 'ok' ELSE 'mismatch' END AS status
-FROM cat LEFT JOIN act ON cat.name = act.dataset"""
+       CASE WHEN actual_length IS NULL THEN 'absent'
+            WHEN actual_nodes <> nodes OR actual_channels <> channels OR actual_length <> length THEN 'mismatch'
+            WHEN actual_length <> span_steps THEN 'irregular' ELSE 'ok' END AS status
+FROM j"""
 
 
 def grid_centers(src: str = "dedup") -> str:
@@ -741,9 +746,11 @@ SELECT 'embedding_frames', CAST(vec_id AS BIGINT), CAST(NULL AS VARCHAR), CAST(i
        CAST(i // 32 AS BIGINT), round(CAST(embedding[i + 1] AS DOUBLE), 6)
 FROM embeddings, range(64) r(i)
 UNION ALL
-SELECT 'lineitem_array', s.step, {ts_text('CAST(f.d0 AS TIMESTAMP) + to_days(CAST(s.step AS INTEGER))')}, s.node, s.channel,
+SELECT 'lineitem_array', c.step, {ts_text('CAST(f.d0 AS TIMESTAMP) + to_days(CAST(c.step AS INTEGER))')}, c.node, c.channel,
        round(CAST(CAST(s.value AS FLOAT) AS DOUBLE), 6)
-FROM series s, first_day f"""
+FROM (SELECT unnest(range(lo, hi + 1)) AS step, n.n AS node, k.k AS channel
+      FROM (SELECT min(step) AS lo, max(step) AS hi FROM series GROUP BY step // 32) w, range(8) n(n), range(2) k(k)) c
+     LEFT JOIN series s ON s.step = c.step AND s.node = c.node AND s.channel = c.channel, first_day f"""
 
 
 ORACLE = {

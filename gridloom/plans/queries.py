@@ -431,12 +431,16 @@ def q38_parse_mixed(spark: SparkSession, base: str) -> DataFrame:
 
 
 def q39_series_shape(spark: SparkSession, base: str) -> DataFrame:
-    """VAL-2/VAL-3 (+ Q21 regularity): the daily series against its catalog descriptor."""
+    """VAL-2/VAL-3 (+ Q21 regularity): the daily series against four descriptors: one that fits, one with half
+    its step (irregular), one with another length and one whose data set is absent."""
     from gridloom.sources import catalog as cat
 
-    s = views.daily_series(spark, base).withColumn("dataset", F.lit("lineitem_daily"))
-    desc = cat.Descriptor("lineitem_daily", "node_frame", 1440, 8, 2)
-    return present(cat.validate(s, [desc]))
+    names = F.explode(F.array(*[F.lit(n) for n in ("lineitem_daily", "lineitem_half_daily", "lineitem_short")]))
+    s = views.daily_series(spark, base).withColumn("dataset", names)
+    return present(cat.validate(s, [cat.Descriptor("lineitem_daily", "node_frame", 1440, 8, 2),
+                                    cat.Descriptor("lineitem_half_daily", "node_frame", 720, 8, 2),
+                                    cat.Descriptor("lineitem_short", "node_frame", 1440, 8, 2, 5),
+                                    cat.Descriptor("lineitem_absent", "wide_channels", 60, 3, 1, 24)]))
 
 
 def q40_spatial_fill_local(spark: SparkSession, base: str) -> DataFrame:

@@ -91,14 +91,13 @@ def read_npy_chunks(spark: SparkSession, folder: str, dataset: str, start: F.Col
                 a = np.load(io.BytesIO(content))
                 s, n, c = np.meshgrid(np.arange(a.shape[0]), np.arange(a.shape[1]), np.arange(a.shape[2]),
                                       indexing="ij")
-                v = a.ravel().astype("float64")
-                keep = ~np.isnan(v)
-                yield pd.DataFrame({"step": (s.ravel() + f0)[keep].astype("int64"),
-                                    "node": n.ravel()[keep].astype("int64"),
-                                    "channel": c.ravel()[keep].astype("int64"), "value": v[keep]})
+                yield pd.DataFrame({"step": (s.ravel() + f0).astype("int64"), "node": n.ravel().astype("int64"),
+                                    "channel": c.ravel().astype("int64"), "value": a.ravel().astype("float64")})
 
     long = files.select(first.alias("first"), "content").mapInPandas(
         decode, "step bigint, node bigint, channel bigint, value double")
+    # a stored NaN is a missing value: the cell stays, as NULL
+    long = long.withColumn("value", F.when(~F.isnan("value"), F.col("value")))
     long = long.withColumn("ts", tx.regular_timestamp(start, "step", step_minutes))
     return _finish(long, dataset)
 
@@ -123,23 +122,28 @@ def load(spark: SparkSession, desc: Descriptor, readers: dict[str, Callable[[Spa
 
 
 def validate(long: DataFrame, descriptors: list[Descriptor]) -> DataFrame:
-    """VAL-3 per dataset: length, nodes, channels against the descriptor, and regular steps (Q21).
+    """VAL-3 per descriptor: length, nodes, channels and regular steps (Q21); one row per descriptor.
 
-    The descriptors are configuration; they are looked up through a literal map
-    on the per-dataset aggregate, so no join is needed.
+    The span is measured on the times where the data set has them (first to last time in steps of
+    ``step_minutes``), else on the step numbers.  A data set without rows is ``absent``.  The
+    descriptors are configuration: a table of their literals, left-joined with the one row per data set.
     """
+    spark = long.sparkSession
+    minutes = F.unix_date(F.to_date("ts")).cast("bigint") * 1440 + F.hour("ts") * 60 + F.minute("ts")  # wall clock, no zone
     act = long.groupBy("dataset").agg(
         F.count_distinct("step").alias("actual_length"), F.count_distinct("node").alias("actual_nodes"),
-        F.count_distinct("channel").alias("actual_channels"), (F.max("step") + 1).alias("span_steps"))
-    table = F.create_map(*[x for d in descriptors for x in (
-        F.lit(d.name), F.struct(F.lit(d.reader).alias("reader"), F.lit(d.step_minutes).alias("step_minutes"),
-                                F.lit(d.nodes).alias("nodes"), F.lit(d.channels).alias("channels")))])
-    j = act.withColumn("__d", table[F.col("dataset")]).filter(F.col("__d").isNotNull())
-    j = j.select(F.col("dataset").alias("name"), "__d.*", "actual_length", "actual_nodes", "actual_channels",
-                 "span_steps")
+        F.count_distinct("channel").alias("actual_channels"), (F.max("step") + 1).alias("__steps"),
+        (F.max(minutes) - F.min(minutes)).alias("__minutes"))
+    table = spark.createDataFrame([(d.name, d.reader, d.step_minutes, d.nodes, d.channels, d.length) for d in descriptors],
+                                  "name string, reader string, step_minutes int, nodes int, channels int, length long")
+    j = table.join(act, F.col("name") == F.col("dataset"), "left").drop("dataset")
+    j = j.withColumn("span_steps", F.coalesce(F.floor(F.col("__minutes") / F.col("step_minutes")) + 1, F.col("__steps")))
     ok = ((F.col("actual_nodes") == F.col("nodes")) & (F.col("actual_channels") == F.col("channels"))
-          & (F.col("actual_length") == F.col("span_steps")))
-    return j.withColumn("status", F.when(ok, F.lit("ok")).otherwise(F.lit("mismatch")))
+          & F.coalesce(F.col("actual_length") == F.col("length"), F.col("length").isNull()))
+    regular = F.col("actual_length") == F.col("span_steps")
+    status = (F.when(F.col("actual_length").isNull(), "absent").when(~ok, "mismatch").when(~regular, "irregular").otherwise("ok"))
+    return j.select("name", "reader", "step_minutes", "nodes", "channels", "length", "actual_length", "actual_nodes",
+                    "actual_channels", "span_steps", status.alias("status"))
 
 
 def write_series(long: DataFrame, path: str) -> DataFrame:

@@ -52,25 +52,62 @@ def list_pages(spark: SparkSession, folder: str) -> DataFrame:
     return files.select(name.alias("file_name"), "length", *parse_page_name(name))
 
 
+def _page_lines(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """(lines, files): the text lines of all CSV files, and per file its header (the first line) and status."""
+    lines = (spark.read.option("ignoreCorruptFiles", True).option("pathGlobFilter", "*.csv").text(folder)
+             .select("value", F.col("_metadata.file_name").alias("file_name"),
+                     F.struct(F.col("_metadata.file_block_start").alias("__block"),
+                              F.monotonically_increasing_id().alias("__mono")).alias("row_ord")))
+    files = lines.groupBy("file_name").agg(F.min_by("value", "row_ord").alias("header"), (F.count(F.lit(1)) - 1).alias("lines"))
+    return lines, files.withColumn("header", F.regexp_replace("header", "^\uFEFF|\r$", ""))
+
+
+def file_report(spark: SparkSession, folder: str, time_col: str = "DDATETIME") -> DataFrame:
+    """Per CSV file of a folder: data lines and status ``read``, ``no time column`` or ``not a page`` (by its name)."""
+    _, files = _page_lines(spark, folder)
+    return files.select("file_name", "lines", _file_status(time_col).alias("status"))
+
+
+def _file_status(time_col: str) -> F.Column:
+    named = F.transform(F.split("header", ","), lambda c: F.trim(F.regexp_replace(c, '"', "")))
+    return (F.when(~F.col("file_name").rlike(PAGE_NAME), F.lit("not a page"))
+            .when(~F.array_contains(named, time_col), F.lit("no time column")).otherwise(F.lit("read")))
+
+
 def read_pages(spark: SparkSession, folder: str, schema: T.StructType = STATION_PAGE,
                time_col: str = "DDATETIME") -> DataFrame:
     """SRC-1: all page CSVs of a folder with page, span and row order attached.
 
-    Unreadable files are skipped (``ignoreCorruptFiles``); the time text is parsed
-    exactly (DT-10); ``file_report`` tells which files lack usable time values.
+    Columns are taken by header name, so a page may order them differently, lack some (NULL) or
+    have more.  Files whose name is not a page name and pages without the time column are left
+    out; ``file_report`` lists them.  The time text is parsed exactly (DT-10), NULL when it can't be.
+    Headers are read as the first line of each file; each distinct header is one parse of its files.
     """
-    raw = (spark.read.schema(schema).option("header", True).option("ignoreCorruptFiles", True)
-           .option("pathGlobFilter", "*.csv").csv(folder))
-    meta = raw.select("*", F.col("_metadata.file_name").alias("file_name"),
-                      F.col("_metadata.file_block_start").alias("__block"),
-                      F.monotonically_increasing_id().alias("__mono"))
-    out = meta.select(*[c for c in raw.columns], "file_name", *parse_page_name(F.col("file_name")),
-                      F.struct("__block", "__mono").alias("row_ord"))
+    lines, files = _page_lines(spark, folder)
+    files = files.filter(_file_status(time_col) == "read").select("file_name", "header")
+    headers = [r["header"] for r in files.select("header").distinct().orderBy("header").collect()]  # distinct headers only
+    columns = [f.name for f in schema.fields]
+    out = None
+    for header in headers:
+        names = [c.strip().strip('"') for c in header.split(",")]
+        kinds = {f.name: f.dataType for f in schema.fields}
+        as_read = T.StructType([T.StructField(f"c{i}", kinds.get(n, T.StringType())) for i, n in enumerate(names)])
+        at = {n: i for i, n in reversed(list(enumerate(names)))}  # the first of two equal names
+        mine = (lines.join(files.filter(F.col("header") == header).select("file_name"), "file_name")
+                .filter(F.regexp_replace("value", "^\uFEFF|\r$", "") != header)
+                .select("file_name", "row_ord", F.from_csv("value", as_read.simpleString()[7:-1].replace(":", " ")).alias("r")))
+        part = mine.select(*[(F.col(f"r.c{at[c]}") if c in at else F.lit(None)).cast(kinds[c]).alias(c) for c in columns],
+                           "file_name", *parse_page_name(F.col("file_name")), "row_ord")
+        out = part if out is None else out.unionByName(part)
+    if out is None:
+        empty = spark.createDataFrame([], T.StructType([*schema.fields, T.StructField("file_name", T.StringType())]))
+        out = empty.select(*columns, "file_name", *parse_page_name(F.col("file_name")),
+                           F.struct(F.lit(0).cast("bigint").alias("__block"), F.lit(0).cast("bigint").alias("__mono")).alias("row_ord"))
     return out.withColumn("ts", tx.try_parse_exact(F.col(time_col)))
 
 
-def file_report(pages: DataFrame) -> DataFrame:
-    """Per file: rows read and rows without a usable time (a file without the time column has none)."""
+def time_report(pages: DataFrame) -> DataFrame:
+    """Per page file: rows read and rows without a usable time."""
     return pages.groupBy("file_name").agg(F.count(F.lit(1)).alias("rows"),
                                           F.count_if(F.col("ts").isNull()).alias("rows_without_time"))
 
@@ -84,7 +121,7 @@ def write_daily(df: DataFrame, path: str, ts: str = "ts", order: list[str] | Non
     d = df.withColumn("date", F.to_date(ts))
     if order:
         d = d.select(*order, "date")
-    d = d.hint("rebalance", "date").sortWithinPartitions("date", ts)
+    d = d.hint("rebalance", "date").sortWithinPartitions("date", ts, *[c for c in ("GRIDID", "grid_id") if c in d.columns])
     (d.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("date")
      .format(fmt).option("header", True).save(path))
 

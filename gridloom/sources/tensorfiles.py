@@ -26,14 +26,23 @@ def write_tensor_days(df: DataFrame, folder: str, steps: int, grids: int, featur
                       day: str = "date", step: str = "step", node: str = "grid_id") -> DataFrame:
     """SNK-4 (TNS-2 per day): long rows → one ``<yyyyMMdd>.bin`` per day; returns a per-day status.
 
-    Rows per day are counted first with a partial aggregate.  Only days with
-    exactly T×G rows are shipped to a writer task (so a task never receives more
-    than one tensor); any other day gets status ``error`` from the counts alone.
+    Counted first, per day: rows, distinct (step, node) cells, steps and nodes (VAL-1/VAL-2).
+    Only days with exactly T×G rows on T×G distinct cells of T steps and G nodes are shipped to a
+    writer task (so a task never receives more than one tensor and no cell can shift); any other
+    day gets status ``error`` with the reason.
     """
     n_f = len(features)
     expected = steps * grids
-    counts = df.groupBy(day).agg(F.count(F.lit(1)).alias("__n"))
-    good = df.join(counts.filter(F.col("__n") == expected).select(day), day, "left_semi")
+    cells = df.groupBy(day, step, node).agg(F.count(F.lit(1)).alias("__rows"))  # combined per task, then one row a cell
+    counts = cells.groupBy(day).agg(
+        F.sum("__rows").alias("__n"), F.count_if(F.col(step).isNotNull() & F.col(node).isNotNull()).alias("__cells"),
+        F.count_distinct(step).alias("__steps"), F.count_distinct(node).alias("__nodes"))
+    reason = (F.when(F.col("__n") != expected, F.format_string(f"expected {expected} rows, got %d", F.col("__n")))
+              .when(F.col("__cells") != expected, F.format_string(f"expected {expected} distinct cells, got %d", F.col("__cells")))
+              .when(F.col("__steps") != steps, F.format_string(f"expected {steps} steps, got %d", F.col("__steps")))
+              .when(F.col("__nodes") != grids, F.format_string(f"expected {grids} nodes, got %d", F.col("__nodes"))))
+    counts = counts.withColumn("__why", reason)
+    good = df.join(counts.filter(F.col("__why").isNull()).select(day), day, "left_semi")
 
     def write(pdf: pd.DataFrame) -> pd.DataFrame:
         d = pdf[day].iloc[0]
@@ -48,10 +57,9 @@ def write_tensor_days(df: DataFrame, folder: str, steps: int, grids: int, featur
 
     schema = "date date, file_name string, status string, reason string"
     written = good.select(day, step, node, *features).groupBy(day).applyInPandas(write, schema)
-    bad = counts.filter(F.col("__n") != expected).select(
+    bad = counts.filter(F.col("__why").isNotNull()).select(
         F.col(day).alias("date"), F.concat(F.date_format(day, "yyyyMMdd"), F.lit(".bin")).alias("file_name"),
-        F.lit("error").alias("status"),
-        F.format_string(f"expected {expected} rows, got %d", F.col("__n")).alias("reason"))
+        F.lit("error").alias("status"), F.col("__why").alias("reason"))
     return written.unionByName(bad)
 
 

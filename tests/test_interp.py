@@ -104,3 +104,14 @@ def test_spark_spatial_pass_matches_numpy(spark):
     want = interp.multiquadric_fill(interp.zscore(np.c_[lon, lat]), x[:, None].copy())[:, 0]
     assert np.allclose(out["x"].to_numpy(), want)
     assert not math.isnan(out["x"].iloc[3])
+
+
+def test_spline_of_every_order_reproduces_polynomials():
+    from gridloom.operators import interp
+
+    x = np.array([0.0, 1.0, 2.5, 4.0, 5.0, 7.0, 8.0, 9.5])
+    new = np.linspace(0, 9.5, 23)
+    for k in range(1, 6):
+        p = np.poly1d(np.arange(1, k + 2)[::-1] / 7.0)
+        assert np.allclose(interp.interpolate_spline(x, p(x), new, k), p(new), atol=1e-6)
+        assert np.allclose(interp.interpolate_spline(x[:5], x[:5] ** 2, x[:5], k), x[:5] ** 2)  # few sites: lower degree

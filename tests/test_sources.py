@@ -45,6 +45,38 @@ def test_pages_write_read_and_dedup_order(spark):
     assert {r["page"] for r in listed} == {1, 2}
 
 
+def test_pages_by_header_name_and_file_report(spark):
+    """A stray file, a reordered header, a page without the time column and a bad time."""
+    import os
+
+    root = scratch_path(spark, "t-headers")
+    local = root.removeprefix("file:")
+    os.makedirs(local)
+    files = {"page1_rows10000_20240101_000000to20240101_001000.csv": "DDATETIME,GRIDID,T,MAXTOFDAY\n2024-01-01 00:00:00,0,11,30\nnever,0,1,1\n",
+             "page2_rows10000_20240101_001000to20240101_002000.csv": "GRIDID,MAXTOFDAY,DDATETIME,T,EXTRA\n1,40,2024-01-01 00:10:00,20,x\n",
+             "page3_rows10000_20240101_002000to20240101_003000.csv": "GRIDID,T\n1,20\n",
+             "notes_copy.csv": "DDATETIME,GRIDID,T\n2024-01-01 00:00:00,0,99\n"}
+    for name, text in files.items():
+        with open(f"{local}/{name}", "w") as f:
+            f.write(text)
+    rows = {(r["page"], r["ts"].minute if r["ts"] else None): (r["GRIDID"], r["T"]) for r in pages.read_pages(spark, root).collect()}
+    assert rows == {(1, 0): (0, 11.0), (1, None): (0, 1.0), (2, 10): (1, 20.0)}
+    report = {r["file_name"].split("_")[0]: r["status"] for r in pages.file_report(spark, root).collect()}
+    assert report == {"page1": "read", "page2": "read", "page3": "no time column", "notes": "not a page"}
+    assert {r["rows_without_time"] for r in pages.time_report(pages.read_pages(spark, root)).collect()} == {0, 1}
+
+
+def test_tensor_writer_refuses_misaligned_days(spark):
+    from gridloom.sources import tensorfiles as tf
+
+    rows = [("2024-01-01", 0, 0, 1.0), ("2024-01-01", 0, 1, 2.0), ("2024-01-02", 0, 0, 1.0), ("2024-01-02", 0, 0, 2.0),
+            ("2024-01-03", 0, 0, 1.0)]
+    df = spark.createDataFrame(rows, "d string, step bigint, grid_id bigint, v double").withColumn("date", F.to_date("d")).drop("d")
+    got = {r["file_name"]: (r["status"], r["reason"]) for r in tf.write_tensor_days(df, scratch_path(spark, "t-bad").removeprefix("file:"), 1, 2, ["v"]).collect()}
+    assert got == {"20240101.bin": ("success", None), "20240102.bin": ("error", "expected 2 distinct cells, got 1"),
+                   "20240103.bin": ("error", "expected 2 rows, got 1")}
+
+
 def test_json_pages_empty_page_yields_nothing(spark):
     from pyspark.sql import types as T
     row = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.StringType())])
