@@ -4,16 +4,17 @@ Documents are laid out in ascending id order.  A *segment* holds whole documents
 into *blocks* of ``BLOCK`` ids that are reset and coded independently, so a reader can start at any
 block and a damaged one is found by its checksum.  A block lists its distinct ids once and
 codes each position in one arithmetic-coding step from the mixture of three id predictions: order 2 and
-order 1 propose the id that last followed their context, order 0 holds adaptive frequencies of all
-ids.  The shares of order 2 and 1 follow the hit record of slots with the same confidence, learnt
-within the block.  Many blocks are coded in lockstep with numpy (one lane per block).
+order 1 propose the id that followed their context, order 0 holds adaptive frequencies of all ids.
+The proposals change with every id; the shares of the orders (from the hit record of proposals in the same
+state, within the block) and the order-0 scale are fitted anew at fixed steps of a block.  Many
+blocks are coded in lockstep with numpy (one lane per block).
 
 Segments are rows of a Parquet table (part, seg, blob): the blob is the file format below, Parquet is the
 container that gives atomic commits under retries.  All integers are little-endian.
 
     segment: "TIDS" | n_docs u32 | n_blocks u32 | doc ids i64* | null flags u8* | tokens per doc u64* |
              block bytes u32* | crc32 of all before u32 | blocks
-    block:   n_ids u32 | n_distinct u32 | crc32 of the ids as u32 | table bytes u32 | table (deflated u32 gaps) | u16 code words
+    block:   n_ids u32 | n_distinct u32 | crc32 of the ids as u32 | table bytes u32 | table (deflated u32 gaps) | u32 code words
 
 Nulls, ties and odd input: a null or empty text is its end id alone; a null doc_id sorts first; rows with equal ids are
 ordered by a hash of the text and written each; a document longer than a segment's aim makes a longer
@@ -36,178 +37,219 @@ from gridloom.llm.common import documents, stored, text_slices
 from gridloom.llm.tokens import encode as tokenize
 
 END_ID, VOCABULARY = 2, "byte_bpe_50k.json"
-BLOCK, SEGMENT, LANES = 4096, 131072, 2048
-_GROUP, _SLOTS, _STEP, _CAP = 32, 4096, 32, 15  # order-0 group (a power of two, shifted by 5), order-2 slots, count step, largest odds of a prediction
-_TOP, _BOTTOM, _MASK = np.uint64(32), np.uint64(1 << 28), np.uint64((1 << 48) - 1)
-_U16, _WORD = np.uint64(16), np.uint64(1 << 32)
+BLOCK, SEGMENT, LANES = 4096, 131072, 1024
+_SLOTS, _GAIN = 2048, 32  # order-2 slots of a lane; weight of an occurrence against the 1 every id of the table has
+_ORDER0, _PARTS = 1 << 15, 128  # the order-0 scale, and the parts of that size a step's range is cut into
+_BITS = np.uint64(22)  # log2 of _ORDER0 * _PARTS
+_SMALL_ID = 1 << 18  # ids below are numbered through a table instead of a sort
+_HALF, _WORD, _BOTTOM = np.uint64(32), np.uint64(1 << 32), np.uint64(1 << 30)
+_FIT = (32, 128, 512, 1024, 2048, 3072)  # steps at which the shares and the order-0 scale are fitted anew
 
 
 class _Model:
-    """The adaptive state of ``lanes`` blocks; symbols are places in the block's table of distinct ids."""
+    """The adaptive state of the blocks coded side by side; symbols are places in a block's table of distinct ids.
+
+    ``follow`` holds 2 * symbol + (1 where it was right the last time) per order-1 and order-2 context, -2 where none was
+    seen.  A class says which proposals exist, which were right and whether they agree; ``hits`` counts per
+    lane and class which order knew the id, and gives the shares of the next steps.
+    """
 
     def __init__(self, distinct: np.ndarray):
-        n = len(distinct)
-        padded = -(-np.maximum(distinct, 1) // _GROUP) * _GROUP
-        self.wide = wide = int(padded.max())
-        self.groups = wide // _GROUP
-        self.freq = np.ones(n * wide, np.int32)
-        self.within = np.tile(np.arange(wide, dtype=np.int32) % _GROUP, n)
-        self.below = np.minimum(np.arange(self.groups + 1) * _GROUP, padded[:, None]).astype(np.int32)
-        self.follow = [np.zeros(n * wide, np.int32), np.zeros(n * _SLOTS, np.int32)]
-        self.sure = [np.zeros(n * wide, np.int8), np.zeros(n * _SLOTS, np.int8)]
-        self.odds = np.ones((2, n * 8))  # hits and misses per order and confidence, whole numbers in doubles
-        self.miss = np.ones((2, n * 8))
-        self.last, self.last2 = np.zeros(n, np.int64), np.zeros(n, np.int64)
+        n, distinct = len(distinct), np.maximum(distinct, 1)
+        self.wide = wide = int(distinct.max()) + 1
         lane = np.arange(n)
-        self.add_place = (_STEP * (np.arange(_GROUP) > np.arange(_GROUP)[:, None])).astype(np.int32)
-        self.add_group = (_STEP * (np.arange(self.groups + 1) > np.arange(self.groups)[:, None])).astype(np.int32)
-        self.rows = self.within.reshape(-1, _GROUP)
-        self.lane, self.base, self.slot, self.eight = lane, lane * wide, lane * _SLOTS, lane * 8
-
-    def mix(self, n: int):
-        """Proposals and their integer shares for the first ``n`` lanes: (order 2, share, order 1, share, order-0 total)."""
-        self.at = [self.base[:n] + self.last[:n], self.slot[:n] + ((self.last[:n] * 40503 + self.last2[:n] * 9973 >> 2) & (_SLOTS - 1))]
-        total = self.below[:n, -1].astype(np.int64)
-        out = []
-        self.conf = []
-        for k in (1, 0):
-            conf = self.sure[k].take(self.at[k])
-            cell = self.eight[:n] + conf
-            odds = np.minimum(self.odds[k].take(cell) / self.miss[k].take(cell), _CAP) * (conf > 0)
-            out += [self.follow[k].take(self.at[k]), (total * odds).astype(np.int64)]
-            self.conf.append((conf, cell))
-        out[3][(out[0] == out[2]) & (out[1] > 0)] = 0  # both propose the same id: it is order 2's
-        return (*out, total)
-
-    def update(self, n: int, x: np.ndarray) -> None:
-        for k, (conf, cell) in zip((1, 0), self.conf):
-            at = self.at[k]
-            follow = self.follow[k].take(at)
-            right = (follow == x) & (conf > 0)
-            self.odds[k][cell] += right
-            self.miss[k][cell] += ~right
-            new = np.where(right, np.minimum(conf + 1, 7), conf >> 1)
-            lost = new == 0
-            self.follow[k][at] = np.where(lost, x, follow)
-            self.sure[k][at] = new + lost
-        group = x >> 5
-        self.freq[self.base[:n] + x] += _STEP
-        at = self.lane[:n] * self.groups + group
-        self.rows[at] = self.rows.take(at, axis=0) + self.add_place.take(x & 31, axis=0)
-        self.below[:n] += self.add_group.take(group, axis=0)
+        self.base, self.slot, self.cell, self.shift = lane * wide, lane * _SLOTS, lane * 16, lane * 2 * _ORDER0
+        self.follow1, self.follow2 = np.full(n * wide, -2, np.int16), np.full(n * _SLOTS, -2, np.int16)
+        self.distinct = distinct[:, None]
+        self.seen = (np.arange(wide) < self.distinct).astype(np.int32)
+        self.hits = np.zeros((n, 16, 3), np.int64)  # per class: order 0, order 1, order 2
+        self.symbols: list[np.ndarray] = []  # since the last fit, per step
+        self.events: list[np.ndarray] = []
+        kinds = np.arange(16)
+        self.has2, self.has1 = kinds >= 8, kinds & 1 == 0  # agreeing proposals are order 2's
+        self.last, self.last2 = np.zeros(n, np.int64), np.zeros(n, np.int64)
+        self.fit()
+
+    def fit(self) -> None:
+        """Shares of each class and the order-0 scale from all that was coded so far."""
+        for counts, steps, weight in ((self.seen, self.symbols, _GAIN), (self.hits, self.events, 1)):
+            if steps:
+                at = np.concatenate(steps)
+                counts += (weight * np.bincount(at, minlength=counts.size).reshape(counts.shape)).astype(counts.dtype)
+                steps.clear()
+        h0, h1, h2 = np.moveaxis(self.hits.astype(np.float64), 2, 0)
+        h2, h1 = (h2 + 0.5) * self.has2, (h1 + 0.5) * self.has1
+        rest = np.clip(np.rint(_PARTS * (h0 + 1.0) / (h0 + 1.0 + h1 + h2)), 1, _PARTS)
+        both = (_PARTS - rest) * _ORDER0
+        order2 = np.floor(both * (h2 / np.maximum(h1 + h2, 0.5)))
+        self.shares = (order2 * 256 + rest).astype(np.int64).ravel()  # order 2's share and the parts left to order 0
+        upto = np.cumsum(self.seen, axis=1)
+        scale = (_ORDER0 - self.distinct) / upto[:, -1:]
+        start = np.full(upto.shape, _ORDER0, np.int32)
+        start[:, 0] = 0
+        start[:, 1:] = upto[:, :-1] * scale
+        start[:, 1:] += np.arange(1, self.wide, dtype=np.int32)
+        start[np.arange(self.wide) >= self.distinct] = _ORDER0
+        start += self.shift[:, None].astype(np.int32)
+        self.start = start.ravel()  # ascending over all lanes, for the search
+
+    def propose(self, n: int) -> None:
+        """The proposals of order 1 and 2 for the first ``n`` lanes with their shares of the range."""
+        self.at1 = self.base[:n] + self.last[:n]
+        self.at2 = self.slot[:n] + ((self.last[:n] * 61 + self.last2[:n] * 1031) & (_SLOTS - 1))
+        self.f1, self.f2 = self.follow1.take(self.at1), self.follow2.take(self.at2)
+        self.p1, self.p2 = self.f1 >> 1, self.f2 >> 1
+        kind = ((self.f2 & 1) << 2) + ((self.f1 & 1) << 1) + (self.p1 == self.p2) + ((self.p2 >= 0) * np.int16(8))
+        self.kind = self.cell[:n] + kind
+        share = self.shares.take(self.kind)
+        self.s2, self.w = share >> 8, share & 255
+        self.s = (_PARTS - self.w) * _ORDER0
+
+    def place(self, n: int, x: np.ndarray, by2: np.ndarray, by1: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(start, width) of the symbols ``x`` in the range of a step."""
+        self.at = at = self.base[:n] + x
+        start = self.start.take(at)
+        low = np.where(by2, 0, np.where(by1, self.s2, self.s + (start - self.shift[:n]) * self.w))
+        wide = np.where(by2, self.s2, np.where(by1, self.s - self.s2, (self.start.take(at + 1) - start) * self.w))
+        return low.astype(np.uint64), wide.astype(np.uint64)
+
+    def learn(self, step: int, n: int, x: np.ndarray, by2: np.ndarray, by1: np.ndarray) -> None:
+        self.events.append(self.kind * 3 + by1 + 2 * by2)
+        self.symbols.append(self.at)
+        twice = (x << 1).astype(np.int16)
+        for follow, at, f, p in ((self.follow1, self.at1, self.f1, self.p1), (self.follow2, self.at2, self.f2, self.p2)):
+            follow[at] = np.where(p == x, twice + np.int16(1), np.where(f & 1, f - np.int16(1), twice))
         self.last2[:n] = self.last[:n]
         self.last[:n] = x
+        if step + 1 in _FIT:
+            self.fit()
 
 
-def _split(low: np.ndarray, wide: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Lanes that can shift a word out, with a range that is cut at a word boundary where it is too small."""
+def _shift(low: np.ndarray, wide: np.ndarray) -> np.ndarray:
+    """Lanes whose upper word is settled; a range that is too small is first cut at a word boundary."""
     same = (low ^ (low + wide)) < _WORD
-    small = ~same & (wide < _BOTTOM)
-    if small.any():
-        wide[small] = (~low[small] + np.uint64(1)) & (_BOTTOM - np.uint64(1))
-    return np.flatnonzero(same | small), wide
+    small = wide < _BOTTOM
+    out = np.flatnonzero(same | small)
+    cut = out[~same[out]]
+    if len(cut):
+        wide[cut] = (~low[cut] + np.uint64(1)) & (_BOTTOM - np.uint64(1))
+    return out
+
+
+def _table(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(distinct ids ascending, each id's place among them)."""
+    top = int(ids.max()) + 1 if len(ids) else 0
+    if top > _SMALL_ID:
+        return np.unique(ids, return_inverse=True)
+    there = np.zeros(top, bool)
+    there[ids] = True
+    table = np.flatnonzero(there)
+    place = np.empty(top, np.int32)
+    place[table] = np.arange(len(table))
+    return table.astype(np.uint32), place[ids]
+
+
+def _lanes(sizes: list[tuple[int, int]]) -> list[list[int]]:
+    """Blocks (length, distinct ids) to code side by side: alike in distinct ids, the longest first."""
+    order = sorted(range(len(sizes)), key=lambda i: sizes[i][1])
+    return [sorted(order[i:i + LANES], key=lambda i: -sizes[i][0]) for i in range(0, len(order), LANES)]
 
 
 def encode_blocks(blocks: list[np.ndarray]) -> list[bytes]:
     """Each block of ids (uint32) as bytes."""
-    if not blocks:
-        return []
-    order = sorted(range(len(blocks)), key=lambda i: -len(blocks[i]))
-    tables, symbols = zip(*(np.unique(blocks[i], return_inverse=True) for i in order))
+    tables = [_table(b) for b in blocks]
+    result: list[bytes] = [b""] * len(blocks)
+    for lanes in _lanes([(len(b), len(t)) for b, (t, _) in zip(blocks, tables)]):
+        for i, code in zip(lanes, _encode([tables[i][1] for i in lanes], np.array([len(tables[i][0]) for i in lanes]))):
+            table = zlib.compress(np.diff(tables[i][0], prepend=np.uint32(0)).astype("<u4").tobytes(), 1)
+            ids = blocks[i].astype("<u4").tobytes()
+            result[i] = struct.pack("<IIII", len(blocks[i]), len(tables[i][0]), zlib.crc32(ids), len(table)) + table + code
+    return result
+
+
+def _encode(symbols: list[np.ndarray], distinct: np.ndarray) -> list[bytes]:
+    count, longest = len(symbols), len(symbols[0])
     lengths = np.array([len(s) for s in symbols])
-    model = _Model(np.array([len(t) for t in tables]))
-    low, wide = np.zeros(len(order), np.uint64), np.full(len(order), _MASK)
-    words, used = np.zeros((len(order), 2 * int(lengths[0]) + 8), np.uint16), np.zeros(len(order), np.int64)
-    every = np.zeros((len(order), int(lengths[0])), np.int64)
+    model = _Model(distinct)
+    every = np.zeros((count, longest), np.int64)
     for lane, s in enumerate(symbols):
         every[lane, :len(s)] = s
     every = np.ascontiguousarray(every.T)
-    for step in range(int(lengths[0])):
-        n = int(np.searchsorted(-lengths, -step, side="left"))  # lanes are sorted by length, longest first
+    low, wide = np.zeros(count, np.uint64), np.full(count, ~np.uint64(0))
+    settled: list[tuple[np.ndarray, np.ndarray]] = []  # (lanes, their words) in order; a step settles one word of a lane at most
+    for step in range(longest):
+        n = int(np.searchsorted(-lengths, -step, side="left"))  # lanes that still have an id
         x = every[step, :n]
-        two, a, one, b, total = model.mix(n)
-        hit2, hit1 = (two == x) & (a > 0), (one == x) & (b > 0)
-        cum = a + b + model.below[model.lane[:n], x >> 5] + model.within.take(model.base[:n] + x)
-        freq = np.where(hit2, a, np.where(hit1, b, model.freq.take(model.base[:n] + x)))
-        cum = np.where(hit2, 0, np.where(hit1, a, cum))
-        r = wide[:n] // (total + a + b).astype(np.uint64)
-        low[:n] += r * cum.astype(np.uint64)
-        wide[:n] = r * freq.astype(np.uint64)
-        while True:
-            out, wide[:n] = _split(low[:n], wide[:n])
-            if not len(out):
-                break
-            words[out, used[out]] = (low[out] >> _TOP).astype(np.uint16)
-            used[out] += 1
-            low[out] = (low[out] << _U16) & _MASK
-            wide[out] <<= _U16
-        model.update(n, x)
-    for shift in (32, 16, 0):
-        words[np.arange(len(order)), used] = (low >> np.uint64(shift)).astype(np.uint16)
-        used += 1
-    result: list[bytes] = [b""] * len(order)
-    for lane, i in enumerate(order):
-        ids = blocks[i].astype("<u4")
-        table = zlib.compress(np.diff(tables[lane], prepend=np.uint32(0)).astype("<u4").tobytes(), 6)
-        head = struct.pack("<IIII", len(ids), len(tables[lane]), zlib.crc32(ids.tobytes()), len(table))
-        result[i] = head + table + words[lane, :used[lane]].astype("<u2").tobytes()
-    return result
+        model.propose(n)
+        by2 = (model.p2 == x) & (model.s2 > 0)
+        by1 = (model.p1 == x) & (model.s > model.s2) & ~by2
+        start, width = model.place(n, x, by2, by1)
+        r = wide[:n] >> _BITS
+        low[:n] += r * start
+        wide[:n] = r * width
+        out = _shift(low[:n], wide[:n])
+        now = low[out]
+        settled.append((out, now >> _HALF))
+        low[out] = now << _HALF
+        wide[out] <<= _HALF
+        model.learn(step, n, x, by2, by1)
+    settled += [(np.arange(count), low >> _HALF), (np.arange(count), low & (_WORD - np.uint64(1)))]
+    lane = np.concatenate([a for a, _ in settled]).astype(np.uint16)
+    words = np.concatenate([w for _, w in settled]).astype("<u4")[np.argsort(lane, kind="stable")]
+    return [w.tobytes() for w in np.split(words, np.cumsum(np.bincount(lane))[:-1])]
 
 
 def decode_blocks(blobs: list[bytes]) -> list[np.ndarray]:
     """The ids of each block; raises ValueError where a checksum does not hold."""
-    if not blobs:
-        return []
     heads = [struct.unpack_from("<IIII", b) for b in blobs]
-    order = sorted(range(len(blobs)), key=lambda i: -heads[i][0])
-    lengths = np.array([heads[i][0] for i in order])
-    tables = [np.cumsum(np.frombuffer(zlib.decompress(blobs[i][16:16 + heads[i][3]]), "<u4"), dtype=np.uint32) for i in order]
-    code = [np.frombuffer(blobs[i][16 + heads[i][3]:], "<u2") for i in order]
-    words = np.zeros((len(order), max(map(len, code)) + 4), np.uint64)
-    for lane, c in enumerate(code):
+    result: list[np.ndarray] = [np.array([], np.uint32)] * len(blobs)
+    for lanes in _lanes([h[:2] for h in heads]):
+        codes = [np.frombuffer(blobs[i][16 + heads[i][3]:], "<u4") for i in lanes]
+        symbols = _decode(codes, np.array([heads[i][0] for i in lanes]), np.array([heads[i][1] for i in lanes]))
+        for lane, i in enumerate(lanes):
+            table = np.cumsum(np.frombuffer(zlib.decompress(blobs[i][16:16 + heads[i][3]]), "<u4"), dtype=np.uint32)
+            x = symbols[:heads[i][0], lane]
+            if len(x) and (int(x.max()) >= len(table) or int(x.min()) < 0):
+                raise ValueError("damaged block: a code points past its table of ids")
+            ids = table[x]
+            if zlib.crc32(ids.astype("<u4").tobytes()) != heads[i][2]:
+                raise ValueError("damaged block: its ids do not have its checksum")
+            result[i] = ids
+    return result
+
+
+def _decode(codes: list[np.ndarray], lengths: np.ndarray, distinct: np.ndarray) -> np.ndarray:
+    """Symbols by step and lane."""
+    count, longest = len(codes), int(lengths[0])
+    model = _Model(distinct)
+    words = np.zeros((count, longest + 4), np.uint64)
+    for lane, c in enumerate(codes):
+        c = c[:longest + 4]
         words[lane, :len(c)] = c
-    model = _Model(np.array([len(t) for t in tables]))
-    low, wide = np.zeros(len(order), np.uint64), np.full(len(order), _MASK)
-    value = words[:, 0] << np.uint64(32) | words[:, 1] << _U16 | words[:, 2]
-    used = np.full(len(order), 3)
-    every = np.zeros((int(lengths[0]), len(order)), np.int64)
-    for step in range(int(lengths[0])):
+    value, used = words[:, 0] << _HALF | words[:, 1], np.full(count, 2)
+    low, wide = np.zeros(count, np.uint64), np.full(count, ~np.uint64(0))
+    every = np.zeros((longest, count), np.int64)
+    for step in range(longest):
         n = int(np.searchsorted(-lengths, -step, side="left"))
-        two, a, one, b, total = model.mix(n)
-        r = wide[:n] // (total + a + b).astype(np.uint64)
-        v = np.minimum(((value[:n] - low[:n]) // r).astype(np.int64), total + a + b - 1)
-        hit2, hit1 = v < a, (v >= a) & (v < a + b)
-        v0 = np.maximum(v - a - b, 0)
-        group = (model.below[:n, 1:] <= v0[:, None]).sum(1)
-        left = v0 - model.below[model.lane[:n], group]
-        rows = model.rows.take(model.lane[:n] * model.groups + group, axis=0)
-        x = group * _GROUP + (rows <= left[:, None]).sum(1) - 1
-        x = np.where(hit2, two, np.where(hit1, one, x)).astype(np.int64)
-        cum = a + b + model.below[model.lane[:n], x >> 5] + model.within.take(model.base[:n] + x)
-        freq = np.where(hit2, a, np.where(hit1, b, model.freq.take(model.base[:n] + x)))
-        cum = np.where(hit2, 0, np.where(hit1, a, cum))
-        low[:n] += r * cum.astype(np.uint64)
-        wide[:n] = r * freq.astype(np.uint64)
-        while True:
-            out, wide[:n] = _split(low[:n], wide[:n])
-            if not len(out):
-                break
-            value[out] = (value[out] << _U16 | words[out, used[out]]) & _MASK
-            used[out] += 1
-            low[out] = (low[out] << _U16) & _MASK
-            wide[out] <<= _U16
+        model.propose(n)
+        r = wide[:n] >> _BITS
+        v = np.minimum((value[:n] - low[:n]) // r, np.uint64(_ORDER0 * _PARTS - 1)).astype(np.int64)
+        by2 = v < model.s2
+        by1 = (v < model.s) & ~by2
+        key = model.shift[:n] + np.maximum(v - model.s, 0) // model.w
+        found = model.start.searchsorted(key.astype(np.int32), side="right") - 1 - model.base[:n]
+        x = np.where(by2, model.p2, np.where(by1, model.p1, found))
+        start, width = model.place(n, x, by2, by1)
+        low[:n] += r * start
+        wide[:n] = r * width
+        out = _shift(low[:n], wide[:n])
+        value[out] = value[out] << _HALF | words[out, used[out]]
+        used[out] += 1
+        low[out] <<= _HALF
+        wide[out] <<= _HALF
         every[step, :n] = x
-        model.update(n, x)
-    result: list[np.ndarray] = [np.array([], np.uint32)] * len(order)
-    for lane, i in enumerate(order):
-        x = every[:lengths[lane], lane]
-        if len(x) and int(x.max()) >= len(tables[lane]):
-            raise ValueError("damaged block: a code points past its table of ids")
-        ids = tables[lane][x]
-        if zlib.crc32(ids.astype("<u4").tobytes()) != heads[i][2]:
-            raise ValueError("damaged block: its ids do not have its checksum")
-        result[i] = ids
-    return result
+        model.learn(step, n, x, by2, by1)
+    return every
 
 
 # ---------------------------------------------------------------- segments

@@ -1,29 +1,34 @@
-"""Tokenising whole texts with the tokenizers library, each distinct piece once per worker.
+"""Tokenising whole texts with the tokenizers library, each distinct piece of a slice once.
 
 A text is cut into pieces at places where neither vocabulary's pre-tokeniser can join across:
-a single blank or line break between two non-space characters.  Every distinct piece goes
-through the library once; a bounded per-worker cache holds its ids.  Unusual white space never
-makes a boundary (it stays inside a piece), so the ids equal those of the whole text.
+a single blank or line break between two non-space characters.  Arrow cuts the texts and numbers
+the distinct pieces; each distinct piece goes through the library once and numpy lays its ids out
+at every place it stands.  A bounded per-worker cache keeps the ids of pieces.  Unusual white
+space never makes a boundary (it stays inside a piece), so the ids equal those of the whole text.
 """
 
 from __future__ import annotations
 
+import os
 import re
 from functools import cache
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 #: a piece keeps one leading blank or line break; runs of white space and rare spaces stay inside it
 _PIECE = re.compile(r"(?:\A\s*|[ \n])\S+(?:(?:\s{2,}|[^\S \n])\S+)*(?:\s+\Z)?|\s+")
-_ODD = re.compile(r"\s{2,}|[^\S \n]|\A\s|\s\Z")
 #: pieces a worker keeps; once full, further pieces are encoded per call (memory bound, no effect on results)
 CACHE_PIECES = 600_000
 _LONGEST_CACHED = 64
+_FIRST = "\n\n"  # marks a text's first piece, which has no blank before it; no plain text holds two line breaks in a row
 
 
 @cache
 def tokenizer(path: str):
     """The tokenizer of a vocabulary file, special-token strings read as ordinary text."""
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark's tasks use the cores
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(path)
@@ -32,46 +37,61 @@ def tokenizer(path: str):
 
 
 @cache
-def _memory(path: str) -> dict[str, np.ndarray]:
+def _memory(path: str) -> dict[str, bytes]:
     return {}
 
 
-def _keys(text: str | None) -> list:
-    """A text's pieces as cache keys: ``x`` is " x", a leading line break is itself, " x" is "x" at the start.
-
-    Texts with unusual white space go through the pattern and use one-element tuples of the piece.
-    """
-    if not text:
-        return []
-    if _ODD.search(text):
-        return [(p,) for p in _PIECE.findall(text)]
-    keys = text.replace("\n", " \n").split(" ")
-    keys[0] = " " + keys[0]
-    return keys
+def _plain(text: str) -> bool:
+    """Whether all white space is single blanks and line breaks between words."""
+    words = text.split()
+    gaps = len(text) - sum(map(len, words))
+    return gaps == len(words) - 1 and text.count(" ") + text.count("\n") == gaps
 
 
 def _piece(key) -> str:
+    """The text of a key: a first piece, one after a line break, one after a blank, or (in a tuple) a piece as it is."""
     if isinstance(key, tuple):
         return key[0]
-    return key[1:] if key[0] == " " else key if key[0] == "\n" else " " + key
+    return key[2:] if key.startswith(_FIRST) else key if key[0] == "\n" else " " + key
 
 
-def encode(texts: list[str | None], path: str) -> list[np.ndarray]:
-    """Ids (uint32) of every whole text, add_special_tokens=False; null reads as empty."""
+def _ids(keys: list, path: str) -> list[bytes]:
     known = _memory(path)
-    keyed = [_keys(t) for t in texts]
-    ids = [list(map(known.get, ks)) for ks in keyed]
-    new: dict = {}
-    for ks, out in zip(keyed, ids):
-        if None in out:
-            new.update((k, None) for k, x in zip(ks, out) if x is None)
-    fresh = list(new)
+    ids = list(map(known.get, keys))
+    fresh = [j for j, x in enumerate(ids) if x is None]
     for i in range(0, len(fresh), 4096):
         part = fresh[i:i + 4096]
-        for k, e in zip(part, tokenizer(path).encode_batch_fast([_piece(k) for k in part], add_special_tokens=False)):
-            new[k] = np.array(e.ids, np.uint32).tobytes()
+        for j, e in zip(part, tokenizer(path).encode_batch_fast([_piece(keys[j]) for j in part], add_special_tokens=False)):
+            ids[j] = np.array(e.ids, np.uint32).tobytes()
+            k = keys[j]
             if len(known) < CACHE_PIECES and len(k) <= _LONGEST_CACHED and not isinstance(k, tuple):
-                known[k] = new[k]
-    if new:
-        ids = [[new[k] if x is None else x for k, x in zip(ks, out)] if None in out else out for ks, out in zip(keyed, ids)]
-    return [np.frombuffer(b"".join(out), np.uint32) for out in ids]
+                known[k] = ids[j]
+    return ids
+
+
+def encode(texts: list[str | None], path: str) -> list[np.ndarray]:
+    """Ids (uint32) of every whole text, add_special_tokens=False; null reads as empty."""
+    plain = [i for i, t in enumerate(texts) if t and _plain(t)]
+    odd = sorted({i for i, t in enumerate(texts) if t}.difference(plain))
+    cut = pc.split_pattern(pa.array([_FIRST + texts[i].replace("\n", " \n") for i in plain], pa.large_string()), " ")
+    coded = cut.flatten().dictionary_encode()
+    keys: list = coded.dictionary.to_pylist()
+    cuts, places = [np.diff(cut.offsets.to_numpy())], [coded.indices.to_numpy()]
+    more: dict = {}
+    for i in odd:
+        codes = np.array([more.setdefault(p, len(keys) + len(more)) for p in _PIECE.findall(texts[i])])
+        cuts.append(np.array([len(codes)]))
+        places.append(codes)
+    keys += [(p,) for p in more]
+    where = np.concatenate(places)
+    ids = _ids(keys, path)
+    sizes = np.array([len(x) for x in ids], np.int64) // 4
+    starts = np.cumsum(sizes) - sizes
+    n = sizes[where]
+    ends = np.r_[0, np.cumsum(n)]
+    flat = np.frombuffer(b"".join(ids), np.uint32)[np.repeat(starts[where] - ends[:-1], n) + np.arange(ends[-1])]
+    out: list[np.ndarray] = [np.array([], np.uint32)] * len(texts)
+    last = ends[np.cumsum(np.concatenate(cuts))]
+    for i, a, b in zip(plain + odd, np.r_[0, last[:-1]].tolist(), last.tolist()):
+        out[i] = flat[a:b]
+    return out
