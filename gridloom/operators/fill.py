@@ -17,16 +17,21 @@ from gridloom.functions.physics import clip
 
 
 def series_window(series_keys: list[str], order: str) -> tuple[Window, Window, Window]:
+    """(ascending window, rows up to the current one, rows from the current one on).
+
+    The last frame runs over the descending order, so ``last`` there is the next value and
+    both frames grow by one row per row: linear in the length of a series.  Times are unique in a series.
+    """
     base = Window.partitionBy(*series_keys).orderBy(order)
     upto = base.rowsBetween(Window.unboundedPreceding, 0)
-    onward = base.rowsBetween(0, Window.unboundedFollowing)
+    onward = Window.partitionBy(*series_keys).orderBy(F.col(order).desc()).rowsBetween(Window.unboundedPreceding, 0)
     return base, upto, onward
 
 
 def ffill_bfill(c: str, series_keys: list[str], order: str) -> Column:
     """WIN-3: carry the last known value forward, then the next one backward."""
     _, upto, onward = series_window(series_keys, order)
-    return F.coalesce(F.last(c, ignorenulls=True).over(upto), F.first(c, ignorenulls=True).over(onward))
+    return F.coalesce(F.last(c, ignorenulls=True).over(upto), F.last(c, ignorenulls=True).over(onward))
 
 
 def linear_interpolate(c: str, series_keys: list[str], order: str, position: str) -> Column:
@@ -38,8 +43,8 @@ def linear_interpolate(c: str, series_keys: list[str], order: str, position: str
     known_pos = F.when(F.col(c).isNotNull(), F.col(position))
     pv = F.last(c, ignorenulls=True).over(upto)
     pp = F.last(known_pos, ignorenulls=True).over(upto)
-    nv = F.first(c, ignorenulls=True).over(onward)
-    np_ = F.first(known_pos, ignorenulls=True).over(onward)
+    nv = F.last(c, ignorenulls=True).over(onward)
+    np_ = F.last(known_pos, ignorenulls=True).over(onward)
     inner = pv + (nv - pv) * ((F.col(position) - pp) / (np_ - pp))
     return (F.when(F.col(c).isNotNull(), F.col(c))
             .when(pv.isNotNull() & nv.isNotNull(), inner)
