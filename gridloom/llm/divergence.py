@@ -7,10 +7,15 @@ when it fails the base rule, or when a distance passes its threshold and the tex
 for that histogram to mean something (minimum-length guards).
 
 References come from all documents.  A language's class shares are the medians over its documents
-(in thousandths, so junk does not bend them); its common words are the most frequent among the
-words of at most ``COMMON_LENGTH`` letters (function words).  Both are exact counts over a
-bounded key space, combined per task before the shuffle.  The driver receives one number per class and
-the ``COMMON_WORDS`` words of each language, nothing that grows with the rows.
+(in thousandths, so junk does not bend them); its common words are the ``COMMON_WORDS`` most frequent of
+all its words, of any length and in any script.  Both are exact counts, combined per task before the
+shuffle and dealt by a hash of the key; the most frequent words are taken in each partition before the
+partitions' lists meet.  The driver receives one number per class and the common words of each language,
+nothing that grows with the rows.
+
+A word is a run between blanks in small letters, without the punctuation around it, of letters and their
+marks (apostrophes and hyphens may stand inside).  Where a script sets no blanks, such a run is a clause
+and hardly any is common, so the word distance stays small and only the classes tell.
 
 Nulls, ties and odd input: a null or empty text has no words, fails the base rule and has distance 0; a
 document whose lang is null or has no reference is measured against every reference and takes the
@@ -20,7 +25,7 @@ gives no rows; further columns are ignored (``keep`` returns them).
 
 from __future__ import annotations
 
-import re
+import unicodedata
 from collections import Counter
 from collections.abc import Iterator
 
@@ -33,16 +38,19 @@ from gridloom.llm.common import documents, raw, stored, text_slices
 
 MIN_WORDS, MAX_REPEAT_PERCENT, WINDOW = 20, 30, 8
 SYMBOLS = "#*$%&|<>"
-COMMON_LENGTH, COMMON_WORDS = 4, 40
+COMMON_WORDS = 40
 #: thresholds on the two distances and the least length at which each is used
 CHAR_LIMIT, CHAR_LEAST = 0.18, 100
 WORD_LIMIT, WORD_LEAST = 0.50, 40
 #: languages kept as references (the most frequent ones), so the driver's table is bounded
 MAX_LANGS = 1000
+#: distinct words a task holds before it sends their counts on
+HELD_WORDS = 1 << 18
 
 CLASSES = ("lower", "upper", "blank", "break", "stop", "bracket", "symbol", "accented", "wide", "control")
 _WHITE = " \t\n\r\x0b\x0c"
-_SHORT = re.compile(rb"[a-z\xc3\x80-\xbf]{1,8}")
+_AROUND = ".,;:!?()[]'\"-" + "¡¿«»‹›„“”‚‘’…–—·،؛؟।。、，．：；！？「」『』（）"
+_INSIDE = "'’-\u200c\u200d"
 
 
 def _class_table() -> np.ndarray:
@@ -84,19 +92,42 @@ def js_distance(p: np.ndarray, q: np.ndarray) -> float:
     return float(np.sqrt(max(0.0, (kl(p) + kl(q)) / 2)))
 
 
-def bare(words: list[bytes]) -> list[bytes]:
-    """Lower-case (A-Z) words without leading and trailing stops and brackets."""
-    return [w.strip(b".,;:!?()[]'\"-") for w in words]
+def words_of(text: str) -> list[str]:
+    """The words in small letters, split by the same six blanks as everywhere."""
+    words = raw(text.lower()).split()
+    return b"\n".join(words).decode("utf-8", "replace").split("\n") if words else []
+
+
+def bare(words: Counter) -> Counter:
+    """Counts of the words without the punctuation around them."""
+    out: Counter = Counter()
+    for w, n in words.items():
+        out[w.strip(_AROUND)] += n
+    return out
 
 
 # ---------------------------------------------------------------- references
 
-def _short(word: bytes) -> bool:
-    return 0 < len(word) <= 2 * COMMON_LENGTH and _SHORT.fullmatch(word) is not None and len(word.decode("utf-8", "replace")) <= COMMON_LENGTH
+def _spoken(word: str) -> bool:
+    """Letters of any script and their marks; apostrophes, hyphens and joiners may stand between them."""
+    return word.isalpha() or (any(map(str.isalpha, word)) and
+                              all(c.isalpha() or c in _INSIDE or unicodedata.category(c)[0] == "M" for c in word))
+
+
+def _count_rows(shares: Counter, words: dict) -> pa.RecordBatch:
+    rows = [(lang, f"class {k}", str(s), n) for (lang, k, s), n in shares.items()]
+    for lang, c in words.items():
+        rows += [(lang, "word", w, n) for w, n in bare(c).items() if _spoken(w)] + [(lang, "all", "", sum(c.values()))]
+    kinds = (pa.string(), pa.string(), pa.string(), pa.int64())
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows) if rows else [()] * 4, kinds)],
+                                      ["lang", "kind", "what", "n"])
 
 
 def _reference_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per task: (lang, kind, what, n): shares per class in thousandths, short words, all words."""
+    """Per task: (lang, kind, what, n): shares per class in thousandths, each word, all words.
+
+    A task whose distinct words pass ``HELD_WORDS`` sends their counts so far and goes on; the sums don't change.
+    """
     shares: Counter = Counter()
     words: dict = {}
     for cols, texts in text_slices(batches):
@@ -107,20 +138,11 @@ def _reference_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
             if len(text) >= CHAR_LEAST:
                 classes = char_classes(data)
                 shares.update((lang, k, s) for k, s in enumerate(np.rint(1000 * classes / classes.sum()).astype(int).tolist()))
-            words.setdefault(lang, Counter()).update(data.lower().split())
-        for c in words.values():  # long words can't be common words: only the bounded key space is kept
-            long = [w for w in c if len(w) > 2 * COMMON_LENGTH + 4]
-            c[b""] += sum(c.pop(w) for w in long)
-    rows = [(lang, f"class {k}", str(s), n) for (lang, k, s), n in shares.items()]
-    for lang, c in words.items():
-        out: Counter = Counter()
-        for w, n in c.items():
-            if _short(b := bare([w])[0]):
-                out[b.decode("utf-8", "replace")] += n
-        rows += [(lang, "word", w, n) for w, n in out.items()] + [(lang, "all", "", sum(c.values()))]
-    kinds = (pa.string(), pa.string(), pa.string(), pa.int64())
-    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows) if rows else [()] * 4, kinds)],
-                                     ["lang", "kind", "what", "n"])
+            words.setdefault(lang, Counter()).update(words_of(text))
+        if sum(map(len, words.values())) > HELD_WORDS:
+            yield _count_rows(Counter(), words)
+            words = {}
+    yield _count_rows(shares, words)
 
 
 def references(docs: DataFrame) -> dict[str, dict]:
@@ -142,7 +164,7 @@ def references(docs: DataFrame) -> dict[str, dict]:
     for r in sorted(rows, key=lambda r: (r["lang"], -r["n"], r["what"])):
         ref = out.setdefault(r["lang"], {"chars": np.zeros(len(CLASSES)), "words": [], "counts": []})
         if r["kind"] == "word":
-            ref["words"].append(r["what"].encode())
+            ref["words"].append(r["what"])
             ref["counts"].append(r["n"])
         elif r["kind"] == "all":
             ref["all"] = r["n"]
@@ -188,10 +210,10 @@ def repeat_words(words: list[bytes], window: int = WINDOW) -> int:
     return int((np.cumsum(edge[:-1]) > 0).sum())
 
 
-def distances(data: bytes, words: list[bytes], ref: dict) -> tuple[float, float]:
-    counted = Counter(bare(words))
+def distances(classes: np.ndarray, counted: Counter, ref: dict) -> tuple[float, float]:
+    """Distances of a text's classes and of its bare words' counts."""
     mine = [counted.get(w, 0) for w in ref["words"]]
-    return js_distance(char_classes(data), ref["chars"]), js_distance(np.array([*mine, len(words) - sum(mine)], float), ref["counts"])
+    return js_distance(classes, ref["chars"]), js_distance(np.array([*mine, counted.total() - sum(mine)], float), ref["counts"])
 
 
 def _rate(refs: dict[str, dict]):
@@ -205,8 +227,8 @@ def _rate(refs: dict[str, dict]):
                 failed = len(words) < MIN_WORDS or 100 * repeat > MAX_REPEAT_PERCENT * len(words)
                 dc = dw = 0.0
                 if words and refs:
-                    data, lower = raw(text), raw(text).lower().split()
-                    measured = [distances(data, lower, r) for r in ([refs[lang]] if lang in refs else refs.values())]
+                    classes, counted = char_classes(raw(text)), bare(Counter(words_of(text)))
+                    measured = [distances(classes, counted, r) for r in ([refs[lang]] if lang in refs else refs.values())]
                     dc, dw = min(measured, key=lambda d: d[0] + d[1])
                 odd = (chars >= CHAR_LEAST and dc > CHAR_LIMIT) or (len(words) >= WORD_LEAST and dw > WORD_LIMIT)
                 rows.append((doc, len(words), chars, symbols, dup, repeat, failed, dc, dw, not failed and not odd))

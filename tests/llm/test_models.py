@@ -1,11 +1,13 @@
 """Language id, token files, divergence, Katz scores and PII against brute force."""
 
 import math
+import random
 import re
 import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from gridloom.llm import divergence, katz, langid, piiboost, tokenfile, tokens
@@ -115,6 +117,40 @@ def test_quality_keeps_clean_and_drops_junk(spark):
     assert divergence.rate(docs.limit(0)).count() == 0 and divergence.keep(docs.limit(0)).count() == 0
 
 
+RUSSIAN = "и в не на что он с как это по но они мы за все она так его только когда"
+POLISH = "się że być może także więc już są dość który również będzie zależy między przed"
+
+
+def common_text(rng, common, letters, n=60):
+    """Two words in three are common ones, the others random letters."""
+    return " ".join(rng.choice(common) if rng.random() < 0.67 else "".join(rng.choices(letters, k=7)) for _ in range(n))
+
+
+@pytest.mark.parametrize("common", [RUSSIAN, POLISH])
+def test_quality_words_of_any_script(spark, monkeypatch, common):
+    rng, words = random.Random(5), common.split()
+    letters = sorted(set(common) - {" "})
+    good = [common_text(rng, words, letters).capitalize() + ("." if i % 2 else "»") for i in range(60)]
+    salad = [" ".join("".join(rng.choices(letters, k=rng.randint(1, 8))) for _ in range(60)) for _ in range(4)]
+    docs = spark.createDataFrame([(i, t, "xx", None, None, "x", "y") for i, t in enumerate(good + salad)], DOC).repartition(3)
+    ref = divergence.references(docs)["xx"]
+    counts = Counter(w.lower().strip(".»") for t in good + salad for w in t.split())
+    want = sorted(counts.items(), key=lambda x: (-x[1], x[0]))[:divergence.COMMON_WORDS]
+    assert list(zip(ref["words"], ref["counts"])) == want and set(words) <= set(ref["words"])
+    assert sum(ref["counts"]) == sum(counts.values()) and any(len(w) > 4 for w in ref["words"])
+    got = {r.doc_id: r for r in divergence.rate(docs).collect()}
+    assert all(got[i].kept for i in range(60)) and not any(got[i].kept or got[i].base_failed for i in range(60, 64))
+    batches = [pa.RecordBatch.from_pylist([{"doc_id": i, "text": t, "lang": "xx"}]) for i, t in enumerate(good)]
+    whole = list(divergence._reference_counts(iter(batches)))
+    monkeypatch.setattr(divergence, "HELD_WORDS", 50)
+    parts = list(divergence._reference_counts(iter(batches)))
+    sums = [Counter() for _ in range(2)]
+    for total, sent in zip(sums, (whole, parts)):
+        for r in (r for b in sent for r in b.to_pylist()):
+            total[r["lang"], r["kind"], r["what"]] += r["n"]
+    assert len(parts) > len(whole) == 1 and sums[0] == sums[1]
+
+
 def test_js_distance():
     assert divergence.js_distance(np.array([1.0, 0]), np.array([0, 1.0])) == 1.0
     assert divergence.js_distance(np.array([2.0, 2]), np.array([1.0, 1])) == 0.0
