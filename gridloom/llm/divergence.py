@@ -6,6 +6,12 @@ corpus, by the Jensen-Shannon distance (square root, base 2, so 0 to 1).  A docu
 when it fails the base rule, or when a distance passes its threshold and the text is long enough
 for that histogram to mean something (minimum-length guards).
 
+Digits are a class of their own.  Its guard: ``FEW_DIGITS`` of a text, or one to ``LETTERS_A_DIGIT`` letters if
+that is more, count as small letters, but no more than it has letters.  So phone and card numbers, years and
+prices in a clean text are no other language, and numbers alone are one.
+A text under ``CHAR_LEAST`` is too short for all classes, but not for two: it is rejected when its digits
+against its other characters between blanks are further than ``DIGIT_LIMIT`` from the language's.
+
 References come from all documents.  A language's class shares are the medians over its documents
 (in thousandths, so junk does not bend them); its common words are the ``COMMON_WORDS`` most frequent of
 all its words, of any length and in any script.  Both are exact counts, combined per task before the
@@ -25,6 +31,7 @@ gives no rows; further columns are ignored (``keep`` returns them).
 
 from __future__ import annotations
 
+import re
 import unicodedata
 from collections import Counter
 from collections.abc import Iterator
@@ -41,27 +48,27 @@ SYMBOLS = "#*$%&|<>"
 COMMON_WORDS = 40
 #: thresholds on the two distances and the least length at which each is used
 CHAR_LIMIT, CHAR_LEAST = 0.18, 100
+#: digits of a text that count as letters, and the threshold on digits alone for texts under CHAR_LEAST
+FEW_DIGITS, LETTERS_A_DIGIT, DIGIT_LIMIT = 40, 4, 0.50
 WORD_LIMIT, WORD_LEAST = 0.50, 40
 #: languages kept as references (the most frequent ones), so the driver's table is bounded
 MAX_LANGS = 1000
 #: distinct words a task holds before it sends their counts on
 HELD_WORDS = 1 << 18
 
-CLASSES = ("lower", "upper", "blank", "break", "stop", "bracket", "symbol", "accented", "wide", "control")
+CLASSES = ("lower", "upper", "blank", "break", "stop", "bracket", "symbol", "accented", "wide", "control", "digit")
+LOWER, UPPER, BLANK, BREAK, ACCENTED, WIDE, DIGIT = map(CLASSES.index, ("lower", "upper", "blank", "break", "accented", "wide", "digit"))
 _WHITE = " \t\n\r\x0b\x0c"
 _AROUND = ".,;:!?()[]'\"-" + "¡¿«»‹›„“”‚‘’…–—·،؛؟।。、，．：；！？「」『』（）"
+_WIDE_DIGIT = re.compile(r"[^\D0-9]")
 _INSIDE = "'’-\u200c\u200d"
 
 
 def _class_table() -> np.ndarray:
-    """Class of each UTF-8 lead byte; continuation bytes have the last, uncounted class.
-
-    Digits count with the small letters: a phone number in a short clean text is no other language,
-    and texts of numbers alone show in their words.
-    """
+    """Class of each UTF-8 lead byte; continuation bytes have the last, uncounted class."""
     t = np.full(256, CLASSES.index("symbol"))
     t[:32] = t[127] = CLASSES.index("control")
-    for chars, name in (("abcdefghijklmnopqrstuvwxyz", "lower"), ("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "upper"), ("0123456789", "lower"),
+    for chars, name in (("abcdefghijklmnopqrstuvwxyz", "lower"), ("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "upper"), ("0123456789", "digit"),
                         (" \t", "blank"), ("\n\r\x0b\x0c", "break"), (".,;:!?", "stop"), ("()[]'\"-", "bracket")):
         t[[ord(c) for c in chars]] = CLASSES.index(name)
     t[128:192] = len(CLASSES)
@@ -75,7 +82,26 @@ _TABLE = _class_table()
 
 def char_classes(data: bytes) -> np.ndarray:
     by_byte = np.bincount(np.frombuffer(data, np.uint8), minlength=256)
-    return np.bincount(_TABLE, weights=by_byte, minlength=len(CLASSES) + 1)[:len(CLASSES)]
+    out = np.bincount(_TABLE, weights=by_byte, minlength=len(CLASSES) + 1)[:len(CLASSES)]
+    if out[WIDE]:  # every decimal digit beyond ASCII is in this class
+        n = len(_WIDE_DIGIT.findall(data.decode("utf-8", "replace")))
+        out[WIDE] -= n
+        out[DIGIT] += n
+    return out
+
+
+def few_as_letters(classes: np.ndarray) -> np.ndarray:
+    """The classes with the digits that the guard allows among the small letters."""
+    out = classes.copy()
+    letters = out[[LOWER, UPPER, ACCENTED, WIDE]].sum()
+    n = min(out[DIGIT], letters, max(FEW_DIGITS, letters // LETTERS_A_DIGIT))
+    out[DIGIT] -= n
+    out[LOWER] += n
+    return out
+
+
+def digits_and_rest(classes: np.ndarray) -> np.ndarray:
+    return np.array([classes[DIGIT], classes.sum() - classes[[DIGIT, BLANK, BREAK]].sum()])
 
 
 def js_distance(p: np.ndarray, q: np.ndarray) -> float:
@@ -136,7 +162,7 @@ def _reference_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
             if lang is None or not data:
                 continue
             if len(text) >= CHAR_LEAST:
-                classes = char_classes(data)
+                classes = few_as_letters(char_classes(data))
                 shares.update((lang, k, s) for k, s in enumerate(np.rint(1000 * classes / classes.sum()).astype(int).tolist()))
             words.setdefault(lang, Counter()).update(words_of(text))
         if sum(map(len, words.values())) > HELD_WORDS:
@@ -210,10 +236,12 @@ def repeat_words(words: list[bytes], window: int = WINDOW) -> int:
     return int((np.cumsum(edge[:-1]) > 0).sum())
 
 
-def distances(classes: np.ndarray, counted: Counter, ref: dict) -> tuple[float, float]:
-    """Distances of a text's classes and of its bare words' counts."""
+def distances(classes: np.ndarray, counted: Counter, ref: dict) -> tuple[float, float, float]:
+    """Distances of a text's classes, of its bare words' counts and of its digits alone."""
     mine = [counted.get(w, 0) for w in ref["words"]]
-    return js_distance(classes, ref["chars"]), js_distance(np.array([*mine, counted.total() - sum(mine)], float), ref["counts"])
+    return (js_distance(few_as_letters(classes), ref["chars"]),
+            js_distance(np.array([*mine, counted.total() - sum(mine)], float), ref["counts"]),
+            js_distance(digits_and_rest(classes), digits_and_rest(ref["chars"])))
 
 
 def _rate(refs: dict[str, dict]):
@@ -225,12 +253,12 @@ def _rate(refs: dict[str, dict]):
             for doc, lang, text in zip(cols["doc_id"], cols["lang"], texts):
                 chars, symbols, dup, repeat, words = base_features(text)
                 failed = len(words) < MIN_WORDS or 100 * repeat > MAX_REPEAT_PERCENT * len(words)
-                dc = dw = 0.0
+                dc = dw = dd = 0.0
                 if words and refs:
                     classes, counted = char_classes(raw(text)), bare(Counter(words_of(text)))
                     measured = [distances(classes, counted, r) for r in ([refs[lang]] if lang in refs else refs.values())]
-                    dc, dw = min(measured, key=lambda d: d[0] + d[1])
-                odd = (chars >= CHAR_LEAST and dc > CHAR_LIMIT) or (len(words) >= WORD_LEAST and dw > WORD_LIMIT)
+                    dc, dw, dd = min(measured, key=lambda d: d[0] + d[1])
+                odd = (dc > CHAR_LIMIT if chars >= CHAR_LEAST else dd > DIGIT_LIMIT) or (len(words) >= WORD_LEAST and dw > WORD_LIMIT)
                 rows.append((doc, len(words), chars, symbols, dup, repeat, failed, dc, dw, not failed and not odd))
             kinds = [pa.int64()] * 6 + [pa.bool_(), pa.float64(), pa.float64(), pa.bool_()]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names)

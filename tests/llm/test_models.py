@@ -151,6 +151,22 @@ def test_quality_words_of_any_script(spark, monkeypatch, common):
     assert len(parts) > len(whole) == 1 and sums[0] == sums[1]
 
 
+def test_quality_numbers_alone(spark):
+    rng, words = random.Random(6), "the of and to in is that it for was".split()
+    clean = [common_text(rng, words, "abcdefghijklmnopqrstuvwxyz", 30) for _ in range(60)]
+    held = [f"{common_text(rng, words, 'abcdefghijklmnopqrstuvwxyz', n)} +1 (555) 123-4567, 4111 1111 1111 1111 {rng.choice(words)}"
+            for n in (16, 20, 25, 30) for _ in range(4)]
+    held += [common_text(rng, words, "abcdefghijklmnopqrstuvwxyz", 38).replace(" the ", " 1694893019727317 ", 3) + " 2024" for _ in range(4)]
+    numbers = [" ".join(str(rng.randrange(10 ** (size - 1), 10 ** size)) for _ in range(n)) for size in (1, 2, 3, 4, 6, 8) for n in (20, 25, 30, 39)]
+    numbers += [" ".join("".join(rng.choices("٠١٢٣٤٥٦٧٨٩", k=6)) for _ in range(30)), " ".join(f"{rng.randrange(100, 999)}.{i}," for i in range(25)),
+                "the " + " ".join(str(rng.randrange(1000, 9999)) for _ in range(29))]
+    texts = clean + held + numbers
+    docs = spark.createDataFrame([(i, t, "en", None, None, "x", "y") for i, t in enumerate(texts)], DOC)
+    got = sorted(divergence.rate(docs).collect())
+    assert not any(r.base_failed for r in got[80:-3]) and all(r.n_words < 40 for r in got[80:])
+    assert [r.doc_id for r in got if r.kept] == list(range(80))
+
+
 def test_js_distance():
     assert divergence.js_distance(np.array([1.0, 0]), np.array([0, 1.0])) == 1.0
     assert divergence.js_distance(np.array([2.0, 2]), np.array([1.0, 1])) == 0.0
