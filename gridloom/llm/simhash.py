@@ -56,8 +56,9 @@ def _fingerprints(shingle: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for cols, texts in text_slices(batches):
             fp = np.fromiter((fingerprint(t, shingle) for t in texts), np.uint64, len(texts))
-            yield pa.RecordBatch.from_arrays([pa.array(cols["doc_id"], pa.int64()), pa.array(fp.view(np.int64))],
-                                             ["doc_id", "fp"])
+            keys = [pa.array(cols[c], pa.string()) for c in cols if c == "copy_key"]
+            yield pa.RecordBatch.from_arrays([pa.array(cols["doc_id"], pa.int64()), pa.array(fp.view(np.int64)), *keys],
+                                             ["doc_id", "fp", "copy_key"][:2 + len(keys)])
     return run
 
 
@@ -143,12 +144,19 @@ def dedup(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> Data
 
 
 def keep_first(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
-    """The input rows without near copies: of each component the row of its smallest doc_id stays.
+    """The input rows without near copies: one row of each component stays.
 
-    A doc_id on several rows keeps one row per distinct text; rows with a null doc_id all stay (they
-    have no id that could name a class).
+    It is the row of the smallest doc_id (null after all others), then of the smallest digest of id and text,
+    so repeated and null ids are settled like any other.  Components link fingerprints here, not ids.
     """
-    marked = stored(dedup(docs, shingle, radius), "marked")
-    keep = marked.where("doc_id = component_id").select(F.col("doc_id").alias("_kept_id")).distinct()
-    named = docs.join(keep, docs["doc_id"].cast("long") == keep["_kept_id"], "left_semi")
-    return named.dropDuplicates(["doc_id", "text"]).unionByName(docs.where("doc_id is null"))
+    key = F.md5(F.concat_ws(":", F.col("doc_id").cast("long").cast("string"), F.md5(F.coalesce(F.col("text").cast("string"), F.lit("")))))
+    marked = (documents(docs).withColumn("copy_key", key)
+              .mapInArrow(_fingerprints(shingle), "doc_id long, fp long, copy_key string"))
+    rows = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "copy_key")
+    firsts = stored(marked.groupBy("fp").agg(F.min(rows).alias("first")), "firsts")
+    classes = components(links(firsts.select("fp", F.col("fp").alias("rep")), radius), "a", "b")
+    keep = stored(firsts.join(classes, firsts["fp"] == classes["node"], "left")
+                  .groupBy(F.coalesce("component", "fp").alias("component")).agg(F.min("first").alias("first"))
+                  .select(F.col("first.copy_key").alias("_copy_key")), "kept")
+    once = docs.withColumn("_copy_key", key).dropDuplicates(["_copy_key"])  # combined per task: copies never meet in one
+    return once.join(keep, "_copy_key", "left_semi").select(*docs.columns)

@@ -62,6 +62,18 @@ def test_simhash_odd_rows(spark):
     assert simhash.dedup(docs.limit(0)).count() == 0 and simhash.keep_first(docs.limit(0)).count() == 0
 
 
+def test_one_row_a_component_with_repeated_and_null_ids(spark):
+    rng = np.random.default_rng(3)
+    base = [" ".join(rng.choice(list("abcdefghij"), (400, 5)).view("<U5").ravel().tolist()) for _ in range(4)]
+    near = [b + " end" for b in base]
+    assert all((slow_fingerprint(b) ^ slow_fingerprint(n)).bit_count() <= 4 and b != n for b, n in zip(base, near))
+    rows = [(1, base[0]), (5, base[1]), (5, near[1]), (2, near[0]), (5, base[0]), *[(None, base[2])] * 40, (None, near[2]), (None, near[1]), (6, base[3]), (None, near[3])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    kept = sorted(((r.doc_id, r.text) for r in simhash.keep_first(docs).collect()), key=lambda r: (r[0] is None, r[0] or 0))
+    assert [r[0] for r in kept] == [1, 5, 6, None]
+    assert kept[0][1] == base[0] and kept[1][1] in (base[1], near[1]) and kept[3][1] in (base[2], near[2])
+
+
 def rows_names(schema):
     return {c.split()[0]: 0 for c in schema.split(", ")}.keys()
 
