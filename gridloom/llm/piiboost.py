@@ -9,7 +9,8 @@
    overlaps are settled by probability.  Spans of the base rules are always kept.
 
 Training: labels come from the base rules themselves.  Positives are base matches of a bounded
-sample of documents (``SAMPLE_DOCS``) and seeded rewrites of them in shapes the base rules do not
+sample of documents (``SAMPLE_DOCS``, of each ``SAMPLE_WINDOWS`` windows from anywhere in the text, chosen
+by a hash of their position) and seeded rewrites of them in shapes the base rules do not
 cover (other separators, missing plus sign, spelled-out at and dot); negatives are the sample's
 other candidates and rewrites that break the checksum or range, plus dates, versions and amounts
 generated from a seed.  Prediction never samples: every whole text is searched.
@@ -36,8 +37,8 @@ from pyspark.sql import functions as F
 from gridloom.llm.common import documents, stored, text_slices
 
 KINDS = ("email", "ip", "card", "phone")
-#: bounds of the training sample: documents read for it and candidates used per kind
-SAMPLE_DOCS, SAMPLE_CANDIDATES = 2000, 2000
+#: bounds of the training sample: documents read for it, windows around digits and at signs used of each, candidates used per kind
+SAMPLE_DOCS, SAMPLE_WINDOWS, SAMPLE_CANDIDATES = 2000, 20, 2000
 PRECISION, ROUNDS, RATE, SEED = 0.98, 60, 0.3, 11
 
 # Base rules (fixed by the contract).  Look-behinds and possessive runs keep them linear without changing a match.
@@ -296,15 +297,25 @@ def listed(spans: list[tuple[int, int, str]]) -> str:
     return ",".join(f"{k}:{a}:{b}" for a, b, k in spans)
 
 
-def model_for(docs: DataFrame) -> dict[str, tuple[list, float]]:
-    """The model trained on at most ``SAMPLE_DOCS`` documents with digits or an at sign, chosen by a hash of the id."""
+def sample_windows(docs: DataFrame) -> list[str]:
+    """Windows of at most ``SAMPLE_DOCS`` documents with digits or an at sign, chosen by a hash of the id.
+
+    Of a document with more than ``SAMPLE_WINDOWS`` windows, those with the smallest hash of id and position are taken.
+    """
     n = docs.count()  # a share of the ids first, so that no task sends more than its part of the sample
     share = min(1.0, 40 * SAMPLE_DOCS / max(1, n))
     near = documents(docs).withColumn("h", F.xxhash64("doc_id")).where(F.pmod("h", F.lit(1 << 30)) < int(share * (1 << 30)) + 1)
     hit = near.where(F.col("text").rlike("[0-9@]"))
     windows = F.regexp_extract_all("text", F.lit(r"(?s)(.{0,60}[0-9@].{0,90})"), 1)
-    rows = (hit.select("h", "doc_id", F.slice(windows, 1, 20).alias("w")).orderBy("h", "doc_id").limit(SAMPLE_DOCS).collect())
-    return train([w for r in rows for w in r["w"]])
+    placed = F.transform(windows, lambda w, i: F.struct(F.xxhash64("doc_id", i).alias("p"), i.alias("i"), w.alias("w")))
+    taken = F.slice(F.array_sort(placed), 1, SAMPLE_WINDOWS)["w"]
+    rows = hit.select("h", "doc_id", taken.alias("w")).orderBy("h", "doc_id").limit(SAMPLE_DOCS).collect()
+    return [w for r in rows for w in r["w"]]
+
+
+def model_for(docs: DataFrame) -> dict[str, tuple[list, float]]:
+    """The model trained on the windows of a bounded sample of ``docs``."""
+    return train(sample_windows(docs))
 
 
 def _search(model: dict):

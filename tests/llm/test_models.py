@@ -284,6 +284,15 @@ def test_pii_query_and_redaction(spark):
     assert [r.text for r in piiboost.redact(odd).collect()].count(None) == 1
 
 
+def test_training_windows_come_from_the_whole_text(spark):
+    docs = spark.createDataFrame([(d, " ".join(f"{'word ' * 60}{i}" for i in range(100, 300)), None, None, None, "x", "y") for d in range(5)]
+                                 + [(9, "call 555", None, None, None, "x", "y")], DOC)
+    windows = piiboost.sample_windows(docs)
+    at = [int(re.search("[0-9]+", w).group()) for w in windows]
+    assert len(windows) == 5 * piiboost.SAMPLE_WINDOWS + 1 and "call 555" in windows
+    assert sum(150 < i < 300 for i in at) > 50 and windows == piiboost.sample_windows(docs)
+
+
 def test_boosted_candidates_generalise():
     model = piiboost.train([])
     found = lambda t: [(t[a:b], k) for a, b, k in piiboost.find(t, model)[1]]
