@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gridloom.llm import divergence, embeddup, katz, langid, mixing, packing, piiboost, preference, simhash, tokenfile
+from gridloom.llm import (divergence, embeddup, katz, langid, linededup, mixing, packing, piiboost, preference, simhash,
+                          tokenfile)
 from gridloom.sources.tables import read_table
 
 
@@ -67,9 +68,15 @@ def op10_pii(spark: SparkSession, d: str) -> DataFrame:
     return piiboost.search(read_table(spark, d, "documents"))
 
 
+def op12_line_dedup(spark: SparkSession, d: str) -> DataFrame:
+    """Operator 12: lines of every document, before and after shared lines are dropped."""
+    return linededup.digest(linededup.drop_shared_lines(read_table(spark, d, "documents")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_simhash, op2_langid, op3_tokenfile, op4_mixing, op5_embedding_dedup, op6_preference, op7_packing, op8_divergence, op9_katz, op10_pii)}
+        op1_simhash, op2_langid, op3_tokenfile, op4_mixing, op5_embedding_dedup, op6_preference, op7_packing, op8_divergence, op9_katz, op10_pii,
+        op12_line_dedup)}
 
 #: Spark and DuckDB share md5, so systematic sampling is the same arithmetic in both.
 MIXING_SQL = """
@@ -98,4 +105,5 @@ SELECT doc_id, size, source_size, target,
 FROM r
 """
 
-ORACLE: dict[str, str] = {"op4_mixing": MIXING_SQL, "op6_preference": preference.ORACLE_SQL}
+ORACLE: dict[str, str] = {"op4_mixing": MIXING_SQL, "op6_preference": preference.ORACLE_SQL,
+                          "op12_line_dedup": linededup.ORACLE_SQL}
