@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from gridloom.llm import (divergence, embeddup, katz, langid, linededup, mixing, packing, piiboost, preference, simhash,
-                          tokenfile)
+                          tokenfile, wordruns)
 from gridloom.sources.tables import read_table
 
 
@@ -73,10 +73,15 @@ def op12_line_dedup(spark: SparkSession, d: str) -> DataFrame:
     return linededup.digest(linededup.drop_shared_lines(read_table(spark, d, "documents")))
 
 
+def op13_word_runs(spark: SparkSession, d: str) -> DataFrame:
+    """Operator 13: runs of every document, some of them given repeats, and its words without the repeats."""
+    return wordruns.digest(wordruns.find_runs(wordruns.with_repeats(read_table(spark, d, "documents"))))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_simhash, op2_langid, op3_tokenfile, op4_mixing, op5_embedding_dedup, op6_preference, op7_packing, op8_divergence, op9_katz, op10_pii,
-        op12_line_dedup)}
+        op12_line_dedup, op13_word_runs)}
 
 #: Spark and DuckDB share md5, so systematic sampling is the same arithmetic in both.
 MIXING_SQL = """
@@ -106,4 +111,4 @@ FROM r
 """
 
 ORACLE: dict[str, str] = {"op4_mixing": MIXING_SQL, "op6_preference": preference.ORACLE_SQL,
-                          "op12_line_dedup": linededup.ORACLE_SQL}
+                          "op12_line_dedup": linededup.ORACLE_SQL, "op13_word_runs": wordruns.ORACLE_SQL}
