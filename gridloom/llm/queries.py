@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gridloom.llm import (divergence, embeddup, katz, langid, linededup, mixing, packing, piiboost, preference, simhash,
-                          tokenfile, wordruns)
+from gridloom.llm import (convrepair, divergence, embeddup, katz, langid, linededup, mixing, packing, piiboost, preference,
+                          simhash, tokenfile, wordruns)
 from gridloom.sources.tables import read_table
 
 
@@ -68,6 +68,11 @@ def op10_pii(spark: SparkSession, d: str) -> DataFrame:
     return piiboost.search(read_table(spark, d, "documents"))
 
 
+def op11_conversation_repair(spark: SparkSession, d: str) -> DataFrame:
+    """Operator 11: faults, cheapest edits and repaired text of every conversation after it is damaged."""
+    return convrepair.digest(read_table(spark, d, "conversations"))
+
+
 def op12_line_dedup(spark: SparkSession, d: str) -> DataFrame:
     """Operator 12: lines of every document, before and after shared lines are dropped."""
     return linededup.digest(linededup.drop_shared_lines(read_table(spark, d, "documents")))
@@ -81,7 +86,7 @@ def op13_word_runs(spark: SparkSession, d: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_simhash, op2_langid, op3_tokenfile, op4_mixing, op5_embedding_dedup, op6_preference, op7_packing, op8_divergence, op9_katz, op10_pii,
-        op12_line_dedup, op13_word_runs)}
+        op11_conversation_repair, op12_line_dedup, op13_word_runs)}
 
 #: Spark and DuckDB share md5, so systematic sampling is the same arithmetic in both.
 MIXING_SQL = """
@@ -111,4 +116,5 @@ FROM r
 """
 
 ORACLE: dict[str, str] = {"op4_mixing": MIXING_SQL, "op6_preference": preference.ORACLE_SQL,
-                          "op12_line_dedup": linededup.ORACLE_SQL, "op13_word_runs": wordruns.ORACLE_SQL}
+                          "op11_conversation_repair": convrepair.ORACLE_SQL, "op12_line_dedup": linededup.ORACLE_SQL,
+                          "op13_word_runs": wordruns.ORACLE_SQL}
