@@ -48,9 +48,13 @@ def completeness(obs: DataFrame, ts: str = "ts", grid: str = "grid_id", max_grid
     missing_time_points_count, expected_points, actual_points, completeness_ratio,
     missing_time_points (array<string>, sorted), incomplete_time_points (map<string,int>).
     """
+    return report_of_counts(point_counts(obs, ts, grid, max_grid_id, step_minutes, strict), max_grid_id, step_minutes)
+
+
+def report_of_counts(pc: DataFrame, max_grid_id: int, step_minutes: int) -> DataFrame:
+    """AGG-3 from (date, time_point, rows, grids_present), however these were counted."""
     g = max_grid_id + 1
     t = 1440 // step_minutes
-    pc = point_counts(obs, ts, grid, max_grid_id, step_minutes, strict)
     gap = F.lit(g) - F.col("grids_present")
     per_day = pc.groupBy("date").agg(
         F.sum("rows").alias("actual_points"),

@@ -14,11 +14,11 @@ from pyspark.sql import types as T
 from gridloom.functions import timeaxis as tx
 from gridloom.operators import dedup, grid, joins, quality, scaffold
 from gridloom.plans import views
-from gridloom.plans.present import present
+from gridloom.plans.present import map_text, present
 from gridloom.session import scratch_path
 from gridloom.sources import catalog, pages, tensorfiles
 from gridloom.sources.tables import read_table
-from gridloom.streaming import ingest
+from gridloom.streaming import ingest, upserts
 
 HOURLY = 60
 
@@ -42,27 +42,72 @@ def q45_json_pages(spark: SparkSession, base: str) -> DataFrame:
     return present(rows.withColumn("ts", tx.parse_exact("ts")))
 
 
+STREAM_FILES = 4
+
+
 def _event_stream(spark: SparkSession, base: str) -> DataFrame:
-    path = f"{base.rstrip('/')}/events.parquet"
-    schema = spark.read.parquet(path).schema
-    return ingest.file_stream(spark, path, schema)
+    """Events as a stream of files, one file a trigger (the stand-in for pages that arrive one after another)."""
+    events = read_table(spark, base, "events", views.EVENT_COLS)
+    folder = scratch_path(spark, "stream-in")
+    events.repartition(STREAM_FILES, "event_id").write.parquet(folder)
+    return ingest.file_stream(spark, folder, events.schema, max_files_per_trigger=1)
+
+
+#: longer than the events table, so that no row of it is late whatever the order of its files
+WHOLE_TABLE = "366 days"
 
 
 def q46_stream_dedup(spark: SparkSession, base: str) -> DataFrame:
-    """STM-1: events streamed from their file, bucketed like ``obs``, deduplicated on (hour, grid)."""
-    s = ingest.ingest_dedup(_event_stream(spark, base), ["event_time", "grid_id"], "ts", "1 hour",
-                            transform=lambda e: views.obs_from_events(e, 4))
+    """STM-1: events streamed in several triggers, bucketed like ``obs``; the first row of every (hour, grid) by
+    (page span start, page, row) is kept up to date in state, so the latest versions equal the batch keep-first."""
+    stream = views.obs_from_events(_event_stream(spark, base), 4)
+    spans = views.obs(spark, base, 4).groupBy("page").agg(F.min("ts").alias("span_start"))  # a page's name carries it
+    led = ingest.keep_first_stream(stream.join(spans, "page"), "ts", ["grid_id"], ["span_start", "page", "row_ord"], WHOLE_TABLE)
     out, ck = scratch_path(spark, "stream-dedup"), scratch_path(spark, "stream-dedup-ckpt")
-    ingest.run_available(s.select("ts", "grid_id"), out, ck)
-    return present(spark.read.parquet(out))
+    upserts.run_updates(led, out, ck, ["late"])
+    return present(upserts.latest(spark, out, ["ts", "grid_id"], "late = 0").drop("span_start", "late"))
+
+
+def _late_stream(spark: SparkSession, base: str) -> DataFrame:
+    """Two runs over one checkpoint: the newer half of the events, then the older half, all of it past the watermark."""
+    o = views.obs(spark, base, 4)
+    secs = tx.epoch_seconds("ts")
+    bounds = o.agg(F.min(secs).alias("lo"), F.max(secs).alias("hi"))
+    middle = (bounds.select("lo").scalar() + bounds.select("hi").scalar()) / 2
+    folder, out, ck = (scratch_path(spark, n) for n in ("late-in", "late-out", "late-ckpt"))
+    for half in (secs >= middle, secs < middle):
+        o.filter(half).write.mode("append").parquet(folder)
+        stream = ingest.file_stream(spark, folder, o.schema)
+        led = ingest.keep_first_stream(stream, "ts", ["grid_id"], ["page", "row_ord"], "1 hour")
+        upserts.run_updates(led, out, ck, ["late"])
+    return spark.read.parquet(out)
+
+
+def q67_stream_late(spark: SparkSession, base: str) -> DataFrame:
+    """STM-1 side output: rows that arrive after the watermark has passed their time, counted per day and grid."""
+    late = _late_stream(spark, base).filter("late = 1")
+    return present(late.groupBy(F.to_date("ts").alias("date"), "grid_id").agg(F.count(F.lit(1)).alias("late_rows")))
+
+
+def _streamed_cells(spark: SparkSession, base: str) -> str:
+    stream = views.obs_from_events(_event_stream(spark, base), 4)
+    out, ck = scratch_path(spark, "stream-cells"), scratch_path(spark, "stream-cells-ckpt")
+    upserts.run_updates(ingest.step_cells(stream, "ts", "grid_id", 3, HOURLY, WHOLE_TABLE), out, ck)
+    return out
 
 
 def q47_stream_completeness(spark: SparkSession, base: str) -> DataFrame:
-    """STM-2: events per one-day event-time window, emitted once the watermark (1 hour) closes it."""
-    s = ingest.completeness_stream(_event_stream(spark, base), "ts", "1 hour", "1 day")
-    out, ck = scratch_path(spark, "stream-days"), scratch_path(spark, "stream-days-ckpt")
-    ingest.run_available(s, out, ck)
-    return present(spark.read.parquet(out))
+    """STM-2: per (day, hour) the rows that arrived and the distinct cells, kept up to date over several triggers;
+    open days are shown as well as closed ones."""
+    counts = ingest.step_counts(spark, _streamed_cells(spark, base))
+    return present(counts.select("date", "time_point", "arrived", F.col("grids_present").alias("cells")))
+
+
+def q66_stream_report(spark: SparkSession, base: str) -> DataFrame:
+    """STM-2 + AGG-3: the daily completeness report merged from the streamed counts, equal to the batch report."""
+    rep = ingest.day_report(spark, _streamed_cells(spark, base), 3, HOURLY)
+    return present(rep.withColumns({"missing_time_points": F.array_join("missing_time_points", ","),
+                                    "incomplete_time_points": map_text(F.col("incomplete_time_points"))}))
 
 
 SAMPLE_FEATURES = ["t", "rh", "speed"]
@@ -209,6 +254,8 @@ IO_QUERIES = {
     "q45_json_pages": q45_json_pages,
     "q46_stream_dedup": q46_stream_dedup,
     "q47_stream_completeness": q47_stream_completeness,
+    "q66_stream_report": q66_stream_report,
+    "q67_stream_late": q67_stream_late,
     "q48_tensor_roundtrip": q48_tensor_roundtrip,
     "q61_page_file_roundtrip": q61_page_file_roundtrip,
     "q62_catalog_dispatch": q62_catalog_dispatch,

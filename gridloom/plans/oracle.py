@@ -684,16 +684,15 @@ SELECT {day_text('date')} AS date, {ts_text('ts')} AS ts, strftime(ts, '%H:%M')
        strftime(ts, '%Y%m%d_%H%M%S') AS compact FROM t"""
 
 
-def q46() -> str:
-    return f"""SELECT DISTINCT {ts_text("date_trunc('hour', ts)")} AS ts, CAST(user_id % 4 AS BIGINT) AS grid_id FROM events"""
+def q47() -> str:
+    return f"""WITH {obs_cte(4)}
+SELECT {day_text('ts')} AS date, strftime(ts, '%H:%M') AS time_point, count(*) AS arrived, count(DISTINCT grid_id) AS cells
+FROM obs GROUP BY 1, 2"""
 
 
-def q47() -> str:
-    return f"""WITH d AS (SELECT CAST(ts AS DATE) AS day, count(*) AS rows FROM events GROUP BY 1),
-m AS (SELECT max(ts) AS mx FROM events)
-SELECT {ts_text('CAST(day AS TIMESTAMP)')} AS window_start, {ts_text('CAST(day AS TIMESTAMP) + INTERVAL 1 DAY')} AS window_end,
-       CAST(rows AS BIGINT) AS rows
-FROM d, m WHERE CAST(day AS TIMESTAMP) + INTERVAL 1 DAY <= m.mx - INTERVAL 1 HOUR"""
+def q67() -> str:
+    return f"""WITH {obs_cte(4)}, m AS (SELECT (epoch(min(ts)) + epoch(max(ts))) / 2 AS middle FROM obs)
+SELECT {day_text('ts')} AS date, grid_id, count(*) AS late_rows FROM obs, m WHERE epoch(ts) < middle GROUP BY 1, 2"""
 
 
 def q48() -> str:
@@ -809,8 +808,10 @@ ORACLE = {
     "q60_set_difference": q60(),
     "q64_time_labels": q64(),
     "q45_json_pages": f"WITH {obs_cte(4)} SELECT {obs_select()} FROM obs",
-    "q46_stream_dedup": q46(),
+    "q46_stream_dedup": f"WITH {dedup_cte(4)} SELECT {obs_select()} FROM dedup",
     "q47_stream_completeness": q47(),
+    "q66_stream_report": completeness_sql(4),
+    "q67_stream_late": q67(),
     "q48_tensor_roundtrip": q48(),
     "q61_page_file_roundtrip": q61(),
     "q62_catalog_dispatch": q62(),

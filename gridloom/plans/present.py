@@ -30,3 +30,9 @@ def present(df: DataFrame, digits: int = DIGITS) -> DataFrame:
             c = F.date_format(c, "yyyy-MM-dd HH:mm:ss")
         out.append(c.alias(f.name))
     return df.select(*out)
+
+
+def map_text(m: F.Column) -> F.Column:
+    """A map as ``key=value`` pairs in key order, comma-joined."""
+    return F.array_join(F.array_sort(F.transform(
+        F.map_entries(m), lambda e: F.concat(e["key"], F.lit("="), e["value"].cast("string")))), ",")

@@ -21,7 +21,7 @@ from gridloom.sources.schemas import FLOW_CELLS
 from gridloom.plans import views
 from gridloom.sources import pages
 from gridloom.sources.tables import read_table
-from gridloom.plans.present import present
+from gridloom.plans.present import map_text, present
 from gridloom.session import cut_lineage
 
 HOURLY = 60
@@ -33,11 +33,6 @@ def _obs_dedup(spark: SparkSession, base: str, n_grids: int = 4) -> DataFrame:
     return d.drop("span_start")
 
 
-def _map_text(m) -> F.Column:
-    return F.array_join(F.array_sort(F.transform(
-        F.map_entries(m), lambda e: F.concat(e["key"], F.lit("="), e["value"].cast("string")))), ",")
-
-
 def q01_completeness_daily(spark: SparkSession, base: str) -> DataFrame:
     """WIN-1 + AGG-2 + AGG-3: keep-first dedup of hourly cells, then the per-day completeness report
     (points, missing and incomplete points with their lists, expected and actual cells, ratio)."""
@@ -45,7 +40,7 @@ def q01_completeness_daily(spark: SparkSession, base: str) -> DataFrame:
     rep = quality.completeness(d, "ts", "grid_id", max_grid_id=3, step_minutes=HOURLY)
     rep = rep.withColumns({
         "missing_time_points": F.array_join("missing_time_points", ","),
-        "incomplete_time_points": _map_text(F.col("incomplete_time_points")),
+        "incomplete_time_points": map_text(F.col("incomplete_time_points")),
     })
     return present(rep)
 
