@@ -1,96 +1,222 @@
 """Dense day tensors on disk and their sidecars (SNK-4..8, SRC-12..15, VAL-5).
 
-A tensor file holds one day as row-major float32 ``[T, G, F]`` without header,
-named ``<yyyyMMdd>.bin``.  Writing groups one day per task call (T×G rows, the
-size of the tensor itself); reading uses the ``binaryFile`` source and decodes
-each file with NumPy inside ``mapInPandas`` into the long form, so every file is
-decoded by one task and nothing passes through the driver.
+A tensor file holds one day as row-major float32 ``[T, G, F]`` without header, named
+``<yyyyMMdd>.bin``.  Both directions work in ranges of steps: a day is written as tiles of at
+most ``tile_steps`` steps by the tasks that hold them, and published only when all its tiles are
+there; it is read as byte ranges, one row per (date, step) with the values still packed
+(``tensorsource``).  No task holds a day and nothing passes through the driver.
 """
 
 from __future__ import annotations
 
 import json
+import uuid
+import zlib
+from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridloom.functions import timeaxis as tx
-from gridloom.sources.pages import _local_or_uri
+from gridloom.operators.tensors import unpack_steps
+from gridloom.sources import tensorsource
+from gridloom.sources.storage import filesystem, qualified
 
-LONG_SCHEMA = "date date, step bigint, node bigint, feature bigint, value float"
+TILE_BYTES = 64 << 20
+_COPY = 8 << 20
+
+
+_TILE = pa.schema([("date", pa.date32()), ("tile", pa.int64()), ("steps", pa.int64()), ("rows", pa.int64()),
+                   ("cells", pa.int64()), ("nodes", pa.int64()), ("node_sum", pa.int64()), ("whole", pa.bool_()), ("path", pa.string())])
+_TILE_DDL = "date date, tile long, steps long, rows long, cells long, nodes long, node_sum long, whole boolean, path string"
+
+
+class _TileWriter:
+    """Rows of one (day, tile) in (step, node) order, written step by step while each step is a whole grid.
+
+    The file appears under its final name only when the tile is closed, so a task that dies or
+    is run twice leaves no partial tile behind.
+    """
+
+    def __init__(self, folder: str, day, tile: int, grids: int, n_features: int):
+        self.fs, root = filesystem(folder)
+        self.day, self.tile, self.grids = day, tile, grids
+        self.folder = f"{root}/{day:%Y%m%d}"
+        self.path = f"{self.folder}/{tile:06d}.tile"
+        self.pending = f"{self.path}.{uuid.uuid4().hex}"
+        self.rows = self.cells = 0
+        self.steps: set[int] = set()
+        self.nodes: set[int] = set()
+        self.node_sum: int | None = None
+        self.whole = True
+        self.step, self.step_nodes, self.values = None, [], []
+        self.out = None
+
+    def add(self, step: int | None, nodes: list, values: np.ndarray) -> None:
+        """Rows of one step (part of it, maybe), nodes ascending and values ``[rows, F]``."""
+        if step != self.step:
+            self._end_step()
+            self.step = step
+        self.rows += len(nodes)
+        self.step_nodes += nodes
+        if len(self.step_nodes) <= self.grids:
+            self.values.append(values)
+        else:  # too many rows for a grid: counted on, not kept
+            self.whole, self.values = False, []
+            self.nodes.update(n for n in self.step_nodes[:self.grids + 1] if n is not None)
+            self.step_nodes = self.step_nodes[-1:] * (self.grids + 1)
+
+    def _end_step(self) -> None:
+        if self.step_nodes:
+            distinct = {n for n in self.step_nodes if n is not None}
+            if self.step is not None:
+                self.steps.add(self.step)
+                self.cells += len(distinct)
+            self.nodes |= distinct if len(self.nodes) <= self.grids else set()
+            check = zlib.crc32(np.array(sorted(distinct), np.int64).tobytes())
+            self.node_sum = check if self.node_sum is None else self.node_sum if self.node_sum == check else -1
+            self.whole &= self.step is not None and len(distinct) == len(self.step_nodes) == self.grids
+            if self.whole:
+                if self.out is None:
+                    self.fs.create_dir(self.folder, recursive=True)
+                    self.out = self.fs.open_output_stream(self.pending)
+                self.out.write(np.concatenate(self.values).astype(np.float32).tobytes())
+        self.step_nodes, self.values = [], []
+
+    def close(self) -> dict:
+        self._end_step()
+        if self.out is not None:
+            self.out.close()
+            if self.whole:
+                self.fs.move(self.pending, self.path)
+            else:
+                self.fs.delete_file(self.pending)
+        return {"date": self.day, "tile": self.tile, "steps": len(self.steps), "rows": self.rows, "cells": self.cells,
+                "nodes": len(self.nodes), "node_sum": self.node_sum, "whole": self.whole, "path": self.path if self.whole else None}
+
+
+def _write_tiles(folder: str, grids: int, n_features: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tile, done = None, []
+        for batch in batches:
+            days, tiles, steps, nodes = (batch.column(k).to_pylist() for k in range(4))
+            values = np.column_stack([batch.column(4 + k).to_numpy(zero_copy_only=False).astype(np.float32) for k in range(n_features)])
+            start = 0
+            for i in range(1, len(days) + 1):
+                if i < len(days) and (days[i], tiles[i], steps[i]) == (days[start], tiles[start], steps[start]):
+                    continue
+                if tile is None or (tile.day, tile.tile) != (days[start], tiles[start]):
+                    if tile is not None:
+                        done.append(tile.close())
+                    tile = _TileWriter(folder, days[start], tiles[start], grids, n_features)
+                tile.add(steps[start], nodes[start:i], values[start:i])
+                start = i
+        if tile is not None:
+            done.append(tile.close())
+        yield pa.RecordBatch.from_pylist(done, _TILE)
+    return run
+
+
+def _publish(folder: str, expected_bytes: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fs, root = filesystem(folder)
+        for batch in batches:
+            rows = batch.to_pylist()
+            for row in rows:
+                name = f"{row['date']:%Y%m%d}.bin"
+                row["file_name"] = name
+                if row["reason"] is None:
+                    pending = f"{root}/_tiles/{name}.{uuid.uuid4().hex}"
+                    with fs.open_output_stream(pending) as out:
+                        for path in row["paths"]:
+                            with fs.open_input_stream(path) as tile:
+                                while chunk := tile.read(_COPY):
+                                    out.write(chunk)
+                    size = fs.get_file_info(pending).size
+                    if size != expected_bytes:
+                        raise OSError(f"{name}: {size} bytes of {expected_bytes}")
+                    fs.move(pending, f"{root}/{name}")
+            yield pa.RecordBatch.from_pylist(
+                [{"date": r["date"], "file_name": r["file_name"], "status": "success" if r["reason"] is None else "error",
+                  "reason": r["reason"]} for r in rows],
+                pa.schema([("date", pa.date32()), ("file_name", pa.string()), ("status", pa.string()), ("reason", pa.string())]))
+    return run
 
 
 def write_tensor_days(df: DataFrame, folder: str, steps: int, grids: int, features: list[str],
-                      day: str = "date", step: str = "step", node: str = "grid_id") -> DataFrame:
+                      day: str = "date", step: str = "step", node: str = "grid_id", tile_steps: int | None = None) -> DataFrame:
     """SNK-4 (TNS-2 per day): long rows → one ``<yyyyMMdd>.bin`` per day; returns a per-day status.
 
-    Counted first, per day: rows, distinct (step, node) cells, steps and nodes (VAL-1/VAL-2).
-    Only days with exactly T×G rows on T×G distinct cells of T steps and G nodes are shipped to a
-    writer task (so a task never receives more than one tensor and no cell can shift); any other
-    day gets status ``error`` with the reason.
+    Rows are dealt once, by (day, tile of ``tile_steps`` steps), and sorted by (step, node); a task
+    streams them into tile files step by step and checks on the way that every step is a whole grid
+    of distinct nodes (VAL-1/VAL-2).  Each tile reports its counts; a day is published, by joining its
+    tiles in order under a temporary name that is then moved, only when all T steps came with the
+    same G nodes.  Any other day gets status ``error`` with the reason and no file.  Tasks may fail
+    or run twice: tiles and days appear whole or not at all.  A day without a date has no file.
     """
-    n_f = len(features)
+    spark = df.sparkSession
+    root = qualified(spark, folder)
+    tile_steps = tile_steps or max(1, min(steps, TILE_BYTES // (grids * len(features) * 4)))
+    tiles = f"{root}/_tiles/{uuid.uuid4().hex[:12]}"
+    rows = df.where(F.col(day).isNotNull()).select(
+        F.col(day).alias("date"), F.floor(F.coalesce(F.col(step), F.lit(0)) / tile_steps).cast("long").alias("tile"),
+        F.col(step).cast("long").alias("step"), F.col(node).cast("long").alias("node"),
+        *[F.col(c).cast("float").alias(f"f{i}") for i, c in enumerate(features)])
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    written = (rows.repartition(parts, "date", "tile").sortWithinPartitions("date", "tile", "step", "node")
+               .mapInArrow(_write_tiles(tiles, grids, len(features)), _TILE_DDL))
     expected = steps * grids
-    cells = df.groupBy(day, step, node).agg(F.count(F.lit(1)).alias("__rows"))  # combined per task, then one row a cell
-    counts = cells.groupBy(day).agg(
-        F.sum("__rows").alias("__n"), F.count_if(F.col(step).isNotNull() & F.col(node).isNotNull()).alias("__cells"),
-        F.count_distinct(step).alias("__steps"), F.count_distinct(node).alias("__nodes"))
-    reason = (F.when(F.col("__n") != expected, F.format_string(f"expected {expected} rows, got %d", F.col("__n")))
-              .when(F.col("__cells") != expected, F.format_string(f"expected {expected} distinct cells, got %d", F.col("__cells")))
-              .when(F.col("__steps") != steps, F.format_string(f"expected {steps} steps, got %d", F.col("__steps")))
-              .when(F.col("__nodes") != grids, F.format_string(f"expected {grids} nodes, got %d", F.col("__nodes"))))
-    counts = counts.withColumn("__why", reason)
-    good = df.join(counts.filter(F.col("__why").isNull()).select(day), day, "left_semi")
-
-    def write(pdf: pd.DataFrame) -> pd.DataFrame:
-        d = pdf[day].iloc[0]
-        name = f"{pd.Timestamp(d).strftime('%Y%m%d')}.bin"
-        pdf = pdf.sort_values([step, node], kind="stable")
-        arr = pdf[features].to_numpy(dtype=np.float32, na_value=np.nan).reshape(steps, grids, n_f)
-        fs, root = _local_or_uri(folder)
-        fs.create_dir(root, recursive=True)
-        with fs.open_output_stream(f"{root}/{name}") as f:
-            f.write(arr.tobytes(order="C"))
-        return pd.DataFrame({"date": [d], "file_name": [name], "status": ["success"], "reason": [None]})
-
-    schema = "date date, file_name string, status string, reason string"
-    written = good.select(day, step, node, *features).groupBy(day).applyInPandas(write, schema)
-    bad = counts.filter(F.col("__why").isNotNull()).select(
-        F.col(day).alias("date"), F.concat(F.date_format(day, "yyyyMMdd"), F.lit(".bin")).alias("file_name"),
-        F.lit("error").alias("status"), F.col("__why").alias("reason"))
-    return written.unionByName(bad)
+    per_day = written.groupBy("date").agg(
+        F.sum("rows").alias("rows"), F.sum("cells").alias("cells"), F.sum("steps").alias("steps"), F.max("nodes").alias("nodes"),
+        (F.count_distinct("node_sum") > 1).alias("uneven"), F.bool_and("whole").alias("whole"),
+        F.transform(F.array_sort(F.collect_list(F.struct("tile", "path"))), lambda t: t["path"]).alias("paths"))
+    reason = (F.when(F.col("rows") != expected, F.format_string(f"expected {expected} rows, got %d", F.col("rows")))
+              .when(F.col("cells") != expected, F.format_string(f"expected {expected} distinct cells, got %d", F.col("cells")))
+              .when(F.col("steps") != steps, F.format_string(f"expected {steps} steps, got %d", F.col("steps")))
+              .when(F.col("uneven") | ~F.col("whole"), F.lit(f"steps do not share {grids} nodes")))
+    return (per_day.select("date", reason.alias("reason"), "paths")
+            .mapInArrow(_publish(root, expected * len(features) * 4), "date date, file_name string, status string, reason string"))
 
 
-def read_tensor_days(spark: SparkSession, folder: str, steps: int, grids: int, n_features: int,
-                     require_any: bool = False) -> tuple[DataFrame, DataFrame]:
-    """SRC-13: decode ``*.bin`` day tensors to long rows; files of the wrong size are reported, not read.
+def read_tensor_steps(spark: SparkSession, folder: str, steps: int, grids: int, n_features: int, first_day: str | None = None,
+                      last_day: str | None = None, first_step: int = 0, last_step: int | None = None) -> DataFrame:
+    """SRC-13: one row per (date, step) with its values packed, read as byte ranges; bounds are inclusive.
 
-    Returns (long rows, file report).  With ``require_any`` a folder without a single valid file
-    is an error (checked on the file listing only, no content read).
+    Files of another size than a whole day are not read (``tensor_files`` reports them).
     """
+    tensorsource.register(spark)
+    reader = (spark.read.format(tensorsource.FORMAT).option("path", qualified(spark, folder)).option("steps", steps)
+              .option("grids", grids).option("features", n_features).option("first_step", first_step)
+              .option("last_step", steps - 1 if last_step is None else last_step))
+    for name, value in (("first_day", first_day), ("last_day", last_day)):
+        if value is not None:
+            reader = reader.option(name, str(value))
+    return reader.load()
+
+
+def tensor_files(spark: SparkSession, folder: str, steps: int, grids: int, n_features: int) -> DataFrame:
+    """Per ``*.bin`` file: name, length and whether it is a whole day (file listing only, no content)."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.bin").load(folder)
     expected = steps * grids * n_features * 4
-    name = F.regexp_extract("path", r"([^/]+)\.bin$", 1)
-    report = files.select(name.alias("stem"), "length",
-                          F.when(F.col("length") == expected, F.lit("success")).otherwise(F.lit("error")).alias("status"))
-
-    def decode(batches):
-        for pdf in batches:
-            for stem, content in zip(pdf["stem"], pdf["content"]):
-                a = np.frombuffer(content, dtype=np.float32).reshape(steps, grids, n_features)
-                s, g, f = np.meshgrid(np.arange(steps), np.arange(grids), np.arange(n_features), indexing="ij")
-                yield pd.DataFrame({"date": pd.to_datetime(stem, format="%Y%m%d").date(),
-                                    "step": s.ravel().astype("int64"), "node": g.ravel().astype("int64"),
-                                    "feature": f.ravel().astype("int64"), "value": a.ravel()})
+    return files.select(F.regexp_extract("path", r"([^/]+)\.bin$", 1).alias("stem"), "length",
+                        F.when(F.col("length") == expected, F.lit("success")).otherwise(F.lit("error")).alias("status"))
 
+
+def read_tensor_days(spark: SparkSession, folder: str, steps: int, grids: int, n_features: int,
+                     require_any: bool = False) -> tuple[DataFrame, DataFrame]:
+    """SRC-13 in long form: (date, step, node, feature, value) rows of all whole days, and the file report.
+
+    With ``require_any`` a folder without a single whole file is an error (checked on the listing).
+    """
+    report = tensor_files(spark, folder, steps, grids, n_features)
     if require_any and report.filter(F.col("status") == "success").isEmpty():
-        raise ValueError(f"no valid tensor file of {expected} bytes in {folder}")
-    good = files.filter(F.col("length") == expected).select(name.alias("stem"), "content")
-    long = good.mapInPandas(decode, LONG_SCHEMA)
-    # NaN marks a missing value inside a float tensor; NULL is the missing value of a table
-    return long.withColumn("value", F.when(~F.isnan("value"), F.col("value"))), report
+        raise ValueError(f"no valid tensor file of {steps * grids * n_features * 4} bytes in {folder}")
+    packed = read_tensor_steps(spark, folder, steps, grids, n_features)
+    long = unpack_steps(packed, ["date", "step"], "features", "node", "feature", "value")
+    return long.select("date", "step", F.col("node").cast("long").alias("node"), F.col("feature").cast("long").alias("feature"),
+                       "value"), report
 
 
 def write_sidecars(spark: SparkSession, folder: str, long_times: DataFrame, coords: DataFrame,
