@@ -46,7 +46,7 @@ def align(obs: DataFrame, grid: DataFrame | None, step_minutes: int, max_grid_id
     only such rows is a day of NULL cells).
 
     The T×G cells are never shuffled: observations are collected per (day, grid), at most T of
-    them, the small (day × grid) table is left-joined with those lists, and each row expands in
+    them, in one pass over the input that also gives the days; the small (day × grid) table is left-joined with those lists, and each row expands in
     place into its observed steps plus the missing ones (``array_except`` against ``0..T-1``).
     The output is partitioned by (day, grid), so per-series windows run without another exchange.
     Grid bounds are joined by id (the grid table, filtered to the id range, has at most
@@ -55,19 +55,23 @@ def align(obs: DataFrame, grid: DataFrame | None, step_minutes: int, max_grid_id
     steps = 1440 // step_minutes
     o = obs.withColumnRenamed(ts, "ts").withColumnRenamed(grid_col, "grid_id")
     values = [f for f in o.schema.fields if f.name not in ("ts", "grid_id")]
-    days = data_days(o.filter(F.col("ts").isNotNull()))
-    on_grid = o.filter(tx.on_schedule("ts", step_minutes) & F.col("grid_id").between(0, max_grid_id))
-    out = _expand_series(days, on_grid, values, steps, step_minutes, max_grid_id)
+    o = o.filter(F.col("ts").isNotNull() & F.to_date("ts").isNotNull())
+    out = _expand_series(o, values, steps, step_minutes, max_grid_id)
     if grid is not None:
         g = grid.filter(F.col("grid_id").between(0, max_grid_id))
         out = center_coords(dimension_join(out, g, "grid_id", "left"))
     return out
 
 
-def _expand_series(days: DataFrame, o: DataFrame, values: list, steps: int, step_minutes: int, max_grid_id: int) -> DataFrame:
-    cells = o.groupBy(F.to_date("ts").alias("date"), "grid_id").agg(F.collect_list(F.struct(
-        tx.step_of_day("ts", step_minutes).alias("k"), *[F.col(f.name) for f in values],
-        F.lit(True).alias("observed"))).alias("__obs"))
+def _expand_series(o: DataFrame, values: list, steps: int, step_minutes: int, max_grid_id: int) -> DataFrame:
+    # one aggregate of all rows serves both sides of the join: rows off the scaffold stay out of the lists but name their day
+    fits = tx.on_schedule("ts", step_minutes) & F.col("grid_id").between(0, max_grid_id)
+    entry = F.struct(tx.step_of_day("ts", step_minutes).alias("k"), *[F.col(f.name) for f in values], F.lit(True).alias("observed"))
+    # keys without nulls leave the join nothing to filter, and reading the list on the day side keeps its column:
+    # both sides are the same aggregate, so its exchange is made once and reused
+    keys = [F.to_date("ts").alias("date"), F.coalesce("grid_id", F.lit(-1).cast("bigint")).alias("grid_id")]
+    cells = o.groupBy(*keys).agg(F.collect_list(F.when(fits, entry)).alias("__obs"))
+    days = cells.filter(F.size("__obs") >= 0).select("date").distinct()
     obs_type = cells.schema["__obs"].dataType.simpleString()
     series = days.select("date", F.explode(F.sequence(F.lit(0).cast("bigint"),
                                                       F.lit(max_grid_id).cast("bigint"))).alias("grid_id"))

@@ -115,13 +115,13 @@ SAMPLE_FEATURES = ["t", "rh", "speed"]
 
 def q48_tensor_roundtrip(spark: SparkSession, base: str) -> DataFrame:
     """SNK-4..7 + SRC-13/14/15 + VAL-5: day tensors written as float32 files with sidecars and read back."""
-    from gridloom.plans.queries import _filled_steps, _obs_dedup
+    from gridloom.plans.queries import _filled_steps
 
     f = _filled_steps(spark, base)
     folder = scratch_path(spark, "tensors")
     status = tensorfiles.write_tensor_days(f, folder, 24, 4, SAMPLE_FEATURES)
     status.write.mode("overwrite").parquet(f"{folder}/_status")
-    coords = scaffold.center_coords(views.grid_dim(_obs_dedup(spark, base, 4))).select(
+    coords = scaffold.center_coords(views.grids(spark, base, 4)).select(
         "grid_id", F.col("lon_center").cast("float").alias("lon"), F.col("lat_center").cast("float").alias("lat"))
     meta = {"num_features": 3, "num_grids": 4, "time_steps_per_day": 24, "feature_names": SAMPLE_FEATURES,
             "coord_names": ["lon", "lat"], "dtype": "float32", "log_transformed_features": [],

@@ -67,8 +67,7 @@ def q05_scaffold_join(spark: SparkSession, base: str) -> DataFrame:
     """JN-1 + JN-2 + JN-3 + PRJ-4: observations on the generated (hour × grid) scaffold with grid
     bounds and centres."""
     d = _obs_dedup(spark, base, 8).drop("page", "row_ord")
-    grid = views.grid_dim(d)
-    return present(scaffold.align(d, grid, HOURLY, max_grid_id=7))
+    return present(scaffold.align(d, views.grids(spark, base, 8), HOURLY, max_grid_id=7))
 
 
 def q06_completeness_filter(spark: SparkSession, base: str) -> DataFrame:
@@ -441,7 +440,7 @@ def q39_series_shape(spark: SparkSession, base: str) -> DataFrame:
 def q40_spatial_fill_local(spark: SparkSession, base: str) -> DataFrame:
     """INT-6: missing cells of each hour from known cells within 0.08 degrees (weights 1/d²)."""
     d = _obs_dedup(spark, base, 8).select("ts", "grid_id", "t", "speed")
-    g = scaffold.center_coords(views.grid_dim(d))
+    g = scaffold.center_coords(views.grids(spark, base, 8))
     a = scaffold.align(d, None, HOURLY, max_grid_id=7).select("ts", "grid_id", "t", "speed")
     pairs = spatial.neighbour_pairs(g, 0.08, "grid_id", "lon_center", "lat_center")
     return present(spatial.idw_fill(a, pairs, ["t", "speed"], "ts", "grid_id", 2.0, 0.2))
@@ -523,7 +522,7 @@ def q56_sample_context(spark: SparkSession, base: str) -> DataFrame:
     first = _first_obs_day(spark, base)
     p = p.withColumn("sample_id", (F.datediff("date", first) * 24 + F.col("step")).cast("bigint"))
     time_index = _filled_steps(spark, base).select("date", "step", "ts").distinct()
-    coords_tbl = scaffold.center_coords(views.grid_dim(_obs_dedup(spark, base, 4))) \
+    coords_tbl = scaffold.center_coords(views.grids(spark, base, 4)) \
         .select("grid_id", "lon_center", "lat_center")
     s = p.join(time_index, ["date", "step"], "left")
     nodes = s.select("sample_id", "step", "ts", F.explode("nodes").alias("grid_id"))
@@ -542,7 +541,7 @@ def q57_key_lookup(spark: SparkSession, base: str) -> DataFrame:
 def q58_first_step_coords(spark: SparkSession, base: str) -> DataFrame:
     """LIM-1 + SNK-7: grid coordinates taken at the first step of each day, checked to be one per id."""
     d = _obs_dedup(spark, base, 8).drop("page", "row_ord")
-    a = scaffold.align(d, views.grid_dim(d), HOURLY, max_grid_id=7)
+    a = scaffold.align(d, views.grids(spark, base, 8), HOURLY, max_grid_id=7)
     first = a.filter(tx.step_of_day("ts", HOURLY) == 0)
     return present(first.groupBy("grid_id").agg(
         F.min("lon_center").alias("lon"), F.min("lat_center").alias("lat"),
@@ -580,7 +579,7 @@ def q64_time_labels(spark: SparkSession, base: str) -> DataFrame:
 def _located_input(spark: SparkSession, base: str, n_grids: int = 8) -> DataFrame:
     d = _obs_dedup(spark, base, n_grids).drop("page", "row_ord")
     d = quality.sentinel_to_null(d, ["slp", "rh"])
-    return scaffold.align(d, views.grid_dim(d), HOURLY, max_grid_id=n_grids - 1)
+    return scaffold.align(d, views.grids(spark, base, n_grids), HOURLY, max_grid_id=n_grids - 1)
 
 
 def q41_cubic_fill(spark: SparkSession, base: str) -> DataFrame:

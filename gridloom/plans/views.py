@@ -59,6 +59,11 @@ def grid_dim(o: DataFrame) -> DataFrame:
                       (lon_min + GRID_WIDTH).alias("lon_max"), (lat_min + GRID_WIDTH).alias("lat_max"))
 
 
+def grids(spark: SparkSession, base: str, n_grids: int) -> DataFrame:
+    """Grid dimension of the ``obs`` view, read off the user ids alone."""
+    return grid_dim(read_table(spark, base, "events", ["user_id"]).select((F.col("user_id") % n_grids).cast("bigint").alias("grid_id")))
+
+
 def coords(spark: SparkSession, base: str, table: str = "supplier") -> DataFrame:
     """Point coordinates from customer or supplier keys."""
     key = {"supplier": "s_suppkey", "customer": "c_custkey"}[table]
