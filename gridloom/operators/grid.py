@@ -1,8 +1,8 @@
 """Grid ids, global positions, reanalysis merging and truncation (WIN-4, AGG-5/6, JN-4, FLT-5, VAL-1).
 
-No operator here uses a window without a partition over the data: global
-positions are computed from per-bucket counts (one row per bucket), a prefix sum
-over the bucket table, and a ``row_number`` inside each bucket.
+No operator here uses a window without a partition: global positions are
+computed from per-bucket counts (one row per bucket), a two-level prefix scan of
+the bucket table, and a ``row_number`` inside each bucket.
 """
 
 from __future__ import annotations
@@ -11,19 +11,20 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
+from gridloom.operators.scan import prefix_sums
+
 
 def global_position(df: DataFrame, bucket: Column, order: list[str | Column], out: str = "pos") -> DataFrame:
     """0-based position of each row in ``(bucket, *order)`` order.
 
     ``bucket`` must be monotone in the order (e.g. the first order key, or
-    ``floor(key / width)``).  Only the bucket table — one row per bucket — is
-    ordered without a partition; rows are numbered inside their own bucket.
+    ``floor(key / width)``).  The bucket table — one row per bucket — gets its running
+    totals from a parallel scan; rows are numbered inside their own bucket.  A row with a
+    null bucket has no position and is left out.
     """
     b = df.withColumn("__b", bucket)
     counts = b.groupBy("__b").agg(F.count(F.lit(1)).alias("__n"))
-    offsets = counts.select(
-        "__b", F.coalesce(F.sum("__n").over(
-            Window.orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__off"))
+    offsets = prefix_sums(counts, ["__b"], "__n", "__off").select("__b", "__off")
     ranked = b.withColumn("__r", F.row_number().over(Window.partitionBy("__b").orderBy(*order)) - 1)
     return ranked.join(offsets, "__b").withColumn(out, (F.col("__off") + F.col("__r")).cast("bigint")) \
                  .drop("__b", "__off", "__r")

@@ -13,10 +13,11 @@ from pyspark.sql import types as T
 
 from gridloom.functions import timeaxis as tx
 from gridloom.operators import dedup, grid, joins, quality, scaffold
+from gridloom.operators.samples import Windowing
 from gridloom.plans import views
 from gridloom.plans.present import map_text, present
 from gridloom.session import scratch_path
-from gridloom.sources import catalog, pages, tensorfiles
+from gridloom.sources import catalog, dataset, pages, tensorfiles
 from gridloom.sources.tables import read_table
 from gridloom.streaming import ingest, upserts
 
@@ -113,8 +114,11 @@ def q66_stream_report(spark: SparkSession, base: str) -> DataFrame:
 SAMPLE_FEATURES = ["t", "rh", "speed"]
 
 
-def q48_tensor_roundtrip(spark: SparkSession, base: str) -> DataFrame:
-    """SNK-4..7 + SRC-13/14/15 + VAL-5: day tensors written as float32 files with sidecars and read back."""
+TENSOR_SHAPE = (24, 4, 3)
+
+
+def _tensor_folder(spark: SparkSession, base: str) -> str:
+    """The filled station days as a folder of day tensors with metadata, time index, coordinates and elevations."""
     from gridloom.plans.queries import _filled_steps
 
     f = _filled_steps(spark, base)
@@ -126,13 +130,49 @@ def q48_tensor_roundtrip(spark: SparkSession, base: str) -> DataFrame:
     meta = {"num_features": 3, "num_grids": 4, "time_steps_per_day": 24, "feature_names": SAMPLE_FEATURES,
             "coord_names": ["lon", "lat"], "dtype": "float32", "log_transformed_features": [],
             "units_note": "t degC, rh %, speed m/s"}
-    tensorfiles.write_sidecars(spark, folder, f.select("date", "ts"), coords, meta)
-    long, _report = tensorfiles.read_tensor_days(spark, folder, 24, 4, 3)
+    times = scaffold.data_days(views.obs(spark, base, 4)).select("date", F.explode(tx.day_points("date", HOURLY)).alias("ts"))
+    tensorfiles.write_sidecars(spark, folder, times, coords, meta, elevation=views.elevations(spark, base, 4))
+    return folder
+
+
+def q48_tensor_roundtrip(spark: SparkSession, base: str) -> DataFrame:
+    """SNK-4..7 + SRC-13/14/15 + VAL-5: day tensors written as float32 files with sidecars and read back; the feature
+    names come from the metadata file."""
+    folder = _tensor_folder(spark, base)
+    names = tensorfiles.read_metadata(spark, f"{folder}/metadata")["feature_names"]
+    long, _report = tensorfiles.read_tensor_days(spark, folder, *TENSOR_SHAPE)
     times = tensorfiles.read_time_index(spark, f"{folder}/time_index")
     side = spark.read.parquet(f"{folder}/coords").withColumnRenamed("grid_id", "node")
     out = joins.dimension_join(long.join(times, ["date", "step"], "left"), side, "node", "left")
-    return present(out.select("date", "step", F.col("node").alias("node_pos"), "feature", "value", "ts",
-                              "lon", "lat"))
+    named = F.element_at(F.array(*[F.lit(n) for n in names]), (F.col("feature") + 1).cast("int"))
+    return present(out.select("date", "step", F.col("node").alias("node_pos"), "feature", named.alias("feature_name"), "value",
+                              "ts", "lon", "lat"))
+
+
+def q68_prediction_samples(spark: SparkSession, base: str) -> DataFrame:
+    """SMP-2 + SMP-6 + JN-10/11 + SRC-15: all samples of the tensor folder by sample id, 4 steps in and 2 to predict every
+    2 steps, each with its times and the coordinates and elevations of its nodes."""
+    data = dataset.TensorSamples(spark, _tensor_folder(spark, base), *TENSOR_SHAPE, Windowing(4, 2, 2))
+    s = data.samples()
+    steps = s.select("sample_id", "date", "start", "datetime", F.posexplode(F.concat("data", "target")).alias("k", "nodes"))
+    nodes = steps.select("sample_id", "date", "start", "k", F.col("datetime")[F.col("k")].alias("ts"), F.posexplode("nodes").alias("node", "v"))
+    part = F.when(F.col("k") < 4, F.lit("input")).otherwise(F.lit("target"))
+    flat = nodes.select("sample_id", "date", "start", "k", part.alias("part"), "ts", F.col("node").cast("long").alias("node"),
+                        F.posexplode("v").alias("feature", "value"))
+    return present(joins.dimension_join(flat, data.coordinates().drop("grid_id"), "node", "left"))
+
+
+def q69_masked_samples(spark: SparkSession, base: str) -> DataFrame:
+    """SMP-1 + MSK-1/2 + JN-10/11: one complete sample per (day, step): masked data, true target, mask, time, coordinates
+    and elevations."""
+    data = dataset.TensorSamples(spark, _tensor_folder(spark, base), *TENSOR_SHAPE, Windowing(1))
+    s = data.samples(mask_rate=0.25, seed=7)
+    nodes = s.select("sample_id", "date", F.col("start").alias("step"), F.col("datetime")[0].alias("ts"),
+                     F.posexplode(F.arrays_zip(F.col("data")[0].alias("d"), F.col("target")[0].alias("t"), "mask")).alias("node", "e"))
+    flat = nodes.select("sample_id", "date", "step", "ts", F.col("node").cast("long").alias("node"), F.col("e.mask").alias("masked"),
+                        F.posexplode(F.arrays_zip(F.col("e.d").alias("d"), F.col("e.t").alias("t"))).alias("feature", "v"))
+    flat = flat.select("sample_id", "date", "step", "ts", "node", "masked", "feature", F.col("v.d").alias("data"), F.col("v.t").alias("target"))
+    return present(joins.dimension_join(flat, data.coordinates().drop("grid_id"), "node", "left"))
 
 
 PAGE_COLS = ["DDATETIME", "GRIDID", "T", "MAXTOFDAY", "SLP", "RHSFC", "V", "WSPD", "WDIR", "WD3SMAXDF",
@@ -257,6 +297,8 @@ IO_QUERIES = {
     "q66_stream_report": q66_stream_report,
     "q67_stream_late": q67_stream_late,
     "q48_tensor_roundtrip": q48_tensor_roundtrip,
+    "q68_prediction_samples": q68_prediction_samples,
+    "q69_masked_samples": q69_masked_samples,
     "q61_page_file_roundtrip": q61_page_file_roundtrip,
     "q62_catalog_dispatch": q62_catalog_dispatch,
     "q63_merge_cubes": q63_merge_cubes,

@@ -698,13 +698,43 @@ SELECT {day_text('ts')} AS date, grid_id, count(*) AS late_rows FROM obs, m WHER
 def q48() -> str:
     sel = "\nUNION ALL\n".join(
         f"SELECT {day_text('date')} AS date, step, f.grid_id AS node_pos, CAST({i} AS BIGINT) AS feature, "
-        f"round(CAST(CAST({c} AS FLOAT) AS DOUBLE), 6) AS value, {ts_text('ts')} AS ts, "
+        f"'{c}' AS feature_name, round(CAST(CAST({c} AS FLOAT) AS DOUBLE), 6) AS value, {ts_text('ts')} AS ts, "
         f"round(CAST(CAST(gc.lon_center AS FLOAT) AS DOUBLE), 6) AS lon, "
         f"round(CAST(CAST(gc.lat_center AS FLOAT) AS DOUBLE), 6) AS lat FROM f JOIN gc ON gc.grid_id = f.grid_id"
         for i, c in enumerate(SAMPLE_F))
     return f"WITH {filled_cte(4)},\ngc AS ({grid_centers('dedup')})\n{sel}"
 
 
+def node_cte() -> str:
+    """Nodes of the 4-grid view in tensor order with coordinates and elevation."""
+    return f"""gc AS ({grid_centers('dedup')}),
+nd AS (
+  SELECT gc.grid_id AS node, round(CAST(CAST(lon_center AS FLOAT) AS DOUBLE), 6) AS lon,
+         round(CAST(CAST(lat_center AS FLOAT) AS DOUBLE), 6) AS lat, round(CAST(CAST(s_acctbal AS FLOAT) AS DOUBLE), 6) AS elevation
+  FROM gc LEFT JOIN supplier ON s_suppkey = gc.grid_id + 1)"""
+
+
+def q68() -> str:
+    sel = "\nUNION ALL\n".join(
+        f"SELECT (SELECT count(DISTINCT d.date) FROM f d WHERE d.date < f.date) * 10 + w.s // 2 AS sample_id, {day_text('date')} AS date, "
+        f"w.s AS start, step - w.s AS k, CASE WHEN step - w.s < 4 THEN 'input' ELSE 'target' END AS part, {ts_text('ts')} AS ts, "
+        f"nd.node, CAST({i} AS BIGINT) AS feature, round(CAST(CAST({c} AS FLOAT) AS DOUBLE), 6) AS value, lon, lat, elevation "
+        f"FROM f JOIN nd ON nd.node = f.grid_id JOIN range(0, 19, 2) w(s) ON step BETWEEN w.s AND w.s + 5"
+        for i, c in enumerate(SAMPLE_F))
+    return f"WITH {filled_cte(4)},\n{node_cte()}\n{sel}"
+
+
+def q69() -> str:
+    sid = "(SELECT count(DISTINCT d.date) FROM f d WHERE d.date < f.date) * 24 + step"
+    mask = f"CAST('0x' || substr(md5('7|' || ({sid}) || '|' || node), 1, 8) AS BIGINT) < 1073741824"
+    sel = "\nUNION ALL\n".join(
+        f"SELECT {sid} AS sample_id, {day_text('date')} AS date, step, {ts_text('ts')} AS ts, node, {mask} AS masked, "
+        f"CAST({i} AS BIGINT) AS feature, round(CAST(CASE WHEN {mask} THEN 0.0::FLOAT ELSE CAST({c} AS FLOAT) END AS DOUBLE), 6) AS data, "
+        f"round(CAST(CAST({c} AS FLOAT) AS DOUBLE), 6) AS target, lon, lat, elevation FROM f JOIN nd ON nd.node = f.grid_id"
+        for i, c in enumerate(SAMPLE_F))
+    return f"WITH {filled_cte(4)},\n{node_cte()}\n{sel}"
+
+
 def q61() -> str:
     return f"""WITH {dedup_cte(4)},
 pc AS (
@@ -813,6 +843,8 @@ ORACLE = {
     "q66_stream_report": completeness_sql(4),
     "q67_stream_late": q67(),
     "q48_tensor_roundtrip": q48(),
+    "q68_prediction_samples": q68(),
+    "q69_masked_samples": q69(),
     "q61_page_file_roundtrip": q61(),
     "q62_catalog_dispatch": q62(),
     "q63_merge_cubes": f"WITH {merged_cte()} SELECT {ts_text('ts')} AS ts, "

@@ -64,6 +64,12 @@ def grids(spark: SparkSession, base: str, n_grids: int) -> DataFrame:
     return grid_dim(read_table(spark, base, "events", ["user_id"]).select((F.col("user_id") % n_grids).cast("bigint").alias("grid_id")))
 
 
+def elevations(spark: SparkSession, base: str, n_grids: int) -> DataFrame:
+    """Elevation per grid id (A3-like): the balance of the supplier next to the id."""
+    return read_table(spark, base, "supplier", ["s_suppkey", "s_acctbal"]).filter(F.col("s_suppkey") <= n_grids).select(
+        (F.col("s_suppkey") - 1).cast("bigint").alias("grid_id"), F.col("s_acctbal").cast("double").alias("elevation"))
+
+
 def coords(spark: SparkSession, base: str, table: str = "supplier") -> DataFrame:
     """Point coordinates from customer or supplier keys."""
     key = {"supplier": "s_suppkey", "customer": "c_custkey"}[table]

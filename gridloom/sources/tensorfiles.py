@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridloom.functions import timeaxis as tx
+from gridloom.operators.scan import prefix_sums
 from gridloom.operators.tensors import unpack_steps
 from gridloom.sources import tensorsource
 from gridloom.sources.storage import filesystem, qualified
@@ -220,10 +221,11 @@ def read_tensor_days(spark: SparkSession, folder: str, steps: int, grids: int, n
 
 
 def write_sidecars(spark: SparkSession, folder: str, long_times: DataFrame, coords: DataFrame,
-                   metadata: dict, day: str = "date", ts: str = "ts") -> None:
-    """SNK-5 metadata (one JSON row), SNK-6 time index (one ``{day: [times]}`` line per day), SNK-7 coords.
+                   metadata: dict, day: str = "date", ts: str = "ts", elevation: DataFrame | None = None) -> None:
+    """SNK-5 metadata (one JSON row), SNK-6 time index (one ``{day: [times]}`` line per day), SNK-7 coords, elevation.
 
     The time index is written as JSON lines, each a one-day map, so no task holds the whole index.
+    ``elevation`` has (grid_id, elevation).
     """
     spark.createDataFrame([(json.dumps(metadata),)], "value string").coalesce(1) \
         .write.mode("overwrite").text(f"{folder}/metadata")
@@ -231,6 +233,25 @@ def write_sidecars(spark: SparkSession, folder: str, long_times: DataFrame, coor
     per_day.select(F.to_json(F.create_map(F.date_format(day, "yyyyMMdd"), F.col("t"))).alias("value")) \
         .write.mode("overwrite").text(f"{folder}/time_index")
     coords.write.mode("overwrite").parquet(f"{folder}/coords")
+    if elevation is not None:
+        elevation.select("grid_id", F.col("elevation").cast("float").alias("elevation")).write.mode("overwrite").parquet(f"{folder}/elevation")
+
+
+def read_nodes(spark: SparkSession, folder: str) -> DataFrame:
+    """SRC-15: (node, lon, lat, elevation) of the nodes in tensor order, from the sidecars.
+
+    ``node`` is the position in the tensor, the rank of the grid id; elevation is null where the
+    sidecar is absent or does not know the id.
+    """
+    coords = spark.read.parquet(f"{folder}/coords").select("grid_id", "lon", "lat")
+    fs, root = filesystem(qualified(spark, folder))
+    import pyarrow.fs as pafs
+    if fs.get_file_info(f"{root}/elevation").type == pafs.FileType.Directory:
+        coords = coords.join(spark.read.parquet(f"{folder}/elevation"), "grid_id", "left")
+    else:
+        coords = coords.withColumn("elevation", F.lit(None).cast("float"))
+    ranked = prefix_sums(coords.withColumn("__one", F.lit(1)), ["grid_id"], "__one", "node")
+    return ranked.select("node", "grid_id", "lon", "lat", "elevation")
 
 
 def read_time_index(spark: SparkSession, path: str) -> DataFrame:
