@@ -1,8 +1,8 @@
-"""Mean field, projections and normalisation (AGG-4, FLT-4, SET-2, PRJ-1..7, NRM-1, AGG-9)."""
+"""Mean field, projections and scalar group scores (AGG-4, FLT-4, SET-2, PRJ-1..7, AGG-9); vectors are in ``moments``."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridloom.operators.dedup import union_slices
@@ -71,41 +71,6 @@ def order_columns(df: DataFrame, order: list[str]) -> DataFrame:
     return df.select(*order)
 
 
-def feature_stats(df: DataFrame, vec: str, fit: Column | None = None) -> Column:
-    """NRM-1 fit: per-position mean and population std of an array column, as one array value.
-
-    Rows are exploded and aggregated per position (a partial aggregate); the
-    result — one struct per position, bounded by the vector length — is used as
-    a scalar subquery, so the data rows are never joined or shuffled for it.
-    """
-    src = df.filter(fit) if fit is not None else df
-    per_pos = src.select(F.posexplode(vec).alias("pos", "x")).groupBy("pos").agg(
-        F.avg("x").alias("mean"), F.stddev_pop("x").alias("std"))
-    packed = per_pos.agg(F.array_sort(F.collect_list(F.struct("pos", "mean", "std"))).alias("s"))
-    return packed.select("s").scalar()
-
-
-def normalise(df: DataFrame, vec: str, stats: Column, out: str | None = None) -> DataFrame:
-    """NRM-1 apply: ``(x - mean) / std`` per position; std 0 → 1.
-
-    The statistics are first bound to a column (subqueries may not sit inside a lambda).
-    """
-    def z(x, i):
-        s = F.col("__stats")[i]
-        std = F.when(s["std"] == 0, F.lit(1.0)).otherwise(s["std"])
-        return (x - s["mean"]) / std
-    return df.withColumn("__stats", stats).withColumn(out or vec, F.transform(F.col(vec), z)).drop("__stats")
-
-
-def denormalise(df: DataFrame, vec: str, stats: Column, out: str | None = None) -> DataFrame:
-    """NRM-1 inverse: ``z * std + mean``."""
-    def back(x, i):
-        s = F.col("__stats")[i]
-        std = F.when(s["std"] == 0, F.lit(1.0)).otherwise(s["std"])
-        return x * std + s["mean"]
-    return df.withColumn("__stats", stats).withColumn(out or vec, F.transform(F.col(vec), back)).drop("__stats")
-
-
 def group_zscore(df: DataFrame, group: list[str], columns: list[str], suffix: str = "_z") -> DataFrame:
     """AGG-9: z-score within a group (population std; std 0 → divide by 1).
 

@@ -18,9 +18,11 @@ from pyspark.sql import functions as F
 
 from gridloom.functions import physics as phy
 from gridloom.functions import timeaxis as tx
-from gridloom.operators import dedup, features, grid, interp, quality, scaffold, tensors
+from gridloom.operators import dedup, features, grid, interp, moments, quality, scaffold
 from gridloom.operators.interp import Method
+from gridloom.operators.samples import Windowing
 from gridloom.sources import pages, tensorfiles
+from gridloom.sources.dataset import TensorSamples
 from gridloom.sources.schemas import STATION_MEASURES
 
 # The station fill configuration — per-column methods and (speed, direction) pairs.
@@ -151,30 +153,28 @@ def _write_tensors(spark: SparkSession, d: DataFrame, out_folder: str, steps: in
 
 def training_samples(spark: SparkSession, tensor_folder: str, steps: int, grids: int, n_features: int,
                      mode: str = "spatial", input_len: int = 12, pred_len: int = 12, stride: int = 1,
-                     mask_rate: float = 0.2, seed: int = 0) -> DataFrame:
-    """§3.3 training side: normalised day tensors as step samples with a node mask (``spatial``),
-    sliding windows inside a day (``sliding``) or tumbling windows (``tumbling``), with their
-    timestamps and node coordinates attached.
+                     mask_rate: float = 0.2, seed: int = 0, train_share: float = 1.0) -> tuple[DataFrame, DataFrame]:
+    """§3.3 training side: day tensors as step samples with a node mask (``spatial``), sliding windows
+    inside a day (``sliding``) or tumbling windows (``tumbling``).
+
+    Returns (samples, nodes).  A sample has its id, date, first step, the time of every step, ``data``,
+    ``target`` and in spatial mode the node mask, normalised per feature (NRM-1) with the statistics of
+    the first ``train_share`` of the days, which it carries as ``stats`` for the way back.  ``nodes``
+    has the coordinates and elevation of every node, in tensor order.
     """
-    long, _report = tensorfiles.read_tensor_days(spark, tensor_folder, steps, grids, n_features, require_any=True)
-    times = tensorfiles.read_time_index(spark, f"{tensor_folder}/time_index")
-    # NRM-1: per-feature mean / population std over all values (a partial aggregate per feature)
-    st = long.groupBy("feature").agg(F.avg("value").alias("mu"), F.stddev_pop("value").alias("sd"))
-    z = long.join(st, "feature").withColumn(
-        "value", ((F.col("value") - F.col("mu")) / F.when(F.col("sd") == 0, 1.0).otherwise(F.col("sd"))).cast("float"))
-    wide = z.groupBy("date", "step", "node").agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("feature", "value"))), lambda e: e["value"]).alias("f"))
-    if mode == "spatial":
-        packed = wide.groupBy("date", "step").agg(
-            F.transform(F.array_sort(F.collect_list(F.struct("node", "f"))), lambda e: e["f"]).alias("features"),
-            F.array_sort(F.collect_list("node")).alias("nodes"))
-        first = times.agg(F.min("date")).scalar()  # the small time index, not the tensors
-        packed = packed.withColumn("sample_id", (F.datediff("date", first) * steps + F.col("step")).cast("bigint"))
-        return tensors.step_samples(packed, "sample_id", mask_rate, seed).join(times, ["date", "step"], "left")
-    if mode == "sliding":
-        rows = tensors.sliding_window_rows(wide, ["date"], "step", steps, input_len, pred_len, stride)
-        return tensors.windows_to_arrays(rows, ["date", "window_start", "node"], "k", "f", input_len)
-    if mode == "tumbling":
-        rows = tensors.tumbling_window_rows(wide, "step", input_len + pred_len, steps_per_group=steps)
-        return tensors.windows_to_arrays(rows, ["date", "window_id", "node"], "k", "f", input_len)
-    raise ValueError(f"unknown sample mode {mode!r}")
+    shape = (steps, grids, n_features)
+    if mode not in ("spatial", "sliding", "tumbling"):
+        raise ValueError(f"unknown sample mode {mode!r}")
+    length = input_len + pred_len
+    windowing = {"spatial": Windowing(1), "sliding": Windowing(input_len, pred_len, stride),
+                 "tumbling": Windowing(input_len, pred_len, length)}[mode]
+    data = TensorSamples(spark, tensor_folder, *shape, windowing, tumbling=mode == "tumbling")
+    if len(data) == 0:
+        raise ValueError(f"no valid tensor file of {steps * grids * n_features * 4} bytes in {tensor_folder}")
+    packed = tensorfiles.read_tensor_steps(spark, tensor_folder, *shape)
+    if train_share < 1:
+        files = tensorfiles.tensor_files(spark, tensor_folder, *shape).filter("status = 'success'")
+        packed = packed.filter(F.col("date") < moments.train_boundary(files.select(F.to_date("stem", "yyyyMMdd").alias("d")), "d", train_share))
+    stats = moments.vector_moments(packed, "features").select("stats").scalar()
+    samples = data.samples(mask_rate=mask_rate if mode == "spatial" else None, seed=seed, stats=stats)
+    return samples, data.coordinates()

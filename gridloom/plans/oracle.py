@@ -735,6 +735,18 @@ def q69() -> str:
     return f"WITH {filled_cte(4)},\n{node_cte()}\n{sel}"
 
 
+def q70() -> str:
+    sel = "\nUNION ALL\n".join(
+        f"SELECT date, step, grid_id AS node_pos, CAST({i} AS BIGINT) AS feature, CAST(CAST({c} AS FLOAT) AS DOUBLE) AS x FROM f"
+        for i, c in enumerate(SAMPLE_F))
+    return f"""WITH {filled_cte(4)},
+v AS ({sel}),
+b AS (SELECT min(CAST(ts AS DATE)) + CAST(floor((max(CAST(ts AS DATE)) - min(CAST(ts AS DATE)) + 1) * 0.7) AS INTEGER) AS day FROM events),
+st AS (SELECT feature, avg(x) AS m, CASE WHEN stddev_pop(x) = 0 THEN 1.0 ELSE stddev_pop(x) END AS sd FROM v, b WHERE date < b.day GROUP BY 1)
+SELECT {day_text('date')} AS date, step, date < b.day AS train, node_pos, v.feature, round((x - m) / sd, 4) AS z, round(x, 4) AS back
+FROM v JOIN st ON st.feature = v.feature, b"""
+
+
 def q61() -> str:
     return f"""WITH {dedup_cte(4)},
 pc AS (
@@ -812,6 +824,7 @@ ORACLE = {
     "q26_elevation_join": q26(),
     "q27_grid_generate": q27(),
     "q28_normalise": q28(),
+    "q70_train_split": q70(),
     "q29_step_samples_masked": q29(),
     "q30_sliding_in_day": q30(),
     "q31_tumbling_in_day": q31(),

@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 from gridloom.functions import geo
 from gridloom.functions import physics as phy
 from gridloom.functions import timeaxis as tx
-from gridloom.operators import (dedup, features, fill, grid, interp, intervals, joins, quality, scaffold, spatial,
-                                tensors)
+from gridloom.operators import (dedup, features, fill, grid, interp, intervals, joins, moments, quality, scaffold,
+                                spatial, tensors)
 from gridloom.operators.interp import Method
 from gridloom.sources.schemas import FLOW_CELLS
 from gridloom.plans import views
@@ -297,12 +297,25 @@ def q27_grid_generate(spark: SparkSession, base: str) -> DataFrame:
 def q28_normalise(spark: SparkSession, base: str) -> DataFrame:
     """NRM-1 + AGG-9: per-position z-score of embeddings (fitted on all rows) and within-label z-score."""
     e = read_table(spark, base, "embeddings", ["vec_id", "embedding", "label"])
-    stats = features.feature_stats(e, "embedding")
-    z = features.normalise(e, "embedding", stats, "z")
-    ex = z.select("vec_id", "label", F.posexplode(F.arrays_zip("embedding", "z")).alias("pos", "p")) \
-          .select("vec_id", "label", "pos", F.col("p.embedding").alias("x"), F.col("p.z").alias("z"))
-    g = features.group_zscore(ex, ["label", "pos"], ["x"])
-    return present(g.select("vec_id", "pos", "z", "x_z"))
+    z = moments.normalise(moments.with_stats(e, "embedding"), "embedding", "stats", "z")
+    g = moments.with_stats(z, "embedding", by=["label"], out="group_stats")
+    g = moments.normalise(g, "embedding", "group_stats", "x_z")
+    return present(g.select("vec_id", F.posexplode(F.arrays_zip("z", "x_z")).alias("pos", "p"))
+                   .select("vec_id", "pos", "p.z", "p.x_z"))
+
+
+def q70_train_split(spark: SparkSession, base: str) -> DataFrame:
+    """NRM-1 on a time-ordered split: statistics of the packed steps of the first 70 % of the days, applied to every day
+    per feature, and the inverse, which gives the values back."""
+    p = _packed_days(spark, base)
+    boundary = moments.train_boundary(read_table(spark, base, "events", ["ts"]).select(F.to_date("ts").alias("d")), "d", 0.7)
+    p = moments.with_stats(p.withColumn("train", F.col("date") < boundary), "features", fit=F.col("train"))
+    p = moments.normalise(p, "features", "stats", "z", nested=True)
+    p = moments.denormalise(p, "z", "stats", "back", nested=True)
+    nodes = p.select("date", "step", "train", F.posexplode(F.arrays_zip("z", "back")).alias("node_pos", "v"))
+    flat = nodes.select("date", "step", "train", "node_pos", F.posexplode(F.arrays_zip(F.col("v.z").alias("z"), F.col("v.back").alias("back")))
+                        .alias("feature", "e"))
+    return present(flat.select("date", "step", "train", "node_pos", "feature", "e.z", "e.back"), digits=4)
 
 
 SAMPLE_FEATURES = ["t", "rh", "speed"]
@@ -676,6 +689,7 @@ QUERIES = {
     "q59_union_dedup": q59_union_dedup,
     "q60_set_difference": q60_set_difference,
     "q64_time_labels": q64_time_labels,
+    "q70_train_split": q70_train_split,
 }
 
 

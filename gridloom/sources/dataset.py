@@ -7,10 +7,11 @@ days and steps it needs and builds no other window.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridloom.functions import geo
+from gridloom.operators import moments
 from gridloom.operators.samples import SampleIndex, Windowing
 from gridloom.operators.tensors import check_window
 from gridloom.sources import tensorfiles
@@ -50,28 +51,35 @@ class TensorSamples:
                 bounds |= {"first_step": w0 * self.windowing.stride, "last_step": w1 * self.windowing.stride + self.windowing.length - 1}
         return tensorfiles.read_tensor_steps(self.spark, self.folder, *self.shape, **bounds)
 
-    def samples(self, low: int = 0, high: int | None = None, mask_rate: float | None = None, seed: int = 0) -> DataFrame:
+    def samples(self, low: int = 0, high: int | None = None, mask_rate: float | None = None, seed: int = 0,
+                stats: Column | None = None) -> DataFrame:
         """Complete samples ``low <= sample_id < high`` (all without bounds).
 
         With ``mask_rate`` the nodes of each sample are masked (MSK-1): masked values are 0 in ``data``, ``target``
         keeps the true values of all steps, as in the spatial task; without it ``target`` holds the steps to predict.
+        ``stats`` (moments per feature) normalises the values before they are masked and stays beside each sample.
         """
         times = tensorfiles.read_time_index(self.spark, f"{self.folder}/time_index")
         packed = self.steps(low, high).join(times, ["date", "step"], "left")
+        if stats is not None:
+            scaled = moments.normalise(packed.withColumn("stats", stats), "features", "stats", "z", nested=True)
+            packed = scaled.select("date", "step", F.col("z").cast("array<array<float>>").alias("features"), "ts")
         rows = self.index.read(packed, "step", low, high)
         entry = F.struct("k", "features", "ts")
         s = rows.groupBy("sample_id", "date", "start").agg(F.array_sort(F.collect_list(entry), lambda a, b: a["k"] - b["k"]).alias("w"))
         seq, n = F.transform("w", lambda e: e["features"]), self.windowing.input_len
         s = s.select("sample_id", "date", "start", seq.alias("all"), F.transform("w", lambda e: e["ts"]).alias("datetime"))
+        extra = [] if stats is None else ["stats"]
+        s = s if stats is None else s.withColumn("stats", stats)
         if mask_rate is None:
-            return s.select("sample_id", "date", "start", "datetime", F.slice("all", 1, n).alias("data"),
+            return s.select("sample_id", "date", "start", "datetime", *extra, F.slice("all", 1, n).alias("data"),
                             F.slice("all", n + 1, self.windowing.pred_len).alias("target"))
         nodes = F.transform(F.sequence(F.lit(0), F.lit(self.shape[1] - 1)),
                             lambda g: geo.sensor_mask(F.col("sample_id"), g, mask_rate, seed))
         s = s.withColumn("mask", nodes)
         hidden = F.transform("all", lambda step: F.transform(step, lambda v, g: F.transform(
             v, lambda x: geo.apply_mask(x, F.element_at("mask", g + 1)).cast("float"))))
-        return s.select("sample_id", "date", "start", "datetime", hidden.alias("data"), F.col("all").alias("target"), "mask")
+        return s.select("sample_id", "date", "start", "datetime", *extra, hidden.alias("data"), F.col("all").alias("target"), "mask")
 
     def coordinates(self) -> DataFrame:
         """(node, lon, lat, elevation): the nodes in tensor order; elevation is null without its sidecar."""

@@ -171,7 +171,7 @@ def write_tensor_days(df: DataFrame, folder: str, steps: int, grids: int, featur
     expected = steps * grids
     per_day = written.groupBy("date").agg(
         F.sum("rows").alias("rows"), F.sum("cells").alias("cells"), F.sum("steps").alias("steps"), F.max("nodes").alias("nodes"),
-        (F.count_distinct("node_sum") > 1).alias("uneven"), F.bool_and("whole").alias("whole"),
+        ((F.count_distinct("node_sum") > 1) | (F.min("node_sum") < 0)).alias("uneven"), F.bool_and("whole").alias("whole"),
         F.transform(F.array_sort(F.collect_list(F.struct("tile", "path"))), lambda t: t["path"]).alias("paths"))
     reason = (F.when(F.col("rows") != expected, F.format_string(f"expected {expected} rows, got %d", F.col("rows")))
               .when(F.col("cells") != expected, F.format_string(f"expected {expected} distinct cells, got %d", F.col("cells")))

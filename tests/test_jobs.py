@@ -50,12 +50,18 @@ def test_station_jobs_end_to_end(spark):
     raw = spark.read.format("binaryFile").load(path).first()["content"]
     arr = np.frombuffer(raw, dtype=np.float32).reshape(24, 4, 17)
     assert np.isfinite(arr).all()
-    smp = jobs.training_samples(spark, f"{root}/tensors", 24, 4, 17, mode="spatial", mask_rate=0.5)
-    assert smp.count() == ok_days * 24
-    win = jobs.training_samples(spark, f"{root}/tensors", 24, 4, 17, mode="sliding", input_len=4, pred_len=2, stride=2)
+    smp, nodes = jobs.training_samples(spark, f"{root}/tensors", 24, 4, 17, mode="spatial", mask_rate=0.5)
+    assert smp.count() == ok_days * 24 and nodes.count() == 4
+    row = smp.first()
+    assert len(row["mask"]) == 4 and len(row["datetime"]) == 1 and len(row["target"][0]) == 4 and len(row["stats"]) == 17
+    hidden = [x for m, v in zip(row["mask"], row["data"][0]) if m for x in v]
+    assert not any(hidden)
+    win, _ = jobs.training_samples(spark, f"{root}/tensors", 24, 4, 17, mode="sliding", input_len=4, pred_len=2, stride=2, train_share=0.6)
     first = win.first()
-    assert len(first["data"]) == 4 and len(first["target"]) == 2
-    assert win.count() == ok_days * 10 * 4
+    assert len(first["data"]) == 4 and len(first["target"]) == 2 and len(first["datetime"]) == 6
+    assert win.count() == ok_days * 10
+    tumbling, _ = jobs.training_samples(spark, f"{root}/tensors", 24, 4, 17, mode="tumbling", input_len=4, pred_len=2)
+    assert tumbling.count() == ok_days * 4
 
 
 def test_reanalysis_tensors(spark):
