@@ -369,5 +369,6 @@ def segment_starts(files: DataFrame) -> DataFrame:
 def digest(files: DataFrame) -> DataFrame:
     """doc_id, start, n_tokens and ids_crc32 of every document in the files."""
     rows = read_tokens(files).select("part", "seg", "doc_id", "inside", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+    rows = stored(rows, "token-digests")  # decoded once, however the join reads it
     return rows.join(segment_starts(files), ["part", "seg"]).select(
         "doc_id", (F.col("before") + F.col("inside")).alias("start"), "n_tokens", "ids_crc32")
