@@ -321,7 +321,8 @@ def _write(path: str, end_id: int):
 def write_tokens(docs: DataFrame, path: str, end_id: int = END_ID) -> DataFrame:
     """Tokenise, lay out by doc_id and write the segments; the stored table (part, seg, n_ids, blob)."""
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    laid = (documents(docs).withColumn("tie", F.xxhash64("text")).repartitionByRange(parts, F.col("doc_id").asc_nulls_first())
+    laid = (documents(docs).withColumn("tie", F.xxhash64("text"))
+            .repartitionByRange(parts, F.col("doc_id").asc_nulls_first(), "tie")  # the tie splits rows that share an id
             .sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "tie").drop("tie"))
     return stored(laid.mapInArrow(_write(path, end_id), "part int, seg int, n_ids long, blob binary"), "token-files")
 
