@@ -2,7 +2,7 @@
 
 * ``stored`` writes a DataFrame as Parquet in the shared checkpoint folder and reads it
   back: a lineage cut that survives lost executors and is computed exactly once.
-* ``text_slices`` walks Arrow batches in slices of bounded text size.
+* ``text_slices`` walks Arrow batches in slices of bounded text size, ``text_ranges`` cuts a text column without leaving Arrow.
 * ``min_label`` / ``components`` merge links: inside one task with numpy, and across the
   cluster with joins on a shrinking edge table.
 """
@@ -14,6 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -53,6 +54,19 @@ def text_slices(batches: Iterator[pa.RecordBatch], text: str = "text",
             yield {k: v[start:] for k, v in cols.items()}, texts[start:]
 
 
+def text_ranges(texts: pa.Array, limit: int = 4 << 20) -> Iterator[tuple[int, int]]:
+    """Row ranges of at most ``limit`` bytes of text; a longer text is a range alone."""
+    sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy()
+    start = size = 0
+    for i, n in enumerate(sizes.tolist()):
+        if i > start and size + n > limit:
+            yield start, i
+            start, size = i, 0
+        size += n
+    if len(sizes):
+        yield start, len(sizes)
+
+
 def held_out(doc_id: int | None, modulus: int) -> bool:
     """crc32 of the id's decimal text, remainder 1; a null id reads as the empty text."""
     return zlib.crc32(("" if doc_id is None else str(doc_id)).encode()) % modulus == 1

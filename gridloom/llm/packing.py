@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridloom.llm.common import documents, stored, text_slices
+from gridloom.llm.common import documents, stored, text_ranges
 from gridloom.llm.tokens import encode
 
 CAPACITY, END_ID, VOCABULARY = 4096, 1, "word_bpe_49k.json"
@@ -196,9 +196,9 @@ def _pieces(path: str, capacity: int, end_id: int, keep_ids: bool):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         end = np.array([end_id], np.uint32)
-        for cols, texts in text_slices(batches):
+        for batch, (a, b) in ((batch, r) for batch in batches for r in text_ranges(batch.column("text"))):
             rows: list[tuple] = []
-            for doc, ids in zip(cols["doc_id"], encode(texts, path)):
+            for doc, ids in zip(batch.column("doc_id").slice(a, b - a).to_pylist(), encode(batch.column("text").slice(a, b - a), path)):
                 ids = np.concatenate([ids, end]).astype("<u4")
                 for k, at in enumerate(range(0, len(ids), capacity)):
                     data = ids[at:at + capacity].tobytes()

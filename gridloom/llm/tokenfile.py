@@ -33,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridloom.llm.common import documents, stored, text_slices
+from gridloom.llm.common import documents, stored, text_ranges
 from gridloom.llm.tokens import encode as tokenize
 
 END_ID, VOCABULARY = 2, "byte_bpe_50k.json"
@@ -276,6 +276,13 @@ def _open(blob: bytes) -> tuple[list, np.ndarray, list[bytes]]:
             [blob[a:b] for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist())])
 
 
+def _tokens(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[tuple[int | None, np.ndarray]]:
+    """(doc_id, ids) of every row."""
+    for batch in batches:
+        for a, b in text_ranges(batch.column("text")):
+            yield from zip(batch.column("doc_id").slice(a, b - a).to_pylist(), tokenize(batch.column("text").slice(a, b - a), path))
+
+
 def _write(path: str, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, seg = TaskContext.get().partitionId(), 0
@@ -301,16 +308,15 @@ def _write(path: str, end_id: int):
             return out
 
         end, size = np.array([end_id], np.uint32), 0
-        for cols, texts in text_slices(batches):
-            for doc, x in zip(cols["doc_id"], tokenize(texts, path)):
-                docs.append(doc)
-                ids.append(np.concatenate([x, end]))
-                size += len(x) + 1
-                if size >= SEGMENT:
-                    close()
-                    size = 0
-                    if sum(len(b) for _, _, b in ready) >= LANES:
-                        yield flush()
+        for doc, x in _tokens(batches, path):
+            docs.append(doc)
+            ids.append(np.concatenate([x, end]))
+            size += len(x) + 1
+            if size >= SEGMENT:
+                close()
+                size = 0
+                if sum(len(b) for _, _, b in ready) >= LANES:
+                    yield flush()
         if docs:
             close()
         if ready:

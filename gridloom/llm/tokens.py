@@ -12,6 +12,7 @@ from __future__ import annotations
 import os
 import re
 from functools import cache
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -22,6 +23,9 @@ _PIECE = re.compile(r"(?:\A\s*|[ \n])\S+(?:(?:\s{2,}|[^\S \n])\S+)*(?:\s+\Z)?|\s
 #: pieces a worker keeps; once full, further pieces are encoded per call (memory bound, no effect on results)
 CACHE_PIECES = 600_000
 _LONGEST_CACHED = 64
+#: white space that is not one blank or line break between two other characters (all of Unicode's white space is named)
+_ODD = (r"\A[ \n]|[ \n]\z|[ \n][ \n]|[\t\x0B\f\r\x1C-\x1F\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}"
+        r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]")
 _FIRST = "\n\n"  # marks a text's first piece, which has no blank before it; no plain text holds two line breaks in a row
 
 
@@ -36,16 +40,47 @@ def tokenizer(path: str):
     return t
 
 
-@cache
-def _memory(path: str) -> dict[str, bytes]:
-    return {}
+class _Pieces:
+    """Ids of the pieces a worker has met: place of each key, and the ids of all of them end to end."""
+
+    def __init__(self, path: str):
+        self.path = path
+        self.place: dict[str, int] = {}
+        self.start, self.size = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.flat = np.zeros(0, np.uint32)
+
+    def ids(self, keys: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(start, size) of each key's ids in the returned ids; new keys are encoded once and kept while there is room."""
+        at = np.fromiter(map(self.place.get, keys, repeat(-1)), np.int64, len(keys))
+        fresh = np.flatnonzero(at < 0)
+        if not len(fresh):
+            return self.start[at], self.size[at], self.flat
+        lists: list[list[int]] = []
+        new = [keys[j] for j in fresh.tolist()]
+        for i in range(0, len(new), 4096):
+            lists += [e.ids for e in tokenizer(self.path).encode_batch_fast(list(map(_piece, new[i:i + 4096])), add_special_tokens=False)]
+        sizes = np.fromiter(map(len, lists), np.int64, len(lists))
+        ids = np.fromiter(chain.from_iterable(lists), np.uint32, int(sizes.sum()))
+        starts = np.cumsum(sizes) - sizes + len(self.flat)
+        at[fresh] = len(self.start) + np.arange(len(fresh))
+        start, size = np.concatenate([self.start, starts]), np.concatenate([self.size, sizes])
+        flat = np.concatenate([self.flat, ids])
+        if len(self.place) < CACHE_PIECES:
+            room = CACHE_PIECES - len(self.place)
+            kept = [j for j, k in enumerate(new) if not isinstance(k, tuple) and len(k) <= _LONGEST_CACHED][:room]
+            self.place.update((new[j], len(self.start) + n) for n, j in enumerate(kept))
+            kept = np.array(kept, np.int64)
+            length = sizes[kept]
+            ends = np.cumsum(length)
+            inside = np.repeat(starts[kept] - len(self.flat) - (ends - length), length) + np.arange(ends[-1] if len(ends) else 0)
+            self.start = np.concatenate([self.start, ends - length + len(self.flat)])
+            self.size, self.flat = np.concatenate([self.size, length]), np.concatenate([self.flat, ids[inside]])
+        return start[at], size[at], flat
 
 
-def _plain(text: str) -> bool:
-    """Whether all white space is single blanks and line breaks between words."""
-    words = text.split()
-    gaps = len(text) - sum(map(len, words))
-    return gaps == len(words) - 1 and text.count(" ") + text.count("\n") == gaps
+@cache
+def _memory(path: str) -> _Pieces:
+    return _Pieces(path)
 
 
 def _piece(key) -> str:
@@ -55,43 +90,31 @@ def _piece(key) -> str:
     return key[2:] if key.startswith(_FIRST) else key if key[0] == "\n" else " " + key
 
 
-def _ids(keys: list, path: str) -> list[bytes]:
-    known = _memory(path)
-    ids = list(map(known.get, keys))
-    fresh = [j for j, x in enumerate(ids) if x is None]
-    for i in range(0, len(fresh), 4096):
-        part = fresh[i:i + 4096]
-        for j, e in zip(part, tokenizer(path).encode_batch_fast([_piece(keys[j]) for j in part], add_special_tokens=False)):
-            ids[j] = np.array(e.ids, np.uint32).tobytes()
-            k = keys[j]
-            if len(known) < CACHE_PIECES and len(k) <= _LONGEST_CACHED and not isinstance(k, tuple):
-                known[k] = ids[j]
-    return ids
-
-
-def encode(texts: list[str | None], path: str) -> list[np.ndarray]:
+def encode(texts: pa.Array | list[str | None], path: str) -> list[np.ndarray]:
     """Ids (uint32) of every whole text, add_special_tokens=False; null reads as empty."""
-    plain = [i for i, t in enumerate(texts) if t and _plain(t)]
-    odd = sorted({i for i, t in enumerate(texts) if t}.difference(plain))
-    cut = pc.split_pattern(pa.array([_FIRST + texts[i].replace("\n", " \n") for i in plain], pa.large_string()), " ")
+    if not isinstance(texts, pa.Array):
+        texts = pa.array(texts, pa.string())
+    empty = pc.fill_null(pc.equal(texts, ""), True).to_numpy(zero_copy_only=False)
+    strange = pc.fill_null(pc.match_substring_regex(texts, _ODD), False).to_numpy(zero_copy_only=False)
+    plain, odd = np.flatnonzero(~empty & ~strange), np.flatnonzero(strange)
+    marked = pc.binary_join_element_wise(_FIRST, pc.replace_substring(texts.take(pa.array(plain)), "\n", " \n"), "")
+    cut = pc.split_pattern(marked, " ")
     coded = cut.flatten().dictionary_encode()
     keys: list = coded.dictionary.to_pylist()
     cuts, places = [np.diff(cut.offsets.to_numpy())], [coded.indices.to_numpy()]
     more: dict = {}
-    for i in odd:
-        codes = np.array([more.setdefault(p, len(keys) + len(more)) for p in _PIECE.findall(texts[i])])
+    for i in odd.tolist():
+        codes = np.array([more.setdefault(p, len(keys) + len(more)) for p in _PIECE.findall(texts[i].as_py())])
         cuts.append(np.array([len(codes)]))
         places.append(codes)
     keys += [(p,) for p in more]
     where = np.concatenate(places)
-    ids = _ids(keys, path)
-    sizes = np.array([len(x) for x in ids], np.int64) // 4
-    starts = np.cumsum(sizes) - sizes
-    n = sizes[where]
+    start, size, ids = _memory(path).ids(keys)
+    n = size[where]
     ends = np.r_[0, np.cumsum(n)]
-    flat = np.frombuffer(b"".join(ids), np.uint32)[np.repeat(starts[where] - ends[:-1], n) + np.arange(ends[-1])]
+    flat = ids[np.repeat(start[where] - ends[:-1], n) + np.arange(ends[-1])]
     out: list[np.ndarray] = [np.array([], np.uint32)] * len(texts)
     last = ends[np.cumsum(np.concatenate(cuts))]
-    for i, a, b in zip(plain + odd, np.r_[0, last[:-1]].tolist(), last.tolist()):
+    for i, a, b in zip(plain.tolist() + odd.tolist(), np.r_[0, last[:-1]].tolist(), last.tolist()):
         out[i] = flat[a:b]
     return out

@@ -44,28 +44,14 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridloom.llm.common import documents, raw
+from gridloom.llm.common import documents, raw, text_ranges
 
 LEAST, REPEATS = 24, 3
-_SLICE = 4 << 20
 _GRAM = 8
 
 
 # -- words and ids -----------------------------------------------------------------------
 
-def text_ranges(texts: pa.Array, limit: int = _SLICE) -> Iterator[tuple[int, int]]:
-    """Row ranges of at most ``limit`` bytes of text; a longer text is a range alone."""
-    sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy()
-    start = size = 0
-    for i, n in enumerate(sizes.tolist()):
-        if i > start and size + n > limit:
-            yield start, i
-            start, size = i, 0
-        size += n
-    if len(sizes):
-        yield start, len(sizes)
-
-
 def words_of(texts: pa.Array) -> pa.ListArray:
     """The words of each text; a text without words gives one empty word (see ``word_ids``)."""
     return pc.ascii_split_whitespace(pc.ascii_trim_whitespace(pc.fill_null(texts, "")))
