@@ -7,6 +7,8 @@ the bucket table, and a ``row_number`` inside each bucket.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
@@ -64,6 +66,26 @@ def first_non_null(df: DataFrame, keys: list[str], order: str | Column, columns:
     return df.groupBy(*keys).agg(*[F.min_by(F.col(c), F.when(F.col(c).isNotNull(), ordc)).alias(c) for c in cols])
 
 
+def merge_cubes(cubes: list[DataFrame], keys: list[str], tolerance: float = 0.0) -> DataFrame:
+    """SRC-8: cubes aligned by their coordinates; one row per key, each variable from the first cube that has it.
+
+    Variables are those of all cubes; a cube may lack some.  Column ``conflicts`` names, in order, the variables
+    for which two cubes hold values at the key that differ by more than ``tolerance``: they are merged by the
+    order of the cubes, and reported, never settled in silence.  Keys compare exactly, as the cubes of one
+    source do; round them before for cubes that don't.  A cube that has a key twice counts as its first
+    non-null value (AGG-5 in the order of the value itself), and its own disagreement is a conflict too.
+    """
+    variables = list(dict.fromkeys(c for cube in cubes for c in cube.columns if c not in keys))
+    numbered = [cube.withColumn("__cube", F.lit(n)) for n, cube in enumerate(cubes)]
+    both = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), numbered)
+    held = {v: F.col(v).isNotNull() for v in variables}
+    merged = both.groupBy(*keys).agg(
+        *[F.min_by(F.col(v), F.when(held[v], F.struct("__cube", v))).alias(v) for v in variables],
+        *[(F.max(v) - F.min(v) > tolerance).alias(f"__differs_{v}") for v in variables])
+    names = [F.when(F.col(f"__differs_{v}"), F.lit(v)) for v in variables]
+    return merged.select(*keys, *variables, F.array_compact(F.array(*names)).alias("conflicts"))
+
+
 def tail_truncate(df: DataFrame, ts: str, keys: list[str], steps: int, grids: int) -> DataFrame:
     """FLT-5: keep the last ``steps * grids`` rows of each day in (ts, *keys) order.
 

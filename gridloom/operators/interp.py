@@ -10,6 +10,7 @@ radial-basis solve are written out with NumPy.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
@@ -17,6 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gridloom.operators.fill import temporal_fill_linear
 from gridloom.session import cut_lineage
@@ -113,15 +115,52 @@ def split_by_need(df: DataFrame, keys: list[str], columns: list[str], threshold:
     return (flagged.filter("__need").drop("__need"), flagged.filter(~F.col("__need")).drop("__need"))
 
 
+def guarded(todo: DataFrame, keys: list[str], solve: Callable[[pd.DataFrame], pd.DataFrame], schema: T.StructType,
+            done: DataFrame, error_col: str | None = None) -> DataFrame:
+    """``solve`` per group of ``todo``, together with ``done``.
+
+    With ``error_col`` a group whose solve fails comes back as it was (the columns of ``schema``), with the reason
+    in that column, and the job goes on (Q17); an earlier reason in the column stays.  Without it the error is raised.
+    """
+    if error_col is None:
+        return todo.groupBy(*keys).applyInPandas(solve, schema).unionByName(done)
+    names = schema.names
+    wide = schema if error_col in names else T.StructType([*schema.fields, T.StructField(error_col, T.StringType())])
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        try:
+            out = solve(pdf.copy())
+        except (ValueError, ArithmeticError, np.linalg.LinAlgError) as problem:
+            out = pdf[names].copy()
+            out[error_col] = f"{type(problem).__name__}: {problem}"
+            return out
+        if error_col not in names:
+            out[error_col] = None
+        return out
+
+    whole = done if error_col in names else done.withColumn(error_col, F.lit(None).cast("string"))
+    return todo.groupBy(*keys).applyInPandas(run, wide).unionByName(whole)
+
+
+def fill_failures(filled: DataFrame, keys: list[str], error_col: str) -> DataFrame:
+    """(keys, reason) of the groups whose solve failed."""
+    return filled.filter(F.col(error_col).isNotNull()).groupBy(*keys).agg(F.min(error_col).alias("reason"))
+
+
 # ---------------------------------------------------------------- temporal pass
 
 
 @dataclass(frozen=True)
 class Method:
-    """Per-column fill method: 'linear', 'cubic' or 'spline' (with ``order``)."""
+    """Per-column fill method: 'linear', 'cubic' or 'spline' (with ``order``).
+
+    ``smoothing`` is for splines: None interpolates the known values; a number allows a residual sum of
+    squares of that much per known value (1.0 is the usual default of a smoothing spline).
+    """
 
     method: str = "linear"
     order: int = 3
+    smoothing: float | None = None
 
     @property
     def degree(self) -> int:
@@ -135,7 +174,12 @@ def fill_series(values: np.ndarray, method: Method, threshold: float, clip_zero:
     if not nan.any() or nan.sum() / len(v) > threshold:
         return v
     pos = np.arange(len(v), dtype=float)
-    est = interpolate_spline(pos[~nan], v[~nan], pos, method.degree)
+    if method.smoothing is None:
+        est = interpolate_spline(pos[~nan], v[~nan], pos, method.degree)
+    else:
+        from gridloom.operators.smoothing import smoothing_spline  # it builds on this module
+
+        est = smoothing_spline(pos[~nan], v[~nan], pos, method.degree, method.smoothing * (~nan).sum())
     s = pd.Series(est).ffill().bfill().to_numpy()
     out = v.copy()
     out[nan] = s[nan]
@@ -145,13 +189,16 @@ def fill_series(values: np.ndarray, method: Method, threshold: float, clip_zero:
 
 
 def temporal_pass(df: DataFrame, methods: dict[str, Method], series_keys: list[str], order: str = "ts",
-                  threshold: float = 0.2, clip_prefix: str = "rain") -> DataFrame:
-    """INT-1: linear columns with window functions; cubic/spline columns in one grouped map per series."""
+                  threshold: float = 0.2, clip_prefix: str = "rain", error_col: str | None = None) -> DataFrame:
+    """INT-1: linear columns with window functions; cubic/spline columns in one grouped map per series.
+
+    ``error_col``: see ``guarded``.
+    """
     linear = [c for c, m in methods.items() if m.method == "linear"]
     curved = {c: m for c, m in methods.items() if m.method != "linear"}
     out = temporal_fill_linear(df, linear, series_keys, order, threshold, clip_prefix) if linear else df
     if not curved:
-        return out
+        return out if error_col is None or error_col in out.columns else out.withColumn(error_col, F.lit(None).cast("string"))
     schema = out.schema
 
     def per_series(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -162,7 +209,7 @@ def temporal_pass(df: DataFrame, methods: dict[str, Method], series_keys: list[s
         return pdf
 
     todo, done = split_by_need(out, series_keys, list(curved), threshold)
-    return todo.groupBy(*series_keys).applyInPandas(per_series, schema).unionByName(done)
+    return guarded(todo, series_keys, per_series, schema, done, error_col)
 
 
 # ---------------------------------------------------------------- spatial pass
@@ -199,11 +246,12 @@ def multiquadric_fill(coords: np.ndarray, values: np.ndarray, epsilon: float = 2
 
 def spatial_pass(df: DataFrame, columns: list[str], ts: str = "ts", lon: str = "lon_center",
                  lat: str = "lat_center", threshold: float = 0.2, epsilon: float = 2.0,
-                 smooth: float = 1e-6) -> DataFrame:
+                 smooth: float = 1e-6, error_col: str | None = None) -> DataFrame:
     """INT-4: per timestamp, fill each column's NULL cells from the known ones (z-scored coordinates).
 
     A column with no gap, or with more than ``threshold`` missing, is left alone.
-    Columns with the same null pattern share one factorisation.
+    Columns with the same null pattern share one factorisation.  One task solves a timestamp densely;
+    ``kernel.spatial_pass_tiled`` is for grids that this is too large for.  ``error_col``: see ``guarded``.
     """
     schema = df.schema
 
@@ -222,14 +270,18 @@ def spatial_pass(df: DataFrame, columns: list[str], ts: str = "ts", lon: str = "
         for j in todo:
             patterns.setdefault(nan[:, j].tobytes(), []).append(j)
         for cols in patterns.values():
+            if not np.isfinite(xy).all():
+                raise ValueError("a node has no coordinates")
             vals[:, cols] = multiquadric_fill(xy, vals[:, cols], epsilon, smooth)
+            if not np.isfinite(vals[:, cols]).all():
+                raise ValueError("the solution is not finite")
         pdf = pdf.copy()
         for j, c in enumerate(present):
             pdf[c] = vals[:, j]
         return pdf
 
     todo, done = split_by_need(df, [ts], columns, threshold)
-    return todo.groupBy(ts).applyInPandas(per_time, schema).unionByName(done)
+    return guarded(todo, [ts], per_time, schema, done, error_col)
 
 
 # ---------------------------------------------------------------- space-time chain
@@ -245,15 +297,16 @@ def st_fill(df: DataFrame, methods: dict[str, Method], day: str = "date", grid:
     filled), so running the passes on every day gives the same result as the
     reference's early exit for complete days.  After each round the lineage is
     cut with a reliable checkpoint in the shared checkpoint folder.  Days that
-    are still incomplete are dropped; ``day_success`` reports every day.
+    are still incomplete are dropped; the status reports every day, with the reason of a solve
+    that failed (its cells stay as they were, all others are filled).
     """
     cols = list(methods)
     any_null = F.greatest(*[F.col(c).isNull() for c in cols]) if len(cols) > 1 else F.col(cols[0]).isNull()
     done = None
     todo = df
     for _ in range(rounds):
-        todo = spatial_pass(todo, cols, ts, lon, lat, space_threshold)
-        todo = temporal_pass(todo, methods, [day, grid], ts, time_threshold)
+        todo = spatial_pass(todo, cols, ts, lon, lat, space_threshold, error_col="fill_error")
+        todo = temporal_pass(todo, methods, [day, grid], ts, time_threshold, error_col="fill_error")
         if checkpoint:
             todo = cut_lineage(todo)
         # days without a gap left are final; only the others go round again (the reference's early exit)
@@ -263,5 +316,5 @@ def st_fill(df: DataFrame, methods: dict[str, Method], day: str = "date", grid:
         done = finished if done is None else done.unionByName(finished)
         todo = flagged.filter("__gap").drop("__gap")
     out = done.unionByName(todo)
-    status = out.groupBy(day).agg((~F.bool_or(any_null)).alias("success"))
-    return done, status
+    status = out.groupBy(day).agg((~F.bool_or(any_null)).alias("success"), F.min("fill_error").alias("reason"))
+    return done.drop("fill_error"), status

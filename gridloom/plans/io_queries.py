@@ -290,6 +290,35 @@ def q63_merge_cubes(spark: SparkSession, base: str) -> DataFrame:
     return present(merged)
 
 
+def q72_cube_conflicts(spark: SparkSession, base: str) -> DataFrame:
+    """SRC-8: three cubes of one grid merged by coordinates; two of them hold the same variable and disagree on the 7th of
+    each month, which the merge reports beside the value it takes."""
+    m = grid.first_non_null(views.reanalysis(spark, base), ["ts", "lon", "lat"], "ord", ["t2m", "d2m", "sp", "tp"])
+    other = m.withColumn("t2m", F.when(F.dayofmonth("ts") == 7, F.col("t2m") + 1).otherwise(F.col("t2m")))
+    keys = ["ts", "lon", "lat"]
+    cubes = [m.filter(F.col("lat") <= 20).select(*keys, "t2m", "d2m"), other.select(*keys, "t2m", "sp"), m.select(*keys, "tp", "d2m")]
+    merged = grid.merge_cubes(cubes, keys)
+    return present(merged.withColumn("conflicts", F.array_join("conflicts", ",")))
+
+
+def q73_page_report(spark: SparkSession, base: str) -> DataFrame:
+    """SRC-1/2 + JN-8 input: what became of every file of a folder that holds pages with their columns in another order,
+    pages without the time column, unreadable times and a stray file, and the values read from each page."""
+    root = scratch_path(spark, "odd-pages")
+    o = views.obs(spark, base, 4)
+    text = tx.ntz_text("ts")
+    rows = o.select(text.alias("span_text"), F.when((F.col("page") % 7 == 3) & (F.col("row_ord") % 10 == 0), F.lit("n/a")).otherwise(text)
+                    .alias("DDATETIME"), F.col("grid_id").alias("GRIDID"), F.col("t").alias("T"), "page", "row_ord")
+    kind = F.when(F.col("page") % 5 == 2, 2).when(F.col("page") % 3 == 1, 1).otherwise(0)
+    for k, columns in enumerate((["DDATETIME", "GRIDID", "T"], ["T", "DDATETIME", "GRIDID"], ["GRIDID", "T"])):
+        written = pages.write_pages(rows.filter(kind == k), root, "page", "row_ord", columns, time_text="span_text")
+        written.write.mode("overwrite").parquet(f"{root}_written/{k}")
+    rows.limit(1).select("GRIDID", "T").coalesce(1).write.mode("append").option("header", True).csv(root)  # a stray file
+    report = pages.file_report(spark, root).select(pages.parse_page_name(F.col("file_name"))[0], "status", "rows", "skipped", "rows_without_time")
+    read = pages.read_pages(spark, root).groupBy("page").agg(F.sum("T").alias("t_sum"), F.max("GRIDID").alias("max_grid"))
+    return present(report.join(read, "page", "left"), digits=4)
+
+
 IO_QUERIES = {
     "q45_json_pages": q45_json_pages,
     "q46_stream_dedup": q46_stream_dedup,
@@ -302,4 +331,6 @@ IO_QUERIES = {
     "q61_page_file_roundtrip": q61_page_file_roundtrip,
     "q62_catalog_dispatch": q62_catalog_dispatch,
     "q63_merge_cubes": q63_merge_cubes,
+    "q72_cube_conflicts": q72_cube_conflicts,
+    "q73_page_report": q73_page_report,
 }

@@ -48,12 +48,10 @@ def daily_split(spark: SparkSession, pages_folder: str, daily_out: str, stats_ou
     """§3.1: every page read once, duplicates resolved by (span start, page, row), one folder per day.
 
     Returns the completeness report (also written as CSV to ``stats_out``).  Beside it, ``stats_out`` with
-    ``_files`` appended gets the status of every file and ``_times`` the rows per page whose time can't be read.
+    ``_files`` appended gets the status of every file, its rows and those without a usable time.
     """
-    read = pages.read_pages(spark, pages_folder)
     pages.file_report(spark, pages_folder).write.mode("overwrite").parquet(f"{stats_out.rstrip('/')}_files")
-    pages.time_report(read).write.mode("overwrite").parquet(f"{stats_out.rstrip('/')}_times")
-    raw = read.filter(F.col("ts").isNotNull())
+    raw = pages.read_pages(spark, pages_folder).filter(F.col("ts").isNotNull())
     d = dedup.dedup_keep_first(raw, ["ts", "GRIDID"], ["span_start", "page", "row_ord"])
     keep = ["ts", "GRIDID", *STATION_MEASURES]
     pages.write_daily(d, daily_out, "ts", order=keep)

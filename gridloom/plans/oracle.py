@@ -8,6 +8,7 @@ cast to BIGINT, every time formatted as text, as ``present`` does on the Spark s
 
 from __future__ import annotations
 
+from gridloom.plans import oracle_fills
 from gridloom.sources.schemas import FLOW_CELLS
 
 
@@ -526,21 +527,27 @@ SELECT o_orderkey, text, {ts_text(parsed)} AS parsed FROM x"""
 
 def q39() -> str:
     return f"""WITH {SERIES},
-act AS (SELECT count(DISTINCT step) AS n, count(DISTINCT node) AS nn, count(DISTINCT channel) AS nc,
-               date_diff('minute', CAST(min(day) AS TIMESTAMP), CAST(max(day) AS TIMESTAMP)) AS mins FROM series),
 cat(name, reader, step_minutes, nodes, channels, length, present) AS (VALUES
   ('lineitem_daily', 'node_frame', 1440, 8, 2, NULL, true), ('lineitem_half_daily', 'node_frame', 720, 8, 2, NULL, true),
-  ('lineitem_short', 'node_frame', 1440, 8, 2, 5, true), ('lineitem_absent', 'wide_channels', 60, 3, 1, 24, false)),
-j AS (SELECT cat.*, n AS actual_length, nn AS actual_nodes, nc AS actual_channels, mins // step_minutes + 1 AS span_steps
-      FROM cat LEFT JOIN act ON cat.present)
-SELECT name, reader, CAST(step_minutes AS BIGINT) AS step_minutes, CAST(nodes AS BIGINT) AS nodes,
-       CAST(channels AS BIGINT) AS channels, CAST(length AS BIGINT) AS length, CAST(actual_length AS BIGINT) AS actual_length,
-       CAST(actual_nodes AS BIGINT) AS actual_nodes, CAST(actual_channels AS BIGINT) AS actual_channels,
-       CAST(span_steps AS BIGINT) AS span_steps,
-       CASE WHEN actual_length IS NULL THEN 'absent'
-            WHEN actual_nodes <> nodes OR actual_channels <> channels OR actual_length <> length THEN 'mismatch'
-            WHEN actual_length <> span_steps THEN 'irregular' ELSE 'ok' END AS status
-FROM j"""
+  ('lineitem_short', 'node_frame', 1440, 8, 2, 5, true), ('lineitem_off_slot', 'node_frame', 1440, 8, 2, NULL, true),
+  ('lineitem_absent', 'wide_channels', 60, 3, 1, 24, false)),
+rows AS (
+  SELECT cat.name, step_minutes, node, channel,
+         CAST(day AS TIMESTAMP) + CASE WHEN name = 'lineitem_off_slot' AND step % 5 = 1 THEN INTERVAL 12 HOUR ELSE INTERVAL 0 HOUR END AS ts
+  FROM cat JOIN series ON cat.present),
+f AS (SELECT name, min(ts) AS first FROM rows GROUP BY name),
+act AS (
+  SELECT rows.name, count(DISTINCT ts) AS n, count(DISTINCT node) AS nn, count(DISTINCT channel) AS nc, count(*) AS cells,
+         count(DISTINCT ts) FILTER (WHERE date_diff('minute', first, ts) % step_minutes <> 0) AS off_slot,
+         max(date_diff('minute', first, ts)) // any_value(step_minutes) + 1 AS span
+  FROM rows JOIN f ON f.name = rows.name GROUP BY rows.name)
+SELECT cat.name, reader, CAST(step_minutes AS BIGINT) AS step_minutes, CAST(nodes AS BIGINT) AS nodes,
+       CAST(channels AS BIGINT) AS channels, CAST(length AS BIGINT) AS length, n AS actual_length, nn AS actual_nodes,
+       nc AS actual_channels, cells AS actual_rows, off_slot, CAST(span AS BIGINT) AS span_steps,
+       CASE WHEN n IS NULL THEN 'absent'
+            WHEN nn <> nodes OR nc <> channels OR cells <> n * nodes * channels OR n <> length THEN 'mismatch'
+            WHEN n <> span OR off_slot > 0 THEN 'irregular' ELSE 'ok' END AS status
+FROM cat LEFT JOIN act ON cat.name = act.name"""
 
 
 def grid_centers(src: str = "dedup") -> str:
@@ -747,6 +754,87 @@ SELECT {day_text('date')} AS date, step, date < b.day AS train, node_pos, v.feat
 FROM v JOIN st ON st.feature = v.feature, b"""
 
 
+def q72() -> str:
+    return f"""WITH {merged_cte()},
+b AS (SELECT *, CASE WHEN day(ts) = 7 THEN t2m + 1 ELSE t2m END AS other, lat <= 20 AS first FROM merged)
+SELECT {ts_text('ts')} AS ts, lon, lat, round(coalesce(CASE WHEN first THEN t2m END, other), 6) AS t2m, round(d2m, 6) AS d2m,
+       round(sp, 6) AS sp, round(tp, 6) AS tp, CASE WHEN first AND other <> t2m THEN 't2m' ELSE '' END AS conflicts
+FROM b"""
+
+
+def q73() -> str:
+    return f"""WITH {obs_cte(4)},
+p AS (
+  SELECT page, CASE WHEN page % 5 = 2 THEN 'no time column' ELSE 'read' END AS status, count(*) AS n,
+         count(*) FILTER (WHERE page % 7 = 3 AND row_ord % 10 = 0) AS bad, sum(t) AS t_sum, max(grid_id) AS max_grid
+  FROM obs GROUP BY page)
+SELECT page, status, CASE WHEN status = 'read' THEN n ELSE 0 END AS rows, CAST(0 AS BIGINT) AS skipped,
+       CASE WHEN status = 'read' THEN bad ELSE 0 END AS rows_without_time,
+       CASE WHEN status = 'read' THEN round(t_sum, 4) END AS t_sum, CASE WHEN status = 'read' THEN max_grid END AS max_grid FROM p
+UNION ALL SELECT NULL, 'not a page', 0, 0, 0, NULL, NULL"""
+
+
+SPLINE_KEEP = ["ts", "date", "grid_id", "observed"]
+
+
+def _linear(c: str, clip: bool) -> str:
+    return fill_expr(c, 0.2, clip, rounded=False)
+
+
+def q41() -> str:
+    rest = ["rh", "dir", "rain"]
+    fill = oracle_fills.temporal("r", "a", {"t": "cubic", "slp": "cubic", "speed": "cubic"}, SPLINE_KEEP + rest, _linear)
+    cols = ", ".join(f"round({c}, 4) AS {c}" for c in FILL)
+    return f"WITH RECURSIVE {scaffold_filled_cte(8)},\n{fill}\nSELECT {ts_text('ts')} AS ts, grid_id, {day_text('date')} AS date, observed, {cols} FROM r"
+
+
+def q42() -> str:
+    rest = ["slp", "speed", "dir", "rain"]
+    fill = oracle_fills.temporal("r", "a", {"rh": "quadratic", "t": "cubic"}, SPLINE_KEEP + rest, _linear)
+    cols = ", ".join(f"round({c}, 4) AS {c}" for c in FILL)
+    return f"WITH RECURSIVE {scaffold_filled_cte(8)},\n{fill}\nSELECT {ts_text('ts')} AS ts, grid_id, {day_text('date')} AS date, observed, {cols} FROM r"
+
+
+def located_select(src: str, cols: list[str], digits: int = 4) -> str:
+    lon_min, lat_min = "113.75::DOUBLE + 0.05::DOUBLE * (g.grid_id % 4)", "22.45::DOUBLE + 0.05::DOUBLE * floor(g.grid_id / 4)"
+    values = ", ".join(f"round({c}, {digits}) AS {c}" for c in cols)
+    return (f"SELECT {ts_text('g.ts')} AS ts, g.grid_id, {day_text('g.date')} AS date, {values}, round({lon_min}, {digits}) AS lon_min, "
+            f"round({lat_min}, {digits}) AS lat_min, round({lon_min} + 0.05, {digits}) AS lon_max, round({lat_min} + 0.05, {digits}) AS lat_max, "
+            f"round({lon_min} + 0.025, {digits}) AS lon_center, round({lat_min} + 0.025, {digits}) AS lat_center")
+
+
+def q43() -> str:
+    fill = oracle_fills.spatial("r", "a", ["t", "rh", "slp", "speed"], SPLINE_KEEP + ["dir", "rain"], 8, "gc")
+    return (f"WITH RECURSIVE {scaffold_filled_cte(8)},\ngc AS ({grid_centers('dedup')}),\n{fill}\n"
+            f"{located_select('r', FILL)}, observed FROM r g")
+
+
+ST_COLS = {"t": "cubic", "slp": "cubic", "rh": "quadratic", "rain": "linear", "speed_x": "linear", "speed_y": "linear"}
+
+
+def q44(n: int = 4) -> str:
+    """Two rounds of the spatial and the temporal fill, complete days, air density, mean rows."""
+    keep = ["ts", "date", "grid_id"]
+    rounds, src = [], "w"
+    for k in (1, 2):
+        rounds.append(oracle_fills.spatial(f"s{k}", src, list(ST_COLS), keep, n, "gc"))
+        rounds.append(oracle_fills.temporal(f"t{k}", f"s{k}", ST_COLS, keep, _linear))
+        src = f"t{k}"
+    gaps = " OR ".join(f"{c} IS NULL" for c in ST_COLS)
+    cols = [*ST_COLS, "air_density"]
+    nulls = ", ".join(f"NULL AS {c}" for c in ("lon_min", "lat_min", "lon_max", "lat_max", "lon_center", "lat_center"))
+    means = ", ".join(f"round(avg({c}), 6) AS {c}" for c in cols)
+    return f"""WITH RECURSIVE {scaffold_filled_cte(n)},
+gc AS ({grid_centers('dedup')}),
+w AS (SELECT ts, date, grid_id, t, slp, rh, rain, sin(radians(dir)) * speed AS speed_x, cos(radians(dir)) * speed AS speed_y FROM a),
+{(','+chr(10)).join(rounds)},
+ok AS (SELECT date FROM t2 GROUP BY date HAVING NOT bool_or({gaps})),
+d AS (SELECT *, {density_expr()} AS air_density FROM t2 WHERE date IN (SELECT date FROM ok))
+{located_select('d', cols, 6)}, false AS is_mean_field FROM d g
+UNION ALL BY NAME
+SELECT {ts_text('ts')} AS ts, NULL AS grid_id, NULL AS date, {nulls}, {means}, true AS is_mean_field FROM d GROUP BY ts"""
+
+
 def q61() -> str:
     return f"""WITH {dedup_cte(4)},
 pc AS (
@@ -858,6 +946,13 @@ ORACLE = {
     "q48_tensor_roundtrip": q48(),
     "q68_prediction_samples": q68(),
     "q69_masked_samples": q69(),
+    "q72_cube_conflicts": q72(),
+    "q73_page_report": q73(),
+    "q41_cubic_fill": q41(),
+    "q42_spline_fill": q42(),
+    "q43_spatial_fill": q43(),
+    "q71_spatial_fill_tiled": q43(),
+    "q44_st_fill": q44(8),
     "q61_page_file_roundtrip": q61(),
     "q62_catalog_dispatch": q62(),
     "q63_merge_cubes": f"WITH {merged_cte()} SELECT {ts_text('ts')} AS ts, "

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from gridloom.functions import timeaxis as tx
 from gridloom.operators.tensors import wide_to_long
-from gridloom.sources.pages import _local_or_uri
+from gridloom.sources.storage import filesystem, qualified
 
 LONG_COLS = ["dataset", "step", "ts", "node", "channel", "value"]
 
@@ -61,12 +61,14 @@ def read_grid_frames(df: DataFrame, dataset: str, step: str, frames: str, ts: st
 def write_npy_chunks(df: DataFrame, folder: str, chunk: str, step: str, node: str, channel: str, value: str,
                      nodes: int, channels: int) -> DataFrame:
     """Write ``[S_i, N, C]`` float32 chunks as ``chunk_<first step>.npy`` (one group = one chunk)."""
+    folder = qualified(df.sparkSession, folder)
+
     def write(pdf: pd.DataFrame) -> pd.DataFrame:
         first = int(pdf[step].min())
         n_steps = int(pdf[step].max()) - first + 1
         arr = np.full((n_steps, nodes, channels), np.nan, dtype=np.float32)
         arr[pdf[step].to_numpy() - first, pdf[node].to_numpy(), pdf[channel].to_numpy()] = pdf[value].to_numpy()
-        fs, root = _local_or_uri(folder)
+        fs, root = filesystem(folder)
         fs.create_dir(root, recursive=True)
         import io
         buf = io.BytesIO()
@@ -114,6 +116,34 @@ class Descriptor:
     length: int | None = None
 
 
+# The public forecasting sets with their step length, nodes, channels and length.
+PUBLIC_SERIES = (
+    Descriptor("metr_la", "node_frame", 5, 207, 1, 34272),
+    Descriptor("pems_bay", "node_frame", 5, 325, 1, 52116),
+    Descriptor("pems04", "node_array", 5, 307, 3, 16992),
+    Descriptor("pems08", "node_array", 5, 170, 3, 17856),
+    Descriptor("taxibj13", "grid_frames", 30, 1024, 2, 4888),
+    Descriptor("taxibj14", "grid_frames", 30, 1024, 2, 4780),
+    Descriptor("taxibj15", "grid_frames", 30, 1024, 2, 5596),
+    Descriptor("taxibj16", "grid_frames", 30, 1024, 2, 7220),
+    Descriptor("ettm1", "wide_channels", 15, 1, 7, 69680),
+    Descriptor("ettm2", "wide_channels", 15, 1, 7, 69680),
+    Descriptor("exchange_rate", "wide_channels", 1440, 1, 8, 7588),
+    Descriptor("illness", "wide_channels", 10080, 1, 7, 966),
+    Descriptor("traffic", "node_frame", 60, 862, 1, 17544),
+    Descriptor("weather", "wide_channels", 10, 1, 21, 52696),
+    Descriptor("electricity", "node_frame", 60, 321, 1, 26304),
+)
+
+
+def descriptor(name: str) -> Descriptor:
+    """The public set of that name; an unknown name is an error."""
+    for d in PUBLIC_SERIES:
+        if d.name == name:
+            return d
+    raise ValueError(f"data set {name!r} is not in the catalog")
+
+
 def load(spark: SparkSession, desc: Descriptor, readers: dict[str, Callable[[SparkSession, Descriptor], DataFrame]]) -> DataFrame:
     """Dispatch by reader name; an unknown name is an error."""
     if desc.reader not in readers:
@@ -122,28 +152,35 @@ def load(spark: SparkSession, desc: Descriptor, readers: dict[str, Callable[[Spa
 
 
 def validate(long: DataFrame, descriptors: list[Descriptor]) -> DataFrame:
-    """VAL-3 per descriptor: length, nodes, channels and regular steps (Q21); one row per descriptor.
+    """VAL-3 per descriptor: length, nodes, channels, rows and regular steps (Q21); one row per descriptor.
 
-    The span is measured on the times where the data set has them (first to last time in steps of
-    ``step_minutes``), else on the step numbers.  A data set without rows is ``absent``.  The
-    descriptors are configuration: a table of their literals, left-joined with the one row per data set.
+    Where the data set has times, they must be the slots from the first to the last time every
+    ``step_minutes``: each time on a slot (``off_slot`` counts those that aren't) and no slot absent
+    (``span_steps`` against ``actual_length``).  Else the step numbers must run from 0 without a gap.  A data set
+    without rows is ``absent``; one with another length, node or channel number, or without a row for every
+    (step, node, channel), is a ``mismatch``.  The descriptors are configuration: a small table joined by name.
     """
     spark = long.sparkSession
-    minutes = F.unix_date(F.to_date("ts")).cast("bigint") * 1440 + F.hour("ts") * 60 + F.minute("ts")  # wall clock, no zone
-    act = long.groupBy("dataset").agg(
-        F.count_distinct("step").alias("actual_length"), F.count_distinct("node").alias("actual_nodes"),
-        F.count_distinct("channel").alias("actual_channels"), (F.max("step") + 1).alias("__steps"),
-        (F.max(minutes) - F.min(minutes)).alias("__minutes"))
     table = spark.createDataFrame([(d.name, d.reader, d.step_minutes, d.nodes, d.channels, d.length) for d in descriptors],
                                   "name string, reader string, step_minutes int, nodes int, channels int, length long")
+    wanted = table.select(F.col("name").alias("dataset"), (F.col("step_minutes") * 60).alias("__every"))
+    firsts = long.groupBy("dataset").agg(F.min("ts").alias("__first"))
+    place = tx.epoch_seconds("ts") - tx.epoch_seconds("__first")
+    rows = long.join(F.broadcast(wanted), "dataset").join(F.broadcast(firsts), "dataset")  # a row per descriptor each
+    act = rows.groupBy("dataset", "__every").agg(
+        F.coalesce(F.nullif(F.count_distinct("ts"), F.lit(0)), F.count_distinct("step")).alias("actual_length"),
+        F.count_distinct("node").alias("actual_nodes"), F.count_distinct("channel").alias("actual_channels"),
+        F.count(F.lit(1)).alias("actual_rows"), F.count_distinct(F.when(F.pmod(place, F.col("__every")) != 0, F.col("ts"))).alias("off_slot"),
+        F.max(place).alias("__span"), F.max("step").alias("__steps"))
+    act = act.withColumn("span_steps", F.coalesce(F.floor(F.col("__span") / F.col("__every")), F.col("__steps")).cast("bigint") + 1)
     j = table.join(act, F.col("name") == F.col("dataset"), "left").drop("dataset")
-    j = j.withColumn("span_steps", F.coalesce(F.floor(F.col("__minutes") / F.col("step_minutes")) + 1, F.col("__steps")))
-    ok = ((F.col("actual_nodes") == F.col("nodes")) & (F.col("actual_channels") == F.col("channels"))
+    cells = F.col("actual_length") * F.col("nodes") * F.col("channels")
+    ok = ((F.col("actual_nodes") == F.col("nodes")) & (F.col("actual_channels") == F.col("channels")) & (F.col("actual_rows") == cells)
           & F.coalesce(F.col("actual_length") == F.col("length"), F.col("length").isNull()))
-    regular = F.col("actual_length") == F.col("span_steps")
+    regular = (F.col("actual_length") == F.col("span_steps")) & (F.col("off_slot") == 0)
     status = (F.when(F.col("actual_length").isNull(), "absent").when(~ok, "mismatch").when(~regular, "irregular").otherwise("ok"))
     return j.select("name", "reader", "step_minutes", "nodes", "channels", "length", "actual_length", "actual_nodes",
-                    "actual_channels", "span_steps", status.alias("status"))
+                    "actual_channels", "actual_rows", "off_slot", "span_steps", status.alias("status"))
 
 
 def write_series(long: DataFrame, path: str) -> DataFrame:

@@ -2,19 +2,25 @@
 
 Pages are CSV files named ``page<N>_rows<R>_<start>to<end>.csv``; the name
 carries the page number and its time span.  A multi-file read takes every page
-once (no per-day re-reading); the row position inside a file is kept as
-``(file block start, monotonically increasing id)`` taken straight after the
-scan, which is the file order with and without file splits.
+once (no per-day re-reading): the task that has a file reads its header and its
+rows, and numbers them.
 """
 
 from __future__ import annotations
 
+import csv
+import re
+from collections.abc import Iterator
+
+import pyarrow as pa
+import pyarrow.csv as pacsv
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gridloom.functions import timeaxis as tx
 from gridloom.sources.schemas import COMPLETENESS, GRID_INFO, STATION_PAGE
+from gridloom.sources.storage import filesystem, qualified
 
 PAGE_NAME = r"^page(\d+)_rows(\d+)_(\d{8}_\d{6})to(\d{8}_\d{6})\.csv$"
 
@@ -52,66 +58,100 @@ def list_pages(spark: SparkSession, folder: str) -> DataFrame:
     return files.select(name.alias("file_name"), "length", *parse_page_name(name))
 
 
-def _page_lines(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
-    """(lines, files): the text lines of all CSV files, and per file its header (the first line) and status."""
-    lines = (spark.read.option("ignoreCorruptFiles", True).option("pathGlobFilter", "*.csv").text(folder)
-             .select("value", F.col("_metadata.file_name").alias("file_name"),
-                     F.struct(F.col("_metadata.file_block_start").alias("__block"),
-                              F.monotonically_increasing_id().alias("__mono")).alias("row_ord")))
-    files = lines.groupBy("file_name").agg(F.min_by("value", "row_ord").alias("header"), (F.count(F.lit(1)) - 1).alias("lines"))
-    return lines, files.withColumn("header", F.regexp_replace("header", "^\uFEFF|\r$", ""))
+#: what became of a file: its rows, or one row with the reason
+READ, STRAY, NO_TIME, UNREADABLE = "read", "not a page", "no time column", "unreadable"
+_MARKS = "file_name string, status string, row_ord long, skipped long"
 
 
-def file_report(spark: SparkSession, folder: str, time_col: str = "DDATETIME") -> DataFrame:
-    """Per CSV file of a folder: data lines and status ``read``, ``no time column`` or ``not a page`` (by its name)."""
-    _, files = _page_lines(spark, folder)
-    return files.select("file_name", "lines", _file_status(time_col).alias("status"))
+def _parse_files(columns: list[str], time_col: str):
+    """Whole CSV files to rows of text, taken by header name; a file that is no page gives one row with its status.
+
+    So does a page without rows.  ``skipped`` counts the file's lines that have another number of fields than the
+    header (on its first row).  Spark passes no file of no bytes on.
+    """
+    fields = [("file_name", pa.string()), ("status", pa.string()), ("row_ord", pa.int64()), ("skipped", pa.int64())]
+    schema = pa.schema(fields + [(c, pa.string()) for c in columns])
+
+    def marked(name: str, status: str, rows: int, skipped: int, found: dict) -> pa.RecordBatch:
+        if not rows:
+            found = {}
+        order = list(range(rows)) if status == READ and rows else [None]
+        n = len(order)
+        cols = [pa.array([name] * n), pa.array([status] * n), pa.array(order, pa.int64()),
+                pa.array([skipped] * min(n, 1) + [0] * (n - 1), pa.int64())]
+        return pa.RecordBatch.from_arrays(cols + [found.get(c, pa.nulls(n, pa.string())) for c in columns], schema=schema)
+
+    def one(name: str, content: bytes) -> pa.RecordBatch:
+        if not re.match(PAGE_NAME, name):
+            return marked(name, STRAY, 1, 0, {})
+        skipped = 0
+
+        def skip(row) -> str:
+            nonlocal skipped
+            skipped += 1
+            return "skip"
+
+        content = content.removeprefix(b"\xef\xbb\xbf")
+        try:
+            names = [c.strip() for c in next(csv.reader([content.split(b"\n", 1)[0].decode("utf-8").rstrip("\r")]), [])]
+            if time_col not in names:
+                return marked(name, NO_TIME, 1, 0, {})
+            at = {c: k for k, c in reversed(list(enumerate(names)))}  # the first of two equal names
+            plain = [f"c{k}" for k in range(len(names))]
+            table = pacsv.read_csv(
+                pa.BufferReader(content), pacsv.ReadOptions(column_names=plain, skip_rows=1, use_threads=False),
+                pacsv.ParseOptions(newlines_in_values=True, invalid_row_handler=skip),
+                pacsv.ConvertOptions(column_types={c: pa.string() for c in plain}, null_values=[""], strings_can_be_null=True)) \
+                if b"\n" in content.rstrip(b"\r\n") else pa.table({c: pa.array([], pa.string()) for c in plain})
+        except (pa.ArrowInvalid, UnicodeDecodeError, csv.Error):
+            return marked(name, UNREADABLE, 1, 0, {})
+        table = table.combine_chunks()
+        found = {c: table.column(at[c]).combine_chunks() for c in columns if c in at}
+        return marked(name, READ, table.num_rows, skipped, found)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(batch.num_rows):  # one file at a time
+                yield one(batch.column("file_name")[k].as_py(), batch.column("content")[k].as_py())
+    return run
+
+
+def scan_pages(spark: SparkSession, folder: str, columns: list[str], time_col: str = "DDATETIME") -> DataFrame:
+    """Every CSV file of a folder read once, by the task that has it: its rows as text, or why it has none.
+
+    Columns: file_name, status, row_ord (place in the file), skipped, and ``columns`` as text.  A page
+    is bounded by its number of rows, so a task holds one page.
+    """
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(folder)
+    named = files.select(F.regexp_extract("path", r"([^/]+)$", 1).alias("file_name"), "content")
+    text = ", ".join(f"`{c}` string" for c in columns)
+    return named.mapInArrow(_parse_files(columns, time_col), f"{_MARKS}, {text}")
 
 
-def _file_status(time_col: str) -> F.Column:
-    named = F.transform(F.split("header", ","), lambda c: F.trim(F.regexp_replace(c, '"', "")))
-    return (F.when(~F.col("file_name").rlike(PAGE_NAME), F.lit("not a page"))
-            .when(~F.array_contains(named, time_col), F.lit("no time column")).otherwise(F.lit("read")))
+def file_report(spark: SparkSession, folder: str, time_col: str = "DDATETIME") -> DataFrame:
+    """Per CSV file of a folder: status (``read``, ``no time column``, ``not a page``, ``unreadable``), rows read, lines
+    skipped because they don't have the header's number of fields, and rows without a usable time."""
+    rows = scan_pages(spark, folder, [time_col], time_col)
+    return rows.groupBy("file_name", "status").agg(
+        F.count("row_ord").alias("rows"), F.sum("skipped").alias("skipped"),
+        F.count_if(F.col("row_ord").isNotNull() & tx.try_parse_exact(F.col(time_col)).isNull()).alias("rows_without_time"))
 
 
 def read_pages(spark: SparkSession, folder: str, schema: T.StructType = STATION_PAGE,
                time_col: str = "DDATETIME") -> DataFrame:
-    """SRC-1: all page CSVs of a folder with page, span and row order attached.
+    """SRC-1: all page CSVs of a folder with page, span and row order attached, every file read once.
 
     Columns are taken by header name, so a page may order them differently, lack some (NULL) or
     have more.  Files whose name is not a page name and pages without the time column are left
-    out; ``file_report`` lists them.  The time text is parsed exactly (DT-10), NULL when it can't be.
-    Headers are read as the first line of each file; each distinct header is one parse of its files.
+    out; ``file_report`` lists them.  A value that doesn't fit its type is NULL; the time text is
+    parsed exactly (DT-10), NULL when it can't be.
     """
-    lines, files = _page_lines(spark, folder)
-    files = files.filter(_file_status(time_col) == "read").select("file_name", "header")
-    headers = [r["header"] for r in files.select("header").distinct().orderBy("header").collect()]  # distinct headers only
-    columns = [f.name for f in schema.fields]
-    out = None
-    for header in headers:
-        names = [c.strip().strip('"') for c in header.split(",")]
-        kinds = {f.name: f.dataType for f in schema.fields}
-        as_read = T.StructType([T.StructField(f"c{i}", kinds.get(n, T.StringType())) for i, n in enumerate(names)])
-        at = {n: i for i, n in reversed(list(enumerate(names)))}  # the first of two equal names
-        mine = (lines.join(files.filter(F.col("header") == header).select("file_name"), "file_name")
-                .filter(F.regexp_replace("value", "^\uFEFF|\r$", "") != header)
-                .select("file_name", "row_ord", F.from_csv("value", as_read.simpleString()[7:-1].replace(":", " ")).alias("r")))
-        part = mine.select(*[(F.col(f"r.c{at[c]}") if c in at else F.lit(None)).cast(kinds[c]).alias(c) for c in columns],
-                           "file_name", *parse_page_name(F.col("file_name")), "row_ord")
-        out = part if out is None else out.unionByName(part)
-    if out is None:
-        empty = spark.createDataFrame([], T.StructType([*schema.fields, T.StructField("file_name", T.StringType())]))
-        out = empty.select(*columns, "file_name", *parse_page_name(F.col("file_name")),
-                           F.struct(F.lit(0).cast("bigint").alias("__block"), F.lit(0).cast("bigint").alias("__mono")).alias("row_ord"))
+    rows = scan_pages(spark, folder, schema.names, time_col).filter(F.col("row_ord").isNotNull())
+    typed = [F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema.fields]
+    out = rows.select(*typed, "file_name", *parse_page_name(F.col("file_name")), "row_ord")
     return out.withColumn("ts", tx.try_parse_exact(F.col(time_col)))
 
 
-def time_report(pages: DataFrame) -> DataFrame:
-    """Per page file: rows read and rows without a usable time."""
-    return pages.groupBy("file_name").agg(F.count(F.lit(1)).alias("rows"),
-                                          F.count_if(F.col("ts").isNull()).alias("rows_without_time"))
-
-
 def write_daily(df: DataFrame, path: str, ts: str = "ts", order: list[str] | None = None, fmt: str = "parquet") -> None:
     """SNK-1 / SNK-3 / SRT-1: one partition folder per day, rows sorted by (time, grid) inside files.
 
@@ -181,17 +221,6 @@ def read_json_pages(spark: SparkSession, path: str, row_schema: T.StructType) ->
     return parse_json_pages(docs, row_schema)
 
 
-def _local_or_uri(folder: str):
-    """A pyarrow filesystem and root path for a folder given as a plain path or a URI."""
-    import pyarrow.fs as pafs
-
-    if folder.startswith("file:"):
-        return pafs.LocalFileSystem(), "/" + folder[len("file:"):].lstrip("/")
-    if "://" not in folder:
-        return pafs.LocalFileSystem(), folder
-    return pafs.FileSystem.from_uri(folder)
-
-
 def write_pages(df: DataFrame, folder: str, page: str, order: str, columns: list[str],
                 time_text: str = "DDATETIME", rows_per_page: int = 10000) -> DataFrame:
     """Write one CSV per page, named after its page number and time span (SNK-9 names).
@@ -204,9 +233,10 @@ def write_pages(df: DataFrame, folder: str, page: str, order: str, columns: list
     import pandas as pd
 
     out_schema = "page bigint, file_name string, rows bigint"
+    folder = qualified(df.sparkSession, folder)
 
     def write(pdf: pd.DataFrame) -> pd.DataFrame:
-        fs, root = _local_or_uri(folder)
+        fs, root = filesystem(folder)
         fs.create_dir(root, recursive=True)
         pdf = pdf.sort_values(order, kind="stable")
         n = int(pdf[page].iloc[0])

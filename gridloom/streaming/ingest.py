@@ -75,7 +75,7 @@ def keep_first_stream(stream: DataFrame, ts: str, keys: list[str], order: list[s
     themselves carry no event time.
 
     Run it in ``update`` mode (``upserts.run_updates``, partitioned by ``late``).  Rows without a
-    time have no cell and are left out; ``pages.time_report`` counts them.
+    time have no cell and are left out; ``pages.file_report`` counts them.
     """
     names = stream.columns
     s = event_time(stream.filter(F.col(ts).isNotNull()), ts)

@@ -32,7 +32,7 @@ def test_query_matches_oracle_small(spark, name):
 
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLE)))
 def test_rows_only_queries_run(spark, name):
-    assert QUERIES[name](spark, SMOKE).count() >= 0
+    assert QUERIES[name](spark, SMOKE).count() > 0  # values: see the tests of its own module
 
 
 def test_entry_smoke(spark):

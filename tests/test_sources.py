@@ -61,9 +61,28 @@ def test_pages_by_header_name_and_file_report(spark):
             f.write(text)
     rows = {(r["page"], r["ts"].minute if r["ts"] else None): (r["GRIDID"], r["T"]) for r in pages.read_pages(spark, root).collect()}
     assert rows == {(1, 0): (0, 11.0), (1, None): (0, 1.0), (2, 10): (1, 20.0)}
-    report = {r["file_name"].split("_")[0]: r["status"] for r in pages.file_report(spark, root).collect()}
-    assert report == {"page1": "read", "page2": "read", "page3": "no time column", "notes": "not a page"}
-    assert {r["rows_without_time"] for r in pages.time_report(pages.read_pages(spark, root)).collect()} == {0, 1}
+    report = {r["file_name"].split("_")[0]: tuple(r)[1:] for r in pages.file_report(spark, root).collect()}
+    assert report == {"page1": ("read", 2, 0, 1), "page2": ("read", 1, 0, 0), "page3": ("no time column", 0, 0, 0), "notes": ("not a page", 0, 0, 0)}
+
+
+def test_odd_page_files(spark):
+    """A byte order mark, CRLF, quoted fields, a ragged line, no rows, nothing at all, bad text, numbers that aren't."""
+    import os
+
+    root = scratch_path(spark, "t-odd")
+    local = root.removeprefix("file:")
+    os.makedirs(local)
+    name = "page{}_rows10000_20240101_000000to20240101_001000.csv".format
+    files = {name(1): "\ufeffDDATETIME,GRIDID,T\r\n2024-01-01 00:00:00,0,1.5\r\n2024-01-01 00:10:00,1\r\n2024-01-01 00:20:00,2,2.5\r\n".encode(),
+             name(2): b'"DDATETIME","GRIDID","T","T"\n"2024-01-01 00:00:00",x,7,8\nDDATETIME,1,,9\n',
+             name(3): b"DDATETIME,GRIDID,T", name(4): b"", name(5): b"DDATETIME,GRIDID,T\n2024-01-01 00:00:00,1,\xff\xfe\n"}
+    for n, content in files.items():
+        with open(f"{local}/{n}", "wb") as f:
+            f.write(content)
+    rows = sorted((r["page"], r["row_ord"], r["GRIDID"], r["T"], r["ts"] is None) for r in pages.read_pages(spark, root).collect())
+    assert rows == [(1, 0, 0, 1.5, False), (1, 1, 2, 2.5, False), (2, 0, None, 7.0, False), (2, 1, 1, None, True)]
+    report = {int(r["file_name"][4]): tuple(r)[1:] for r in pages.file_report(spark, root).collect()}
+    assert report == {1: ("read", 2, 1, 0), 2: ("read", 2, 0, 1), 3: ("read", 0, 0, 0), 5: ("unreadable", 0, 0, 0)}
 
 
 def test_tensor_writer_refuses_misaligned_days(spark):
@@ -146,3 +165,23 @@ def test_tensor_reader_requires_a_valid_file(spark):
         f.write(b"\x00" * 8)
     with pytest.raises(ValueError):
         tensorfiles.read_tensor_days(spark, root, 3, 2, 2, require_any=True)
+
+
+def test_series_slots_and_public_descriptors(spark):
+    from gridloom.sources import catalog as cat
+
+    def series(name, minutes, nodes=1):
+        start = dt.datetime(2024, 1, 1)
+        return [(name, k, start + dt.timedelta(minutes=m), n, 0, 1.0) for k, m in enumerate(minutes) for n in range(nodes)]
+
+    rows = series("whole", [0, 60, 120]) + series("off", [0, 30, 120]) + series("gap", [0, 60, 180]) + series("short", [0, 60], 2)[:3]
+    long = spark.createDataFrame(rows, "dataset string, step bigint, ts timestamp_ntz, node bigint, channel bigint, value double")
+    untimed = spark.createDataFrame([("steps", k, None, 0, 0, 1.0) for k in (0, 1, 3)], long.schema)
+    names = [("whole", 1), ("off", 1), ("gap", 1), ("short", 2), ("steps", 1), ("none", 1)]
+    got = {r["name"]: r for r in cat.validate(long.unionByName(untimed), [cat.Descriptor(n, "node_frame", 60, k, 1) for n, k in names]).collect()}
+    assert {n: r["status"] for n, r in got.items()} == {"whole": "ok", "off": "irregular", "gap": "irregular", "short": "mismatch",
+                                                        "steps": "irregular", "none": "absent"}
+    assert (got["off"]["off_slot"], got["off"]["span_steps"], got["gap"]["off_slot"], got["gap"]["span_steps"]) == (1, 3, 0, 4)
+    assert len(cat.PUBLIC_SERIES) == 15 and cat.descriptor("weather").channels == 21
+    with pytest.raises(ValueError):
+        cat.descriptor("unknown")
