@@ -1,12 +1,15 @@
-"""INT-4 on grids past one task: the kernel matrix inverted in tiles, fills from rows of the inverse.
+"""INT-4 on grids past one task: the kernel matrix inverted panel by panel, fills from rows of the inverse.
 
 All timestamps share the grid, so the kernel ``A = phi(|x_i - x_j|) - smooth I`` over all G nodes is
-inverted once, in tiles of ``block`` x ``block`` that tasks update by block Gauss-Jordan steps: per
-step one pivot tile is inverted, the pivot row scaled, and every other tile gets one product
-of two tiles.  A task holds three tiles whatever G is.  Newton steps, products of tiles as well,
-then take out the rounding errors of the elimination.  No pivoting is needed: the multiquadric
+inverted once.  The matrix lies in the shared folder as row panels of ``block`` rows, one file each.
+Block Gauss-Jordan takes one step per panel: a task inverts the pivot block and scales its panel,
+then every other panel is updated by a task of its own, from its file and the pivot panel, into
+the next version.  Newton steps ``B + (I - B A) B`` take out the rounding errors of the
+elimination, again panel by panel, with ``A`` made from the coordinates where it is needed.  A task
+holds a few panels, block x G numbers, never the matrix; a file appears whole or not at all, so a
+task that fails is run again from the version before.  No pivoting is needed: the multiquadric
 matrix of distinct points less a positive shift has one positive and otherwise negative eigenvalues, in
-every principal part, so no pivot tile is singular.
+every principal part, so no pivot block is singular.
 
 With ``B`` the inverse, known nodes K and missing nodes U, the interpolant through the known values
 has at U the values ``-B_UU^-1 B_UK y_K`` (the block form of ``A_UK A_KK^-1 y_K``).  A timestamp
@@ -17,14 +20,14 @@ from __future__ import annotations
 
 import uuid
 from collections import OrderedDict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridloom.operators.interp import guarded, split_by_need
@@ -35,8 +38,7 @@ from gridloom.sources.storage import filesystem, qualified
 
 #: bytes of inverse rows that a worker keeps
 CACHED_BYTES = 256 << 20
-_TILE = "i int, j int, tile binary"
-#: largest entry of ``I - A B`` that is good enough, and Newton steps at most
+#: largest entry of ``I - B A`` that is good enough, and Newton steps at most
 RESIDUAL, _ROUNDS = 1e-8, 6
 
 
@@ -56,164 +58,137 @@ def _multiquadric(a: np.ndarray, b: np.ndarray, epsilon: float) -> np.ndarray:
     return np.sqrt(np.maximum(r2, 0.0) / (epsilon * epsilon) + 1.0)
 
 
-def _map_tiles(compute):
-    """Arrow function that turns rows (i, j, ...) into tiles; ``compute`` takes one row as a dict."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for k in range(batch.num_rows):  # one row holds whole tiles
-                row = batch.slice(k, 1).to_pylist()[0]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([row["i"]], pa.int32()), pa.array([row["j"]], pa.int32()), pa.array([compute(row).tobytes()], pa.binary())],
-                    ["i", "j", "tile"])
-    return run
-
-
-def _invert(tiles: DataFrame, size: int, block: int) -> DataFrame:
-    n = -(-size // block)
-    width = lambda k: min(block, size - k * block)
-    read = lambda blob, i, j: np.frombuffer(blob, np.float64).reshape(width(i), width(j))
-    for k in range(n):
-        pivot = tiles.filter((F.col("i") == k) & (F.col("j") == k)).mapInArrow(
-            _map_tiles(lambda r: np.linalg.inv(read(r["tile"], r["i"], r["j"]))), _TILE).select("i", F.col("tile").alias("pivot"))
-        scaled = tiles.filter(F.col("i") == k).join(F.broadcast(pivot), "i").mapInArrow(  # one tile
-            _map_tiles(lambda r, k=k: read(r["pivot"], k, k) if r["j"] == k else read(r["pivot"], k, k) @ read(r["tile"], k, r["j"])), _TILE)
-        scaled = cut_lineage(scaled)
-        column = tiles.filter((F.col("j") == k) & (F.col("i") != k)).select("i", F.col("tile").alias("left"))
-        rest = tiles.filter(F.col("i") != k).join(column, "i").join(scaled.select("j", F.col("tile").alias("right")), "j").mapInArrow(
-            _map_tiles(lambda r, k=k: (0.0 if r["j"] == k else read(r["tile"], r["i"], r["j"]))
-                       - read(r["left"], r["i"], k) @ read(r["right"], k, r["j"])), _TILE)
-        tiles = cut_lineage(rest.unionByName(scaled))
-    return tiles
-
-
-def _sum_tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sum of the tiles of each (i, j), rows sorted by them; one tile is held."""
-    def out(key: tuple, total: np.ndarray) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array([key[0]], pa.int32()), pa.array([key[1]], pa.int32()), pa.array([total.tobytes()], pa.binary())],
-                                          ["i", "j", "tile"])
-    at, total = None, None
-    for batch in batches:
-        for i, j, tile in zip(batch.column("i").to_pylist(), batch.column("j").to_pylist(), batch.column("tile")):
-            part = np.frombuffer(tile.as_py(), np.float64)
-            if (i, j) != at:
-                if at is not None:
-                    yield out(at, total)
-                at, total = (i, j), part.copy()
-            else:
-                total += part
-    if at is not None:
-        yield out(at, total)
+class _Panels:
+    """Row panels of one version of a matrix in a folder; ``points`` are the scaled coordinates of its nodes."""
 
+    def __init__(self, folder: str, size: int, block: int):
+        self.fs, self.root = filesystem(folder)
+        self.size, self.block = size, block
 
-def _product(left: DataFrame, right: DataFrame, size: int, block: int) -> DataFrame:
-    """Tiles of the matrix product; a task multiplies two tiles, sums run over sorted partial products."""
-    width = lambda k: min(block, size - k * block)
-    a = left.select("i", F.col("j").alias("k"), F.col("tile").alias("left"))
-    b = right.select(F.col("i").alias("k"), "j", F.col("tile").alias("right"))
+    def span(self, k: int) -> slice:
+        return slice(k * self.block, min(self.size, (k + 1) * self.block))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for n in range(batch.num_rows):
-                r = batch.slice(n, 1).to_pylist()[0]
-                x = np.frombuffer(r["left"], np.float64).reshape(width(r["i"]), width(r["k"]))
-                y = np.frombuffer(r["right"], np.float64).reshape(width(r["k"]), width(r["j"]))
-                yield pa.RecordBatch.from_arrays([pa.array([r["i"]], pa.int32()), pa.array([r["j"]], pa.int32()), pa.array([r["k"]], pa.int32()),
-                                                  pa.array([(x @ y).tobytes()], pa.binary())], ["i", "j", "k", "tile"])
+    def read(self, version: str, k: int) -> np.ndarray:
+        with self.fs.open_input_file(f"{self.root}/{version}/{k}.f64") as f:
+            return np.frombuffer(f.read(), np.float64).reshape(-1, self.size)
 
-    parts = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    products = a.join(b, "k").select("i", "j", "k", "left", "right").mapInArrow(run, "i int, j int, k int, tile binary")
-    return products.repartition(parts, "i", "j").sortWithinPartitions("i", "j", "k").select("i", "j", "tile").mapInArrow(_sum_tiles, _TILE)
+    def write(self, version: str, k: int, panel: np.ndarray) -> None:
+        self.fs.create_dir(f"{self.root}/{version}", recursive=True)
+        pending = f"{self.root}/{version}/{k}.{uuid.uuid4().hex}"
+        with self.fs.open_output_stream(pending) as out:
+            out.write(np.ascontiguousarray(panel).tobytes())
+        self.fs.move(pending, f"{self.root}/{version}/{k}.f64")
 
+    def points(self) -> np.ndarray:
+        with self.fs.open_input_file(f"{self.root}/points.f64") as f:
+            return np.frombuffer(f.read(), np.float64).reshape(-1, 2)
 
-def _refine(matrix: DataFrame, inverse: DataFrame, size: int, block: int) -> DataFrame:
-    """Newton steps ``B + B (I - A B)`` until the largest residual is at ``RESIDUAL`` or stops falling.
 
-    Elimination loses about the square root of the condition number; each step squares what is left of the error.
-    """
-    width = lambda k: min(block, size - k * block)
+def _kernel(points: np.ndarray, rows: slice, epsilon: float, smooth: float) -> np.ndarray:
+    """Rows of the kernel matrix."""
+    a = _multiquadric(points[rows], points, epsilon)
+    k = np.arange(rows.start, rows.stop)
+    a[k - rows.start, k] = 1.0 - smooth  # exact, where the squared distance may be off by rounding
+    return a
 
-    def defect(r: dict) -> np.ndarray:
-        tile = -np.frombuffer(r["tile"], np.float64).reshape(width(r["i"]), width(r["j"]))
-        if r["i"] == r["j"]:
-            tile[np.diag_indices(len(tile))] += 1.0
-        return tile
 
-    def largest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _each(spark: SparkSession, panels: list[int], work: Callable[[int], float]) -> float:
+    """``work`` for every panel, one task each; the largest of the numbers it gives."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            top = max((float(np.abs(np.frombuffer(t.as_py(), np.float64)).max()) for t in batch.column("tile")), default=0.0)
-            yield pa.RecordBatch.from_arrays([pa.array([top])], ["top"])
+            for k in batch.column("panel").to_pylist():
+                yield pa.RecordBatch.from_arrays([pa.array([float(work(k))])], ["top"])
 
-    last = np.inf
-    for _ in range(_ROUNDS):
-        residual = cut_lineage(_product(matrix, inverse, size, block).mapInArrow(_map_tiles(defect), _TILE))
-        top = residual.select("tile").mapInArrow(largest, "top double").agg(F.max("top")).first()[0]  # one number
-        if top <= RESIDUAL or top >= last:
-            break
-        last = top
-        step = _product(inverse, residual, size, block)
-        both = inverse.select("i", "j", "tile").unionByName(step)
-        parts = int(matrix.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        inverse = cut_lineage(both.repartition(parts, "i", "j").sortWithinPartitions("i", "j").mapInArrow(_sum_tiles, _TILE))
-    return inverse
+    if not panels:
+        return 0.0
+    todo = spark.createDataFrame([(k,) for k in panels], "panel long").repartition(len(panels), "panel")
+    return todo.mapInArrow(run, "top double").agg(F.max("top")).first()[0]
 
 
-def _write_panels(folder: str, size: int, block: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fs, root = filesystem(folder)
-        fs.create_dir(root, recursive=True)
-        panel, at = None, None
-
-        def close() -> None:
-            pending = f"{root}/{at}.{uuid.uuid4().hex}"
-            with fs.open_output_stream(pending) as out:
-                out.write(panel.tobytes())
-            fs.move(pending, f"{root}/{at}.f64")
+def _invert(spark: SparkSession, folder: str, size: int, block: int, epsilon: float, smooth: float) -> str:
+    """The inverse's version: elimination over all panels, then Newton steps."""
+    n = -(-size // block)
 
-        done = []
-        for batch in batches:
-            for i, j, tile in zip(batch.column("i").to_pylist(), batch.column("j").to_pylist(), batch.column("tile")):
-                if i != at:
-                    if panel is not None:
-                        close()
-                    panel, at = np.empty((min(block, size - i * block), size)), i
-                    done.append(i)
-                part = np.frombuffer(tile.as_py(), np.float64).reshape(len(panel), -1)
-                panel[:, j * block:j * block + part.shape[1]] = part
-        if panel is not None:
-            close()
-        yield pa.RecordBatch.from_arrays([pa.array(done, pa.int32())], ["i"])
-    return run
+    def start(k: int) -> float:
+        p = _Panels(folder, size, block)
+        p.write("0", k, _kernel(p.points(), p.span(k), epsilon, smooth))
+        return 0.0
+
+    _each(spark, list(range(n)), start)
+    for step in range(n):
+        def pivot(k: int) -> float:
+            p = _Panels(folder, size, block)
+            panel = p.read(str(k), k)
+            inverse = np.linalg.inv(panel[:, p.span(k)])
+            scaled = inverse @ panel
+            scaled[:, p.span(k)] = inverse
+            p.write(str(k + 1), k, scaled)
+            return 0.0
+
+        def update(k: int, step: int = step) -> float:
+            p = _Panels(folder, size, block)
+            panel, row, at = p.read(str(step), k).copy(), p.read(str(step + 1), step), p.span(step)
+            left = panel[:, at].copy()
+            panel[:, at] = 0.0
+            p.write(str(step + 1), k, panel - left @ row)
+            return 0.0
+
+        _each(spark, [step], pivot)
+        _each(spark, [k for k in range(n) if k != step], update)
+
+    version, last = str(n), np.inf
+    for _ in range(_ROUNDS):
+        def refine(k: int, version: str = version) -> float:
+            p = _Panels(folder, size, block)
+            points, own = p.points(), p.read(version, k)
+            defect = np.zeros_like(own)
+            for j in range(n):  # columns j of A are its rows j, turned
+                defect[:, p.span(j)] = -(own @ _kernel(points, p.span(j), epsilon, smooth).T)
+            rows = np.arange(p.span(k).start, p.span(k).stop)
+            defect[rows - rows[0], rows] += 1.0
+            better = own.copy()
+            for j in range(n):
+                better += defect[:, p.span(j)] @ p.read(version, j)
+            p.write(f"{version}r", k, better)
+            return np.abs(defect).max()
+
+        top = _each(spark, list(range(n)), refine)
+        if top >= last:
+            break  # the version before is as good as it gets
+        version, last = f"{version}r", top
+        if top <= RESIDUAL:
+            break
+    return version
 
 
 def kernel_inverse(grid: DataFrame, node: str = "grid_id", lon: str = "lon_center", lat: str = "lat_center",
-                   epsilon: float = 2.0, smooth: float = 1e-6, block: int = 512) -> KernelInverse:
-    """Invert the kernel of a grid (one row per node); coordinates are z-scored over the nodes as in the dense form."""
+                   epsilon: float = 2.0, smooth: float = 1e-6, block: int = 256) -> KernelInverse:
+    """Invert the kernel of a grid (one row per node); coordinates are z-scored over the nodes as in the dense form.
+
+    The coordinates of all nodes, 16 bytes each, are one small file that every task reads.
+    """
     spark = grid.sparkSession
     n, mx, my, sx, sy = grid.agg(F.count(F.lit(1)), F.avg(lon), F.avg(lat), F.stddev_pop(lon), F.stddev_pop(lat)).first()  # five numbers
     nodes = cut_lineage(prefix_sums(grid.select(F.col(node).alias("node"), F.col(lon).alias("x"), F.col(lat).alias("y"),
                                                 F.lit(1).alias("one")), ["node"], "one", "row"))
     scaled = nodes.select("row", ((F.col("x") - mx) / (sx or 1.0)).alias("x"), ((F.col("y") - my) / (sy or 1.0)).alias("y"))
-    blocks = scaled.groupBy(F.floor(F.col("row") / block).cast("int").alias("i")).agg(
-        F.array_sort(F.collect_list(F.struct("row", "x", "y"))).alias("points"))
-    tiles = -(-n // block)
-    other = blocks.select(F.col("i").alias("j"), F.col("points").alias("others"))
-    pairs = blocks.withColumn("j", F.explode(F.sequence(F.lit(0), F.lit(tiles - 1)))).join(other, "j")
-
-    def fresh(r: dict) -> np.ndarray:
-        a, b = (np.array([(p["x"], p["y"]) for p in r[c]]) for c in ("points", "others"))
-        tile = _multiquadric(a, b, epsilon)
-        if r["i"] == r["j"]:
-            tile[np.diag_indices(len(a))] = 1.0 - smooth  # exact, where the squared distance may be off by rounding
-        return tile
-
-    matrix = cut_lineage(pairs.mapInArrow(_map_tiles(fresh), _TILE))
-    inverse = _refine(matrix, _invert(matrix, n, block), n, block)
     folder = qualified(spark, scratch_path(spark, "kernel"))
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    written = inverse.repartition(parts, "i").sortWithinPartitions("i", "j").mapInArrow(_write_panels(folder, n, block), "i int")
-    if written.count() != tiles:
-        raise OSError(f"{folder}: not all of {tiles} row panels were written")
-    return KernelInverse(folder, n, block, nodes.select(F.col("node").alias(node), F.col("row").alias("__row")), node)
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        points = np.empty((n, 2))
+        for batch in batches:
+            points[batch.column("row").to_numpy()] = np.column_stack([batch.column(c).to_numpy(zero_copy_only=False) for c in ("x", "y")])
+        fs, root = filesystem(folder)
+        fs.create_dir(root, recursive=True)
+        pending = f"{root}/points.{uuid.uuid4().hex}"
+        with fs.open_output_stream(pending) as out:
+            out.write(points.tobytes())
+        fs.move(pending, f"{root}/points.f64")
+        yield pa.RecordBatch.from_arrays([pa.array([len(points)], pa.int64())], ["n"])
+
+    scaled.coalesce(1).mapInArrow(place, "n long").first()
+    version = _invert(spark, folder, n, block, epsilon, smooth)
+    return KernelInverse(f"{folder}/{version}", n, block, nodes.select(F.col("node").alias(node), F.col("row").alias("__row")), node)
 
 
 class _Rows:

@@ -34,7 +34,7 @@ def test_tiled_inverse_fills_like_the_dense_solve(spark, n, block):
     b = kernel._Rows(inverse.folder, n, block).take(np.arange(n))
     xy = interp.zscore(np.array([r[1:] for r in rows]))
     a = np.sqrt(((xy[:, None] - xy[None]) ** 2).sum(-1) / 4 + 1) - 1e-6 * np.eye(n)
-    assert np.abs(a @ b - np.eye(n)).max() < 1e-6
+    assert np.abs(b @ a - np.eye(n)).max() < 1e-6
 
 
 def test_tiled_pass_equals_dense_pass_and_reports_bad_times(spark):
