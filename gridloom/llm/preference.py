@@ -78,18 +78,39 @@ def format_pairs(turns: DataFrame) -> DataFrame:
                            text_of("rejected").alias("rejected"), mask_of("rejected").alias("rejected_mask"))
 
 
-def neighbour_pairs(conversations: DataFrame) -> DataFrame:
-    """Pairs of a table without preferences: conversation 2k is the chosen and 2k + 1 the rejected one of pair k."""
-    conv = F.col("conv_id").cast("long")
-    return conversations.where(conv.isNotNull()).select(
-        F.floor(conv / 2).cast("long").alias("pair_id"), (F.pmod(conv, F.lit(2)) == 0).alias("chosen"), "turn", "role", "text")
+def branched_pairs(conversations: DataFrame) -> DataFrame:
+    """The query's input, pairs of a table without preferences: one per conversation.
+
+    Chosen is the conversation.  Rejected are its turns before one of its assistant turns, picked by a hash, and then the
+    first answer of the conversation next to it (2k and 2k + 1) as that turn; without an assistant turn it is empty,
+    without an answer it ends there.  Rows without a conversation id belong to no pair.
+    """
+    turns = conversations.select(F.col("conv_id").cast("long").alias("pair_id"), F.col("turn").cast("long").alias("turn"),
+                                 F.col("role").cast("string").alias("role"), F.col("text").cast("string").alias("text")).where("pair_id is not null")
+    said = turns.where(F.col("role") == TRAINED_ROLE)
+    hashed = F.md5(F.concat_ws(":", F.col("pair_id").cast("string"), F.col("turn").cast("string")))
+    cuts = said.where("turn is not null").groupBy("pair_id").agg(F.min_by("turn", hashed).alias("cut"))
+    answers = said.groupBy("pair_id").agg(F.min(F.struct("turn", "text")).alias("first"))
+    answers = answers.select((F.col("pair_id") + 1 - 2 * F.pmod("pair_id", F.lit(2))).alias("pair_id"), F.col("first.text").alias("text"))
+    before = turns.join(cuts, "pair_id").where("turn is null or turn < cut").drop("cut")
+    answer = cuts.join(answers, "pair_id").select("pair_id", F.col("cut").alias("turn"), F.lit(TRAINED_ROLE).alias("role"), "text")
+    return (turns.withColumn("chosen", F.lit(True))
+            .unionByName(before.unionByName(answer).withColumn("chosen", F.lit(False))).select("pair_id", "chosen", "turn", "role", "text"))
 
 
 ORACLE_SQL = """
-WITH t AS (
-  SELECT CAST(floor(conv_id / 2) AS BIGINT) AS pair_id, ((conv_id % 2) + 2) % 2 = 0 AS chosen, turn, role, text,
-         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) AS pos
-  FROM conversations WHERE conv_id IS NOT NULL),
+WITH c AS (SELECT conv_id AS pair_id, turn, role, text FROM conversations WHERE conv_id IS NOT NULL),
+cut AS (
+  SELECT pair_id, arg_min(turn, md5(pair_id || ':' || turn)) AS cut FROM c WHERE role = 'assistant' AND turn IS NOT NULL GROUP BY pair_id),
+answer AS (
+  SELECT CASE WHEN pair_id % 2 = 0 THEN pair_id + 1 ELSE pair_id - 1 END AS pair_id, text FROM (
+    SELECT *, row_number() OVER (PARTITION BY pair_id ORDER BY turn NULLS FIRST, text NULLS FIRST) AS n FROM c WHERE role = 'assistant') WHERE n = 1),
+sides AS (
+  SELECT pair_id, true AS chosen, turn, role, text FROM c
+  UNION ALL SELECT c.pair_id, false, turn, role, text FROM c JOIN cut ON cut.pair_id = c.pair_id WHERE turn IS NULL OR turn < cut
+  UNION ALL SELECT cut.pair_id, false, cut, 'assistant', text FROM cut JOIN answer ON answer.pair_id = cut.pair_id),
+t AS (
+  SELECT *, row_number() OVER (PARTITION BY pair_id, chosen ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) AS pos FROM sides),
 same AS (
   SELECT pair_id, pos, count(*) = 2 AND min(role) IS NOT DISTINCT FROM max(role) AND min(text) IS NOT DISTINCT FROM max(text)
          AND count(role) IN (0, 2) AND count(text) IN (0, 2) AS same FROM t GROUP BY pair_id, pos),

@@ -44,8 +44,8 @@ def op5_embedding_dedup(spark: SparkSession, d: str) -> DataFrame:
 
 
 def op6_preference(spark: SparkSession, d: str) -> DataFrame:
-    """Operator 6: prompt and masked completions of every pair of neighbouring conversations."""
-    return preference.format_pairs(preference.neighbour_pairs(read_table(spark, d, "conversations")))
+    """Operator 6: prompt and masked completions of every conversation against a branch of it with another answer."""
+    return preference.format_pairs(preference.branched_pairs(read_table(spark, d, "conversations")))
 
 
 def op7_packing(spark: SparkSession, d: str) -> DataFrame:

@@ -133,13 +133,19 @@ def links(reps: DataFrame, radius: int = RADIUS) -> DataFrame:
 
 
 def dedup(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
-    """(doc_id, fingerprint, component_id): one row per input row."""
+    """(doc_id, fingerprint, component_id): one row per input row.
+
+    Components link fingerprints, not ids, so fingerprints whose rows all lack an id link and bridge like any other;
+    a component without an id has the component_id null.
+    """
     marked = stored(fingerprints(docs, shingle), "fingerprints")
-    reps = stored(marked.groupBy("fp").agg(F.min("doc_id").alias("rep")), "reps")
-    classes = components(links(reps, radius), "a", "b")
-    of_fp = stored(reps.join(classes, reps["rep"] == classes["node"], "left")
-                   .select("fp", F.coalesce("component", "rep").alias("component_id")), "fp-classes")
-    return marked.join(of_fp, "fp").select(
+    reps = stored(marked.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "reps")
+    classes = components(links(reps.select("fp", F.col("fp").alias("rep")), radius), "a", "b")
+    of_fp = stored(reps.join(classes, reps["fp"] == classes["node"], "left")
+                   .select("fp", "first_id", F.coalesce("component", "fp").alias("component")), "fp-classes")
+    ids = of_fp.groupBy("component").agg(F.min("first_id").alias("component_id"))
+    named = stored(of_fp.select("fp", "component").join(ids, "component").select("fp", "component_id"), "fp-ids")
+    return marked.join(named, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
@@ -158,5 +164,8 @@ def keep_first(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) ->
     keep = stored(firsts.join(classes, firsts["fp"] == classes["node"], "left")
                   .groupBy(F.coalesce("component", "fp").alias("component")).agg(F.min("first").alias("first"))
                   .select(F.col("first.copy_key").alias("_copy_key")), "kept")
-    once = docs.withColumn("_copy_key", key).dropDuplicates(["_copy_key"])  # combined per task: copies never meet in one
-    return once.join(keep, "_copy_key", "left_semi").select(*docs.columns)
+    name = "_copy_key"
+    while name in docs.columns:
+        name = f"_{name}"
+    once = docs.withColumn(name, key).dropDuplicates([name])  # combined per task: copies never meet in one
+    return once.join(keep.withColumnRenamed("_copy_key", name), name, "left_semi").select(*docs.columns)

@@ -74,6 +74,22 @@ def test_one_row_a_component_with_repeated_and_null_ids(spark):
     assert kept[0][1] == base[0] and kept[1][1] in (base[1], near[1]) and kept[3][1] in (base[2], near[2])
 
 
+def test_fingerprints_without_ids_link_and_bridge(spark):
+    """Distances 3 and 3 over a text that no named row has; the ends are 6 apart."""
+    fps = spark.createDataFrame([(5, 0b000000), (None, 0b000111), (9, 0b111111), (None, 1 << 40), (None, (1 << 40) | 1)], "doc_id long, fp long")
+    reps = fps.groupBy("fp").agg({"doc_id": "min"}).selectExpr("fp", "fp AS rep")
+    classes = {r.node: r.component for r in components(simhash.links(reps, 4), "a", "b").collect()}
+    assert classes[0] == classes[7] == classes[63] and classes[1 << 40] == classes[(1 << 40) | 1]
+    rng = np.random.default_rng(3)
+    base = " ".join(rng.choice(list("abcdefghij"), (400, 5)).view("<U5").ravel().tolist())
+    assert (slow_fingerprint(base) ^ slow_fingerprint(base + " end")).bit_count() <= 4
+    docs = spark.createDataFrame([(5, base), (None, base + " end"), (None, "some other words that stand alone here")], "doc_id long, text string")
+    got = sorted(((r.doc_id, r.component_id) for r in simhash.dedup(docs).collect()), key=str)
+    assert got == [(5, 5), (None, 5), (None, None)]
+    named = docs.selectExpr("doc_id", "text", "1 AS _copy_key")
+    assert [r._copy_key for r in simhash.keep_first(named).collect()] == [1, 1]
+
+
 def rows_names(schema):
     return {c.split()[0]: 0 for c in schema.split(", ")}.keys()
 

@@ -163,6 +163,35 @@ def test_piecewise_tokens_equal_whole_text(name):
 
 # ------------------------------------------------------------------ preference
 
+def _pairs(conv):
+    """Conversation 2k as the chosen and 2k + 1 as the rejected side of pair k."""
+    return conv.where("conv_id is not null").selectExpr("conv_id div 2 AS pair_id", "conv_id % 2 = 0 AS chosen", "turn", "role", "text", "pos")
+
+
+def test_branched_pairs_share_a_prefix(spark):
+    rows = [(0, 0, "user", "a"), (0, 1, "assistant", "b"), (0, 2, "user", "c"), (0, 3, "assistant", "d"), (1, 0, "user", "e"),
+            (1, None, "assistant", "f"), (1, 1, "assistant", "g"), (2, 0, "assistant", "h"), (4, 0, "user", "i"), (None, 0, "user", "j")]
+    conv = spark.createDataFrame(rows, "conv_id long, turn int, role string, text string")
+    got = {}
+    for r in preference.branched_pairs(conv).collect():
+        got.setdefault((r.pair_id, r.chosen), []).append((r.turn, r.role, r.text))
+    order = lambda t: (t[0] is not None, t[0] or 0, t[2])
+    got = {k: sorted(v, key=order) for k, v in got.items()}
+    assert got[(0, True)] == [(t, r, x) for c, t, r, x in rows if c == 0]
+    cut = got[(0, False)][-1][0]
+    assert cut in (1, 3) and got[(0, False)] == [r for r in got[(0, True)] if r[0] < cut] + [(cut, "assistant", "f")]
+    assert got[(1, False)] == [(None, "assistant", "f"), (0, "user", "e"), (1, "assistant", "b")]
+    assert (2, False) not in got and (4, False) not in got and {k[0] for k in got} == {0, 1, 2, 4}
+    out = {r.pair_id: r.n_prompt_turns for r in preference.format_pairs(preference.branched_pairs(conv)).collect()}
+    assert out == {0: cut, 1: 2, 2: 0, 4: 0}
+
+
+def test_prefixes_of_several_lengths(spark):
+    from gridloom.llm.queries import QUERIES
+    lengths = {r.n_prompt_turns for r in QUERIES["op6_preference"](spark, SMOKE).collect()}
+    assert len(lengths) >= 3
+
+
 def test_preference_prefix_and_masks(spark):
     a = [("system", "s"), ("user", "hi"), ("assistant", "one"), ("user", "go"), ("assistant", "x")]
     b = [("system", "s"), ("user", "hi"), ("assistant", "two")]
@@ -170,7 +199,7 @@ def test_preference_prefix_and_masks(spark):
     rows += [(2, 0, "user", None, "x"), (3, 0, "user", None, "x"), (3, 1, None, "", "x"), (5, 0, "user", "alone", "x"), (None, 0, "user", "lost", "x")]
     rows += [(6, 0, "user", "same", "x"), (7, 0, "user", "same", "x")]
     conv = spark.createDataFrame(rows, "conv_id long, turn int, role string, text string, pos string")
-    got = {r.pair_id: r for r in preference.format_pairs(preference.neighbour_pairs(conv)).collect()}
+    got = {r.pair_id: r for r in preference.format_pairs(_pairs(conv)).collect()}
     assert sorted(got) == [0, 1, 2, 3]
     r = got[0]
     assert r.n_prompt_turns == 2 and r.prompt == "<|system|>\ns<|end|>\n<|user|>\nhi<|end|>\n"
@@ -179,4 +208,4 @@ def test_preference_prefix_and_masks(spark):
     assert got[1].n_prompt_turns == 1 and got[1].chosen == "" and got[1].rejected == "<|none|>\n<|end|>\n"
     assert (got[2].prompt, got[2].chosen, got[2].chosen_mask, got[2].rejected) == ("", "", "", "<|user|>\nalone<|end|>\n")
     assert got[3].chosen == got[3].rejected == "" and got[3].n_prompt_turns == 1
-    assert preference.format_pairs(preference.neighbour_pairs(conv.limit(0))).count() == 0
+    assert preference.format_pairs(_pairs(conv.limit(0))).count() == 0
