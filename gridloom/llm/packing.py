@@ -6,11 +6,14 @@ the size of the input) and its answer is a list of patterns "these lengths, m ti
 then gives each piece its rank among the pieces of its length and looks its place up.  The
 whole corpus is packed at once, not partition by partition.
 
-Search: the largest remaining length opens a bin; the undominated fillings of the rest of that
-bin are enumerated (a filling is dominated when its items fit into another's items) and
-applied to as many bins as their counts allow; branches whose waste exceeds what a better
-solution may waste are pruned; best-fit decreasing gives the first incumbent, and the search
-ends at the volume bound or after ``nodes`` expansions (search effort only: every piece is packed).
+Search: the largest remaining length opens a bin; the fillings of the rest of that bin are
+enumerated lazily, a few of least waste first and then every maximal one, those dominated by an
+earlier one left out (a filling is dominated when its items fit into another's items; tested up to
+six items, beyond that a dominated filling only costs effort).  A filling is applied to as many
+bins as its counts allow, and after all others to a single one.  Branches whose waste exceeds what
+a better solution may waste are pruned; best-fit decreasing gives the first incumbent.  The search
+ends with a proof, at the lower bound or when all is tried, or without one after ``nodes``
+expansions and ``VISITS`` enumeration steps a node (search effort only: every piece is packed).
 
 Nulls, ties and odd input: a null or empty text is its end token alone; repeated rows and ids
 are packed each for themselves; a longer document is cut into ``capacity`` pieces, the rest
@@ -32,7 +35,8 @@ from gridloom.llm.tokens import encode
 
 CAPACITY, END_ID, VOCABULARY = 4096, 1, "word_bpe_49k.json"
 NODES = 20_000
-_FILLINGS = 6  # fillings branched on per bin
+VISITS = 50
+_FILLINGS = 6  # fillings looked for before all others
 
 
 # ---------------------------------------------------------------- search on the histogram
@@ -79,7 +83,7 @@ def _greedy(counts: np.ndarray, upto: np.ndarray, used: tuple[int, ...], room: i
 
 
 def fillings(counts: np.ndarray, room: int, limit: int = _FILLINGS) -> list[tuple[int, ...]]:
-    """Undominated fillings of ``room``, least waste first, larger items first among equals."""
+    """Some undominated fillings of ``room``, least waste first, larger items first among equals."""
     upto = _largest_up_to(counts)
     if room <= 0 or not upto[room]:
         return [()]
@@ -111,6 +115,55 @@ def fillings(counts: np.ndarray, room: int, limit: int = _FILLINGS) -> list[tupl
     return kept[:limit]
 
 
+def maximal_fillings(counts: np.ndarray, room: int, budget: list[int]) -> Iterator[tuple[int, ...]]:
+    """Every filling of ``room`` that no further item fits into, largest items first; ``budget`` is used up step by step."""
+    lengths = [int(x) for x in np.flatnonzero(counts[:room + 1])[::-1]]
+    left = {x: int(counts[x]) for x in lengths}
+    stack: list[tuple[int, int, int]] = [(0, room, 0)]  # next length to try, room, items taken before it
+    items: list[int] = []
+    while stack and budget[0] > 0:
+        budget[0] -= 1
+        at, space, taken = stack.pop()
+        while len(items) > taken:
+            left[items.pop()] += 1
+        while at < len(lengths) and (lengths[at] > space or not left[lengths[at]]):
+            at += 1
+        if at == len(lengths):
+            if not any(left[x] and x <= space for x in lengths):
+                yield tuple(items)
+            continue
+        stack.append((at + 1, space, taken))  # later: without another of this length
+        items.append(lengths[at])
+        left[lengths[at]] -= 1
+        stack.append((at, space - lengths[at], taken + 1))
+
+
+def options(counts: np.ndarray, room: int, budget: list[int]) -> Iterator[tuple[int, ...]]:
+    """All undominated fillings of ``room``, the promising ones first."""
+    first = fillings(counts, room)
+    yield from first
+    if first == [()] or first == [(room,)]:
+        return  # nothing fits, or one item fills it: no other filling is undominated
+    for f in maximal_fillings(counts.copy(), room, budget):
+        if f not in first and not any(_dominated(f, g) for g in first):
+            yield f
+
+
+def lower_bound(counts: np.ndarray, capacity: int) -> int:
+    """No solution has fewer bins: the volume, or bins that large items need for themselves and for what they can't take."""
+    lengths = np.arange(len(counts))
+    n, volume = np.cumsum(counts), np.cumsum(counts * lengths)
+    bound = -(-int(volume[-1]) // capacity)
+    half = capacity // 2
+    for a in np.flatnonzero(counts[:half + 1]).tolist() + [0]:
+        # items over capacity - a share a bin with none of length a or more; items over half share with no other of them
+        alone, large = int(n[-1] - n[capacity - a]), int(n[capacity - a] - n[half])
+        space = large * capacity - int(volume[capacity - a] - volume[half])
+        small = int(volume[half] - (volume[a - 1] if a else 0))
+        bound = max(bound, alone + large + max(0, -(-(small - space) // capacity)))
+    return bound
+
+
 def _times(counts: np.ndarray, items: tuple[int, ...]) -> int:
     need: dict[int, int] = {}
     for x in items:
@@ -129,7 +182,7 @@ def solve(histogram: dict[int, int], capacity: int = CAPACITY, nodes: int = NODE
     for length, n in histogram.items():
         counts[length] = n
     volume = int((counts * np.arange(capacity + 1)).sum())
-    bound = -(-volume // capacity)
+    bound = lower_bound(counts, capacity)
 
     def largest() -> int:
         on = np.flatnonzero(counts)
@@ -148,44 +201,48 @@ def solve(histogram: dict[int, int], capacity: int = CAPACITY, nodes: int = NODE
     counts[:] = start
     path: list[tuple[int, tuple[int, ...], int]] = []  # pattern and the waste before it
     waste, steps = 0, 0
-    stack: list[list[tuple[int, ...]]] = []  # fillings not tried yet, per level
+    stack: list[Iterator[tuple[tuple[int, ...], int]]] = []  # patterns not tried yet, per level
+    budget = [VISITS * nodes]
 
-    def open_bin() -> list[tuple[int, ...]]:
-        big = largest()
-        if not big:
-            return []
+    def tries(big: int) -> Iterator[tuple[tuple[int, ...], int]]:
+        """(lengths, bins) of one bin; whenever it is resumed, ``counts`` are as they were when it was opened."""
         counts[big] -= 1
-        found = [(big, *f) for f in fillings(counts, capacity - big)]
+        rest = counts.copy()
         counts[big] += 1
-        return found[::-1]
+        again = []
+        for f in options(rest, capacity - big, budget):
+            m = _times(counts, (big, *f))
+            yield (big, *f), m
+            if m > 1:
+                again.append((big, *f))
+        for items in again:
+            yield items, 1
 
     if fewest > bound:
-        stack.append(open_bin())
+        stack.append(tries(largest()))
     while stack and steps < nodes and fewest > bound:
-        if not stack[-1]:
+        items, m = next(stack[-1], ((), 0))
+        if not m:
             stack.pop()
             if path:
-                m, items, waste = path.pop()
-                _take(counts, items, -m)
+                k, done, waste = path.pop()
+                _take(counts, done, -k)
             continue
-        items = stack[-1].pop()
         steps += 1
-        m = _times(counts, items)
         spoilt = waste + m * (capacity - sum(items))
         if spoilt > (fewest - 1) * capacity - volume:
             continue
         path.append((m, items, waste))
         _take(counts, items, m)
         waste = spoilt
-        below = open_bin()
-        if not below:
-            bins = sum(k for k, _, _ in path)
-            if bins < fewest:
-                fewest, best = bins, [(k, x) for k, x, _ in path]
-            m, items, waste = path.pop()
-            _take(counts, items, -m)
-        else:
-            stack.append(below)
+        if big := largest():
+            stack.append(tries(big))
+            continue
+        bins = sum(k for k, _, _ in path)
+        if bins < fewest:
+            fewest, best = bins, [(k, x) for k, x, _ in path]
+        m, items, waste = path.pop()
+        _take(counts, items, -m)
     return best
 
 

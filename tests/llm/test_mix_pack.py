@@ -1,6 +1,7 @@
 """Mixing, packing and preference formatting."""
 
 import collections
+import itertools
 import math
 import zlib
 
@@ -106,6 +107,34 @@ def test_fillings_are_undominated():
     assert sum(found[0]) == 40 and not any(packing._dominated(a, b) for a in found for b in found)
 
 
+def test_every_maximal_filling_is_enumerated():
+    rng = np.random.default_rng(9)
+    for _ in range(60):
+        items = rng.choice([8, 12, 20, 27, 30, 33, 41], 9).tolist()
+        counts = np.bincount(items, minlength=101).astype(np.int64)
+        want = set()
+        for r in range(len(items) + 1):
+            for some in itertools.combinations(sorted(items, reverse=True), r):
+                rest = collections.Counter(items) - collections.Counter(some)
+                if sum(some) <= 60 and all(x > 60 - sum(some) for x in rest.elements()):
+                    want.add(some)
+        found = list(packing.maximal_fillings(counts, 60, [10 ** 6]))
+        assert len(found) == len(set(found)) and set(found) == want
+        tried = list(packing.options(counts, 60, [10 ** 6]))
+        assert set(tried) <= want and all(f in tried or any(packing._dominated(f, g) for g in tried) for f in want)
+        assert len(list(packing.maximal_fillings(counts, 60, [3]))) <= 3
+
+
+def test_lower_bound_and_repeated_lengths():
+    rng = np.random.default_rng(5)
+    for _ in range(60):
+        items = rng.choice([20, 30, 35, 40, 45, 50, 55, 61], rng.integers(3, 11)).tolist()
+        best = fewest_bins(items, 100)
+        assert packing.lower_bound(np.bincount(items, minlength=101), 100) <= best
+        assert sum(m for m, _ in packing.solve(dict(collections.Counter(items)), 100)) == best
+    assert packing.lower_bound(np.bincount([51] * 7 + [10], minlength=101), 100) == 7
+
+
 def check_packed(rows, docs, cap, path, end=1):
     texts = {d: t for d, t in docs}
     per_doc, per_seq = collections.defaultdict(list), collections.defaultdict(list)
