@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from gridloom.functions import timeaxis as tx
+from gridloom.operators.scaffold import date_range_days, id_range
 
 
 def point_counts(obs: DataFrame, ts: str, grid: str, max_grid_id: int,
@@ -191,3 +192,27 @@ def day_status(df: DataFrame, ts: str, steps_per_day: int, grids: int) -> DataFr
         "date", F.col("rows").cast("bigint").alias("rows"), F.col("steps").cast("bigint").alias("steps"),
         F.when(reason.isNull(), F.lit("success")).otherwise(F.lit("error")).alias("status"),
         reason.alias("reason"))
+
+
+def missing_numbers(have: DataFrame, number: str, first: int = 1) -> DataFrame:
+    """JN-8: numbers ``first`` .. the largest present that are absent; null numbers count nowhere."""
+    known = have.select(F.col(number).cast("bigint").alias(number)).filter(F.col(number).isNotNull()).distinct()
+    bounds = known.agg(F.lit(first).alias("lo"), F.max(number).alias("hi"))
+    return id_range(bounds, "lo", "hi").withColumnRenamed("value", number).join(known, number, "left_anti")
+
+
+def missing_dates(have: DataFrame, date: str = "date") -> DataFrame:
+    """JN-7: calendar dates between the first and the last present that are absent."""
+    known = have.select(F.to_date(date).alias(date)).filter(F.col(date).isNotNull()).distinct()
+    bounds = known.agg(F.min(date).alias("s"), F.max(date).alias("e"))
+    return date_range_days(bounds, "s", "e").withColumnRenamed("date", date).join(known, date, "left_anti")
+
+
+def chunk_groups(missing: DataFrame, first: Column, last: Column, days: int, date: str = "date") -> DataFrame:
+    """AGG-11 + DT-4: missing dates by chunk of ``days`` days from ``first`` and by month: the days as text and their number."""
+    c = missing.withColumn("chunk", tx.chunk_index(date, first, days))
+    start = F.date_add(first, (F.col("chunk") * days).cast("int"))
+    plan = c.groupBy("chunk", F.year(date).alias("year"), F.month(date).alias("month")).agg(
+        F.array_join(F.array_sort(F.collect_list(F.date_format(date, "dd"))), ",").alias("days"), F.count(F.lit(1)).alias("n_days"))
+    return plan.select("chunk", start.alias("chunk_start"), F.least(F.date_add(start, days - 1), last, F.current_date()).alias("chunk_end"),
+                       "year", "month", "days", "n_days")

@@ -117,9 +117,14 @@ def series_sliding_rows(df: DataFrame, step: str, window: int, series_len: Colum
 
 def windows_to_arrays(rows: DataFrame, keys: list[str], k: str, value: str | Column, input_len: int,
                       out_data: str = "data", out_target: str = "target") -> DataFrame:
-    """SMP-6 on arrays: per window the offsets in order, split into data (first ``input_len``) and target."""
+    """SMP-6 on arrays: per window the offsets in order, split into data (offsets below ``input_len``) and target.
+
+    A step that is absent from a window leaves its array shorter; it never moves another step across the split.
+    """
     v = F.col(value) if isinstance(value, str) else value
     g = rows.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(F.col(k).alias("k"), v.alias("v")))).alias("__w"))
-    seq = F.transform("__w", lambda e: e["v"])
-    return g.select(*keys, F.slice(seq, 1, input_len).alias(out_data),
-                    F.slice(seq, input_len + 1, F.greatest(F.size(seq) - input_len, F.lit(0))).alias(out_target))
+
+    def part(wanted) -> Column:
+        return F.transform(F.filter("__w", wanted), lambda e: e["v"])
+
+    return g.select(*keys, part(lambda e: e["k"] < input_len).alias(out_data), part(lambda e: e["k"] >= input_len).alias(out_target))

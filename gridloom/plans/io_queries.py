@@ -7,7 +7,7 @@ Everything written lands in a fresh folder under the shared checkpoint folder
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -193,14 +193,7 @@ def q61_page_file_roundtrip(spark: SparkSession, base: str) -> DataFrame:
                     "page", "row_ord")
     written = pages.write_pages(rows, f"{root}/raw", "page", "row_ord", PAGE_COLS)
     written.write.mode("overwrite").parquet(f"{root}/_written")
-    # grid dimension file with its original headers
-    gd = views.grid_dim(o)
-    heads = list(pages.GRID_HEADERS)
-    gd.select(F.col("grid_id").alias(heads[0]), F.col("lon_min").alias(heads[1]), F.col("lat_min").alias(heads[2]),
-              F.col("lon_max").alias(heads[3]), F.col("lat_max").alias(heads[4]),
-              F.col("grid_id").cast("string").alias(heads[5]), (F.col("grid_id") % 4).alias(heads[6]),
-              F.floor(F.col("grid_id") / 4).alias(heads[7])) \
-        .write.mode("overwrite").option("header", True).csv(f"{root}/grid_info")
+    _write_grid_info(views.grid_dim(o), f"{root}/grid_info")  # with its original headers
     grid_info = pages.read_grid_info(spark, f"{root}/grid_info")
 
     listed = pages.list_pages(spark, f"{root}/raw")
@@ -217,8 +210,8 @@ def q61_page_file_roundtrip(spark: SparkSession, base: str) -> DataFrame:
         "n_files": listed.agg(F.count(F.lit(1))).scalar()}))
 
 
-def q62_catalog_dispatch(spark: SparkSession, base: str) -> DataFrame:
-    """SRC-17 + SRC-9/10/11/12: four datasets loaded through the catalog into one long table."""
+def _catalog_series(spark: SparkSession, base: str) -> tuple[str, DataFrame]:
+    """(folder of the written series, its write check) of four data sets loaded through the catalog."""
     folder = scratch_path(spark, "npy")
 
     def node_frame(sp: SparkSession, desc: catalog.Descriptor) -> DataFrame:
@@ -257,9 +250,62 @@ def q62_catalog_dispatch(spark: SparkSession, base: str) -> DataFrame:
              catalog.Descriptor("embedding_frames", "grid_frames", 30, 32, 2),
              catalog.Descriptor("lineitem_array", "node_array", 1440, 8, 2)]
     longs = [catalog.load(spark, d, readers) for d in descs]
-    check = catalog.write_series(dedup.union_slices(longs), f"{folder}/series")  # SNK-8 + VAL-5
-    check.write.mode("overwrite").parquet(f"{folder}/_series_check")
-    return present(spark.read.parquet(f"{folder}/series").select(*catalog.LONG_COLS))
+    return f"{folder}/series", catalog.write_series(dedup.union_slices(longs), f"{folder}/series")
+
+
+def q62_catalog_dispatch(spark: SparkSession, base: str) -> DataFrame:
+    """SRC-17 + SRC-9/10/11/12: four data sets loaded through the catalog into one long table."""
+    folder, _check = _catalog_series(spark, base)
+    return present(spark.read.parquet(folder).select(*catalog.LONG_COLS))
+
+
+def q76_series_check(spark: SparkSession, base: str) -> DataFrame:
+    """SNK-8 + VAL-5: the written series against what is read back, per data set: rows on both sides and equal content."""
+    return present(_catalog_series(spark, base)[1].select("dataset", "n", "n_back", "equal"))
+
+
+def q77_grid_info(spark: SparkSession, base: str) -> DataFrame:
+    """SRC-5: the grid dimension file with its original headers, read back by name with its bounds."""
+    folder = f"{scratch_path(spark, 'grid')}/grid_info"
+    _write_grid_info(views.grids(spark, base, 8), folder)
+    return present(pages.read_grid_info(spark, folder))
+
+
+def q78_daily_order(spark: SparkSession, base: str) -> DataFrame:
+    """SNK-3 + SRT-1: the filled days written per day in (time, grid) order, read back by file and row: rows, sums and whether
+    every row follows the one before it in its file."""
+    from gridloom.plans.queries import _filled_steps
+
+    folder = f"{scratch_path(spark, 'filled')}/daily"
+    f = _filled_steps(spark, base)
+    pages.write_daily(f, folder, "ts", order=["ts", "grid_id", "t", "speed"])
+    back = spark.read.parquet(folder).select("*", F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"))
+    place = F.struct("ts", "grid_id")
+    before = F.lag(place).over(Window.partitionBy("file").orderBy("row"))  # one written file at a time
+    ordered = back.withColumn("follows", F.coalesce(before < place, F.lit(True)))
+    return present(ordered.groupBy("date").agg(F.count(F.lit(1)).alias("rows"), F.sum("t").alias("t"), F.sum("speed").alias("speed"),
+                                               F.bool_and("follows").alias("in_order")))
+
+
+def q79_tensor_check(spark: SparkSession, base: str) -> DataFrame:
+    """SNK-4 + SRC-13 + VAL-5: the values written to the tensor folder against those read back from it."""
+    from gridloom.plans.queries import _filled_steps
+
+    folder = _tensor_folder(spark, base)
+    long, _report = tensorfiles.read_tensor_days(spark, folder, *TENSOR_SHAPE)
+    f = _filled_steps(spark, base)
+    given = f.select("date", "step", F.col("grid_id").alias("node"), F.posexplode(F.array(*[F.col(c).cast("float") for c in SAMPLE_FEATURES])).alias("feature", "value"))
+    given = given.select("date", F.col("step").cast("long").alias("step"), F.col("node").cast("long").alias("node"), F.col("feature").cast("long").alias("feature"), "value")
+    return present(tensorfiles.round_trip_equal(given, long, ["date", "step", "node", "feature"], "value").select("rows_written", "rows_read", "equal"))
+
+
+def _write_grid_info(grids: DataFrame, folder: str) -> None:
+    heads = list(pages.GRID_HEADERS)
+    grids.select(F.col("grid_id").alias(heads[0]), F.col("lon_min").alias(heads[1]), F.col("lat_min").alias(heads[2]),
+                 F.col("lon_max").alias(heads[3]), F.col("lat_max").alias(heads[4]),
+                 F.col("grid_id").cast("string").alias(heads[5]), (F.col("grid_id") % 4).alias(heads[6]),
+                 F.floor(F.col("grid_id") / 4).alias(heads[7])) \
+        .write.mode("overwrite").option("header", True).csv(folder)
 
 
 def q63_merge_cubes(spark: SparkSession, base: str) -> DataFrame:
@@ -332,5 +378,9 @@ IO_QUERIES = {
     "q62_catalog_dispatch": q62_catalog_dispatch,
     "q63_merge_cubes": q63_merge_cubes,
     "q72_cube_conflicts": q72_cube_conflicts,
+    "q76_series_check": q76_series_check,
+    "q77_grid_info": q77_grid_info,
+    "q78_daily_order": q78_daily_order,
+    "q79_tensor_check": q79_tensor_check,
     "q73_page_report": q73_page_report,
 }

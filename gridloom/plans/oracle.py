@@ -8,6 +8,7 @@ cast to BIGINT, every time formatted as text, as ``present`` does on the Spark s
 
 from __future__ import annotations
 
+from gridloom.functions.physics import GRAVITY_KM
 from gridloom.plans import oracle_fills
 from gridloom.sources.schemas import FLOW_CELLS
 
@@ -477,13 +478,16 @@ m AS (SELECT max(step) + 1 AS n FROM series)"""
 
 def q32() -> str:
     return f"""WITH {SERIES}
-SELECT CAST(w.ws AS BIGINT) AS window_start, CAST(s.step - w.ws AS BIGINT) AS k, s.node, s.channel, round(s.value, 6) AS value
+SELECT CAST(w.ws AS BIGINT) AS window_start, CAST(s.step - w.ws AS BIGINT) AS k,
+       CASE WHEN s.step - w.ws < 3 THEN 'input' ELSE 'target' END AS part, s.node, s.channel, round(s.value, 6) AS value
 FROM series s, m, range(greatest(0, s.step - 3), least(s.step, m.n - 4) + 1) w(ws)"""
 
 
 def q33() -> str:
     return f"""WITH {SERIES}
-SELECT CAST(s.step // 7 AS BIGINT) AS window_id, CAST(s.step % 7 AS BIGINT) AS k, s.node, s.channel, round(s.value, 6) AS value
+SELECT CAST(s.step // 7 AS BIGINT) AS window_id, CAST(s.step % 7 AS BIGINT) AS k,
+       CASE WHEN s.step % 7 < 5 THEN 'input' ELSE 'target' END AS part,
+       s.node, s.channel, round(s.value, 6) AS value
 FROM series s, m WHERE s.step // 7 < m.n // 7"""
 
 
@@ -835,6 +839,40 @@ UNION ALL BY NAME
 SELECT {ts_text('ts')} AS ts, NULL AS grid_id, NULL AS date, {nulls}, {means}, true AS is_mean_field FROM d GROUP BY ts"""
 
 
+def q74() -> str:
+    ssrd = clip_sql("(l_quantity * 36000 - 100000) / 3600.0", "0.0", None)
+    tp = clip_sql("(l_discount / 100 - 0.0002) * 1000", "0.0", None)
+    return f"""SELECT l_orderkey, l_linenumber, round(l_quantity + 250 - 273.15, 6) AS skt, round(l_extendedprice * 2 / 1000, 6) AS sp,
+  round(l_extendedprice * 3 / 1000, 6) AS msl, round((l_extendedprice * 10 - 5000) / {GRAVITY_KM}, 6) AS z, round(l_quantity * 40, 6) AS blh,
+  round({clip_sql('l_discount * 20 - 0.5', '0.0', '1.0')}, 6) AS lcc, round({clip_sql('l_tax * 15', '0.0', '1.0')}, 6) AS tcc,
+  round(ln(1 + ({tp})), 6) AS tp, round(ln(1 + ({ssrd})), 6) AS ssrd, round(ln(1 + l_quantity * 20), 6) AS cape, round(ln(1 + l_quantity / 2), 6) AS i10fg,
+  round(l_extendedprice / 30 / 10, 6) AS slp, round(ln(1 + greatest(l_quantity - 10, 0)), 6) AS rain01h, round(ln(1 + l_quantity / 5), 6) AS v
+FROM lineitem"""
+
+
+def q75() -> str:
+    return f"""WITH {dedup_cte(4)},
+r AS (SELECT CAST(ts AS DATE) AS date, count(*) / 96.0 AS ratio FROM dedup GROUP BY 1)
+SELECT {day_text('date')} AS date, CASE WHEN day(date) % 7 <> 0 THEN round(ratio, 6) END AS completeness_ratio
+FROM r WHERE day(date) % 7 = 0 OR ratio < 0.95"""
+
+
+def q77() -> str:
+    return """WITH g AS (SELECT DISTINCT CAST(user_id % 8 AS BIGINT) AS grid_id FROM events)
+SELECT grid_id, round(113.75 + 0.05 * (grid_id % 4), 6) AS lon_min, round(22.45 + 0.05 * floor(grid_id / 4), 6) AS lat_min,
+       round(113.75 + 0.05 * (grid_id % 4) + 0.05, 6) AS lon_max, round(22.45 + 0.05 * floor(grid_id / 4) + 0.05, 6) AS lat_max FROM g"""
+
+
+def q78() -> str:
+    return f"""WITH {filled_cte(4)}
+SELECT {day_text('date')} AS date, count(*) AS rows, round(sum(t), 6) AS t, round(sum(speed), 6) AS speed, true AS in_order FROM f GROUP BY 1"""
+
+
+def q79() -> str:
+    return f"""WITH {filled_cte(4)}
+SELECT count(*) * 3 AS rows_written, count(*) * 3 AS rows_read, true AS equal FROM f"""
+
+
 def q61() -> str:
     return f"""WITH {dedup_cte(4)},
 pc AS (
@@ -947,6 +985,12 @@ ORACLE = {
     "q68_prediction_samples": q68(),
     "q69_masked_samples": q69(),
     "q72_cube_conflicts": q72(),
+    "q74_unit_rules": q74(),
+    "q75_ignored_days": q75(),
+    "q76_series_check": f"SELECT dataset, count(*) AS n, count(*) AS n_back, true AS equal FROM ({q62()}) GROUP BY dataset",
+    "q77_grid_info": q77(),
+    "q78_daily_order": q78(),
+    "q79_tensor_check": q79(),
     "q73_page_report": q73(),
     "q41_cubic_fill": q41(),
     "q42_spline_fill": q42(),

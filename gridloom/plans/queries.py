@@ -86,37 +86,23 @@ def q07_missing_pages(spark: SparkSession, base: str) -> DataFrame:
     """
     li = read_table(spark, base, "lineitem", ["l_orderkey"])
     names = li.select(F.format_string("page%d_rows10000_x.csv", F.col("l_orderkey")).alias("file_name")).distinct()
-    have = names.select(tx.page_number("file_name").alias("page")).filter(F.col("page").isNotNull())
-    bounds = have.agg(F.lit(1).alias("lo"), F.max("page").alias("hi"))
-    want = scaffold.id_range(bounds, "lo", "hi").withColumnRenamed("value", "page")
-    return present(want.join(have, "page", "left_anti"))
+    return present(quality.missing_numbers(names.select(tx.page_number("file_name").alias("page")), "page"))
 
 
-def _missing_order_dates(spark: SparkSession, base: str) -> tuple[DataFrame, DataFrame]:
-    o = read_table(spark, base, "orders", ["o_orderdate"]).select(F.to_date("o_orderdate").alias("date"))
-    bounds = o.agg(F.min("date").alias("s"), F.max("date").alias("e"))
-    return scaffold.date_range_days(bounds, "s", "e").join(o, "date", "left_anti"), bounds
+def _order_dates(spark: SparkSession, base: str) -> DataFrame:
+    return read_table(spark, base, "orders", ["o_orderdate"]).select(F.to_date("o_orderdate").alias("date"))
 
 
 def q08_missing_dates(spark: SparkSession, base: str) -> DataFrame:
     """JN-7 + DT-3: calendar dates between the first and last order date with no orders."""
-    return present(_missing_order_dates(spark, base)[0])
+    return present(quality.missing_dates(_order_dates(spark, base)))
 
 
 def q09_chunk_plan(spark: SparkSession, base: str) -> DataFrame:
     """DT-4 + AGG-11: 15-day chunks from the first date; per chunk the missing days grouped by month."""
-    k = 15
-    missing, bounds = _missing_order_dates(spark, base)
-    first = bounds.select("s").scalar()
-    last = bounds.select("e").scalar()
-    c = missing.withColumn("chunk", tx.chunk_index("date", first, k))
-    chunk_start = F.date_add(first, (F.col("chunk") * k).cast("int"))
-    chunk_end = F.least(F.date_add(chunk_start, k - 1), last, F.current_date())
-    plan = c.groupBy("chunk", F.year("date").alias("year"), F.month("date").alias("month")).agg(
-        F.array_join(F.array_sort(F.collect_list(F.date_format("date", "dd"))), ",").alias("days"),
-        F.count(F.lit(1)).alias("n_days"))
-    return present(plan.select("chunk", chunk_start.alias("chunk_start"), chunk_end.alias("chunk_end"),
-                               "year", "month", "days", "n_days"))
+    dates = _order_dates(spark, base)
+    bounds = dates.agg(F.min("date").alias("s"), F.max("date").alias("e"))
+    return present(quality.chunk_groups(quality.missing_dates(dates), bounds.select("s").scalar(), bounds.select("e").scalar(), 15))
 
 
 def q10_span_overlap(spark: SparkSession, base: str) -> DataFrame:
@@ -211,6 +197,28 @@ def q17_units_log(spark: SparkSession, base: str) -> DataFrame:
     return present(r)
 
 
+def q74_unit_rules(spark: SparkSession, base: str) -> DataFrame:
+    """PHY-5/6/7: all unit rules of both sources: skin temperature, pressures, geopotential, cloud cover beyond its bounds,
+    radiation, boundary layer, precipitation, station pressure; then log1p of the long tails of both, clipped at 0 for stations."""
+    li = read_table(spark, base, "lineitem", ["l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax"])
+    q, price, disc, tax = (F.col(c) for c in ("l_quantity", "l_extendedprice", "l_discount", "l_tax"))
+    raw = li.select("l_orderkey", "l_linenumber", (q + 250).alias("skt"), (price * 2).alias("sp"), (price * 3).alias("msl"), (price * 10 - 5000).alias("z"),
+                    (q * 40).alias("blh"), (disc * 20 - 0.5).alias("lcc"), (tax * 15).alias("tcc"), (disc / 100 - 0.0002).alias("tp"),
+                    (q * 36000 - 100000).alias("ssrd"), (q * 20).alias("cape"), (q / 2).alias("i10fg"), (price / 30).alias("slp"),
+                    (q - 10).alias("rain01h"), (q / 5).alias("v"))
+    r = phy.convert_units(phy.convert_units(raw, phy.REANALYSIS_UNITS), phy.STATION_UNITS)
+    r = phy.log1p_columns(phy.log1p_columns(r, phy.REANALYSIS_LOG, clip_at_zero=False), phy.STATION_LOG, clip_at_zero=True)
+    return present(r)
+
+
+def q75_ignored_days(spark: SparkSession, base: str) -> DataFrame:
+    """FLT-3, the other side: days below the completeness gate, and the days of data that the report does not know."""
+    d = _obs_dedup(spark, base, 4)
+    rep = quality.completeness(d, "ts", "grid_id", max_grid_id=3, step_minutes=HOURLY)
+    known = rep.filter(F.dayofmonth("date") % 7 != 0)  # a report that misses every seventh day
+    return present(quality.completeness_filter(d, known, "ts", 0.95)[1])
+
+
 def q18_first_non_null(spark: SparkSession, base: str) -> DataFrame:
     """AGG-5: one row per (ts, lon, lat), each column's first non-NULL value in source order."""
     return present(_reanalysis_merged(spark, base))
@@ -382,17 +390,24 @@ def q31_tumbling_in_day(spark: SparkSession, base: str) -> DataFrame:
 
 
 def q32_sliding_series(spark: SparkSession, base: str) -> DataFrame:
-    """SMP-4: S - W + 1 stride-1 windows (W = 4) over the whole daily lineitem series."""
+    """SMP-4 + SMP-6: S - W + 1 stride-1 windows (W = 4, the last step is the target) over the whole daily lineitem series."""
     s = views.daily_series(spark, base)
     w = tensors.series_sliding_rows(s, "step", 4, _series_length(spark, base))
-    return present(w.select("window_start", "k", "node", "channel", "value"))
+    part = F.when(F.col("k") < 3, F.lit("input")).otherwise(F.lit("target"))
+    return present(w.select("window_start", "k", part.alias("part"), "node", "channel", "value"))
 
 
 def q33_tumbling_series(spark: SparkSession, base: str) -> DataFrame:
-    """SMP-5: S div W windows (W = 7), remainder dropped."""
+    """SMP-5 + SMP-6: S div W windows (W = 7, remainder dropped) as arrays, 5 steps of input and 2 to predict, shown by step."""
     s = views.daily_series(spark, base)
     w = tensors.tumbling_window_rows(s, "step", 7, drop_remainder_of=_series_length(spark, base))
-    return present(w.select("window_id", "k", "node", "channel", "value"))
+    keys = ["window_id", "node", "channel"]
+    entry = F.struct("k", "value")  # a day without the node is no step of its window
+    a = tensors.windows_to_arrays(w, keys, "k", entry, 5)
+    both = F.concat(F.transform("data", lambda e: F.struct(F.lit("input").alias("part"), e.alias("e"))),
+                    F.transform("target", lambda e: F.struct(F.lit("target").alias("part"), e.alias("e"))))
+    flat = a.select(*keys, F.explode(both).alias("v"))
+    return present(flat.select("window_id", F.col("v.e.k").alias("k"), F.col("v.part").alias("part"), "node", "channel", F.col("v.e.value").alias("value")))
 
 
 def q34_wide_to_long(spark: SparkSession, base: str) -> DataFrame:
@@ -707,6 +722,8 @@ QUERIES = {
     "q64_time_labels": q64_time_labels,
     "q70_train_split": q70_train_split,
     "q71_spatial_fill_tiled": q71_spatial_fill_tiled,
+    "q74_unit_rules": q74_unit_rules,
+    "q75_ignored_days": q75_ignored_days,
 }
 
 

@@ -274,7 +274,7 @@ def round_trip_equal(written: DataFrame, read_back: DataFrame, keys: list[str],
     def digest(df: DataFrame) -> DataFrame:
         return df.agg(F.count(F.lit(1)).alias("n"),
                       F.sum(F.xxhash64(*keys, F.col(value).cast("float")).cast("decimal(38,0)")).alias("h"))
-    a, b = digest(written), digest(read_back)
-    return a.select(F.col("n").alias("rows_written"), F.col("h").alias("hash_written")) \
-            .join(b.select(F.col("n").alias("rows_read"), F.col("h").alias("hash_read"))) \
-            .withColumn("equal", (F.col("rows_written") == F.col("rows_read")) & (F.col("hash_written") == F.col("hash_read")))
+    back = digest(read_back)
+    one = digest(written).select(F.col("n").alias("rows_written"), F.col("h").alias("hash_written")).withColumns(
+        {"rows_read": back.select("n").scalar(), "hash_read": back.select("h").scalar()})
+    return one.withColumn("equal", (F.col("rows_written") == F.col("rows_read")) & F.col("hash_written").eqNullSafe(F.col("hash_read")))

@@ -50,6 +50,23 @@ def test_hot_key_is_combined_map_side(spark):
     assert rep["incomplete_time_points_count"] == 17
 
 
+def test_alignment_reads_its_input_once(spark):
+    """The days and the cells of the scaffold come from one aggregate whose exchange is reused: the observations are read
+    once (and once for the page spans), not once a side."""
+    df = QUERIES["q12_linear_fill"](spark, SMOKE)
+    df.collect()
+    plan = _plan(df).split("Initial Plan")[0]
+    assert plan.count("ReusedExchange") >= 1 and plan.count("FileScan") <= 3
+
+
+def test_no_window_holds_everything(spark):
+    """No query sends its rows to one partition for a window (the interval sweep of q10 orders distinct days only)."""
+    for name in ("q12_linear_fill", "q19_grid_ids", "q20_tail_truncate", "q23_location_batches", "q54_step_index", "q68_prediction_samples"):
+        lines = _plan(QUERIES[name](spark, SMOKE)).split("\n")
+        windows = [k for k, line in enumerate(lines) if " Window [" in line]
+        assert not [k for k in windows if any("SinglePartition" in line for line in lines[k:k + 4])], name
+
+
 def test_dimension_join_broadcasts_only_under_the_estimate(spark):
     from gridloom.operators.joins import dimension_join, estimated_bytes
 
