@@ -9,6 +9,7 @@ space never makes a boundary (it stays inside a piece), so the ids equal those o
 
 from __future__ import annotations
 
+import json
 import os
 import re
 from functools import cache
@@ -22,6 +23,8 @@ import pyarrow.compute as pc
 _PIECE = re.compile(r"(?:\A\s*|[ \n])\S+(?:(?:\s{2,}|[^\S \n])\S+)*(?:\s+\Z)?|\s+")
 #: pieces a worker keeps; once full, further pieces are encoded per call (memory bound, no effect on results)
 CACHE_PIECES = 600_000
+#: new pieces encoded as one text, and such texts a call
+_TOGETHER, _TEXTS = 64, 64
 _LONGEST_CACHED = 64
 #: white space that is not one blank or line break between two other characters (all of Unicode's white space is named)
 _ODD = (r"\A[ \n]|[ \n]\z|[ \n][ \n]|[\t\x0B\f\r\x1C-\x1F\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}"
@@ -40,11 +43,94 @@ def tokenizer(path: str):
     return t
 
 
+class _Bulk:
+    """Encodes many pieces as one text and finds each piece's ids again, where the vocabulary lets it.
+
+    With word ends, every pre-token's last token carries the mark: a piece that is one run of letters holds one mark at
+    least, a run of letters with one stop behind it two.  If a text of n such pieces holds n (or 2n) marks, each has
+    just that many.  In a byte-level vocabulary every token stands for a known number of bytes.  Where
+    neither rule applies, or the count is off, pieces are encoded one by one.
+    """
+
+    def __init__(self, path: str):
+        self.tokenizer = tokenizer(path)
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        size = max([*spec["model"]["vocab"].values(), *(t["id"] for t in spec["added_tokens"])], default=0) + 1
+        self.ends = self.bytes = None
+        if mark := spec["model"].get("end_of_word_suffix"):
+            self.ends = np.zeros(size, bool)
+            self.ends[[i for t, i in spec["model"]["vocab"].items() if t.endswith(mark)]] = True
+        elif spec["normalizer"] is None and (spec["pre_tokenizer"] or {}).get("type") == "ByteLevel":
+            self.bytes = np.zeros(size, np.int64)
+            for t, i in spec["model"]["vocab"].items():
+                self.bytes[i] = len(t)  # one character of a token is one byte
+
+    def _kind(self, key) -> int:
+        """Marks of a piece (1 or 2; 1 in a byte-level vocabulary); 0: on its own.  First pieces have no blank before them."""
+        if isinstance(key, tuple) or key.startswith(_FIRST):
+            return 0
+        if self.bytes is not None:
+            return 1
+        if self.ends is None:
+            return 0
+        word = key[1:] if key[0] == "\n" else key
+        return 1 if word.isalpha() else 2 if len(word) > 1 and word[-1] in ".,;:!?" and word[:-1].isalpha() else 0
+
+    def _cut(self, ids: np.ndarray, pieces: list[str], kind: int) -> np.ndarray | None:
+        """Number of ids of each piece; None if they can't be told apart."""
+        if self.bytes is not None:
+            upto = np.cumsum(self.bytes[ids])
+            ends = np.cumsum([len(p.encode("utf-8", "surrogatepass")) for p in pieces])
+            at = np.searchsorted(upto, ends)
+            if at[-1] >= len(upto) or not np.array_equal(upto[at], ends):
+                return None
+        else:
+            at = np.flatnonzero(self.ends[ids])
+            if len(at) != kind * len(pieces) or at[-1] != len(ids) - 1:
+                return None
+            at = at[kind - 1::kind]
+        return np.diff(at, prepend=-1)
+
+    def encode(self, keys: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(start, size) of each key's ids in the returned ids."""
+        start, size = np.zeros(len(keys), np.int64), np.zeros(len(keys), np.int64)
+        found: list[np.ndarray] = []
+        done = 0
+        by_kind: dict[int, list[int]] = {}
+        for j, key in enumerate(keys):
+            by_kind.setdefault(self._kind(key), []).append(j)
+        alone = by_kind.pop(0, [])
+        for kind, members in by_kind.items():
+            for i in range(0, len(members), _TEXTS * _TOGETHER):
+                groups = [members[k:k + _TOGETHER] for k in range(i, min(i + _TEXTS * _TOGETHER, len(members)), _TOGETHER)]
+                pieces = [[_piece(keys[j]) for j in g] for g in groups]
+                for g, p, e in zip(groups, pieces, self.tokenizer.encode_batch_fast(list(map("".join, pieces)), add_special_tokens=False)):
+                    ids = np.array(e.ids, np.uint32)
+                    n = self._cut(ids, p, kind) if len(ids) else None
+                    if n is None:
+                        alone += g
+                        continue
+                    size[g] = n
+                    start[g] = done + np.cumsum(n) - n
+                    found.append(ids)
+                    done += len(ids)
+        for i in range(0, len(alone), 4096):
+            part = alone[i:i + 4096]
+            lists = [e.ids for e in self.tokenizer.encode_batch_fast([_piece(keys[j]) for j in part], add_special_tokens=False)]
+            n = np.fromiter(map(len, lists), np.int64, len(lists))
+            size[part] = n
+            start[part] = done + np.cumsum(n) - n
+            found.append(np.fromiter(chain.from_iterable(lists), np.uint32, int(n.sum())))
+            done += len(found[-1])
+        return start, size, np.concatenate(found) if found else np.zeros(0, np.uint32)
+
+
 class _Pieces:
     """Ids of the pieces a worker has met: place of each key, and the ids of all of them end to end."""
 
     def __init__(self, path: str):
-        self.path = path
+        self.bulk = _Bulk(path)
         self.place: dict[str, int] = {}
         self.start, self.size = np.zeros(0, np.int64), np.zeros(0, np.int64)
         self.flat = np.zeros(0, np.uint32)
@@ -55,13 +141,9 @@ class _Pieces:
         fresh = np.flatnonzero(at < 0)
         if not len(fresh):
             return self.start[at], self.size[at], self.flat
-        lists: list[list[int]] = []
         new = [keys[j] for j in fresh.tolist()]
-        for i in range(0, len(new), 4096):
-            lists += [e.ids for e in tokenizer(self.path).encode_batch_fast(list(map(_piece, new[i:i + 4096])), add_special_tokens=False)]
-        sizes = np.fromiter(map(len, lists), np.int64, len(lists))
-        ids = np.fromiter(chain.from_iterable(lists), np.uint32, int(sizes.sum()))
-        starts = np.cumsum(sizes) - sizes + len(self.flat)
+        inside, sizes, ids = self.bulk.encode(new)
+        starts = inside + len(self.flat)
         at[fresh] = len(self.start) + np.arange(len(fresh))
         start, size = np.concatenate([self.start, starts]), np.concatenate([self.size, sizes])
         flat = np.concatenate([self.flat, ids])
@@ -72,9 +154,9 @@ class _Pieces:
             kept = np.array(kept, np.int64)
             length = sizes[kept]
             ends = np.cumsum(length)
-            inside = np.repeat(starts[kept] - len(self.flat) - (ends - length), length) + np.arange(ends[-1] if len(ends) else 0)
+            taken = np.repeat(inside[kept] - (ends - length), length) + np.arange(ends[-1] if len(ends) else 0)
             self.start = np.concatenate([self.start, ends - length + len(self.flat)])
-            self.size, self.flat = np.concatenate([self.size, length]), np.concatenate([self.flat, ids[inside]])
+            self.size, self.flat = np.concatenate([self.size, length]), np.concatenate([self.flat, ids[taken]])
         return start[at], size[at], flat
 
 
