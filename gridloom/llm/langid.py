@@ -6,8 +6,8 @@ filter over one-hot bytes is a sum of table rows, so a batch of windows is a few
 document's prediction is the mean of the probabilities of all its windows, the whole text.
 
 Training (numpy, Adam, fixed seed) runs on the driver over at most ``SAMPLE_DOCS`` documents, evenly
-per language and chosen by a hash of the id among those with a lang that are not held out, with at
-most ``SAMPLE_WINDOWS`` evenly spaced windows each.  Only text and lang are used.
+per language over the ``SAMPLE_LANGS`` most frequent ones and chosen by a hash of id and text among those with a
+lang that are not held out, with at most ``SAMPLE_WINDOWS`` evenly spaced windows each.  Only text and lang are used.
 
 Nulls, ties and odd input: a null text or one without a letter is ``und`` with score 0; equal probabilities
 go to the first language by code point; with no labelled training document every text is
@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from gridloom.llm.common import documents, held_out, raw, text_slices
 
-SAMPLE_DOCS, SAMPLE_WINDOWS = 2400, 6
+SAMPLE_DOCS, SAMPLE_WINDOWS, SAMPLE_LANGS = 2400, 6, 300
 STEP, WIDTHS, FILTERS = 256, (4, 3, 2), 16
 EPOCHS, BATCH, RATE, SEED = 10, 64, 0.02, 7
 _SPAN = STEP + max(WIDTHS) - 1
@@ -114,14 +114,16 @@ def learn(docs: DataFrame, modulus: int = 3) -> Network | None:
     """The network trained on the bounded sample; None when no document may be learnt from."""
     rest = F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), F.lit(modulus))
     known = documents(docs, "lang").where(F.col("lang").isNotNull() & (rest != 1))
-    counts = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count("*").alias("n")).collect()}  # one row per language
+    top = known.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(SAMPLE_LANGS)
+    counts = {r["lang"]: r["n"] for r in top.collect()}  # SAMPLE_LANGS rows at most
     if not counts:
         return None
-    per = max(8, SAMPLE_DOCS // len(counts))
+    per = SAMPLE_DOCS // len(counts)
+    known = known.where(F.col("lang").isin(*counts))
     share = F.create_map(*[F.lit(x) for lang, n in counts.items() for x in (lang, min(1.0, 1.5 * (per + 8) / n))])
-    h = F.xxhash64("doc_id")
+    h = F.xxhash64("doc_id", "text")  # rows that share an id are drawn apart
     near = known.withColumn("h", h).where(F.pmod(F.col("h"), F.lit(1 << 30)) < share[F.col("lang")] * float(1 << 30))
-    near = (near.withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy("h", "doc_id", F.xxhash64("text"))))
+    near = (near.withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy("h", "doc_id")))
             .where(f"r <= {per}").select("doc_id", "lang", "text"))
     rows = near.mapInArrow(_sample_windows, "doc_id long, lang string, w binary").collect()  # <= SAMPLE_DOCS x SAMPLE_WINDOWS windows
     if not rows:
