@@ -46,10 +46,13 @@ class SampleIndex:
         self.keys, self.windowing = keys, windowing
         counted = groups.select(*keys, windowing.count(F.col(steps)).alias("n_windows")).filter("n_windows > 0")
         self.table = prefix_sums(counted, keys, "n_windows", "first_id")
+        self._length: int | None = None
 
     def __len__(self) -> int:
-        """Number of samples (one number from the index)."""
-        return int(self.table.agg(F.coalesce(F.sum("n_windows"), F.lit(0))).first()[0])
+        """Number of samples (one number from the index, asked for once)."""
+        if self._length is None:
+            self._length = int(self.table.agg(F.coalesce(F.sum("n_windows"), F.lit(0))).first()[0])
+        return self._length
 
     def groups(self, low: int = 0, high: int | None = None) -> DataFrame:
         """Groups that hold ids ``low <= id < high``, with the first and last window of each that does."""

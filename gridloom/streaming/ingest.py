@@ -2,7 +2,7 @@
 
 The file source's checkpoint is the record of which files were already taken
 (the "which pages do I have" question of a resumable download), the watermark
-bounds the dedup state, and ``availableNow`` processes what is there and stops,
+bounds the state, and ``upserts.run_updates`` processes what is there and stops,
 so the same code serves a scheduled batch and a continuous stream.  State and
 output live under the shared checkpoint folder; a restarted query resumes from
 its checkpoint after executor or driver loss.
@@ -54,13 +54,6 @@ def wall_clock(instant: F.Column) -> F.Column:
                                  F.pmod(secs, F.lit(86400)).cast("decimal(18,6)")))
 
 
-def run_available(df: DataFrame, sink: str, checkpoint: str, mode: str = "append", fmt: str = "parquet") -> None:
-    """Run a streaming plan over everything available now, then stop."""
-    q = (df.writeStream.format(fmt).outputMode(mode).option("checkpointLocation", checkpoint)
-         .trigger(availableNow=True).start(sink))
-    q.awaitTermination()
-
-
 def keep_first_stream(stream: DataFrame, ts: str, keys: list[str], order: list[str], watermark: str) -> DataFrame:
     """STM-1: the first row in ``order`` of every (ts, keys), kept up to date as rows arrive, and the late rows.
 
