@@ -98,8 +98,12 @@ def keep_first_stream(stream: DataFrame, ts: str, keys: list[str], order: list[s
             with pa.ipc.new_stream(sink, table.schema) as writer:
                 writer.write_table(table)
             held.update((sink.getvalue().to_pybytes(),))
-            day_end = int(pd.Timestamp(lead[ts].iloc[0]).normalize().timestamp() * 1000) + 86_400_000
-            held.setTimeoutTimestamp(day_end)  # after the watermark, as rows of this day are not late yet
+        if held.exists:  # a call clears the timeout, so it is set again even if all rows were late
+            day_end = int(pd.Timestamp(key[0]).timestamp() * 1000) + 86_400_000
+            if day_end > passed:
+                held.setTimeoutTimestamp(day_end)
+            else:
+                held.remove()
 
     return s.groupBy("__day", *keys).applyInPandasWithState(update, out, state, "update", GroupStateTimeout.EventTimeTimeout)
 
