@@ -5,16 +5,18 @@ into *blocks* of ``BLOCK`` ids that are reset and coded independently, so a read
 block and a damaged one is found by its checksum.  A block lists its distinct ids once and
 codes each position in one arithmetic-coding step from the mixture of three id predictions: order 2 and
 order 1 propose the id that followed their context, order 0 holds adaptive frequencies of all ids.
-The proposals change with every id; the shares of the orders (from the hit record of proposals in the same
-state, within the block) and the order-0 scale are fitted anew at fixed steps of a block.  Many
-blocks are coded in lockstep with numpy (one lane per block).
+A block's ids are cut into equal *streams* (one for 128 ids), each with code words of its own; a step codes the
+next id of every stream from the block's one model and then teaches the model all of them.  The proposals change with every
+step; the shares of the orders (from the hit record of proposals in the same state, within the block) and the
+order-0 scale are fitted anew at fixed steps.  Many blocks are coded in lockstep with numpy (one lane per stream).
 
 Segments are rows of a Parquet table (part, seg, blob): the blob is the file format below, Parquet is the
 container that gives atomic commits under retries.  All integers are little-endian.
 
     segment: "TIDS" | n_docs u32 | n_blocks u32 | doc ids i64* | null flags u8* | tokens per doc u64* |
              block bytes u32* | crc32 of all before u32 | blocks
-    block:   n_ids u32 | n_distinct u32 | crc32 of the ids as u32 | table bytes u32 | table (deflated u32 gaps) | u32 code words
+    block:   n_ids u32 | n_distinct u32 | crc32 of the ids as u32 | table bytes u32 | table (gaps as u32, deflated from
+             all lowest bytes to all highest) | code words per stream u16* | u16 code words
 
 Nulls, ties and odd input: a null or empty text is its end id alone; a null doc_id sorts first; rows with equal ids are
 ordered by a hash of the text and written each; a document longer than a segment's aim makes a longer
@@ -38,177 +40,229 @@ from gridloom.llm.tokens import encode as tokenize
 
 END_ID, VOCABULARY = 2, "byte_bpe_50k.json"
 BLOCK, SEGMENT, LANES = 4096, 131072, 1024
-_SLOTS, _GAIN = 2048, 32  # order-2 slots of a lane; weight of an occurrence against the 1 every id of the table has
+_STREAM, _SIDE = 128, 256  # a block has a stream for this many ids; blocks coded side by side
+_SLOTS, _GAIN = 2048, 32  # order-2 slots of a block; weight of an occurrence against the 1 every id of the table has
 _ORDER0, _PARTS = 1 << 15, 128  # the order-0 scale, and the parts of that size a step's range is cut into
-_BITS = np.uint64(22)  # log2 of _ORDER0 * _PARTS
+_BIN, _BINS = 5, _ORDER0 >> 5  # log2 of the places in a bin of the order-0 scale, and the bins
+_TOTAL = float(_ORDER0 * _PARTS)
+#: the range lies between these and grows by words; all are whole numbers below 2**53, which floats hold and divide exactly
+_BOTTOM, _FULL, _WORD = 2.0 ** 32, 2.0 ** 48, 2.0 ** 16
 _SMALL_ID = 1 << 18  # ids below are numbered through a table instead of a sort
-_HALF, _WORD, _BOTTOM = np.uint64(32), np.uint64(1 << 32), np.uint64(1 << 30)
-_FIT = (32, 128, 512, 1024, 2048, 3072)  # steps at which the shares and the order-0 scale are fitted anew
+_FIT = (1, 2, 4, 8, 16, 32, 64, 96)  # steps after which the shares and the order-0 scale are fitted anew
 
 
 class _Model:
     """The adaptive state of the blocks coded side by side; symbols are places in a block's table of distinct ids.
 
-    ``follow`` holds 2 * symbol + (1 where it was right the last time) per order-1 and order-2 context, -2 where none was
-    seen.  A class says which proposals exist, which were right and whether they agree; ``hits`` counts per
-    lane and class which order knew the id, and gives the shares of the next steps.
+    ``follow`` holds 4 * symbol + how sure it is (1 to 3: it rises where it was right, falls where not) per context, -4
+    where none was seen: first all order-1 contexts, then all of order 2.  A class says how sure the two proposals are
+    and whether they agree; ``hits`` counts per block and class which order knew the id, and gives the shares of the next
+    steps.  Choices are made by arithmetic, as a branch per lane costs more.
     """
 
-    def __init__(self, distinct: np.ndarray):
+    def __init__(self, distinct: np.ndarray, block: np.ndarray, n_ids: int):
         n, distinct = len(distinct), np.maximum(distinct, 1)
         self.wide = wide = int(distinct.max()) + 1
-        lane = np.arange(n)
-        self.base, self.slot, self.cell, self.shift = lane * wide, lane * _SLOTS, lane * 16, lane * 2 * _ORDER0
-        self.follow1, self.follow2 = np.full(n * wide, -2, np.int16), np.full(n * _SLOTS, -2, np.int16)
+        self.base, self.slot, self.cell = block * wide, n * wide + block * _SLOTS, block * 32  # of each lane
+        self.shift, self.bin = block * (2 * _ORDER0), block * _BINS
+        self.follow = np.full(n * (wide + _SLOTS), -4, np.int16)
         self.distinct = distinct[:, None]
         self.seen = (np.arange(wide) < self.distinct).astype(np.int32)
-        self.hits = np.zeros((n, 16, 3), np.int64)  # per class: order 0, order 1, order 2
-        self.symbols: list[np.ndarray] = []  # since the last fit, per step
-        self.events: list[np.ndarray] = []
-        kinds = np.arange(16)
-        self.has2, self.has1 = kinds >= 8, kinds & 1 == 0  # agreeing proposals are order 2's
-        self.last, self.last2 = np.zeros(n, np.int64), np.zeros(n, np.int64)
+        self.hits = np.zeros((n, 32, 3), np.int32)  # per class: order 0, order 1, order 2
+        self.symbols, self.events = np.empty(n_ids, np.int64), np.empty(n_ids, np.int64)  # of all steps
+        self.done = self.fitted = 0
+        kinds = np.arange(32)
+        self.has2, self.has1 = kinds >> 2 & 3 > 0, (kinds & 3 > 0) & (kinds < 16)  # agreeing proposals are order 2's
+        self.at, self.before = np.stack([self.base, self.slot]), np.zeros(len(block), np.int64)
         self.fit()
 
     def fit(self) -> None:
         """Shares of each class and the order-0 scale from all that was coded so far."""
-        for counts, steps, weight in ((self.seen, self.symbols, _GAIN), (self.hits, self.events, 1)):
-            if steps:
-                at = np.concatenate(steps)
-                counts += (weight * np.bincount(at, minlength=counts.size).reshape(counts.shape)).astype(counts.dtype)
-                steps.clear()
+        if self.done > self.fitted:
+            for counts, at, weight in ((self.seen, self.symbols, _GAIN), (self.hits, self.events, 1)):
+                more = np.bincount(at[self.fitted:self.done], minlength=counts.size).reshape(counts.shape)
+                counts += more.astype(np.int32) * np.int32(weight)
+            self.fitted = self.done
         h0, h1, h2 = np.moveaxis(self.hits.astype(np.float64), 2, 0)
         h2, h1 = (h2 + 0.5) * self.has2, (h1 + 0.5) * self.has1
-        rest = np.clip(np.rint(_PARTS * (h0 + 1.0) / (h0 + 1.0 + h1 + h2)), 1, _PARTS)
+        rest = np.clip(np.rint(_PARTS * (h0 + 1.0) / (h0 + 1.0 + h1 + h2)), 1, _PARTS - (self.has1 | self.has2))
         both = (_PARTS - rest) * _ORDER0
-        order2 = np.floor(both * (h2 / np.maximum(h1 + h2, 0.5)))
-        self.shares = (order2 * 256 + rest).astype(np.int64).ravel()  # order 2's share and the parts left to order 0
-        upto = np.cumsum(self.seen, axis=1)
-        scale = (_ORDER0 - self.distinct) / upto[:, -1:]
-        start = np.full(upto.shape, _ORDER0, np.int32)
+        order2 = np.clip(np.floor(both * (h2 / np.maximum(h1 + h2, 0.5))), self.has2, both - self.has1)
+        self.upto2, self.upto1 = order2.ravel(), both.ravel()  # where the shares of order 2 and order 1 end
+        upto = np.cumsum(self.seen, axis=1, dtype=np.int32)
+        start = np.empty(upto.shape, np.int32)
         start[:, 0] = 0
-        start[:, 1:] = upto[:, :-1] * scale
-        start[:, 1:] += np.arange(1, self.wide, dtype=np.int32)
-        start[np.arange(self.wide) >= self.distinct] = _ORDER0
-        start += self.shift[:, None].astype(np.int32)
-        self.start = start.ravel()  # ascending over all lanes, for the search
+        start[:, 1:] = upto[:, :-1] * ((_ORDER0 - self.distinct) / upto[:, -1:])
+        start += np.arange(self.wide, dtype=np.int32)
+        np.copyto(start, _ORDER0, where=np.arange(self.wide) >= self.distinct)
+        start += (np.arange(len(start), dtype=np.int32) * (2 * _ORDER0))[:, None]
+        self.start = start.ravel()  # ascending over all blocks, for the search
+        self.bins: np.ndarray | None = None
+
+    def find(self, key: np.ndarray, base: np.ndarray, new: np.ndarray) -> np.ndarray:
+        """Where the symbols stand whose order-0 ranges hold the places ``key``, of the lanes ``new``: from the last one that
+        starts no later than the key's bin two steps upwards, and by a search where that is not far enough."""
+        if self.bins is None:
+            n = len(self.distinct)
+            self.bins = np.zeros((n, _BINS + 1), np.int16)
+            place = (self.start.reshape(n, -1) & (2 * _ORDER0 - 1)) + (_ORDER0 // _BINS - 1) >> _BIN  # the first bin that starts no earlier
+            place += (np.arange(n, dtype=np.int32) * (_BINS + 1))[:, None]
+            inside = np.arange(self.wide) < self.distinct
+            self.bins.ravel()[place[inside]] = np.broadcast_to(np.arange(self.wide, dtype=np.int16), place.shape)[inside]
+            self.bins = np.maximum.accumulate(self.bins, axis=1)[:, :_BINS].ravel()
+        key32 = (key + self.shift.take(new)).astype(np.int32)
+        at = base + self.bins.take((key >> _BIN) + self.bin.take(new))
+        at += self.start.take(at + 1) <= key32
+        at += self.start.take(at + 1) <= key32
+        far = np.flatnonzero(self.start.take(at + 1) <= key32)
+        at[far] = self.start.searchsorted(key32[far], side="right") - 1
+        return at
 
     def propose(self, n: int) -> None:
         """The proposals of order 1 and 2 for the first ``n`` lanes with their shares of the range."""
-        self.at1 = self.base[:n] + self.last[:n]
-        self.at2 = self.slot[:n] + ((self.last[:n] * 61 + self.last2[:n] * 1031) & (_SLOTS - 1))
-        self.f1, self.f2 = self.follow1.take(self.at1), self.follow2.take(self.at2)
-        self.p1, self.p2 = self.f1 >> 1, self.f2 >> 1
-        kind = ((self.f2 & 1) << 2) + ((self.f1 & 1) << 1) + (self.p1 == self.p2) + ((self.p2 >= 0) * np.int16(8))
+        self.at = self.at[:, :n]
+        self.f = self.follow.take(self.at)
+        self.p = self.f >> 2
+        sure = self.f & 3
+        kind = (sure[1] << 2) + sure[0] + ((self.p[0] == self.p[1]).view(np.int8) << np.int16(4))
         self.kind = self.cell[:n] + kind
-        share = self.shares.take(self.kind)
-        self.s2, self.w = share >> 8, share & 255
-        self.s = (_PARTS - self.w) * _ORDER0
-
-    def place(self, n: int, x: np.ndarray, by2: np.ndarray, by1: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(start, width) of the symbols ``x`` in the range of a step."""
-        self.at = at = self.base[:n] + x
+        self.s2, self.s = self.upto2.take(self.kind), self.upto1.take(self.kind)
+
+    def place(self, by2: np.ndarray, new: np.ndarray, at: np.ndarray, s: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(start, width) of the symbols in the range of a step; the lanes ``new`` go by order 0, behind the shares ``s``
+        of the others, and their symbols stand ``at``."""
+        second, rest = by2.astype(np.float64), self.s - self.s2
+        mine = self.s2 * second
+        low, wide = self.s2 - mine, rest - rest * second + mine
+        w = (_TOTAL - s) * (1 / _ORDER0)
         start = self.start.take(at)
-        low = np.where(by2, 0, np.where(by1, self.s2, self.s + (start - self.shift[:n]) * self.w))
-        wide = np.where(by2, self.s2, np.where(by1, self.s - self.s2, (self.start.take(at + 1) - start) * self.w))
-        return low.astype(np.uint64), wide.astype(np.uint64)
-
-    def learn(self, step: int, n: int, x: np.ndarray, by2: np.ndarray, by1: np.ndarray) -> None:
-        self.events.append(self.kind * 3 + by1 + 2 * by2)
-        self.symbols.append(self.at)
-        twice = (x << 1).astype(np.int16)
-        for follow, at, f, p in ((self.follow1, self.at1, self.f1, self.p1), (self.follow2, self.at2, self.f2, self.p2)):
-            follow[at] = np.where(p == x, twice + np.int16(1), np.where(f & 1, f - np.int16(1), twice))
-        self.last2[:n] = self.last[:n]
-        self.last[:n] = x
+        low[new] = s + (start & (2 * _ORDER0 - 1)) * w
+        wide[new] = (self.start.take(at + 1) - start) * w
+        return low, wide
+
+    def learn(self, step: int, n: int, x: np.ndarray) -> None:
+        f, hit = self.f, (self.p == x).view(np.int8).astype(np.int16)
+        fresh = (x << 2) + np.int16(1)
+        kept = np.minimum(f + (hit << 1) - np.int16(1), f | 3)
+        self.follow[self.at] = fresh + ((f >> 1 & 1) | hit) * (kept - fresh)
+        now = slice(self.done, self.done + n)
+        np.add(self.kind * 3, np.maximum(hit[0], hit[1] << 1), out=self.events[now])
+        np.add(self.base[:n], x, out=self.symbols[now])
+        self.done += n
+        x = x.astype(np.int64)
+        self.at = np.stack([self.symbols[now], self.slot[:n] + ((x * 61 + self.before[:n]) & (_SLOTS - 1))])
+        self.before = x * 1031
         if step + 1 in _FIT:
             self.fit()
 
 
-def _shift(low: np.ndarray, wide: np.ndarray) -> np.ndarray:
-    """Lanes whose upper word is settled; a range that is too small is first cut at a word boundary."""
-    same = (low ^ (low + wide)) < _WORD
-    small = wide < _BOTTOM
-    out = np.flatnonzero(same | small)
-    cut = out[~same[out]]
-    if len(cut):
-        wide[cut] = (~low[cut] + np.uint64(1)) & (_BOTTOM - np.uint64(1))
-    return out
-
-
-def _table(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(distinct ids ascending, each id's place among them)."""
-    top = int(ids.max()) + 1 if len(ids) else 0
-    if top > _SMALL_ID:
-        return np.unique(ids, return_inverse=True)
-    there = np.zeros(top, bool)
-    there[ids] = True
-    table = np.flatnonzero(there)
-    place = np.empty(top, np.int32)
-    place[table] = np.arange(len(table))
-    return table.astype(np.uint32), place[ids]
-
-
-def _lanes(sizes: list[tuple[int, int]]) -> list[list[int]]:
-    """Blocks (length, distinct ids) to code side by side: alike in distinct ids, the longest first."""
+def _tables(blocks: list[np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(distinct ids ascending, each id's place among them) of each block."""
+    tops = [int(b.max()) + 1 if len(b) else 0 for b in blocks]
+    small = max((t for t in tops if t <= _SMALL_ID), default=0)
+    there, place = np.zeros(small, bool), np.empty(small, np.int16)
+    for ids, top in zip(blocks, tops):
+        if top > small:
+            yield np.unique(ids, return_inverse=True)
+            continue
+        ids = ids.astype(np.int64)
+        there[ids] = True
+        table = np.flatnonzero(there[:top])
+        there[table] = False
+        place[table] = np.arange(len(table), dtype=np.int16)
+        yield table.astype(np.uint32), place.take(ids)
+
+
+def _groups(sizes: list[tuple[int, int]]) -> list[list[int]]:
+    """Blocks (length, distinct ids) to code side by side: alike in distinct ids."""
     order = sorted(range(len(sizes)), key=lambda i: sizes[i][1])
-    return [sorted(order[i:i + LANES], key=lambda i: -sizes[i][0]) for i in range(0, len(order), LANES)]
+    return [order[i:i + _SIDE] for i in range(0, len(order), _SIDE)]
+
+
+def _lanes(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(block, first place, length, number) of the streams the blocks' ids are cut into, the longest first."""
+    count = np.maximum(lengths // _STREAM, 1)
+    block = np.repeat(np.arange(len(lengths)), count)
+    most = -(-lengths // count)[block]
+    first = (np.arange(len(block)) - (np.cumsum(count) - count)[block]) * most
+    size = np.clip(lengths[block] - first, 0, most)
+    order = np.argsort(-size, kind="stable")
+    return block[order], first[order], size[order], order
 
 
 def encode_blocks(blocks: list[np.ndarray]) -> list[bytes]:
     """Each block of ids (uint32) as bytes."""
-    tables = [_table(b) for b in blocks]
+    tables = list(_tables(blocks))
     result: list[bytes] = [b""] * len(blocks)
-    for lanes in _lanes([(len(b), len(t)) for b, (t, _) in zip(blocks, tables)]):
-        for i, code in zip(lanes, _encode([tables[i][1] for i in lanes], np.array([len(tables[i][0]) for i in lanes]))):
-            table = zlib.compress(np.diff(tables[i][0], prepend=np.uint32(0)).astype("<u4").tobytes(), 1)
+    for group in _groups([(len(b), len(t)) for b, (t, _) in zip(blocks, tables)]):
+        for i, code in zip(group, _encode([tables[i][1] for i in group], np.array([len(tables[i][0]) for i in group]))):
+            gaps = np.diff(tables[i][0], prepend=np.uint32(0)).astype("<u4")
+            table = zlib.compress(gaps.view(np.uint8).reshape(-1, 4).T.tobytes(), 1)
             ids = blocks[i].astype("<u4").tobytes()
             result[i] = struct.pack("<IIII", len(blocks[i]), len(tables[i][0]), zlib.crc32(ids), len(table)) + table + code
     return result
 
 
 def _encode(symbols: list[np.ndarray], distinct: np.ndarray) -> list[bytes]:
-    count, longest = len(symbols), len(symbols[0])
-    lengths = np.array([len(s) for s in symbols])
-    model = _Model(distinct)
-    every = np.zeros((count, longest), np.int64)
-    for lane, s in enumerate(symbols):
-        every[lane, :len(s)] = s
+    block, first, size, number = _lanes(np.array([len(s) for s in symbols]))
+    count, longest = len(block), int(size[0])
+    model = _Model(distinct, block, int(size.sum()))
+    every = np.zeros((count, longest), np.int16)
+    for lane, (b, a, n) in enumerate(zip(block.tolist(), first.tolist(), size.tolist())):
+        every[lane, :n] = symbols[b][a:a + n]
     every = np.ascontiguousarray(every.T)
-    low, wide = np.zeros(count, np.uint64), np.full(count, ~np.uint64(0))
-    settled: list[tuple[np.ndarray, np.ndarray]] = []  # (lanes, their words) in order; a step settles one word of a lane at most
+    low, wide = np.zeros(count), np.full(count, _FULL)
+    room = longest * 3 // 2 + 4  # a step settles 22 bits at most
+    words, begin = np.zeros(count * room, np.int32), np.arange(count) * room  # a word may hold a carry for the one before it
+    end = begin.copy()
     for step in range(longest):
-        n = int(np.searchsorted(-lengths, -step, side="left"))  # lanes that still have an id
+        n = int(np.searchsorted(-size, -step, side="left"))  # lanes that still have an id
         x = every[step, :n]
         model.propose(n)
-        by2 = (model.p2 == x) & (model.s2 > 0)
-        by1 = (model.p1 == x) & (model.s > model.s2) & ~by2
-        start, width = model.place(n, x, by2, by1)
-        r = wide[:n] >> _BITS
-        low[:n] += r * start
-        wide[:n] = r * width
-        out = _shift(low[:n], wide[:n])
-        now = low[out]
-        settled.append((out, now >> _HALF))
-        low[out] = now << _HALF
-        wide[out] <<= _HALF
-        model.learn(step, n, x, by2, by1)
-    settled += [(np.arange(count), low >> _HALF), (np.arange(count), low & (_WORD - np.uint64(1)))]
-    lane = np.concatenate([a for a, _ in settled]).astype(np.uint16)
-    words = np.concatenate([w for _, w in settled]).astype("<u4")[np.argsort(lane, kind="stable")]
-    return [w.tobytes() for w in np.split(words, np.cumsum(np.bincount(lane))[:-1])]
+        by2 = model.p[1] == x
+        new = np.flatnonzero(~(by2 | (model.p[0] == x)))
+        start, width = model.place(by2, new, model.base.take(new) + x.take(new), model.s.take(new))
+        model.learn(step, n, x)
+        r = np.floor(wide[:n] * (1 / _TOTAL))
+        now, left = low[:n] + r * start, r * width
+        small = left < _BOTTOM
+        while small.any():
+            word = np.floor(now * (1 / _BOTTOM))
+            words[end[:n]] = word.astype(np.int32)
+            full = small.astype(np.float64)
+            grow = full * (_WORD - 1) + 1
+            now = (now - word * full * _BOTTOM) * grow
+            left *= grow
+            end[:n] += small
+            small = left < _BOTTOM
+        low[:n], wide[:n] = now, left
+    words[end] = np.ceil(low * (1 / _BOTTOM)).astype(np.int32)  # the range holds a value that ends in zeros
+    counts = np.empty(count, np.int64)
+    counts[number] = end - begin + 1
+    words = words.reshape(count, room)[np.argsort(number)]
+    words = words[np.arange(room) < counts[:, None]]
+    while len(over := np.flatnonzero(words >> 16)):
+        words[over - 1] += words[over] >> 16
+        words[over] &= 0xFFFF
+    ends, streams = np.cumsum(counts), np.cumsum(np.bincount(block))
+    words, counts = words.astype("<u2"), counts.astype("<u2")
+    return [counts[a:b].tobytes() + words[ends[a] - counts[a]:ends[b - 1]].tobytes()
+            for a, b in zip(np.r_[0, streams[:-1]].tolist(), streams.tolist())]
 
 
 def decode_blocks(blobs: list[bytes]) -> list[np.ndarray]:
     """The ids of each block; raises ValueError where a checksum does not hold."""
     heads = [struct.unpack_from("<IIII", b) for b in blobs]
     result: list[np.ndarray] = [np.array([], np.uint32)] * len(blobs)
-    for lanes in _lanes([h[:2] for h in heads]):
-        codes = [np.frombuffer(blobs[i][16 + heads[i][3]:], "<u4") for i in lanes]
-        symbols = _decode(codes, np.array([heads[i][0] for i in lanes]), np.array([heads[i][1] for i in lanes]))
-        for lane, i in enumerate(lanes):
-            table = np.cumsum(np.frombuffer(zlib.decompress(blobs[i][16:16 + heads[i][3]]), "<u4"), dtype=np.uint32)
-            x = symbols[:heads[i][0], lane]
+    for group in _groups([h[:2] for h in heads]):
+        codes = [np.frombuffer(blobs[i], "<u2", (len(blobs[i]) - 16 - heads[i][3]) // 2, 16 + heads[i][3]) for i in group]
+        symbols = _decode(codes, np.array([heads[i][0] for i in group]), np.array([heads[i][1] for i in group]))
+        for i, x in zip(group, symbols):
+            try:
+                gaps = zlib.decompress(blobs[i][16:16 + heads[i][3]])
+            except zlib.error as e:
+                raise ValueError("damaged block: its table of ids can't be read") from e
+            table = np.cumsum(np.frombuffer(gaps, np.uint8).reshape(4, -1).T.copy().view("<u4").ravel(), dtype=np.uint32)
             if len(x) and (int(x.max()) >= len(table) or int(x.min()) < 0):
                 raise ValueError("damaged block: a code points past its table of ids")
             ids = table[x]
@@ -218,38 +272,59 @@ def decode_blocks(blobs: list[bytes]) -> list[np.ndarray]:
     return result
 
 
-def _decode(codes: list[np.ndarray], lengths: np.ndarray, distinct: np.ndarray) -> np.ndarray:
-    """Symbols by step and lane."""
-    count, longest = len(codes), int(lengths[0])
-    model = _Model(distinct)
-    words = np.zeros((count, longest + 4), np.uint64)
-    for lane, c in enumerate(codes):
-        c = c[:longest + 4]
-        words[lane, :len(c)] = c
-    value, used = words[:, 0] << _HALF | words[:, 1], np.full(count, 2)
-    low, wide = np.zeros(count, np.uint64), np.full(count, ~np.uint64(0))
-    every = np.zeros((longest, count), np.int64)
+def _words(codes: list[np.ndarray], streams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The words of all streams, and each stream's first; as many zeros as a reader may look ahead follow each stream."""
+    counts = [c[:k].astype(np.int64) for c, k in zip(codes, streams.tolist())]
+    if any(len(n) != k or k + n.sum() != len(c) for c, n, k in zip(codes, counts, streams.tolist())):
+        raise ValueError("damaged block: its streams do not have its length")
+    size = np.concatenate(counts)
+    first = np.cumsum(size + 3) - size - 3
+    words = np.zeros(int(size.sum()) + 3 * len(size), np.uint16)
+    words[np.repeat(first - (np.cumsum(size) - size), size) + np.arange(size.sum())] = np.concatenate(
+        [c[k:] for c, k in zip(codes, streams.tolist())])
+    return words, first
+
+
+@np.errstate(over="ignore", invalid="ignore")  # a damaged code may leave its range; its checksum tells
+def _decode(codes: list[np.ndarray], lengths: np.ndarray, distinct: np.ndarray) -> list[np.ndarray]:
+    """Symbols of each block."""
+    block, first, size, number = _lanes(lengths)
+    count, longest = len(block), int(size[0])
+    model = _Model(distinct, block, int(size.sum()))
+    words, at = _words(codes, np.bincount(block))
+    at = at[number]
+    value = (words[at] * _WORD + words[at + 1]) * _WORD + words[at + 2]  # how far the code lies above the range's low end
+    at += 3
+    wide = np.full(count, _FULL)
+    every = np.zeros((longest, count), np.int16)
     for step in range(longest):
-        n = int(np.searchsorted(-lengths, -step, side="left"))
+        n = int(np.searchsorted(-size, -step, side="left"))
         model.propose(n)
-        r = wide[:n] >> _BITS
-        v = np.minimum((value[:n] - low[:n]) // r, np.uint64(_ORDER0 * _PARTS - 1)).astype(np.int64)
+        r = np.floor(wide[:n] * (1 / _TOTAL))
+        v = np.minimum(np.floor(value[:n] / r), _TOTAL - 1)
         by2 = v < model.s2
-        by1 = (v < model.s) & ~by2
-        key = model.shift[:n] + np.maximum(v - model.s, 0) // model.w
-        found = model.start.searchsorted(key.astype(np.int32), side="right") - 1 - model.base[:n]
-        x = np.where(by2, model.p2, np.where(by1, model.p1, found))
-        start, width = model.place(n, x, by2, by1)
-        low[:n] += r * start
-        wide[:n] = r * width
-        out = _shift(low[:n], wide[:n])
-        value[out] = value[out] << _HALF | words[out, used[out]]
-        used[out] += 1
-        low[out] <<= _HALF
-        wide[out] <<= _HALF
+        x = model.p[0] + by2.view(np.int8) * (model.p[1] - model.p[0])
+        new = np.flatnonzero(v >= model.s)
+        s, base = model.s.take(new), model.base.take(new)
+        found = model.find(((v.take(new) - s) * _ORDER0 / (_TOTAL - s)).astype(np.int32), base, new)
+        x[new] = found - base
+        start, width = model.place(by2, new, found, s)
         every[step, :n] = x
-        model.learn(step, n, x, by2, by1)
-    return every
+        model.learn(step, n, x)
+        now, left = value[:n] - r * start, r * width
+        small = left < _BOTTOM
+        while small.any():
+            full = small.astype(np.float64)
+            grow = full * (_WORD - 1) + 1
+            now = now * grow + words.take(at[:n], mode="clip") * full
+            left *= grow
+            at[:n] += small
+            small = left < _BOTTOM
+        value[:n], wide[:n] = now, left
+    rows, result = np.ascontiguousarray(every.T), [np.zeros(n, np.int16) for n in lengths.tolist()]
+    for row, b, a, n in zip(rows, block.tolist(), first.tolist(), size.tolist()):
+        result[b][a:a + n] = row[:n]
+    return result
 
 
 # ---------------------------------------------------------------- segments

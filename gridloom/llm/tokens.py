@@ -182,7 +182,7 @@ def encode(texts: pa.Array | list[str | None], path: str) -> list[np.ndarray]:
     marked = pc.binary_join_element_wise(_FIRST, pc.replace_substring(texts.take(pa.array(plain)), "\n", " \n"), "")
     cut = pc.split_pattern(marked, " ")
     coded = cut.flatten().dictionary_encode()
-    keys: list = coded.dictionary.to_pylist()
+    keys: list = coded.dictionary.to_numpy(zero_copy_only=False).tolist()  # to_pylist makes a scalar of each first
     cuts, places = [np.diff(cut.offsets.to_numpy())], [coded.indices.to_numpy()]
     more: dict = {}
     for i in odd.tolist():

@@ -113,9 +113,11 @@ class TensorReader(DataSourceReader):
                     first = step
         return out
 
-    def read(self, partition: StepRange) -> Iterator[pa.RecordBatch]:
+    def read(self, partition: StepRange | None) -> Iterator[pa.RecordBatch]:
         from gridloom.sources.storage import filesystem
 
+        if partition is None:  # Spark's one partition where none is planned
+            return
         fs, _ = filesystem(self.folder)
         node_ends = np.arange(0, self.grids * self.features + 1, self.features, dtype=np.int32)
         with fs.open_input_file(partition.path) as f:

@@ -67,6 +67,45 @@ def test_blocks_round_trip():
         tokenfile.decode_blocks([bytes(damaged)])
 
 
+def test_block_is_coded_in_streams(monkeypatch):
+    rng = np.random.default_rng(2)
+    steps = []
+    learn = tokenfile._Model.learn
+    monkeypatch.setattr(tokenfile._Model, "learn", lambda self, *a: (steps.append(1), learn(self, *a)))
+    blocks = [rng.zipf(1.4, 4096).clip(0, 50256).astype(np.uint32) for _ in range(3)]
+    coded = tokenfile.encode_blocks(blocks)
+    assert all(np.array_equal(a, b) for a, b in zip(blocks, tokenfile.decode_blocks(coded)))
+    assert len(steps) <= 2 * 4096 // 32  # not one step an id
+    for n in (127, 128, 255, 256, 257, 385, 4000, 4095):  # streams of unequal length, alone and side by side
+        block = rng.zipf(1.4, n).clip(0, 50256).astype(np.uint32)
+        assert np.array_equal(tokenfile.decode_blocks(tokenfile.encode_blocks([block]))[0], block)
+        blocks.append(block)
+    assert all(np.array_equal(a, b) for a, b in zip(blocks, tokenfile.decode_blocks(tokenfile.encode_blocks(blocks))))
+
+
+def test_damaged_block_is_found():
+    rng = np.random.default_rng(3)
+    block = rng.zipf(1.4, 1500).clip(0, 50256).astype(np.uint32)
+    coded = tokenfile.encode_blocks([block])[0]
+    for at in range(8, len(coded), 37):
+        damaged = bytearray(coded)
+        damaged[at] ^= 1 + at % 255
+        try:
+            got = tokenfile.decode_blocks([bytes(damaged)])[0]
+        except ValueError:
+            continue
+        assert np.array_equal(got, block)  # a byte that no id depends on
+    with pytest.raises(ValueError):
+        tokenfile.decode_blocks([coded[:-2]])
+
+
+def test_bits_an_id_of_documents(spark):
+    texts = [r.text for r in read_table(spark, SMOKE, "documents").orderBy("doc_id").collect()]
+    ids = np.concatenate(tokens.encode(texts, vocabulary(tokenfile.VOCABULARY)))
+    blocks = [ids[i:i + tokenfile.BLOCK] for i in range(0, len(ids), tokenfile.BLOCK)]
+    assert 8 * sum(map(len, tokenfile.encode_blocks(blocks))) / len(ids) < 9.1
+
+
 def check_digest(rows, docs, path):
     want = sorted(((d is not None, d, t) for d, t in docs), key=lambda x: (x[0], x[1] or 0))
     got = sorted(rows, key=lambda r: r.start)
