@@ -92,15 +92,47 @@ class _Bulk:
             at = at[kind - 1::kind]
         return np.diff(at, prepend=-1)
 
+    def _by_bytes(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray] | None:
+        """(ids of all pieces, number of ids of each) in a byte-level vocabulary; None if they can't be told apart."""
+        texts = ["".join(pieces[i:i + _TOGETHER]) for i in range(0, len(pieces), _TOGETHER)]
+        lists = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        ends = np.cumsum(pc.binary_length(pa.array(pieces, pa.string())).to_numpy())
+        sizes = np.fromiter(map(len, lists), np.int64, len(lists))
+        ids = np.fromiter(chain.from_iterable(lists), np.uint32, int(sizes.sum()))
+        upto = np.cumsum(self.bytes[ids])
+        at = np.searchsorted(upto, ends)
+        if at[-1] >= len(upto) or not np.array_equal(upto[at], ends):
+            return None
+        last = np.minimum(np.arange(1, len(texts) + 1) * _TOGETHER, len(pieces)) - 1
+        if not np.array_equal(at[last] + 1, np.cumsum(sizes)):  # a text's ids are those of its own pieces
+            return None
+        return ids, np.diff(at, prepend=-1)
+
     def encode(self, keys: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(start, size) of each key's ids in the returned ids."""
         start, size = np.zeros(len(keys), np.int64), np.zeros(len(keys), np.int64)
         found: list[np.ndarray] = []
         done = 0
         by_kind: dict[int, list[int]] = {}
-        for j, key in enumerate(keys):
-            by_kind.setdefault(self._kind(key), []).append(j)
-        alone = by_kind.pop(0, [])
+        if self.bytes is not None:
+            alone = [j for j, key in enumerate(keys) if isinstance(key, tuple) or key.startswith(_FIRST)]
+            left = np.ones(len(keys), bool)
+            left[alone] = False
+            members = np.flatnonzero(left)
+            for i in range(0, len(members), _TEXTS * _TOGETHER):
+                part = members[i:i + _TEXTS * _TOGETHER]
+                coded = self._by_bytes([key if key[0] == "\n" else " " + key for key in map(keys.__getitem__, part.tolist())])
+                if coded is None:
+                    by_kind.setdefault(1, []).extend(part.tolist())
+                    continue
+                size[part] = coded[1]
+                start[part] = done + np.cumsum(coded[1]) - coded[1]
+                found.append(coded[0])
+                done += len(coded[0])
+        else:
+            for j, key in enumerate(keys):
+                by_kind.setdefault(self._kind(key), []).append(j)
+            alone = by_kind.pop(0, [])
         for kind, members in by_kind.items():
             for i in range(0, len(members), _TEXTS * _TOGETHER):
                 groups = [members[k:k + _TOGETHER] for k in range(i, min(i + _TEXTS * _TOGETHER, len(members)), _TOGETHER)]
@@ -149,8 +181,8 @@ class _Pieces:
         flat = np.concatenate([self.flat, ids])
         if len(self.place) < CACHE_PIECES:
             room = CACHE_PIECES - len(self.place)
-            kept = [j for j, k in enumerate(new) if not isinstance(k, tuple) and len(k) <= _LONGEST_CACHED][:room]
-            self.place.update((new[j], len(self.start) + n) for n, j in enumerate(kept))
+            kept = [j for j, k in enumerate(new) if len(k) <= _LONGEST_CACHED and not isinstance(k, tuple)][:room]
+            self.place.update(zip(map(new.__getitem__, kept), range(len(self.start), len(self.start) + len(kept))))
             kept = np.array(kept, np.int64)
             length = sizes[kept]
             ends = np.cumsum(length)
